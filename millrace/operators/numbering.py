@@ -40,12 +40,17 @@ def number_rows(
     order = order_columns(order)
     keys = list(keys)
     if not keys:
-        return _spread(df, keys, order, _slices(df.count(), hot_rows), out)
+        return number_spread(df, keys, order, _slices(df.count(), hot_rows), out)
     cold, hot, slices = _by_heat(df, keys, hot_rows)
-    numbered = cold.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    numbered = number_in_task(cold, keys, order, out)
     if hot is None:
         return numbered
-    return numbered.unionByName(_spread(hot, keys, order, slices, out))
+    return numbered.unionByName(number_spread(hot, keys, order, slices, out))
+
+
+def number_in_task(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
+    """Positions by one window; only for keys known to be small enough for a task."""
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
 
 
 def mark_rows(
@@ -109,7 +114,8 @@ def _lay_out(df: DataFrame, keys: list[str], order: list[Column], slices: int) -
     )
 
 
-def _spread(df: DataFrame, keys, order, slices: int, out: str) -> DataFrame:
+def number_spread(df: DataFrame, keys: list[str], order: list[Column], slices: int, out: str) -> DataFrame:
+    """Positions over ``slices`` range partitions, whatever the sizes of the keys."""
     rows = _lay_out(df, keys, order, slices)
     earlier = Window.partitionBy(_GID).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     # Ranges are contiguous, so there are at most slices + hot keys rows here.

@@ -32,10 +32,11 @@ def read_files(
 
     Lines carry ``path`` and ``line`` (from 1), and the headers ``correlationId`` (a hash
     of the path), ``sequenceNumber`` and ``sequenceSize`` 0.  With markers each file also
-    gets a START row (line 0) and an END row (last line + 1).
+    gets a START row (line 0) and an END row (last line + 1).  Spark does not list empty
+    files, so they give no message in any mode.
     """
     if mode == "contents":
-        return _contents(_listing(spark, path, pattern).select("content", *_FILE))
+        return _contents(_listing(spark, path, pattern).selectExpr("content", *_FILE))
     if mode == "ref":
         return _references(_listing(spark, path, pattern))
     if mode != "lines":
@@ -45,11 +46,12 @@ def read_files(
     messages = _line_messages(numbered)
     if not with_markers:
         return messages
-    files = _listing(spark, path, pattern).select(*_FILE)
+    files = _listing(spark, path, pattern).selectExpr(*_FILE)
     return _add_markers(messages, files)
 
 
-_FILE = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name")]
+# SQL text, since columns cannot be made before there is a session.
+_FILE = ("_metadata.file_path AS path", "_metadata.file_name AS file_name")
 
 
 def _listing(spark, path, pattern) -> DataFrame:
@@ -92,10 +94,9 @@ def _raw_lines(text: DataFrame, separator: str | None) -> DataFrame:
     value = F.regexp_replace("value", "^\\s*\x02", "") if separator == "stxetx" else F.col("value")
     return text.select(
         value.alias("payload"),
-        *_FILE,
+        *[F.expr(c) for c in _FILE],
         F.col("_metadata.file_size").alias("file_size"),
         F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"),
     )
 
 
@@ -107,9 +108,11 @@ def _big_bytes(spark, path, pattern, big_file) -> int:
 def number_lines(lines: DataFrame, big_file: int = BIG_FILE_BYTES, big_bytes: int | None = None) -> DataFrame:
     """Add ``line``, the position of each line in its file.
 
-    Rows need ``path``, ``file_size``, ``block_start`` and ``row_id``; also usable on the
+    Rows come as read, with ``path``, ``file_size`` and ``block_start``; also usable on the
     batches of :func:`stream_files`.  A file is sorted within one task only up to ``big_file`` bytes.
     """
+    # Grows along each split, and splits of a file are told apart by where they start.
+    lines = lines.withColumn("row_id", F.monotonically_increasing_id())
     order = [F.col("block_start"), F.col("row_id")]
     small = number_in_task(lines.filter(F.col("file_size") <= big_file), ["path"], order, "line")
     if big_bytes is None:
@@ -186,7 +189,7 @@ def stream_files(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.format("binaryFile").schema(_BINARY_FILE).load(path)
-    return _references(files) if mode == "ref" else _contents(files.select("content", *_FILE))
+    return _references(files) if mode == "ref" else _contents(files.selectExpr("content", *_FILE))
 
 
 _BINARY_FILE = T.StructType([

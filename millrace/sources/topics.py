@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.messages import DEFAULT_CONTENT_TYPE
 
 # The schema of Spark's Kafka reader with headers included.
-TOPIC_SCHEMA = T.StructType.fromDDL(
+TOPIC_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, "
     "timestampType int, headers array<struct<key:string,value:binary>>"
 )
@@ -38,10 +37,10 @@ def topic_messages(df: DataFrame) -> DataFrame:
         pairs, lambda h, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda later: later["key"] == h["key"])
     )
     headers = F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], F.decode(h["value"], "UTF-8"))))
-    return df.select(
+    return df.withColumn("headers", headers).select(
         F.col("value").alias("payload"),
-        headers.alias("headers"),
-        F.coalesce(headers["contentType"], F.lit(DEFAULT_CONTENT_TYPE)).alias("content_type"),
+        "headers",
+        F.coalesce(F.col("headers")["contentType"], F.lit(DEFAULT_CONTENT_TYPE)).alias("content_type"),
         F.decode("key", "UTF-8").alias("key"),
         "topic",
         F.concat_ws("-", "topic", "partition", "offset").alias("msg_id"),

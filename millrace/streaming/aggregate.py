@@ -130,7 +130,7 @@ def order_text(df: DataFrame, column: str) -> Column:
         return F.date_format(column, "yyyyMMddHHmmssSSSSSS")
     if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         # Shifted by 2^63, so that negative numbers come first.
-        return F.lpad((F.col(column).cast("decimal(20,0)") + F.lit(2**63).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+        return F.lpad((F.col(column).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
     if isinstance(kind, T.StringType):
         return F.col(column)
     raise ValueError(f"cannot order a stream by {column} of type {kind.simpleString()}")

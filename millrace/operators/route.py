@@ -28,7 +28,7 @@ def route(
     A mapped key goes to its mapped name.  Otherwise: with ``required``, to the declared
     destination of that name or into an error; without it, to the default if there is
     one, else to the key itself.  ``allowed`` lists the only destinations that may be used;
-    others go to the default.  A NULL key goes to the default.  An array of keys sends
+    others go to the default.  With such a list and no mappings, a key names its destination.  A NULL key goes to the default.  An array of keys sends
     the message to each.
 
     Messages with no destination: ``on_error="fail"`` stops a query that requires resolution;
@@ -52,7 +52,7 @@ def route(
         if required:
             own = F.when(name.isin(list(declared)), name) if declared else F.lit(None).cast("string")
             found = F.coalesce(mapped, own)
-        elif default is not None:
+        elif default is not None and (table or allowed is None):
             found = F.coalesce(mapped, fallback)
         else:
             found = F.coalesce(mapped, name)

@@ -73,14 +73,12 @@ def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str) ->
 def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | None, quote: str, escape: str | None) -> DataFrame:
     edge, after = f"(?<=^|{re.escape(delimiter)})", f"(?=$|{re.escape(delimiter)})"
     text = F.col("payload")
-    null = "" if null_string is None else null_string
-    # Unquoted null tokens are marked before quotes are gone.  Marks that landed
-    # inside a quoted field are turned back after parsing.
-    if null:
-        text = F.regexp_replace(text, edge + re.escape(null) + after, _NULL)
+    # Spark reads an unquoted empty field as NULL, which is the default null string.  For another one,
+    # unquoted null and empty tokens are marked before the quotes are gone; marks that
+    # landed inside a quoted field are turned back after parsing.
+    if null_string:
+        text = F.regexp_replace(text, edge + re.escape(null_string) + after, _NULL)
         text = F.regexp_replace(text, edge + after, _EMPTY)
-    else:
-        text = F.regexp_replace(text, edge + after, _NULL)
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))] + [T.StructField("bad", T.StringType())])
     options = {
         "sep": delimiter, "quote": quote, "escape": escape or quote, "nullValue": "\ue004", "emptyValue": "",
@@ -96,7 +94,9 @@ def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | Non
 
     def field(i: int) -> Column:
         value = fields[f"c{i}"]
-        text = F.replace(F.replace(value, F.lit(_EMPTY), F.lit("")), F.lit(_NULL), F.lit(null))
+        if not null_string:
+            return value
+        text = F.replace(F.replace(value, F.lit(_EMPTY), F.lit("")), F.lit(_NULL), F.lit(null_string))
         return F.when(value != _NULL, text)
 
     return _checked(rows, columns, count, field)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,28 +33,38 @@ def enrich_headers(
 
     def add(d: DataFrame) -> DataFrame:
         old = F.coalesce(F.col("headers"), header_map({}))
-        new = F.map_filter(header_map(wanted), lambda _, v: v.isNotNull())
+        # A column of its own, so that the expressions run once per message and not once per old header.
+        d = d.withColumn("_mr_new", F.map_filter(header_map(wanted), lambda _, v: v.isNotNull()))
+        new = F.col("_mr_new")
         if overwrite:
-            # Names known here, so the old map is filtered by a constant list plus presence in the new one.
             old = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
         else:
-            present = F.map_keys(old)
-            new = F.map_filter(new, lambda k, _: ~F.array_contains(present, k))
-        return d.withColumn("headers", F.map_concat(old, new).cast(HEADERS_TYPE))
+            new = F.map_filter(new, lambda k, _: ~F.map_contains_key(old, k))
+        return d.withColumn("headers", F.map_concat(old, new).cast(HEADERS_TYPE)).drop("_mr_new")
 
     return with_variables(df, variables, add)
 
 
-def name_pattern(names: str | list[str]) -> str:
-    """One regular expression for a comma- or space-separated list of names with ``*`` wildcards."""
-    parts = re.split(r"[,\s]+", names) if isinstance(names, str) else names
-    quoted = [".*".join(re.escape(piece) for piece in p.split("*")) for p in parts if p]
-    return "^(" + "|".join(quoted) + ")$" if quoted else "^$"
+def name_list(names: str | list[str]) -> list[str]:
+    """Names separated by commas or white space."""
+    return [n for n in (re.split(r"[,\s]+", names) if isinstance(names, str) else names) if n]
+
+
+def name_test(names: str | list[str]) -> Callable[[Column], Column]:
+    """A test for header names: equal to one of the names, in which ``*`` stands for any text."""
+    listed = name_list(names)
+    if "*" in listed:
+        return lambda k: F.lit(True)
+    exact = [n for n in listed if "*" not in n]
+    patterns = [".*".join(re.escape(piece) for piece in n.split("*")) for n in listed if "*" in n]
+    if not patterns:
+        return lambda k: k.isin(exact)
+    return lambda k: k.isin(exact) | k.rlike("^(" + "|".join(patterns) + ")$")
 
 
 def filter_headers(df: DataFrame, remove: str | list[str] = "", delete_all: bool = False) -> DataFrame:
     """Drop the named headers, or all of them; content type, id and time are columns and stay."""
     if delete_all:
         return df.withColumn("headers", header_map({}))
-    pattern = name_pattern(remove)
-    return df.withColumn("headers", F.map_filter("headers", lambda k, _: ~k.rlike(pattern)))
+    named = name_test(remove)
+    return df.withColumn("headers", F.map_filter("headers", lambda k, _: ~named(k)))

@@ -65,7 +65,9 @@ def gauge(
     order = [order] if isinstance(order, (str, Column)) else list(order or [])
     if not order:
         raise ValueError("a gauge needs an order column")
-    latest = F.struct(*[as_column(c).alias(f"o{i}") for i, c in enumerate(order)])
+    latest = as_column(order[0])
+    if len(order) > 1:
+        latest = F.struct(*[as_column(c).alias(f"o{i}") for i, c in enumerate(order)])
     rows, groups, common = _tagged(
         df.withColumns({"_mr_value": as_column(value), "_mr_at": latest}), name, tags, common_tags
     )

@@ -44,16 +44,15 @@ def polls_of_a_table(spark, sf_dir):
 
 
 @query("""
-SELECT ((rn - 1) // (n // 3) + 1)::INT AS poll, o_orderkey
-FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders) WHERE rn <= 2 * (n // 3)
+SELECT ((rn - 1) // 400 + 1)::INT AS poll, o_orderkey
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 1200
 """)
 def committed_polls(spark, sf_dir):
-    """Two polls of a third of the table each, the position kept between them"""
+    """Three polls of at most 400 rows each, the position kept between them"""
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     state, out = scratch_path(spark, "position"), scratch_path(spark, "polled")
-    third = orders.count() // 3
-    for poll in (1, 2):
-        poller = TablePoller(spark, state, "o_orderkey", third)
+    for poll in (1, 2, 3):
+        poller = TablePoller(spark, state, "o_orderkey", 400)
         poller.poll(orders).withColumn("poll", F.lit(poll)).write.mode("append").parquet(out)
         poller.commit(spark.read.parquet(out).filter(F.col("poll") == poll))
     return spark.read.parquet(out)

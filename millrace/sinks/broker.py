@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.messages import as_column
-from millrace.operators.headers import name_pattern
+from millrace.operators.headers import name_list, name_test
 
 # The headers that the token STANDARD stands for.
 STANDARD_HEADERS = (
@@ -17,10 +17,9 @@ STANDARD_HEADERS = (
 )
 
 
-def mapped_names(names: str | list[str]) -> str:
-    """A pattern for the header names that pass; ``STANDARD`` may be one of the names."""
-    listed = names.replace(",", " ").split() if isinstance(names, str) else list(names)
-    return name_pattern([s for n in listed for s in (STANDARD_HEADERS if n == "STANDARD" else (n,))])
+def mapped_names(names: str | list[str]) -> list[str]:
+    """The names (or patterns) of the headers that pass; ``STANDARD`` may be one of them."""
+    return [s for n in name_list(names) for s in (STANDARD_HEADERS if n == "STANDARD" else (n,))]
 
 
 def to_broker(
@@ -39,11 +38,11 @@ def to_broker(
     """
     if require_key and key is None:
         raise ValueError("a routing key or routing key expression is required")
-    pattern = mapped_names(mapped_headers)
+    mapped = name_test(mapped_names(mapped_headers))
     payload = F.col("payload")
     if not isinstance(df.schema["payload"].dataType, (T.BinaryType, T.StringType)):
         payload = F.to_json(payload) if isinstance(df.schema["payload"].dataType, (T.StructType, T.ArrayType, T.MapType)) else payload.cast("string")
-    passed = F.map_filter("headers", lambda k, _: k.rlike(pattern))
+    passed = F.map_filter("headers", lambda k, _: mapped(k))
     own = F.create_map(F.lit("contentType"), F.col("content_type"))
     if headers_last:
         merged = F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(passed, k)), passed)

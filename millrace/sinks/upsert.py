@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from millrace.messages import as_column
 
 INDEX_HEADER = "INDEX_NAME"
+# Up to this many indexes are looked up by name, more by a join.
+MAX_LISTED = 1000
 
 
 def latest_documents(df: DataFrame, id: str | Column, order, index: str | None = None, payload: str | Column = "payload") -> DataFrame:
@@ -41,6 +43,15 @@ def merge_documents(current: DataFrame | None, changes: DataFrame) -> DataFrame:
     return changes if current is None else _fold(current.select(changes.columns).unionByName(changes))
 
 
+def _touched(stored: DataFrame, indexes: DataFrame) -> DataFrame:
+    """The part of the table whose indexes occur in the changes."""
+    names = [r["index"] for r in indexes.limit(MAX_LISTED + 1).collect()]
+    if len(names) > MAX_LISTED:
+        return stored.join(indexes, "index", "left_semi")
+    # A list of constants prunes partitions while the query is planned.
+    return stored.filter(F.col("index").isin(names))
+
+
 def upsert(spark: SparkSession, df: DataFrame, target: str, id, order, index: str | None = None, payload="payload") -> None:
     """Merge the messages into ``target``, a parquet table partitioned by index.
 
@@ -52,7 +63,6 @@ def upsert(spark: SparkSession, df: DataFrame, target: str, id, order, index: st
     exists = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
     current = None
     if exists:
-        touched = changes.select("index").distinct()
-        current = spark.read.schema(changes.schema).parquet(target).join(touched, "index", "left_semi")
+        current = _touched(spark.read.schema(changes.schema).parquet(target), changes.select("index").distinct())
     merged = merge_documents(current, changes)
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("index").parquet(target)

@@ -128,7 +128,7 @@ def number_lines(lines: DataFrame, big_file: int = BIG_FILE_BYTES, big_bytes: in
 def _line_messages(numbered: DataFrame) -> DataFrame:
     headers = {
         **_file_headers(),
-        "correlationId": F.sha2("path", 256),
+        "correlationId": F.md5("path"),
         "sequenceNumber": F.col("line"),
         "sequenceSize": F.lit(0),
     }

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The generator's defaults.
 PRODUCERS, MESSAGE_COUNT, MESSAGE_SIZE = 1, 1000, 1000
 
+ROWS_PER_PARTITION = 1_000_000
+# A spine is made in runs of this many ticks, so that no array grows with the range.
+TICKS_PER_RUN = 10_000
+
 
 def generate_messages(
     spark: SparkSession,
@@ -16,8 +22,12 @@ def generate_messages(
     size: int = MESSAGE_SIZE,
     ts: bool = False,
 ) -> DataFrame:
-    """``producers`` x ``count`` messages of ``size`` zero bytes, one partition per producer."""
-    rows = spark.range(0, producers * count, 1, producers).select(
+    """``producers`` x ``count`` messages of ``size`` zero bytes, made in parallel.
+
+    A producer gets a partition, or several when it sends many messages.
+    """
+    partitions = producers * max(1, -(-count // ROWS_PER_PARTITION))
+    rows = spark.range(0, producers * count, 1, partitions).select(
         F.floor(F.col("id") / count).alias("producer"),
         (F.col("id") % count).alias("sequence_number"),
         F.repeat(F.lit("\0"), size).cast("binary").alias("payload"),
@@ -44,8 +54,17 @@ def time_spine(spark: SparkSession, start, end, every: str, keys: DataFrame | No
     ``start`` and ``end`` are timestamps or text; the tick's text form is the payload.
     """
     bounds = spark.range(1) if keys is None else keys
-    ticks = F.sequence(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp"), F.expr(f"interval {every}"))
-    spine = bounds.select(*([] if keys is None else keys.columns), F.explode(ticks).alias("tick"))
+    names = [] if keys is None else keys.columns
+    first, last = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    step = F.expr(f"interval {every}")
+    if re.search("month|year|quarter", every, re.IGNORECASE):
+        # Few ticks, and months have no fixed length.
+        spine = bounds.select(*names, F.explode(F.sequence(first, last, step)).alias("tick"))
+    else:
+        run = F.expr(f"interval {every} * {TICKS_PER_RUN}")
+        runs = bounds.select(*names, F.explode(F.sequence(first, last, run)).alias("_mr_run"))
+        until = F.least(last, F.col("_mr_run") + F.expr(f"interval {every} * {TICKS_PER_RUN - 1}"))
+        spine = runs.select(*names, F.explode(F.sequence("_mr_run", until, step)).alias("tick"))
     return spine.withColumn("payload", F.date_format("tick", TICK_FORMAT))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The two line formats.
@@ -13,25 +13,20 @@ RFC5424 = r"^<(\d{1,3})>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^\]\
 def parse_syslog(df: DataFrame, column: str = "payload") -> DataFrame:
     """Add the fields of RFC 3164 and RFC 5424 lines; ``undecoded`` keeps any other line."""
     line = F.col(column)
-
-    def new(group: int):
-        return F.regexp_extract(line, RFC5424, group)
-
-    def old(group: int):
-        return F.regexp_extract(line, RFC3164, group)
+    # Each format is matched once: all its groups come out of one replacement, message last.
+    df = df.withColumn("_mr_new", F.when(line.rlike(RFC5424), _groups(line, RFC5424, 9)))
+    df = df.withColumn("_mr_old", F.when(F.col("_mr_new").isNull() & line.rlike(RFC3164), _groups(line, RFC3164, 6)))
+    new, old = F.col("_mr_new"), F.col("_mr_old")
 
     def given(value):
         return F.when(~value.isin("", "-"), value)
 
-    is_new = line.rlike(RFC5424)
-    is_old = line.rlike(RFC3164)
-
     def pick(n: int | None, o: int | None):
-        out = F.when(is_new, given(new(n))) if n else F.when(is_new, F.lit(None).cast("string"))
-        return out.when(is_old, given(old(o))) if o else out
+        parts = [given(F.get(groups, i - 1)) for groups, i in ((new, n), (old, o)) if i]
+        return F.coalesce(*parts)
 
     pri = pick(1, 1).cast("int")
-    return df.withColumns({
+    out = df.withColumns({
         "facility": F.floor(pri / 8).cast("int"),
         "severity": pri % 8,
         "version": pick(2, None).cast("int"),
@@ -41,6 +36,12 @@ def parse_syslog(df: DataFrame, column: str = "payload") -> DataFrame:
         "proc_id": pick(6, 5),
         "msg_id": pick(7, None),
         "structured_data": pick(8, None),
-        "message": F.when(is_new, new(9)).when(is_old, old(6)),
-        "undecoded": F.when(~(F.coalesce(is_new, F.lit(False)) | F.coalesce(is_old, F.lit(False))), line),
+        "message": F.coalesce(F.get(new, 8), F.get(old, 5)),
+        "undecoded": F.when(new.isNull() & old.isNull(), line),
     })
+    return out.drop("_mr_new", "_mr_old")
+
+
+def _groups(line: Column, pattern: str, count: int) -> Column:
+    joined = "\x1e".join(f"${i}" for i in range(1, count + 1))
+    return F.split(F.regexp_replace(line, pattern, joined), "\x1e", count)

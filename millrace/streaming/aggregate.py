@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -11,84 +12,84 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.messages import as_column
+from millrace.operators.split import PART_ROWS
 
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class GroupProcessor(StatefulProcessor):
-    """Collects the messages of one key and emits a list whenever a group closes.
+    """Collects the messages of one key and emits lists whenever a group closes.
 
-    A message has an order text, a flag saying whether it closes its group, and a
-    payload.  With ``size`` the group closes by count instead, with ``sequence`` when all
-    numbers 1..size of its own headers are there.
+    Open messages are appended to state and read back only when their group closes, so a
+    group that stays open for long costs no more per micro-batch than its new messages.
     """
 
-    def __init__(self, keys: list[str], size: int | None, sequence: bool, timeout_ms: int | None, send_partial: bool):
+    def __init__(self, keys: list[str], size: int | None, timeout_ms: int | None, send_partial: bool, part_rows: int):
         self.keys = keys
         self.size = size
-        self.sequence = sequence
         self.timeout_ms = timeout_ms
         self.send_partial = send_partial
+        self.part_rows = part_rows
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getListState("open", "seq bigint, item string")
-        self.released = handle.getValueState("released", "n bigint")
-
-    def _groups(self, pending: list, arrived: list) -> Iterator[list]:
-        """Yield closed groups; what is still open stays in ``pending``."""
-        for seq, item, closes, expected in arrived:
-            if self.sequence:
-                if all(seq != s for s, _ in pending):
-                    pending.append((seq, item))
-                done = len(pending) == expected
-            else:
-                pending.append((seq, item))
-                done = len(pending) == self.size if self.size else closes
-            if done:
-                yield sorted(pending) if self.sequence else list(pending)
-                pending.clear()
-
-    def _emit(self, key, groups: list[tuple[list, bool]]) -> pd.DataFrame:
-        first = self.released.get()[0] if self.released.exists() else 0
-        out = {k: [v] * len(groups) for k, v in zip(self.keys, key)}
-        out["group_no"] = [first + i for i in range(len(groups))]
-        out["size"] = [len(g) for g, _ in groups]
-        out["closed"] = [c for _, c in groups]
-        out["payloads"] = [[item for _, item in g] for g, _ in groups]
-        if groups:
-            self.released.update((first + len(groups),))
-        return pd.DataFrame(out)
+        self.counts = handle.getValueState("counts", "open bigint, released bigint")
+        self.open = handle.getListState("open", "item string")
+
+    def _arrived(self, rows) -> list:
+        """The micro-batch's messages of the key as (order, item, closes, …), in order."""
+        arrived = [r for pdf in rows for r in pdf[["ord", "item", "closes"]].itertuples(index=False, name=None)]
+        return sorted(arrived, key=lambda r: r[0])
+
+    def _items(self, fresh: list) -> Iterator[str]:
+        if self.open.exists():
+            for row in self.open.get():
+                yield row[0]
+        yield from fresh
+
+    def _parts(self, key, group_no: int, items, closed: bool) -> Iterator[pd.DataFrame]:
+        """One group as rows of at most ``part_rows`` messages."""
+        items = iter(items)
+        for part in itertools.count():
+            payloads = list(itertools.islice(items, self.part_rows))
+            if not payloads:
+                return
+            row = dict(zip(self.keys, key)) | {"group_no": group_no, "part": part, "size": len(payloads), "closed": closed, "payloads": payloads}
+            yield pd.DataFrame({name: [value] for name, value in row.items()})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [
-            (r.seq, r.item, r.closes, r.expected, r.ord)
-            for pdf in rows for r in pdf[["seq", "item", "closes", "expected", "ord"]].itertuples(index=False)
-        ]
-        arrived.sort(key=lambda r: r[4])
-        pending = [tuple(r) for r in self.open.get()] if self.open.exists() else []
-        groups = [(g, True) for g in self._groups(pending, [r[:4] for r in arrived])]
-        if pending:
-            self.open.put(pending)
-        else:
-            self.open.clear()
-        if self.timeout_ms is not None:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            if pending:
-                self.handle.registerTimer(self._now(timerValues) + self.timeout_ms)
-        if groups:
-            yield self._emit(key, groups)
+        count, released = self.counts.get() if self.counts.exists() else (0, 0)
+        fresh: list = []
+        for _, item, closes in self._arrived(rows):
+            fresh.append(item)
+            count += 1
+            if count == self.size if self.size else closes:
+                yield from self._parts(key, released, self._items(fresh), True)
+                self.open.clear()
+                fresh, count, released = [], 0, released + 1
+        if fresh:
+            self.open.appendList([(item,) for item in fresh])
+        self.counts.update((count, released))
+        self._restart_timer(count, timerValues)
+
+    def _restart_timer(self, count: int, timerValues) -> None:
+        if self.timeout_ms is None:
+            return
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if count:
+            self.handle.registerTimer(self._now(timerValues) + self.timeout_ms)
 
     def _now(self, timerValues) -> int:
         return timerValues.getCurrentProcessingTimeInMs()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        pending = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        count, released = self.counts.get() if self.counts.exists() else (0, 0)
+        if count and self.send_partial:
+            yield from self._parts(key, released, self._items([]), False)
+            released += 1
         self.open.clear()
-        if pending and self.send_partial:
-            group = sorted(pending) if self.sequence else pending
-            yield self._emit(key, [(group, False)])
+        self.counts.update((0, released))
 
     def close(self) -> None:
         pass
@@ -101,14 +102,43 @@ class EventTimeGroupProcessor(GroupProcessor):
         return max(timerValues.getCurrentWatermarkInMs(), 0)
 
 
+class SequenceProcessor(GroupProcessor):
+    """Collects numbered messages; the group closes when 1..size are all there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getValueState("counts", "open bigint, released bigint")
+        self.open = handle.getMapState("open", "seq bigint", "item string")
+
+    def _arrived(self, rows) -> list:
+        return [r for pdf in rows for r in pdf[["seq", "item", "expected"]].itertuples(index=False, name=None)]
+
+    def _items(self, fresh) -> Iterator[str]:
+        yield from (item for _, item in sorted((k[0], v[0]) for k, v in self.open.iterator()))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        count, released = self.counts.get() if self.counts.exists() else (0, 0)
+        for seq, item, expected in self._arrived(rows):
+            if self.open.containsKey((seq,)):
+                continue
+            self.open.updateValue((seq,), (item,))
+            count += 1
+            if count == expected:
+                yield from self._parts(key, released, self._items(None), True)
+                self.open.clear()
+                count, released = 0, released + 1
+        self.counts.update((count, released))
+        self._restart_timer(count, timerValues)
+
+
+OUTPUT = "group_no bigint, part int, size int, closed boolean, payloads array<string>"
+
+
 def _group_stream(df, keys, columns, processor, time_mode) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
         raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {STATE_PROVIDER}")
-    schema = T.StructType(
-        [df.schema[k] for k in keys]
-        + T.StructType.fromDDL("group_no bigint, size int, closed boolean, payloads array<string>").fields
-    )
+    schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(OUTPUT).fields)
     return (
         df.select(*columns).groupBy(*keys)
         .transformWithStateInPandas(processor, schema, outputMode="append", timeMode=time_mode)
@@ -146,6 +176,7 @@ def aggregate_stream(
     timeout_ms: int | None = None,
     send_partial: bool = False,
     event_time: bool = False,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """A1, A2, A4 on a stream: the counterpart of the batch ``aggregate``.
 
@@ -163,14 +194,12 @@ def aggregate_stream(
     names = [order] if isinstance(order, str) else list(order or [])
     columns = [
         *keys,
-        F.lit(0).cast("long").alias("seq"),
         as_column(payload).cast("string").alias("item"),
         F.coalesce(as_column(release_expr) if release_expr is not None else F.lit(False), F.lit(False)).alias("closes"),
-        F.lit(0).cast("long").alias("expected"),
         _sortable([order_text(df, n) for n in names]).alias("ord"),
     ]
     kind = EventTimeGroupProcessor if event_time else GroupProcessor
-    processor = kind(keys, release_size, False, timeout_ms, send_partial)
+    processor = kind(keys, release_size, timeout_ms, send_partial, part_rows)
     mode = "none" if timeout_ms is None else ("eventTime" if event_time else "processingTime")
     if event_time:
         columns.append(_watermark_column(df))
@@ -185,15 +214,16 @@ def reassemble_stream(
     payload: str = "payload",
     timeout_ms: int | None = None,
     send_partial: bool = False,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """A3 on a stream: a group is emitted when all its sequence numbers have arrived."""
     columns = [
         correlation, F.col(seq).cast("long").alias("seq"), F.col(payload).cast("string").alias("item"),
-        F.lit(False).alias("closes"), F.col(size).cast("long").alias("expected"),
-        order_text(df, seq).alias("ord"),
+        F.col(size).cast("long").alias("expected"),
     ]
-    processor = GroupProcessor([correlation], None, True, timeout_ms, send_partial)
-    return _group_stream(df, [correlation], columns, processor, "none" if timeout_ms is None else "processingTime")
+    processor = SequenceProcessor([correlation], None, timeout_ms, send_partial, part_rows)
+    numbered = df.filter(F.col(seq).between(F.lit(1), F.col(size)))
+    return _group_stream(numbered, [correlation], columns, processor, "none" if timeout_ms is None else "processingTime")
 
 
 def _watermark_column(df: DataFrame) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions.expressions import load_variables
 from millrace.messages import decode_json, decode_text, normalise_content_type, to_messages
 from millrace.operators.basic import bridge, filter_messages, to_request_json, transform_payload
-from millrace.operators.headers import enrich_headers, filter_headers, name_pattern
+from millrace.operators.headers import enrich_headers, filter_headers
 from millrace.plans.compose import channel_name, compose, compose_named, definition_names
 
 
@@ -68,7 +68,7 @@ def test_filter_headers(spark):
     assert set(filter_headers(df, "pf-* foo").first().headers) == {"bar", "foo-bar"}
     row = filter_headers(df, delete_all=True).first()
     assert row.headers == {} and row.content_type == "text/plain"
-    assert name_pattern("") == "^$"
+    assert len(filter_headers(df, "").first().headers) == 4
 
 
 def test_request_json(spark):

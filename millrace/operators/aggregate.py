@@ -42,7 +42,7 @@ def aggregate(
         if release_size < 1:
             raise ValueError("release_size must be positive")
         rows = number_rows(df.withColumn("_mr_item", item), keys, order, "rn", hot_rows)
-        rows = rows.withColumn("group_no", F.floor((F.col("rn") - 1) / release_size))
+        rows = rows.withColumn("group_no", F.expr(f"(rn - 1) div {release_size}"))
         rows = rows.withColumn("_mr_seq", (F.col("rn") - 1) % release_size + 1)
         grouped = _collect(rows, keys, part_rows, F.lit(None).cast("boolean"))
         if release_size <= part_rows:
@@ -63,7 +63,7 @@ def aggregate(
 
 def _collect(rows: DataFrame, keys: list[str], part_rows: int, closed: Column) -> DataFrame:
     rows = rows.select(
-        *keys, "group_no", F.floor((F.col("_mr_seq") - 1) / part_rows).alias("part"), closed.alias("closed"),
+        *keys, "group_no", F.expr(f"(_mr_seq - 1) div {part_rows}").alias("part"), closed.alias("closed"),
         F.struct("_mr_seq", "_mr_item").alias("_mr_pair"),
     )
     return (

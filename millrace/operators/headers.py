@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.expressions import with_variables
-from millrace.messages import HEADERS_TYPE, header_map
+from millrace.messages import HEADERS_TYPE, as_column, header_map
 
 
 def parse_assignments(text: str) -> dict[str, str]:
@@ -32,15 +32,24 @@ def enrich_headers(
     wanted = parse_assignments(headers) if isinstance(headers, str) else dict(headers)
 
     def add(d: DataFrame) -> DataFrame:
+        # Columns of their own, so that each expression runs once per message.
+        values = {f"_mr_h{i}": as_column(v).cast("string") for i, v in enumerate(wanted.values())}
+        d = d.withColumns(values)
         old = F.coalesce(F.col("headers"), header_map({}))
-        # A column of its own, so that the expressions run once per message and not once per old header.
-        d = d.withColumn("_mr_new", F.map_filter(header_map(wanted), lambda _, v: v.isNotNull()))
-        new = F.col("_mr_new")
+        named = list(zip(wanted, values))
         if overwrite:
-            old = F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k))
+            replaced = F.array_compact(F.array(*[F.when(F.col(c).isNotNull(), F.lit(n)) for n, c in named]))
+            kept = F.map_filter(old, lambda k, _: ~F.array_contains(replaced, k))
+            new = [F.when(F.col(c).isNotNull(), F.create_map(F.lit(n), F.col(c))) for n, c in named]
         else:
-            new = F.map_filter(new, lambda k, _: ~F.map_contains_key(old, k))
-        return d.withColumn("headers", F.map_concat(old, new).cast(HEADERS_TYPE)).drop("_mr_new")
+            # No lambda here: conditional one-entry maps stay inside generated code.
+            kept = old
+            new = [
+                F.when(F.col(c).isNotNull() & ~F.map_contains_key(old, n), F.create_map(F.lit(n), F.col(c)))
+                for n, c in named
+            ]
+        added = [F.coalesce(m, header_map({})) for m in new]
+        return d.withColumn("headers", F.map_concat(kept, *added).cast(HEADERS_TYPE)).drop(*values)
 
     return with_variables(df, variables, add)
 

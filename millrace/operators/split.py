@@ -34,9 +34,13 @@ def split_messages(
     kind = df.select(pieces.alias("p")).schema["p"].dataType.typeName()
     if kind == "map":
         pieces = F.map_entries(pieces)
+    # The size is taken before the explode, or every piece would carry the whole array along; and the
+    # outer form keeps Spark from splitting the text again for a filter on empty arrays.
     return (
         df.withColumn("_mr_pieces", pieces)
-        .select(*rest, F.size("_mr_pieces").alias("sequence_size"), F.posexplode("_mr_pieces").alias("_mr_pos", "payload"))
+        .withColumn("sequence_size", F.coalesce(F.size("_mr_pieces"), F.lit(0)))
+        .select(*rest, "sequence_size", F.posexplode_outer("_mr_pieces").alias("_mr_pos", "payload"))
+        .filter(F.col("_mr_pos").isNotNull())
         .select(*rest, "payload", (F.col("_mr_pos") + 1).alias("sequence_number"), "sequence_size")
     )
 
@@ -48,40 +52,39 @@ def reassemble(
     size: str = "sequence_size",
     payload: str = "payload",
     part_rows: int = PART_ROWS,
+    unique: bool = False,
 ) -> DataFrame:
     """A3: the payloads of each complete group, by sequence number.
 
     A group is complete when every number 1..size has arrived; a number that arrived
     more than once counts once (smallest payload).  Groups of more than ``part_rows``
     members come out as several rows (``part`` 0, 1, …), so no task holds a whole giant group.
+
+    ``unique`` promises that no number arrives twice, as straight after
+    :func:`split_messages`; it saves the pass that guards against repeats.
     """
     rows = df.select(
         F.col(correlation).alias("correlation"), F.col(seq).cast("long").alias("seq"),
         F.col(size).cast("long").alias("size"), F.col(payload).alias("payload"),
-    ).filter("seq between 1 and size")
-    rows = rows.withColumn("part", F.floor((F.col("seq") - 1) / part_rows))
-    shape = (
-        rows.groupBy("correlation", "part").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
-        .agg(F.max("n").alias("n"), F.max("size").alias("size")).first()
-    )
-    if (shape.n or 0) > part_rows:
-        # Only repeats can overfill a part; fold them before anything is collected.
-        rows = rows.groupBy("correlation", "part", "seq").agg(F.max("size").alias("size"), F.min("payload").alias("payload"))
+    ).filter("seq between 1 and size and correlation is not null")
+    rows = rows.withColumn("part", F.expr(f"(seq - 1) div {part_rows}"))
+    if not unique:
+        fullest = rows.groupBy("correlation", "part").count().agg(F.max("count").alias("n")).first().n
+        if (fullest or 0) > part_rows:
+            # Only repeats can overfill a part; fold them before anything is collected.
+            rows = rows.groupBy("correlation", "part", "seq").agg(F.max("size").alias("size"), F.min("payload").alias("payload"))
     parts = rows.groupBy("correlation", "part").agg(
         F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("seq", "payload"))).alias("items")
     )
     items = F.col("items")
-    parts = parts.withColumn(
-        "items", F.filter(items, lambda x, i: (i == 0) | (x["seq"] != F.get(items, i - 1)["seq"]))
-    ).withColumn("n", F.size("items").cast("long"))
-    if (shape.size or 0) > part_rows:
-        whole = (
-            parts.groupBy("correlation").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
-            .filter("n = size").select("correlation", F.col("size").alias("whole"))
-        )
-        parts = parts.join(whole, "correlation").withColumn("size", F.col("whole"))
-    else:
-        parts = parts.filter("n = size")
-    return parts.select(
-        "correlation", "part", "size", F.transform("items", lambda x: x["payload"]).alias("payloads")
+    if not unique:
+        items = F.filter(items, lambda x, i: (i == 0) | (x["seq"] != F.get(F.col("items"), i - 1)["seq"]))
+    parts = parts.select(
+        "correlation", "part", "size", F.size(items).cast("long").alias("n"), F.transform(items, lambda x: x["payload"]).alias("payloads")
     )
+    single = parts.filter((F.col("size") <= part_rows) & (F.col("n") == F.col("size")))
+    # Both branches read the same shuffle, which Spark runs once.
+    large = parts.filter(F.col("size") > part_rows)
+    whole = large.groupBy("correlation").agg(F.sum("n").alias("n"), F.max("size").alias("size")).filter("n = size")
+    several = large.drop("size", "n").join(whole.select("correlation", "size"), "correlation")
+    return single.drop("n").unionByName(several).select("correlation", "part", "size", "payloads")

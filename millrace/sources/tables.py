@@ -40,13 +40,17 @@ def poll_chunks(df: DataFrame, order, max_rows: int, out: str = "poll", hot_rows
 
     Positions come from range partitions and their counts, not from one sorted partition.
     """
+    return _chunked(df, order, max_rows, out, hot_rows).drop("_mr_rn")
+
+
+def _chunked(df: DataFrame, order, max_rows: int, out: str, hot_rows: int) -> DataFrame:
     numbered = number_rows(df, [], order_columns(order), "_mr_rn", hot_rows)
-    return numbered.withColumn(out, F.floor((F.col("_mr_rn") - 1) / max_rows) + 1)
+    return numbered.withColumn(out, F.expr(f"(_mr_rn - 1) div {max_rows} + 1"))
 
 
 def row_lists(df: DataFrame, order, max_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """S3 with ``split=False``: one message per poll holding the list of its rows."""
-    chunks = poll_chunks(df, order, max_rows, hot_rows=hot_rows)
+    chunks = _chunked(df, order, max_rows, "poll", hot_rows)
     item = F.struct("_mr_rn", F.struct(*df.columns).alias("row"))
     return (
         chunks.groupBy("poll")

@@ -79,7 +79,7 @@ def throughput(df: DataFrame, ts: str, every: str, payload: str = "payload", run
 
     Bytes are counted when the payload is binary or text.  ``running=False`` leaves out
     the totals since the start, as needed on a stream.  The totals run over
-    the aggregated intervals, one row each, not over the messages.
+    the aggregated intervals, first within each day and then over the days.
     """
     kind = df.schema[payload].dataType
     size = F.octet_length(payload) if isinstance(kind, (T.BinaryType, T.StringType)) else F.lit(None)
@@ -94,16 +94,26 @@ def throughput(df: DataFrame, ts: str, every: str, payload: str = "payload", run
     )
     if not running:
         return out
-    so_far = Window.partitionBy("_mr_run").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
-    first = F.min("start").over(so_far)
-    elapsed = F.unix_micros(F.col("end").cast("timestamp")) / 1e6 - F.unix_micros(first.cast("timestamp")) / 1e6
+    out = out.withColumn("_mr_day", F.to_date("start"))
+    # One row per day, so this window without partitions stays small.
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_mr_day").rowsBetween(Window.unboundedPreceding, -1)
+    days = (
+        out.groupBy("_mr_day").agg(F.sum("messages").alias("m"), F.sum("bytes").alias("b"), F.min("start").alias("s"))
+        .select(
+            "_mr_day", F.coalesce(F.sum("m").over(earlier), F.lit(0)).alias("_mr_m"),
+            F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("_mr_b"),
+            F.coalesce(F.min("s").over(earlier), F.col("s")).alias("_mr_first"),
+        )
+    )
+    so_far = Window.partitionBy("_mr_day").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    elapsed = F.unix_micros(F.col("end").cast("timestamp")) / 1e6 - F.unix_micros(F.col("_mr_first").cast("timestamp")) / 1e6
     return (
-        out.withColumn("_mr_run", F.lit(0))
-        .withColumn("total_messages", F.sum("messages").over(so_far))
-        .withColumn("total_bytes", F.sum("bytes").over(so_far))
+        out.join(days, "_mr_day")
+        .withColumn("total_messages", F.col("_mr_m") + F.sum("messages").over(so_far))
+        .withColumn("total_bytes", F.col("_mr_b") + F.sum("bytes").over(so_far))
         .withColumn("total_messages_per_s", F.col("total_messages") / elapsed)
         .withColumn("total_mb_per_s", F.col("total_bytes") / F.lit(MEBIBYTE) / elapsed)
-        .drop("_mr_run")
+        .drop("_mr_day", "_mr_m", "_mr_b", "_mr_first")
     )
 
 

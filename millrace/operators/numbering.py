@@ -91,7 +91,8 @@ def _by_heat(df: DataFrame, keys: list[str], hot_rows: int):
         return df, None, 0
     limit = max(hot_rows, math.ceil(sizes.total / MAX_HOT_KEYS))
     # At most total / limit <= MAX_HOT_KEYS keys can exceed the limit: safe to broadcast.
-    hot_keys = counts.filter(F.col("_mr_n") > limit).select(F.struct(*keys).alias(_GID))
+    # Stored, because both halves ask for it.
+    hot_keys = stage(counts.filter(F.col("_mr_n") > limit).select(F.struct(*keys).alias(_GID)), "hot-keys")
     tagged = df.withColumn(_GID, F.struct(*keys))
     cold = tagged.join(F.broadcast(hot_keys), _GID, "left_anti").drop(_GID)
     hot = tagged.join(F.broadcast(hot_keys), _GID, "left_semi").drop(_GID)

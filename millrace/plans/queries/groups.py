@@ -22,6 +22,13 @@ WHERE group_no < closers GROUP BY 1, 2
 """
 
 
+PARTIAL_SQL = """
+SELECT user_id, ((rn - 1) // 7)::BIGINT AS group_no, count(*)::INT AS size, count(*) = 7 AS closed, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
+GROUP BY 1, 2
+"""
+
+
 @query("""
 SELECT doc_id, i AS sequence_number, len(parts)::INT AS sequence_size, parts[i] AS payload
 FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1))::INT AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))
@@ -81,11 +88,7 @@ def aggregate_by_content(spark, sf_dir):
     return out.select("user_id", "group_no", _listed(out))
 
 
-@query("""
-SELECT user_id, ((rn - 1) // 7)::BIGINT AS group_no, count(*)::INT AS size, count(*) = 7 AS closed, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
-FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events)
-GROUP BY 1, 2
-""")
+@query(PARTIAL_SQL)
 def aggregate_with_partial_groups(spark, sf_dir):
     """A4: the incomplete group at the end of each key as well"""
     out = aggregate(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_size=7, payload="event_id", send_partial=True)

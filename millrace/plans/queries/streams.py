@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 from millrace.operators.meters import counter, throughput
 from millrace.operators.posts import dedup_recent
 from millrace.operators.split import split_messages
-from millrace.plans.queries.groups import CONTENT_SQL, COUNT_SQL
+from millrace.plans.queries.groups import CONTENT_SQL, COUNT_SQL, PARTIAL_SQL
 from millrace.plans.queries.registry import query, table
 from millrace.session import scratch_path
-from millrace.streaming.aggregate import aggregate_stream, reassemble_stream
+from millrace.streaming.aggregate import aggregate_stream, open_groups, reassemble_stream
 from millrace.streaming.runs import run_available, run_batches, use_rocksdb
 
 
@@ -39,6 +39,17 @@ def stream_aggregate_by_content(spark, sf_dir):
     return _result(spark, groups).select("user_id", "group_no", F.array_join("payloads", ",").alias("payloads"))
 
 
+@query(PARTIAL_SQL)
+def stream_partial_groups(spark, sf_dir):
+    """A4: released groups, and those still open when the stream stopped"""
+    use_rocksdb(spark)
+    groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_size=7, payload="event_id")
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    run_available(groups, out, checkpoint)
+    every = spark.read.schema(groups.schema).parquet(out).unionByName(open_groups(spark, checkpoint))
+    return every.select("user_id", "group_no", "size", "closed", F.array_join("payloads", ",").alias("payloads"))
+
+
 @query("SELECT doc_id, text FROM documents")
 def stream_reassemble_documents(spark, sf_dir):
     """A3 after P6"""

@@ -79,11 +79,16 @@ def write_table(
     writer.mode("overwrite" if initialize else "append").save()
 
 
+# Fixed value: the default batch of a bulk load.
+BULK_BATCH = 10_000
+
+
 def write_bulk(good: DataFrame, errors: DataFrame | None, table: str, error_table: str | None = None, error_schema=None, **target) -> None:
     """K4, K5: load the good rows and keep the bad ones; without an error table they are left out.
 
     The error table is checked before anything is written.
     """
+    target.setdefault("batch_size", BULK_BATCH)
     if error_table is not None and errors is not None:
         check_error_table(error_schema if error_schema is not None else errors.schema)
     write_table(good, table, **target)

@@ -62,9 +62,8 @@ def row_lists(df: DataFrame, order, max_rows: int, hot_rows: int = HOT_ROWS) ->
 class TablePoller:
     """Each poll returns the next rows by key, and remembers them when committed.
 
-    The position (the highest key consumed) is kept as small files below ``state_path``,
-    one per commit, so that a restarted program goes on where the last commit ended.
-    A poll that was not committed is read again.
+    The position (the highest key consumed) is kept below ``state_path``, so that a restarted
+    program goes on where the last commit ended.  A poll that was not committed is read again.
     """
 
     def __init__(self, spark: SparkSession, state_path: str, key: str | Sequence[str], max_rows: int):
@@ -73,15 +72,22 @@ class TablePoller:
         self.key = [key] if isinstance(key, str) else list(key)
         self.max_rows = max_rows
 
-    def _commits(self) -> DataFrame | None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.state_path)
-        files = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return self.spark.read.parquet(self.state_path) if files.exists(path) else None
+    def _path(self, *below: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path("/".join([self.state_path, *below]))
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _commits(self) -> list[int]:
+        """The numbers of the finished commits still kept, oldest first."""
+        path, files = self._path()
+        if not files.exists(path):
+            return []
+        numbers = [int(s.getPath().getName()) for s in files.listStatus(path) if s.isDirectory()]
+        return sorted(n for n in numbers if files.exists(self._path(str(n), "_SUCCESS")[0]))
 
     def mark(self):
-        """The struct of key values last committed, or None."""
+        """The key values last committed as a row, or None."""
         commits = self._commits()
-        return None if commits is None else commits.agg(F.max(F.struct(*self.key)).alias("m")).first().m
+        return self.spark.read.parquet(f"{self.state_path}/{commits[-1]}").first() if commits else None
 
     def poll(self, df: DataFrame) -> DataFrame:
         """The next ``max_rows`` rows after the mark, in key order."""
@@ -97,7 +103,14 @@ class TablePoller:
     def commit(self, rows: DataFrame) -> None:
         """Remember the highest key of the rows; call it after they were stored."""
         top = rows.agg(F.max(F.struct(*self.key)).alias("m")).filter("m is not null").select("m.*")
-        top.coalesce(1).write.mode("append").parquet(self.state_path)
+        if top.isEmpty():
+            return
+        commits = self._commits()
+        number = commits[-1] + 1 if commits else 0
+        top.write.mode("overwrite").parquet(f"{self.state_path}/{number}")
+        for old in commits[:-1]:
+            path, files = self._path(str(old))
+            files.delete(path, True)
 
 
 def unconsumed(df: DataFrame, consumed: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ import itertools
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -34,7 +34,7 @@ class GroupProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.counts = handle.getValueState("counts", "open bigint, released bigint")
-        self.open = handle.getListState("open", "item string")
+        self.open = handle.getListState("open", "pos bigint, item string")
 
     def _arrived(self, rows) -> list:
         """The micro-batch's messages of the key as (order, item, closes, …), in order."""
@@ -44,8 +44,8 @@ class GroupProcessor(StatefulProcessor):
     def _items(self, fresh: list) -> Iterator[str]:
         if self.open.exists():
             for row in self.open.get():
-                yield row[0]
-        yield from fresh
+                yield row[1]
+        yield from (item for _, item in fresh)
 
     def _parts(self, key, group_no: int, items, closed: bool) -> Iterator[pd.DataFrame]:
         """One group as rows of at most ``part_rows`` messages."""
@@ -61,14 +61,14 @@ class GroupProcessor(StatefulProcessor):
         count, released = self.counts.get() if self.counts.exists() else (0, 0)
         fresh: list = []
         for _, item, closes in self._arrived(rows):
-            fresh.append(item)
             count += 1
+            fresh.append((count, item))
             if count == self.size if self.size else closes:
                 yield from self._parts(key, released, self._items(fresh), True)
                 self.open.clear()
                 fresh, count, released = [], 0, released + 1
         if fresh:
-            self.open.appendList([(item,) for item in fresh])
+            self.open.appendList(fresh)
         self.counts.update((count, released))
         self._restart_timer(count, timerValues)
 
@@ -226,6 +226,30 @@ def reassemble_stream(
     return _group_stream(numbered, [correlation], columns, processor, "none" if timeout_ms is None else "processingTime")
 
 
+def open_groups(spark: SparkSession, checkpoint: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """A4 at shutdown: the groups that a stopped stream still holds open, read from its checkpoint.
+
+    The same columns as the stream's own output, ``closed`` being false.
+    """
+    def state(name):
+        return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
+
+    held = state("open")
+    if "list_element" in held.columns:
+        held = held.select("key", F.col("list_element.pos").alias("pos"), F.col("list_element.item").alias("item"))
+    else:
+        held = held.select("key", F.col("user_map_key.seq").alias("pos"), F.col("user_map_value.item").alias("item"))
+    parts = (
+        held.groupBy("key", F.expr(f"cast((pos - 1) div {part_rows} as int)").alias("part"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "item"))).alias("items"))
+    )
+    numbers = state("counts").select("key", F.col("value.released").alias("group_no"))
+    return parts.join(numbers, "key").select(
+        "key.*", "group_no", "part", F.size("items").alias("size"), F.lit(False).alias("closed"),
+        F.transform("items", lambda x: x["item"]).alias("payloads"),
+    )
+
+
 def _watermark_column(df: DataFrame) -> str:
     for field in df.schema.fields:
         if "spark.watermarkDelayMs" in field.metadata:

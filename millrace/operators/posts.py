@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +33,23 @@ def dedup_recent(df: DataFrame, id: str, ts: str, horizon: str = "30 days", now:
     return out.orderBy(F.col(ts).desc(), F.col(id).desc()) if ordered else out
 
 
+# The characters of a word.
+WORD = r"\p{L}\p{N}_#@"
+# Up to this many keywords are looked for by one pattern, more by a set of the text's words.
+MAX_PATTERN_WORDS = 100
+
+
 def words(text: str | Column) -> Column:
     """Lower-case words of a text."""
-    return F.split(F.lower(text), r"[^\p{L}\p{N}_#@]+")
+    return F.split(F.lower(text), f"[^{WORD}]+")
+
+
+def has_word(text: str | Column, any_of: Sequence[str]) -> Column:
+    """Does any of the words occur in the text, as a whole word and in any case?"""
+    if len(any_of) > MAX_PATTERN_WORDS:
+        return F.arrays_overlap(words(text), F.lit([w.lower() for w in any_of]))
+    choices = "|".join(re.escape(w.lower()) for w in any_of)
+    return F.lower(text).rlike(f"(?<![{WORD}])({choices})(?![{WORD}])")
 
 
 def filter_any(
@@ -50,23 +67,17 @@ def filter_any(
     A keyword of several words matches when all of them occur.
     """
     tests = []
-    singles = [t.lower() for t in track if len(t.split()) == 1]
+    singles = [t for t in track if len(t.split()) == 1]
     if singles:
-        tests.append(F.arrays_overlap(F.col("_mr_words"), F.lit(singles)))
+        tests.append(has_word(text, singles))
     for phrase in (t for t in track if len(t.split()) > 1):
-        wanted = phrase.lower().split()
-        tests.append(F.size(F.array_intersect(F.lit(wanted), F.col("_mr_words"))) == len(set(wanted)))
+        tests.append(reduce(and_, [has_word(text, [w]) for w in phrase.split()]))
     if follow:
         tests.append(F.col(user).isin(list(follow)))
     tests += [in_box(F.col(lat), F.col(lon), b) for b in boxes]
     if not tests:
         return df
-    any_test = F.coalesce(tests[0], F.lit(False))
-    for t in tests[1:]:
-        any_test = any_test | F.coalesce(t, F.lit(False))
-    if not track:
-        return df.filter(any_test)
-    return df.withColumn("_mr_words", words(F.col(text))).filter(any_test).drop("_mr_words")
+    return df.filter(reduce(or_, [F.coalesce(t, F.lit(False)) for t in tests]))
 
 
 def stable_sample(df: DataFrame, id: str | Sequence[str], percent: float) -> DataFrame:

@@ -48,6 +48,12 @@ def generate_stream(spark: SparkSession, rows_per_batch: int, size: int = MESSAG
 TICK_FORMAT = "MM/dd/yy HH:mm:ss"
 
 
+def tick_stream(spark: SparkSession, per_second: int = 1, pattern: str = TICK_FORMAT) -> DataFrame:
+    """S8b live: the current time as text, some times a second."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    return ticks.select(F.col("timestamp").alias("tick"), F.date_format("timestamp", pattern).alias("payload"))
+
+
 def time_spine(spark: SparkSession, start, end, every: str, keys: DataFrame | None = None) -> DataFrame:
     """One row per interval from ``start`` up to and including ``end``, per row of ``keys``.
 

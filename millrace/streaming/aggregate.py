@@ -41,52 +41,77 @@ class GroupProcessor(StatefulProcessor):
         arrived = [r for pdf in rows for r in pdf[["ord", "item", "closes"]].itertuples(index=False, name=None)]
         return sorted(arrived, key=lambda r: r[0])
 
-    def _items(self, fresh: list) -> Iterator[str]:
-        if self.open.exists():
+    def _state(self) -> tuple[int, int]:
+        """How many messages are open, and how many groups were released."""
+        return self.counts.get() or (0, 0)
+
+    def _items(self, count: int, fresh: list) -> Iterator[str]:
+        """The messages of the open group, those in state first."""
+        if count > len(fresh):
             for row in self.open.get():
                 yield row[1]
         yield from (item for _, item in fresh)
 
-    def _parts(self, key, group_no: int, items, closed: bool) -> Iterator[pd.DataFrame]:
+    def _rows(self, group_no: int, items, closed: bool) -> Iterator[tuple]:
         """One group as rows of at most ``part_rows`` messages."""
         items = iter(items)
         for part in itertools.count():
             payloads = list(itertools.islice(items, self.part_rows))
             if not payloads:
                 return
-            row = dict(zip(self.keys, key)) | {"group_no": group_no, "part": part, "size": len(payloads), "closed": closed, "payloads": payloads}
-            yield pd.DataFrame({name: [value] for name, value in row.items()})
+            yield group_no, part, len(payloads), closed, payloads
+
+    def _frames(self, key, rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        """Rows gathered into frames; each holds about ``part_rows`` messages."""
+        held, messages = [], 0
+        for row in rows:
+            held.append(row)
+            messages += row[2]
+            if messages >= self.part_rows:
+                yield self._frame(key, held)
+                held, messages = [], 0
+        if held:
+            yield self._frame(key, held)
+
+    def _frame(self, key, rows: list[tuple]) -> pd.DataFrame:
+        names = ["group_no", "part", "size", "closed", "payloads"]
+        columns = {name: [value] * len(rows) for name, value in zip(self.keys, key)}
+        return pd.DataFrame(columns | dict(zip(names, map(list, zip(*rows)))))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, released = self.counts.get() if self.counts.exists() else (0, 0)
+        yield from self._frames(key, self._take(self._arrived(rows)))
+        self._restart_timer(timerValues)
+
+    def _take(self, arrived: list) -> Iterator[tuple]:
+        count, released = self._state()
         fresh: list = []
-        for _, item, closes in self._arrived(rows):
+        for _, item, closes in arrived:
             count += 1
             fresh.append((count, item))
             if count == self.size if self.size else closes:
-                yield from self._parts(key, released, self._items(fresh), True)
-                self.open.clear()
+                yield from self._rows(released, self._items(count, fresh), True)
+                if count > len(fresh):
+                    self.open.clear()
                 fresh, count, released = [], 0, released + 1
         if fresh:
             self.open.appendList(fresh)
         self.counts.update((count, released))
-        self._restart_timer(count, timerValues)
 
-    def _restart_timer(self, count: int, timerValues) -> None:
+    def _restart_timer(self, timerValues) -> None:
         if self.timeout_ms is None:
             return
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        if count:
+        if self._state()[0]:
             self.handle.registerTimer(self._now(timerValues) + self.timeout_ms)
 
     def _now(self, timerValues) -> int:
         return timerValues.getCurrentProcessingTimeInMs()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        count, released = self.counts.get() if self.counts.exists() else (0, 0)
+        count, released = self._state()
         if count and self.send_partial:
-            yield from self._parts(key, released, self._items([]), False)
+            yield from self._frames(key, self._rows(released, self._items(count, []), False))
             released += 1
         self.open.clear()
         self.counts.update((0, released))
@@ -113,22 +138,29 @@ class SequenceProcessor(GroupProcessor):
     def _arrived(self, rows) -> list:
         return [r for pdf in rows for r in pdf[["seq", "item", "expected"]].itertuples(index=False, name=None)]
 
-    def _items(self, fresh) -> Iterator[str]:
-        yield from (item for _, item in sorted((k[0], v[0]) for k, v in self.open.iterator()))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        count, released = self.counts.get() if self.counts.exists() else (0, 0)
-        for seq, item, expected in self._arrived(rows):
-            if self.open.containsKey((seq,)):
+    def _items(self, count, fresh) -> Iterator[str]:
+        held = dict(fresh)
+        if count > len(held):
+            held |= {k[0]: v[0] for k, v in self.open.iterator()}
+        yield from (held[seq] for seq in sorted(held))
+
+    def _take(self, arrived: list) -> Iterator[tuple]:
+        count, released = self._state()
+        fresh: dict = {}
+        stored = count > 0
+        for seq, item, expected in arrived:
+            if seq in fresh or (stored and self.open.containsKey((seq,))):
                 continue
-            self.open.updateValue((seq,), (item,))
+            fresh[seq] = item
             count += 1
             if count == expected:
-                yield from self._parts(key, released, self._items(None), True)
-                self.open.clear()
-                count, released = 0, released + 1
+                yield from self._rows(released, self._items(count, fresh), True)
+                if stored:
+                    self.open.clear()
+                fresh, stored, count, released = {}, False, 0, released + 1
+        for seq, item in fresh.items():
+            self.open.updateValue((seq,), (item,))
         self.counts.update((count, released))
-        self._restart_timer(count, timerValues)
 
 
 OUTPUT = "group_no bigint, part int, size int, closed boolean, payloads array<string>"

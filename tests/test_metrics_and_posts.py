@@ -111,6 +111,7 @@ def test_filter_any(spark):
     assert ids(boxes=[(170.0, 30.0, -170.0, 50.0)]) == [3]
     assert ids(track=["now"], follow=["u4"], boxes=[(170.0, 30.0, -170.0, 50.0)]) == [1, 3, 4]
     assert len(ids()) == 5
+    assert ids(track=["data", *(f"absent{i}" for i in range(200))]) == [1, 5]
 
 
 def test_sample_is_the_same_for_every_reader(spark):

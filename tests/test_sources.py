@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.messages import to_messages
 from millrace.sources.changes import read_changes, row_json, unwrap_changes
 from millrace.sources.files import number_lines, read_files, stream_files
-from millrace.sources.generate import generate_messages, time_spine, zero_fill
+from millrace.sources.generate import generate_messages, generate_stream, tick_stream, time_spine, zero_fill
 from millrace.sources.syslog import parse_syslog
 from millrace.sources.tables import TablePoller, poll_chunks, read_table, row_lists, unconsumed
 from millrace.sources.topics import TOPIC_SCHEMA, topic_messages, topic_options
@@ -182,3 +182,29 @@ def test_deletes(spark, mode, dropped):
         body = "null" if r.payload is None else ("deleted" if json.loads(r.payload).get("__deleted") == "true" else "row")
         got.append((body, r.headers["debezium_key"]))
     assert got == DELETE_RESULTS[mode, dropped]
+
+
+def test_files_are_deleted_or_archived_after_reading(spark, tmp_path):
+    for after in ("delete", "archive"):
+        src, kept = tmp_path / after, tmp_path / f"{after}-kept"
+        src.mkdir()
+        out, check = str(tmp_path / f"{after}-out"), str(tmp_path / f"{after}-check")
+        for i in range(3):
+            (src / f"{i}.txt").write_text(f"{i}\n")
+            stream = stream_files(spark, str(src), "contents", after=after, archive_dir=str(kept))
+            run_available(stream.select("path", F.decode("payload", "UTF-8").alias("t")), out, check)
+        assert sorted(r.t for r in spark.read.parquet(out).collect()) == ["0\n", "1\n", "2\n"]
+        # a file goes once the batch after its own has been planned
+        assert not (src / "0.txt").exists()
+        assert after == "delete" or list(kept.rglob("0.txt"))
+
+
+def test_generated_streams(spark, tmp_path):
+    rows = []
+    stream = generate_stream(spark, rows_per_batch=40, size=7, producers=2)
+    query = stream.writeStream.foreachBatch(lambda b, i: rows.append(b.agg(F.count("*"), F.max(F.octet_length("payload"))).first())).option("checkpointLocation", str(tmp_path / "c")).start()
+    while not rows:
+        query.awaitTermination(1)
+    query.stop()
+    assert tuple(rows[0]) == (40, 7)
+    assert tick_stream(spark).isStreaming and tick_stream(spark).columns == ["tick", "payload"]

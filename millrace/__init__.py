@@ -18,7 +18,7 @@ from millrace.operators.split import reassemble, split_messages
 from millrace.plans.compose import compose, compose_named
 from millrace.sinks.broker import publish, to_broker
 from millrace.sinks.files import write_routed, write_text
-from millrace.sinks.tables import once_per_batch, table_rows, write_bulk, write_table
+from millrace.sinks.tables import load_lines, once_per_batch, table_rows, write_bulk, write_table
 from millrace.sinks.upsert import upsert
 from millrace.sources.changes import read_changes, row_json, unwrap_changes
 from millrace.sources.files import number_lines, read_files, stream_files

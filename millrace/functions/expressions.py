@@ -23,6 +23,17 @@ def with_variables(df: DataFrame, variables: Mapping | None, build: Callable[[Da
     return build(bound).drop(*variables)
 
 
+def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add an expensive column that is evaluated once per row.
+
+    Spark moves filters below the projection that makes a column, and copies its expression
+    there: text parsed for the filter is parsed again for the result.  The output of a
+    generator is not copied, and filters on other columns still pass it.
+    """
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode(F.array(value)).alias(name))
+
+
 def load_variables(inline: Mapping[str, str] | None = None, lines=None) -> dict[str, str]:
     """Variables given inline merged with ``name=value`` lines of a file; the file wins."""
     merged = dict(inline or {})

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import compute_once
+
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
 # Content types whose bytes are text.
 TEXT_TYPES = r"(?i)^\s*(text/.*|application/(.*\+)?json)\s*(;.*)?$"
@@ -68,14 +70,14 @@ def decode_json(df: DataFrame, schema: T.StructType | str | None = None, out: st
         text = F.decode(text, "UTF-8")
     is_json = F.col("content_type").rlike(JSON_TYPES)
     if schema is None:
-        return df.withColumn(out, F.when(is_json, F.try_parse_json(text)))
+        return compute_once(df, out, F.when(is_json, F.try_parse_json(text)))
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     checked = T.StructType(schema.fields + [T.StructField("_mr_bad", T.StringType())])
     parsed = F.from_json(text, checked, {"columnNameOfCorruptRecord": "_mr_bad"})
     fields = F.struct(*[F.col("_mr_json")[f.name].alias(f.name) for f in schema.fields])
-    good = is_json & F.col("_mr_json").isNotNull() & F.col("_mr_json")["_mr_bad"].isNull()
-    return df.withColumn("_mr_json", parsed).withColumn(out, F.when(good, fields)).drop("_mr_json")
+    good = F.col("_mr_json").isNotNull() & F.col("_mr_json")["_mr_bad"].isNull()
+    return compute_once(df, "_mr_json", F.when(is_json, parsed)).withColumn(out, F.when(good, fields)).drop("_mr_json")
 
 
 def normalise_content_type(df: DataFrame, default: str = DEFAULT_CONTENT_TYPE) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import compute_once
+
 # The dialects' defaults.
 TEXT_DELIMITER, TEXT_NULL = "\t", "\\N"
 CSV_DELIMITER, CSV_QUOTE = ",", '"'
@@ -66,7 +68,7 @@ def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str) ->
         text = F.replace(F.replace(text, F.lit(_ESCAPED), F.lit(delimiter)), F.lit(_SLASH), F.lit("\\"))
         return F.when(token != raw_null, text)
 
-    rows = lines.withColumn("_mr_f", F.split(hidden, re.escape(delimiter), -1))
+    rows = compute_once(lines, "_mr_f", F.split(hidden, re.escape(delimiter), -1))
     return _checked(rows, columns, F.size("_mr_f"), lambda i: field(F.get("_mr_f", F.lit(i))))
 
 
@@ -85,7 +87,7 @@ def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | Non
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "multiLine": "true",
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1",
     }
-    rows = lines.withColumn("_mr_line", text).withColumn("_mr_f", F.from_csv("_mr_line", schema.simpleString()[7:-1].replace(":", " "), options))
+    rows = compute_once(lines, "_mr_f", F.from_csv(text, schema.simpleString()[7:-1].replace(":", " "), options))
     fields = F.col("_mr_f")
     # Only bad lines need a field count, and only for the wording of the error.
     ok = fields.isNotNull() & fields["bad"].isNull()
@@ -119,10 +121,17 @@ def bulk_load(
     """(rows to load, rows for the error table), from one parse and no retries."""
     names = [f"_mr_c{i}" for i in range(len(columns))]
     parsed = parse_lines(df, names, fmt, **dialect)
-    bad = F.col("error_message").isNotNull()
-    good = parsed.filter(~bad).select(*[F.col(n).alias(c) for n, c in zip(names, columns)])
-    errors = parsed.filter(bad).select(F.lit(table).alias("table_name"), "error_message", "payload")
-    return good, errors
+    return good_rows(parsed, names, columns), error_rows(parsed, table)
+
+
+def good_rows(parsed: DataFrame, names: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    good = parsed.filter(F.col("error_message").isNull())
+    return good.select(*[F.col(n).alias(c) for n, c in zip(names, columns)])
+
+
+def error_rows(parsed: DataFrame, table: str) -> DataFrame:
+    bad = parsed.filter(F.col("error_message").isNotNull())
+    return bad.select(F.lit(table).alias("table_name"), "error_message", "payload")
 
 
 def check_error_table(schema: T.StructType) -> None:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import compute_once
+
 
 def json_entities(df: DataFrame, schema: str | T.StructType, payload: str = "payload") -> tuple[DataFrame, DataFrame]:
     """(one row per JSON object, the messages that are neither an object nor a list of objects).
@@ -20,7 +22,7 @@ def json_entities(df: DataFrame, schema: str | T.StructType, payload: str = "pay
     # With an array schema Spark also accepts a single object, as a list of one.
     items = F.from_json(text, T.ArrayType(row))
     rest = [c for c in df.columns if c != payload]
-    parsed = df.withColumn("_mr_items", items)
+    parsed = compute_once(df, "_mr_items", items)
     shaped = F.ltrim(text).rlike(r"^[\[{]")
     fine = shaped & F.col("_mr_items").isNotNull() & F.forall("_mr_items", lambda x: x.isNotNull())
     fine = F.coalesce(fine, F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import compute_once
 from millrace.messages import as_column
 
 MEBIBYTE = 1024.0 * 1024.0
@@ -130,10 +131,11 @@ def metric_line(
         for tag, v in sorted((tags or {}).items())
     ]
     head = F.concat(F.lit(f'"{name}" '), as_column(value).cast("string"), F.lit(" "), as_column(ts).cast("string"), F.lit(f" source={source}"))
-    return F.concat_ws(" ", head, *shown)
+    # concat_ws leaves out NULL tags, concat makes the line NULL without a value or a time.
+    return F.concat(head, F.concat_ws("", *[F.concat(F.lit(" "), tag) for tag in shown]))
 
 
 def metric_lines(df: DataFrame, name, value, ts, source, tags=None) -> DataFrame:
-    """K12 as an operator: the payload becomes the metric line; messages without a value are dropped."""
+    """K12 as an operator: the payload becomes the metric line; messages without a value or a time are dropped."""
     line = metric_line(name, value, ts, source, tags)
-    return df.filter(as_column(value).isNotNull()).withColumn("payload", line)
+    return compute_once(df, "payload", line).filter(F.col("payload").isNotNull())

@@ -140,13 +140,13 @@ def _change_events(spark, sf_dir):
     payload = F.array(F.to_json(event), F.lit("null"))
     deleted = F.slice(payload, 1, F.when(op == "d", 2).otherwise(1))
     rows = orders.select("o_orderkey", F.explode(deleted).alias("p")).withColumnRenamed("o_orderkey", "k")
-    return to_messages(rows, "p", {"debezium_key": "concat('{\"o_orderkey\":', k, '}')"}, "application/json")
+    return to_messages(rows, "p", {"row_key": "concat('{\"o_orderkey\":', k, '}')"}, "application/json")
 
 
 def _flat(spark, sf_dir, mode, drop, extra=()):
     out = unwrap_changes(_change_events(spark, sf_dir), ORDER_ROW, ("op", "name", "db", "source.ts_ms"), mode, drop)
     return out.select(
-        F.col("headers")["debezium_key"].alias("key"), "o_orderkey", "o_custkey", "o_orderpriority",
+        F.col("headers")["row_key"].alias("key"), "o_orderkey", "o_custkey", "o_orderpriority",
         F.col("__op").alias("added_op"), F.col("__name").alias("added_name"), F.col("__db").alias("added_db"), F.col("__source_ts_ms").alias("added_ts"), "op",
         *extra,
     )

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.bulk import VARCHAR_LENGTH, check_error_table
+from millrace.operators.bulk import VARCHAR_LENGTH, check_error_table, error_rows, good_rows, parse_lines
 
 
 def parse_columns(mapping: str | Sequence[str]) -> list[tuple[str, str]]:
@@ -96,6 +96,37 @@ def write_bulk(good: DataFrame, errors: DataFrame | None, table: str, error_tabl
         write_table(errors, error_table, **{k: v for k, v in target.items() if k != "initialize"})
 
 
+def load_lines(
+    df: DataFrame,
+    table: str,
+    columns: Sequence[str] = ("payload",),
+    fmt: str = "text",
+    error_table: str | None = None,
+    initialize: bool = False,
+    url: str | None = None,
+    batch_size: int = BULK_BATCH,
+    connections: int | None = None,
+    options: dict | None = None,
+    **dialect,
+) -> tuple[int, int]:
+    """K4 to K6 in one call: load the lines, keep the bad ones, return how many there were of each.
+
+    Bad lines are counted while the good ones are written, so the input is read a second time
+    only when there is something to write to the error table.
+    """
+    names = [f"_mr_c{i}" for i in range(len(columns))]
+    seen = Observation()
+    parsed = parse_lines(df, names, fmt, **dialect)
+    bad = F.col("error_message").isNotNull().cast("long")
+    watched = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(bad), F.lit(0)).alias("bad"))
+    target = {"url": url, "batch_size": batch_size, "connections": connections, "options": options}
+    write_table(good_rows(watched, names, columns), table, initialize=initialize, **target)
+    counts = seen.get
+    if error_table is not None and counts["bad"]:
+        write_table(error_rows(parsed, table), error_table, **target)
+    return counts["lines"] - counts["bad"], counts["bad"]
+
+
 def once_per_batch(write: Callable[[DataFrame, int], None], done_path: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that skips batches already written.
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.expressions import compute_once
+
 SOURCE_SCHEMA = (
     "version string, connector string, name string, ts_ms bigint, ts_us bigint, ts_ns bigint, snapshot string, "
     "db string, table string, server_id bigint, gtid string, file string, pos bigint, row int, thread bigint, query string"
@@ -40,7 +42,7 @@ def read_changes(df: DataFrame, row_schema: str | T.StructType) -> DataFrame:
     payload = F.col("payload")
     if isinstance(df.schema["payload"].dataType, T.BinaryType):
         payload = F.decode(payload, "UTF-8")
-    return df.withColumn("change", F.from_json(payload, envelope_schema(row_schema))).withColumn(
+    return compute_once(df, "change", F.from_json(payload, envelope_schema(row_schema))).withColumn(
         "op", F.when(_is_tombstone(payload), TOMBSTONE).otherwise(F.col("change.op"))
     )
 

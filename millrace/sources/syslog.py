@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.expressions import compute_once
+
 # The two line formats.
 RFC3164 = r"^<(\d{1,3})>([A-Za-z]{3} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) ([^\s:\[]+)(?:\[([^\]]*)\])?: ?([\s\S]*)$"
 RFC5424 = r"^<(\d{1,3})>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^\]\\]|\\.)*\])+)(?: ([\s\S]*))?$"
 
+# The number of groups in each.
+OLD, NEW = 6, 9
+
 
 def parse_syslog(df: DataFrame, column: str = "payload") -> DataFrame:
     """Add the fields of RFC 3164 and RFC 5424 lines; ``undecoded`` keeps any other line."""
     line = F.col(column)
-    # Each format is matched once: all its groups come out of one replacement, message last.
-    df = df.withColumn("_mr_new", F.when(line.rlike(RFC5424), _groups(line, RFC5424, 9)))
-    df = df.withColumn("_mr_old", F.when(F.col("_mr_new").isNull() & line.rlike(RFC3164), _groups(line, RFC3164, 6)))
-    new, old = F.col("_mr_new"), F.col("_mr_old")
+    # All groups of a format come out of one replacement; their number tells the format.
+    found = F.when(line.rlike(RFC5424), _groups(line, RFC5424, NEW)).when(line.rlike(RFC3164), _groups(line, RFC3164, OLD))
+    df = compute_once(df, "_mr_groups", found)
+    groups = F.col("_mr_groups")
+    is_new = F.size(groups) == NEW
 
-    def given(value):
-        return F.when(~value.isin("", "-"), value)
+    def at(n: int | None, o: int | None):
+        """The n-th group of the newer format, or the o-th of the older."""
+        new = F.get(groups, n - 1) if n else F.lit(None).cast("string")
+        return F.when(is_new, new).otherwise(F.get(groups, o - 1) if o else F.lit(None).cast("string"))
 
     def pick(n: int | None, o: int | None):
-        parts = [given(F.get(groups, i - 1)) for groups, i in ((new, n), (old, o)) if i]
-        return F.coalesce(*parts)
+        value = at(n, o)
+        return F.when(~value.isin("", "-"), value)
 
     pri = pick(1, 1).cast("int")
     out = df.withColumns({
@@ -36,10 +44,10 @@ def parse_syslog(df: DataFrame, column: str = "payload") -> DataFrame:
         "proc_id": pick(6, 5),
         "msg_id": pick(7, None),
         "structured_data": pick(8, None),
-        "message": F.coalesce(F.get(new, 8), F.get(old, 5)),
-        "undecoded": F.when(new.isNull() & old.isNull(), line),
+        "message": at(NEW, OLD),
+        "undecoded": F.when(groups.isNull(), line),
     })
-    return out.drop("_mr_new", "_mr_old")
+    return out.drop("_mr_groups")
 
 
 def _groups(line: Column, pattern: str, count: int) -> Column:

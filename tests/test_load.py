@@ -9,7 +9,7 @@ from millrace.operators.bulk import bulk_load, check_error_table, empty_target
 from millrace.operators.entities import json_entities
 from millrace.sinks.broker import to_broker
 from millrace.sinks.files import write_text
-from millrace.sinks.tables import parse_columns, table_rows, write_bulk
+from millrace.sinks.tables import load_lines, parse_columns, table_rows, write_bulk
 from millrace.sinks.upsert import upsert
 
 NAMES = ("id", "name", "age")
@@ -76,6 +76,11 @@ def test_write_bulk(spark, tmp_path):
     assert (spark.table("loads.names").count(), spark.table("loads.errors").count()) == (1, 1)
     write_bulk(good, errors, "loads.names", "loads.errors")
     assert spark.table("loads.errors").count() == 2
+    lines = spark.createDataFrame([("1,a",), ("2,b",), ("bad",)], "payload string").repartition(3)
+    assert load_lines(lines, "loads.more", ("id", "name"), "csv", "loads.errors", initialize=True) == (2, 1)
+    assert load_lines(lines.filter("payload <> 'bad'"), "loads.more", ("id", "name"), "csv", "loads.none") == (2, 0)
+    assert (spark.table("loads.more").count(), spark.table("loads.errors").count()) == (4, 3)
+    assert not spark.catalog.tableExists("loads.none")
     spark.sql("drop database loads cascade")
 
 

@@ -153,11 +153,11 @@ def _change(op, before=None, after=None):
 def test_change_flattening(spark):
     hammer = {"id": 106, "name": "hammer", "weight": 1.0}
     df = spark.createDataFrame([(_change("r", None, hammer),), (_change("u", hammer, {**hammer, "name": "axe"}),), ('{"ddl":"drop table x"}',)], "p string")
-    m = to_messages(df, "p", {"debezium_key": "'k'"}, "application/json")
+    m = to_messages(df, "p", {"row_key": "'k'"}, "application/json")
     rows = unwrap_changes(m, ROW, ["name", "db", "op", "ts_ms", "source.ts_ms"]).orderBy("op").collect()
     assert [r.name for r in rows] == ["hammer", "axe"]
     assert (rows[0]["__name"], rows[0]["__db"], rows[0]["__op"], rows[0]["__ts_ms"], rows[0]["__source_ts_ms"]) == ("my-topic", "inventory", "r", 9, 5)
-    assert rows[0].headers == {"debezium_key": "k"}
+    assert rows[0].headers == {"row_key": "k"}
     flat = row_json(unwrap_changes(m, ROW, ["op"]), ["id", "name", "weight", "__op"]).orderBy("op").first().payload
     assert json.loads(flat) == {**hammer, "__op": "r"}
     assert read_changes(m, ROW).filter("op is null").count() == 1
@@ -175,12 +175,12 @@ DELETE_RESULTS = {
 def test_deletes(spark, mode, dropped):
     gone = {"id": 7, "name": "x", "weight": 1.0}
     df = spark.createDataFrame([(_change("d", gone), None), (None, "key")], "p string, k string")
-    m = to_messages(df, "p", {"debezium_key": "k"}, "application/json")
+    m = to_messages(df, "p", {"row_key": "k"}, "application/json")
     out = row_json(unwrap_changes(m, ROW, [], mode, dropped), ["id", "name", "weight"] + (["__deleted"] if mode == "rewrite" else []))
     got = []
     for r in out.orderBy("op").collect():
         body = "null" if r.payload is None else ("deleted" if json.loads(r.payload).get("__deleted") == "true" else "row")
-        got.append((body, r.headers["debezium_key"]))
+        got.append((body, r.headers["row_key"]))
     assert got == DELETE_RESULTS[mode, dropped]
 
 

@@ -33,9 +33,16 @@ def aggregate(
     Columns: the key, ``group_no`` (from 0), ``part``, ``size``, ``closed``, ``payloads``.
     A group released by content has no size limit; beyond ``part_rows`` messages it
     continues in the next ``part``, so that every list is bounded.
+
+    On a stream this is :func:`millrace.streaming.aggregate.aggregate_stream` without
+    idle time: open groups stay in state, and the payloads are text.
     """
     if (release_size is None) == (release_expr is None):
         raise ValueError("give either release_size or release_expr")
+    if df.isStreaming:
+        from millrace.streaming.aggregate import aggregate_stream
+
+        return aggregate_stream(df, key, order, release_size, release_expr, payload, part_rows=part_rows)
     keys = [key] if isinstance(key, str) else list(key)
     item = as_column(payload).alias("_mr_item")
     if release_size is not None:

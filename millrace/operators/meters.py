@@ -95,7 +95,9 @@ def throughput(df: DataFrame, ts: str, every: str, payload: str = "payload", run
     )
     if not running:
         return out
-    out = out.withColumn("_mr_day", F.to_date("start"))
+    # Declared never NULL: an inferred NULL check would set the two sides of the join apart, and Spark
+    # would aggregate the messages twice instead of using one shuffle for both.
+    out = out.withColumn("_mr_day", F.coalesce(F.to_date("start"), F.lit("1970-01-01").cast("date")))
     # One row per day, so this window without partitions stays small.
     earlier = Window.partitionBy(F.lit(0)).orderBy("_mr_day").rowsBetween(Window.unboundedPreceding, -1)
     days = (
@@ -136,6 +138,10 @@ def metric_line(
 
 
 def metric_lines(df: DataFrame, name, value, ts, source, tags=None) -> DataFrame:
-    """K12 as an operator: the payload becomes the metric line; messages without a value or a time are dropped."""
+    """K12 as an operator: the payload becomes the metric line; messages without a value are dropped."""
+    rows = df
+    if not (isinstance(value, str) and value in df.columns):
+        # Needed by the filter and by the line; a plain column is filtered in the scan instead.
+        rows, value = compute_once(df, "_mr_value", as_column(value)), "_mr_value"
     line = metric_line(name, value, ts, source, tags)
-    return compute_once(df, "payload", line).filter(F.col("payload").isNotNull())
+    return rows.filter(as_column(value).isNotNull()).withColumn("payload", line).drop("_mr_value")

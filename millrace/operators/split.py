@@ -61,8 +61,13 @@ def reassemble(
     members come out as several rows (``part`` 0, 1, …), so no task holds a whole giant group.
 
     ``unique`` promises that no number arrives twice, as straight after
-    :func:`split_messages`; it saves the pass that guards against repeats.
+    :func:`split_messages`; it saves the pass that guards against repeats.  On a stream
+    this is :func:`millrace.streaming.aggregate.reassemble_stream`.
     """
+    if df.isStreaming:
+        from millrace.streaming.aggregate import reassemble_stream
+
+        return reassemble_stream(df, correlation, seq, size, payload, part_rows=part_rows)
     rows = df.select(
         F.col(correlation).alias("correlation"), F.col(seq).cast("long").alias("seq"),
         F.col(size).cast("long").alias("size"), F.col(payload).alias("payload"),

@@ -7,10 +7,10 @@ from millrace.operators.aggregate import aggregate
 from millrace.operators.meters import counter, throughput
 from millrace.operators.lists import push_list
 from millrace.operators.posts import dedup_recent, trending
-from millrace.operators.split import split_messages
+from millrace.operators.split import reassemble, split_messages
 from millrace.sinks.tables import once_per_batch, table_rows
 from millrace.sinks.upsert import upsert
-from millrace.streaming.aggregate import aggregate_stream, open_groups, order_text, reassemble_stream
+from millrace.streaming.aggregate import aggregate_stream, open_groups, order_text
 from millrace.streaming.runs import run_available, run_batches, use_rocksdb
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -47,7 +47,7 @@ def test_aggregate_by_count_over_a_restart(spark, sf, halves, tmp_path):
     src, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     for i in range(2):
         _feed(halves, src, i)
-        run_available(aggregate_stream(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id"), out, check)
+        run_available(aggregate(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id"), out, check)
     run_available(aggregate_stream(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id"), out, check)
     batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "event_type", "event_id", release_size=3, payload="cast(event_id as string)")
     assert _groups(spark.read.parquet(out)) == _groups(batch)
@@ -83,7 +83,7 @@ def test_reassemble(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 40").select("doc_id", F.col("text").alias("payload"))
     split_messages(docs, delimiter="\n", correlation="cast(doc_id as string)").repartition(3).write.parquet(src)
     schema = spark.read.parquet(src).schema
-    run_available(reassemble_stream(spark.readStream.schema(schema).parquet(src)), out, str(tmp_path / "check"))
+    run_available(reassemble(spark.readStream.schema(schema).parquet(src)), out, str(tmp_path / "check"))
     got = {r.correlation_id: "\n".join(r.payloads) for r in spark.read.parquet(out).collect()}
     assert got == {str(r.doc_id): r.payload for r in docs.collect()}
 

@@ -69,7 +69,7 @@ def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str) ->
         return F.when(token != raw_null, text)
 
     rows = compute_once(lines, "_mr_f", F.split(hidden, re.escape(delimiter), -1))
-    return _checked(rows, columns, F.size("_mr_f"), lambda i: field(F.get("_mr_f", F.lit(i))))
+    return _checked(rows, columns, F.coalesce(F.size("_mr_f"), F.lit(0)), lambda i: field(F.get("_mr_f", F.lit(i))))
 
 
 def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | None, quote: str, escape: str | None) -> DataFrame:

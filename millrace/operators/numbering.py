@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from millrace.session import stage
 
-HOT_ROWS = 5_000_000
+HOT_ROWS = 2_000_000
 # The threshold is raised to total / MAX_HOT_KEYS, so no more keys than this can be hot.
-MAX_HOT_KEYS = 50_000
+MAX_HOT_KEYS = 200_000
+# Beyond this many range partitions the shuffle's own bookkeeping costs more than larger partitions do.
+MAX_SLICES = 20_000
 
 _GID, _ROW, _PART, _LOW = "_mr_gid", "_mr_row", "_mr_part", "_mr_low"
 _OFFSET, _MARK, _PAST, _LAST, _TOTAL = "_mr_off", "_mr_mark", "_mr_past", "_mr_last", "_mr_total"
@@ -79,8 +81,9 @@ def mark_rows(
     return marked.unionByName(_spread_marks(hot, keys, order, slices))
 
 
-def _slices(rows: int, hot_rows: int) -> int:
-    return max(1, math.ceil(2 * rows / max(1, hot_rows)))
+def _slices(rows: int, limit: int) -> int:
+    """Range partitions of about half the limit each."""
+    return max(1, math.ceil(2 * rows / max(1, limit)))
 
 
 def _by_heat(df: DataFrame, keys: list[str], hot_rows: int):
@@ -92,18 +95,22 @@ def _by_heat(df: DataFrame, keys: list[str], hot_rows: int):
     limit = max(hot_rows, math.ceil(sizes.total / MAX_HOT_KEYS))
     # At most total / limit <= MAX_HOT_KEYS keys can exceed the limit: safe to broadcast.
     # Stored, because both halves ask for it.
-    hot_keys = stage(counts.filter(F.col("_mr_n") > limit).select(F.struct(*keys).alias(_GID)), "hot-keys")
+    hot_keys = stage(counts.filter(F.col("_mr_n") > limit).select(F.struct(*keys).alias(_GID), "_mr_n"), "hot-keys")
+    hot_rows_in_all = hot_keys.agg(F.sum("_mr_n").alias("n")).first().n
+    if not hot_rows_in_all:
+        return df, None, 0
+    hot_keys = hot_keys.select(_GID)
     tagged = df.withColumn(_GID, F.struct(*keys))
     cold = tagged.join(F.broadcast(hot_keys), _GID, "left_anti").drop(_GID)
     hot = tagged.join(F.broadcast(hot_keys), _GID, "left_semi").drop(_GID)
-    return cold, hot, _slices(sizes.total, limit)
+    return cold, hot, _slices(hot_rows_in_all, limit)
 
 
 def _lay_out(df: DataFrame, keys: list[str], order: list[Column], slices: int) -> DataFrame:
     """Range-partition by (key, order) and store the rows with their ids in that layout."""
     by = [F.col(k) for k in keys] + order
     laid = (
-        df.repartitionByRange(slices, *by)
+        df.repartitionByRange(min(slices, MAX_SLICES), *by)
         .sortWithinPartitions(*by)
         .withColumn(_ROW, F.monotonically_increasing_id())
     )

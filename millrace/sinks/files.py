@@ -57,7 +57,7 @@ def write_routed(df: DataFrame, path: str, fmt: str = "parquet", compact: bool =
 
     Messages without a destination are kept below ``destination=_unroutable``.
     """
-    rows = df.withColumn("destination", F.coalesce("destination", F.lit(UNROUTABLE)))
+    rows = df.withColumn("destination", F.coalesce(F.nullif("destination", F.lit("")), F.lit(UNROUTABLE)))
     if compact:
         rows = rows.hint("rebalance", "destination")
     rows.write.mode(mode).partitionBy("destination").format(fmt).save(path)

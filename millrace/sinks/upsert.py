@@ -23,7 +23,8 @@ def latest_documents(df: DataFrame, id: str | Column, order, index: str | None =
         raise ValueError("an upsert needs an order column")
     named = F.lit(index).cast("string")
     if "headers" in df.columns:
-        named = F.coalesce(F.col("headers")[INDEX_HEADER], named)
+        # An empty name would be stored like a missing one.
+        named = F.coalesce(F.nullif(F.col("headers")[INDEX_HEADER], F.lit("")), named)
     rows = df.select(
         named.alias("index"), as_column(id).cast("string").alias("id"),
         F.struct(*[as_column(c).alias(f"o{i}") for i, c in enumerate(order)]).alias("version"),
@@ -47,9 +48,10 @@ def _touched(stored: DataFrame, indexes: DataFrame) -> DataFrame:
     """The part of the table whose indexes occur in the changes."""
     names = [r["index"] for r in indexes.limit(MAX_LISTED + 1).collect()]
     if len(names) > MAX_LISTED:
-        return stored.join(indexes, "index", "left_semi")
+        return stored.join(indexes, stored["index"].eqNullSafe(indexes["index"]), "left_semi")
     # A list of constants prunes partitions while the query is planned.
-    return stored.filter(F.col("index").isin(names))
+    listed = F.col("index").isin([n for n in names if n is not None])
+    return stored.filter(listed | F.col("index").isNull() if None in names else listed)
 
 
 def upsert(spark: SparkSession, df: DataFrame, target: str, id, order, index: str | None = None, payload="payload") -> None:

@@ -43,8 +43,8 @@ def test_bad_rows_are_set_aside(spark):
     good, bad = _load(spark, ["123,Nisse,25", "GARBAGE", "125,Bubba,22", "1,2,3,4"])
     assert good == [("123", "Nisse", "25"), ("125", "Bubba", "22")]
     assert bad == [("names", "missing data for a column", "GARBAGE"), ("names", "extra data after last expected column", "1,2,3,4")]
-    good, bad = _load(spark, ["123\tNisse\t25", "GARBAGE", "1\t2\t3\t4"], "text")
-    assert len(good) == 1 and [b[2] for b in bad] == ["GARBAGE", "1\t2\t3\t4"]
+    good, bad = _load(spark, ["123\tNisse\t25", "GARBAGE", "1\t2\t3\t4", None], "text")
+    assert len(good) == 1 and [b[2] for b in bad] == ["GARBAGE", "1\t2\t3\t4", None]
 
 
 def test_load_options_are_checked(spark):
@@ -101,6 +101,10 @@ def test_upsert(spark, tmp_path):
     upsert(spark, messages.filter("id = '2'").withColumn("at", F.lit(3)).withColumn("payload", F.lit("late")), target, "id", "at", index="foo")
     got = {(r["index"], r.id): r.document for r in spark.read.parquet(target).collect()}
     assert got == {("foo", "1"): doc, ("bar", "1"): "newer", ("foo", "2"): "y"}
+    # without an index, the documents still replace each other
+    for at in (1, 2):
+        upsert(spark, messages.filter("id = '2'").withColumn("at", F.lit(at)).withColumn("id", F.concat(F.lit("n"), F.lit(at))), target, "id", "at")
+    assert spark.read.parquet(target).filter("index is null").count() == 2
 
 
 def test_broker_rows(spark):

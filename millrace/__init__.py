@@ -9,7 +9,7 @@ from millrace.operators.entities import json_entities
 from millrace.operators.headers import enrich_headers, filter_headers
 from millrace.operators.lists import push_list
 from millrace.operators.lookup import enrich_lookup, with_request
-from millrace.operators.meters import counter, gauge, metric_lines, throughput
+from millrace.operators.meters import counter, gauge, metric_lines, throughput, watched
 from millrace.operators.numbering import number_rows
 from millrace.operators.posts import closest, dedup_recent, filter_any, search, stable_sample, trending
 from millrace.operators.route import route

@@ -23,7 +23,7 @@ def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) ->
     return lat.between(south, north) & across
 
 
-def box_around(lat: Column, lon: Column, at_lat: float, at_lon: float, radius_km: float) -> Column:
-    """A cheap latitude band around a circle, so that a scan can skip most rows."""
+def box_around(lat: Column, at_lat: float, radius_km: float) -> Column:
+    """The band of latitudes that holds a circle: cheap, and a scan can skip data by it."""
     reach = radius_km / 111.0 + 0.01
     return lat.between(at_lat - reach, at_lat + reach)

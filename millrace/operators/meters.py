@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,6 +120,17 @@ def throughput(df: DataFrame, ts: str, every: str, payload: str = "payload", run
     )
 
 
+def watched(df: DataFrame, observation: Observation | str, payload: str = "payload") -> DataFrame:
+    """A7 in flight: the same messages, counted (``messages``, ``bytes``) as they pass.
+
+    The numbers come with the query that reads the frame, at no extra pass: from the
+    Observation in batch, from ``observedMetrics`` of the progress on a stream.
+    """
+    kind = df.schema[payload].dataType
+    size = F.octet_length(payload) if isinstance(kind, (T.BinaryType, T.StringType)) else F.lit(None)
+    return df.observe(observation, F.count(F.lit(1)).alias("messages"), F.sum(size.cast("long")).alias("bytes"))
+
+
 def metric_line(
     name: str,
     value: str | Column,

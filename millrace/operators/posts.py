@@ -118,21 +118,39 @@ def search(
     if since is not None:
         df = df.filter(F.col(ts) >= as_column(since))
     if near is not None:
-        at_lat, at_lon, radius = near
-        df = df.filter(box_around(F.col(lat), F.col(lon), at_lat, at_lon, radius))
-        df = df.filter(distance_km(F.col(lat), F.col(lon), F.lit(at_lat), F.lit(at_lon)) <= radius)
+        df = within(df, lat, lon, near)
     top = df.orderBy(*order).limit(count * page)
     # At most count * page rows reach this window.
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
     return top.withColumn("page", F.floor((rank - 1) / count) + 1)
 
 
-def trending(df: DataFrame, topic: str, ts: str, window: str, k: int) -> DataFrame:
+def within(df: DataFrame, lat: str, lon: str, near: tuple[float, float, float]) -> DataFrame:
+    """Rows inside a circle (latitude, longitude, radius in km)."""
+    at_lat, at_lon, radius = near
+    away = distance_km(F.col(lat), F.col(lon), F.lit(float(at_lat)), F.lit(float(at_lon)))
+    return df.filter(box_around(F.col(lat), at_lat, radius)).filter(away <= radius)
+
+
+def trending(
+    df: DataFrame,
+    topic: str,
+    ts: str,
+    window: str,
+    k: int,
+    lat: str | None = None,
+    lon: str | None = None,
+    near: tuple[float, float, float] | None = None,
+) -> DataFrame:
     """The ``k`` most frequent topics per time window, ties by topic name.
 
+    ``near`` (latitude, longitude, radius in km) keeps to the posts around a place.
+
     Counts shrink to one row per window and topic before ranking, and Spark keeps only k
     rows per window and task ahead of the ranking shuffle.
     """
+    if near is not None:
+        df = within(df, lat, lon, near)
     counts = df.groupBy(F.window(F.col(ts), window).alias("w"), F.col(topic).alias("topic")).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.select(F.col("w.start").alias("window_start"), "topic", "n")
     by_rank = Window.partitionBy("window_start").orderBy(F.col("n").desc(), F.col("topic"))

@@ -3,11 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from millrace.messages import to_messages
 from millrace.operators.lookup import enrich_lookup, with_request
-from millrace.operators.meters import counter, gauge, metric_lines, throughput
+from millrace.operators.meters import counter, gauge, metric_lines, throughput, watched
 from millrace.operators.posts import closest, dedup_recent, filter_any, search, stable_sample, trending
 from millrace.operators.route import route
 from millrace.operators.scripts import apply_udf
@@ -36,6 +37,12 @@ def test_throughput(spark):
     assert throughput(df.select("ts", F.lit(1).alias("payload")), "ts", "10 seconds").first().bytes is None
 
 
+def test_watched_messages(spark):
+    seen = Observation()
+    df = watched(spark.createDataFrame([("é",), ("ab",)], "payload string").repartition(2), seen)
+    assert df.count() == 2 and seen.get == {"messages": 2, "bytes": 4}
+
+
 def test_metric_line(spark):
     doc = '{"mileage":1.5,"receivedAt":1471466076564,"vin":"test-vin","location":{"latitude":4.53,"longitude":2.89}}'
     df = spark.createDataFrame([(doc,), ("{}",)], "payload string")
@@ -132,4 +139,6 @@ def test_search_trending_closest(spark):
         search(df, "x")
     top = trending(df, "text", "ts", "4 hours", 1).orderBy("window_start").collect()
     assert [(r.topic, r.n) for r in top] == [("Spark stream", 2), ("Spark stream", 2), ("Spark stream", 1)]
+    around = trending(df, "text", "ts", "1 day", 5, "lat", "lon", near=(52.0, 10.0, 120.0)).collect()
+    assert sorted((r.topic, r.n) for r in around) == [("Spark stream", 2), ("spark batch", 1)]
     assert [r.id for r in closest(df, "lat", "lon", (53.1, 10.0), 2, "id").collect()] == [3, 4]

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregate import aggregate
-from millrace.operators.meters import counter, throughput
+from millrace.operators.meters import counter, gauge, throughput
 from millrace.operators.lists import push_list
 from millrace.operators.posts import dedup_recent, trending
 from millrace.operators.split import reassemble, split_messages
@@ -101,6 +101,14 @@ def test_counter_throughput_and_dedup(spark, sf, halves, tmp_path):
 
     run_batches(counter(stream, "events", {"type": "event_type"}), keep, str(tmp_path / "c1"), mode="update")
     events = spark.read.parquet(f"{sf}/events.parquet")
+    latest = {}
+
+    def keep_gauge(batch, batch_id):
+        latest.update({r.tags["type"]: r.value for r in batch.collect()})
+
+    run_batches(gauge(stream, "v", {"type": "event_type"}, "value", ["ts", "event_id"]), keep_gauge, str(tmp_path / "c4"), mode="update")
+    want = gauge(spark.read.parquet(f"{sf}/events.parquet"), "v", {"type": "event_type"}, "value", ["ts", "event_id"])
+    assert latest == {r.tags["type"]: r.value for r in want.collect()}
     assert totals == {r.event_type: r["count"] for r in events.groupBy("event_type").count().collect()}
 
     out = str(tmp_path / "t")

@@ -16,6 +16,7 @@ from millrace.operators.route import route
 from millrace.operators.scripts import apply_udf
 from millrace.operators.split import reassemble, split_messages
 from millrace.plans.compose import compose, compose_named
+from millrace.session import release
 from millrace.sinks.broker import publish, to_broker
 from millrace.sinks.files import write_routed, write_text
 from millrace.sinks.tables import load_lines, once_per_batch, table_rows, write_bulk, write_table

@@ -44,11 +44,16 @@ def aggregate(
 
         return aggregate_stream(df, key, order, release_size, release_expr, payload, part_rows=part_rows)
     keys = [key] if isinstance(key, str) else list(key)
-    item = as_column(payload).alias("_mr_item")
+    order = [order] if isinstance(order, (str, Column)) else list(order or [])
+    closes = as_column(release_expr) if release_expr is not None else F.lit(False)
+    narrow = df.withColumns({"_mr_item": as_column(payload), "_mr_closes": closes})
+    if all(isinstance(o, str) for o in order):
+        # Hot keys are stored on the way, so nothing else should go along.
+        narrow = narrow.select(*dict.fromkeys([*keys, *order, "_mr_item", "_mr_closes"]))
     if release_size is not None:
         if release_size < 1:
             raise ValueError("release_size must be positive")
-        rows = number_rows(df.withColumn("_mr_item", item), keys, order, "rn", hot_rows)
+        rows = number_rows(narrow, keys, order, "rn", hot_rows)
         rows = rows.withColumn("group_no", F.expr(f"(rn - 1) div {release_size}"))
         rows = rows.withColumn("_mr_seq", (F.col("rn") - 1) % release_size + 1)
         grouped = _collect(rows, keys, part_rows, F.lit(None).cast("boolean"))
@@ -58,7 +63,7 @@ def aggregate(
             sizes = grouped.groupBy(*keys, "group_no").agg((F.sum("size") == release_size).alias("closed"))
             grouped = _join_null_safe(grouped.drop("closed"), sizes, [*keys, "group_no"])
     else:
-        rows = mark_rows(df.withColumn("_mr_item", item), keys, order, as_column(release_expr), hot_rows)
+        rows = mark_rows(narrow, keys, order, F.col("_mr_closes"), hot_rows)
         rows = rows.withColumn("group_no", F.col("marks_before")).withColumn("_mr_seq", F.col("rn") - F.col("last_mark"))
         if not send_partial:
             rows = rows.filter("marks_before < marks")

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _local_scratch: dict[str, str] = {}
+_written: list[str] = []
 
 
 def build_session(app: str = "millrace", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -46,7 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this program stored in the shared folder, once no result that reads it is needed."""
+    while _written:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df, label: str):

@@ -1,7 +1,10 @@
+import os
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace import session
 from millrace.operators.numbering import mark_rows, number_rows
 
 
@@ -46,6 +49,14 @@ def test_marks(spark, sf, hot_rows):
         state[r.k] = (rn, seen + 1, rn) if r.event_type == "purchase" else (rn, seen, last)
 
 
+def test_stored_rows_can_be_released(spark, sf):
+    number_rows(_events(spark, sf), ["k"], ["ts", "event_id"], hot_rows=100).count()
+    stored = list(session._written)
+    assert stored and all(os.path.exists(p.removeprefix("file:")) for p in stored)
+    session.release(spark)
+    assert not session._written and not any(os.path.exists(p.removeprefix("file:")) for p in stored)
+
+
 def test_order_is_mandatory(spark, sf):
     with pytest.raises(ValueError):
         number_rows(_events(spark, sf), ["k"], None)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.messages import as_column
-from millrace.operators.numbering import HOT_ROWS, mark_rows, number_rows
+from millrace.operators.numbering import mark_rows, number_rows
 from millrace.operators.split import PART_ROWS
 
 
@@ -21,7 +21,7 @@ def aggregate(
     payload: str | Column = "payload",
     send_partial: bool = False,
     part_rows: int = PART_ROWS,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Lists of payloads per key, in the given arrival order.
 

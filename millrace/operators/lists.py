@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.messages import as_column
-from millrace.operators.numbering import HOT_ROWS, number_rows, order_columns
+from millrace.operators.numbering import number_rows, order_columns
 
 
 def push_list(
@@ -15,7 +15,7 @@ def push_list(
     order,
     payload: str | Column = "payload",
     current: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows ``(key, seq, value)``, ``seq`` going on after the highest one in ``current``.
 

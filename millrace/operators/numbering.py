@@ -1,7 +1,7 @@
 """Positions of rows within a key, exact also when one key holds most of the rows.
 
-A plain ``row_number()`` window puts a whole key into one task.  Keys above
-``hot_rows`` are therefore taken out, range-partitioned by (key, order), so that
+A plain ``row_number()`` window puts a whole key into one task.  Keys that are too large
+for that are therefore taken out, range-partitioned by (key, order), so that
 one key spans many partitions, and numbered per partition; a small table of
 per-partition totals then turns local positions into global ones.
 """
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from millrace.session import stage
 
-HOT_ROWS = 2_000_000
+# A key is hot when it exceeds a core's fair share of the rows, within these bounds.
+MIN_HOT_ROWS, HOT_ROWS = 250_000, 2_000_000
 # The threshold is raised to total / MAX_HOT_KEYS, so no more keys than this can be hot.
 MAX_HOT_KEYS = 200_000
 # Beyond this many range partitions the shuffle's own bookkeeping costs more than larger partitions do.
@@ -36,13 +37,17 @@ def order_columns(order) -> list[Column]:
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order, out: str = "rn", hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order, out: str = "rn", hot_rows: int | None = None
 ) -> DataFrame:
-    """Add ``out`` = 1, 2, … per key in the given order; no keys numbers the whole frame."""
+    """Add ``out`` = 1, 2, … per key in the given order; no keys numbers the whole frame.
+
+    ``hot_rows`` overrides how many rows make a key hot.
+    """
     order = order_columns(order)
     keys = list(keys)
     if not keys:
-        return number_spread(df, keys, order, _slices(df.count(), hot_rows), out)
+        total = df.count()
+        return number_spread(df, keys, order, _slices(total, hot_rows or _fair_share(df, total)), out)
     cold, hot, slices = _by_heat(df, keys, hot_rows)
     numbered = number_in_task(cold, keys, order, out)
     if hot is None:
@@ -56,7 +61,7 @@ def number_in_task(df: DataFrame, keys: list[str], order: list[Column], out: str
 
 
 def mark_rows(
-    df: DataFrame, keys: Sequence[str], order, mark: Column, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order, mark: Column, hot_rows: int | None = None
 ) -> DataFrame:
     """Add what a running scan over each key knows about the rows where ``mark`` holds.
 
@@ -86,10 +91,16 @@ def _slices(rows: int, limit: int) -> int:
     return max(1, math.ceil(2 * rows / max(1, limit)))
 
 
-def _by_heat(df: DataFrame, keys: list[str], hot_rows: int):
+def _fair_share(df: DataFrame, total: int) -> int:
+    share = math.ceil(total / df.sparkSession.sparkContext.defaultParallelism)
+    return min(HOT_ROWS, max(MIN_HOT_ROWS, share))
+
+
+def _by_heat(df: DataFrame, keys: list[str], hot_rows: int | None):
     """Split into (rows of ordinary keys, rows of hot keys or None, slices for the hot rows)."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_mr_n"))
     sizes = counts.agg(F.max("_mr_n").alias("top"), F.sum("_mr_n").alias("total")).first()
+    hot_rows = hot_rows or _fair_share(df, sizes.total or 0)
     if sizes.top is None or sizes.top <= hot_rows:
         return df, None, 0
     limit = max(hot_rows, math.ceil(sizes.total / MAX_HOT_KEYS))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.numbering import HOT_ROWS, number_rows, order_columns
+from millrace.operators.numbering import number_rows, order_columns
 
 
 def read_table(
@@ -35,7 +35,7 @@ def read_table(
     ).load()
 
 
-def poll_chunks(df: DataFrame, order, max_rows: int, out: str = "poll", hot_rows: int = HOT_ROWS) -> DataFrame:
+def poll_chunks(df: DataFrame, order, max_rows: int, out: str = "poll", hot_rows: int | None = None) -> DataFrame:
     """S4 over a whole table: the number (from 1) of the poll that would read each row.
 
     Positions come from range partitions and their counts, not from one sorted partition.
@@ -43,12 +43,12 @@ def poll_chunks(df: DataFrame, order, max_rows: int, out: str = "poll", hot_rows
     return _chunked(df, order, max_rows, out, hot_rows).drop("_mr_rn")
 
 
-def _chunked(df: DataFrame, order, max_rows: int, out: str, hot_rows: int) -> DataFrame:
+def _chunked(df: DataFrame, order, max_rows: int, out: str, hot_rows: int | None) -> DataFrame:
     numbered = number_rows(df, [], order_columns(order), "_mr_rn", hot_rows)
     return numbered.withColumn(out, F.expr(f"(_mr_rn - 1) div {max_rows} + 1"))
 
 
-def row_lists(df: DataFrame, order, max_rows: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def row_lists(df: DataFrame, order, max_rows: int, hot_rows: int | None = None) -> DataFrame:
     """S3 with ``split=False``: one message per poll holding the list of its rows."""
     chunks = _chunked(df, order, max_rows, "poll", hot_rows)
     item = F.struct("_mr_rn", F.struct(*df.columns).alias("row"))

@@ -96,6 +96,13 @@ def write_bulk(good: DataFrame, errors: DataFrame | None, table: str, error_tabl
         write_table(errors, error_table, **{k: v for k, v in target.items() if k != "initialize"})
 
 
+def _stored_schema(spark, table: str, url: str | None, options: dict | None) -> T.StructType | None:
+    """The schema of a target; None for a catalog table that the first write will make."""
+    if url is not None:
+        return spark.read.format("jdbc").options(url=url, dbtable=table, **(options or {})).load().schema
+    return spark.table(table).schema if spark.catalog.tableExists(table) else None
+
+
 def load_lines(
     df: DataFrame,
     table: str,
@@ -114,6 +121,12 @@ def load_lines(
     Bad lines are counted while the good ones are written, so the input is read a second time
     only when there is something to write to the error table.
     """
+    if not table:
+        raise ValueError("a table name is required")
+    if error_table is not None:
+        known = _stored_schema(df.sparkSession, error_table, url, options)
+        if known is not None:
+            check_error_table(known)
     names = [f"_mr_c{i}" for i in range(len(columns))]
     seen = Observation()
     parsed = parse_lines(df, names, fmt, **dialect)

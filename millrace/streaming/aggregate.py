@@ -209,6 +209,7 @@ def aggregate_stream(
     send_partial: bool = False,
     event_time: bool = False,
     part_rows: int = PART_ROWS,
+    salts: int = 1,
 ) -> DataFrame:
     """A1, A2, A4 on a stream: the counterpart of the batch ``aggregate``.
 
@@ -218,12 +219,16 @@ def aggregate_stream(
     watermark with ``event_time``.
 
     All messages of a key are handled by one task.  Where order across the whole key does
-    not matter, add a salt to the key to spread a hot one.
+    not matter, ``salts`` spreads each key over so many groups of its own, told apart
+    by the column ``salt``.
     """
     if (release_size is None) == (release_expr is None):
         raise ValueError("give either release_size or release_expr")
     keys = [key] if isinstance(key, str) else list(key)
     names = [order] if isinstance(order, str) else list(order or [])
+    if salts > 1 and names:
+        df = df.withColumn("salt", F.pmod(F.xxhash64(*names), F.lit(salts)))
+        keys = [*keys, "salt"]
     columns = [
         *keys,
         as_column(payload).cast("string").alias("item"),

@@ -81,6 +81,9 @@ def test_write_bulk(spark, tmp_path):
     assert load_lines(lines.filter("payload <> 'bad'"), "loads.more", ("id", "name"), "csv", "loads.none") == (2, 0)
     assert (spark.table("loads.more").count(), spark.table("loads.errors").count()) == (4, 3)
     assert not spark.catalog.tableExists("loads.none")
+    with pytest.raises(ValueError, match="error_message"):
+        load_lines(lines, "loads.more", ("id", "name"), "csv", error_table="loads.names")
+    assert spark.table("loads.more").count() == 4
     spark.sql("drop database loads cascade")
 
 
@@ -122,6 +125,10 @@ def test_write_text(spark, tmp_path):
     df = to_messages(spark.createDataFrame([("hello", "test"), ("bye", "other")], "p string, n string"), "p", {"file_name": "n"}, "text/plain")
     write_text(df, str(tmp_path / "plain"))
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "plain")).collect()) == ["bye", "hello"]
+    write_text(df, str(tmp_path / "plain"))
+    assert spark.read.text(str(tmp_path / "plain")).count() == 4
+    write_text(df, str(tmp_path / "plain"), replace=True)
+    assert spark.read.text(str(tmp_path / "plain")).count() == 2
     write_text(df, str(tmp_path / "named"), "headers['file_name']", "txt", compact=True)
     files = list((tmp_path / "named" / "file_key=test.txt").glob("part-*"))
     assert [f.read_text() for f in files] == ["hello\n"]

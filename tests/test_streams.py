@@ -64,6 +64,17 @@ def test_aggregate_by_content(spark, sf, halves, tmp_path):
     assert as_set(spark.read.parquet(out)) == as_set(batch)
 
 
+def test_salted_keys(spark, sf, halves, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    for i in range(2):
+        _feed(halves, src, i)
+    run_available(aggregate_stream(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id", salts=4), out, str(tmp_path / "check"))
+    rows = spark.read.parquet(out).collect()
+    sizes = spark.read.parquet(f"{sf}/events.parquet").groupBy("event_type", F.pmod(F.xxhash64("event_id"), F.lit(4)).alias("s")).count().collect()
+    assert len(rows) == sum(r["count"] // 3 for r in sizes) and {r.salt for r in rows} == {0, 1, 2, 3}
+    assert all([int(p) for p in r.payloads] == sorted(int(p) for p in r.payloads) for r in rows)
+
+
 def test_idle_groups_are_flushed(spark, halves, tmp_path):
     src, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     for i in range(2):

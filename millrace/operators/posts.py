@@ -26,9 +26,9 @@ def dedup_recent(df: DataFrame, id: str, ts: str, horizon: str = "30 days", now:
     at = F.current_timestamp() if now is None else as_column(now)
     recent = df.filter(F.col(ts) >= (at.cast(kind) - F.expr(f"interval {horizon}")))
     rest = [c for c in df.columns if c != id]
-    # Copies fold to the earliest one before the shuffle; maps and variants have no order.
-    comparable = [c for c in rest if c != ts and df.schema[c].dataType.typeName() not in ("map", "variant")]
-    once = recent.groupBy(id).agg(F.min_by(F.struct(*rest), F.struct(ts, *comparable)).alias("m"))
+    # Copies fold to the earliest one before the shuffle.  A hash settles ties; maps and variants cannot be hashed.
+    hashable = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    once = recent.groupBy(id).agg(F.min_by(F.struct(*rest), F.struct(ts, F.xxhash64(*hashable))).alias("m"))
     out = once.select(*[F.col(c) if c == id else F.col(f"m.{c}") for c in df.columns])
     return out.orderBy(F.col(ts).desc(), F.col(id).desc()) if ordered else out
 

@@ -33,11 +33,11 @@ WHERE user_id IN (8, 46) OR (value / 2 - 60 BETWEEN -50 AND -40 AND json_extract
 """)
 def events_by_user_or_box(spark, sf_dir):
     """Users or boxes, one of them across the date line; places are made from the values"""
-    places = table(spark, sf_dir, "events").withColumns(_PLACE())
+    places = table(spark, sf_dir, "events").withColumns(_place())
     return filter_any(places, user="user_id", follow=[8, 46], lat="lat", lon="lon", boxes=[(20, -50, 90, -40), (140, -60, -140, -55)]).select("event_id")
 
 
-def _PLACE():
+def _place():
     return {"lat": F.col("value") / 2 - 60, "lon": F.get_json_object("props", "$.k").cast("int") * F.lit(3.0) - 150}
 
 
@@ -68,7 +68,7 @@ WHERE rn <= 50
 """)
 def search_near_a_place(spark, sf_dir):
     """The newest events within 800 km of a point"""
-    places = table(spark, sf_dir, "events").withColumns(_PLACE())
+    places = table(spark, sf_dir, "events").withColumns(_place())
     found = search(places, since="timestamp_ntz'2024-01-10 00:00:00'", lat="lat", lon="lon", near=(-55.0, 10.0, 800.0), order=[F.desc("ts"), "event_id"], count=25, page=2)
     return found.select("event_id", "page")
 
@@ -93,5 +93,5 @@ ORDER BY km, event_id LIMIT 10
 """)
 def closest_places(spark, sf_dir):
     """The ten places nearest to a point"""
-    near = closest(table(spark, sf_dir, "events").withColumns(_PLACE()), "lat", "lon", (-50.0, 20.0), 10, "event_id")
+    near = closest(table(spark, sf_dir, "events").withColumns(_place()), "lat", "lon", (-50.0, 20.0), 10, "event_id")
     return near.select("event_id", F.round("distance_km", 6).alias("km"))

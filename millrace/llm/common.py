@@ -27,8 +27,8 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(column(df, id_col).alias("doc_id"), F.coalesce(column(df, text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
-    """Left join of ``rows`` with ``groups`` (one row per key), where a key may hold a large share of the rows.
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "left") -> DataFrame:
+    """Left (or inner) join of ``rows`` with ``groups`` (one row per key), where a key may hold a large share of the rows.
 
     ``size`` is the column of ``groups`` that counts the rows of its key, ``total`` the number of all rows.
     Keys with more than ``total / HOT_GROUPS`` rows number less than ``HOT_GROUPS``; those few are broadcast. The
@@ -38,8 +38,12 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     values = [c for c in groups.columns if c not in keys]
     hot = groups.filter(F.col(size) > limit).select(*keys, F.struct(*values).alias("_hot"))
     cold = groups.filter(F.col(size) <= limit).select(*keys, F.struct(*values).alias("_cold"))
-    marked = rows.join(F.broadcast(hot), keys, "left")
     others = [c for c in rows.columns if c not in keys]
+    if how == "inner":
+        rest = rows.join(cold, keys).select(*keys, *others, F.col("_cold").alias("_of"))
+        both = rows.join(F.broadcast(hot), keys).select(*keys, *others, F.col("_hot").alias("_of")).unionByName(rest)
+        return both.select(*rows.columns, *(F.col("_of")[v].alias(v) for v in values))
+    marked = rows.join(F.broadcast(hot), keys, "left")
     found = marked.filter("_hot is not null").select(*keys, *others, F.col("_hot").alias("_of"))
     rest = marked.filter("_hot is null").drop("_hot").join(cold, keys, "left").select(*keys, *others, F.col("_cold").alias("_of"))
     return found.unionByName(rest).select(*rows.columns, *(F.col("_of")[v].alias(v) for v in values))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact, packing, token_counts
+from millrace.llm import exact, packing, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,36 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
 
+@_register(
+    "op8_quality_rules",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host FROM documents),
+    w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+    line AS (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+    lines AS (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS ws FROM line WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY doc_id),
+    win AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w),
+    three AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM win),
+    place AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM three WHERE n > 1),
+    rep AS (SELECT doc_id, count(*) AS n FROM place GROUP BY doc_id),
+    hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+    often AS (SELECT host, array_to_string(ws, ' ') AS normal FROM lines JOIN hosts USING (host)
+              GROUP BY host, normal, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > docs * 0.01),
+    cut AS (SELECT doc_id, sum(len(ws)) AS n FROM lines JOIN often ON lines.host = often.host AND array_to_string(ws, ' ') = normal GROUP BY doc_id),
+    base AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(cut.n, 0)::BIGINT AS all_cut
+             FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN cut USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+           NOT base_failed AND all_cut * 100 <= n_words * 70 AS kept, CASE WHEN base_failed THEN 0 ELSE all_cut END AS cut_words
+    FROM base
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir))
+
+
 @_register("op9_token_counts")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), limit=512)

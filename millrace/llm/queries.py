@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import exact, packing, quality, token_counts
+from millrace.llm import chat, exact, langid, packing, quality, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +35,35 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), capacity=1024, end_id=2)
 
 
+@_register(
+    "op2_chat_formatting",
+    r"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    e AS (SELECT *, length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|/?TURN\]|TURN )', '\1x\2\3', 'g')) AS chars FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(chars + CASE role WHEN 'user' THEN 18 WHEN 'assistant' THEN 8 ELSE 14 + length(role) END)::BIGINT AS formatted_chars,
+           0::BIGINT AS n_rewrites
+    FROM e GROUP BY conv_id
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
+    return chat.digest(chat.format_turns(turns.unionByName(own)))
+
+
+@_register("op4_language_id")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    known = langid.learn(docs.filter(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    return langid.predict(docs, known).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @_register(
     "op8_quality_rules",
     r"""

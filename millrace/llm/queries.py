@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, langid, packing, quality, token_counts
+from millrace.llm import chat, exact, langid, packing, quality, secrets, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +64,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, known).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@_register("op7_secret_scans")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    forest, known = secrets.trained(docs)
+    return secrets.scan(docs, forest, known)
+
+
 @_register(
     "op8_quality_rules",
     r"""

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, langid, packing, quality, secrets, token_counts
+from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -64,6 +65,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, known).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@_register("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(_documents(spark, sf_dir))
+
+
 @_register("op7_secret_scans")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
@@ -116,3 +122,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(_documents(spark, sf_dir))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

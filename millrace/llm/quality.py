@@ -190,7 +190,7 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     stays = judged.filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text"), F.col("host_key").alias("_host"), F.coalesce("cut_keys", F.array().cast("array<bigint>")).alias("_cut"))
     stays = stays.dropDuplicates(["_id", "_text", "_host"])
     id_name, text_name, host_name, cut = (fresh(docs, c) for c in ("_doc_id", "_text_key", "_host_key", "_cut_keys"))
-    kind = docs.schema
+    kind, names = docs.schema, list(docs.columns)
     keyed_schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kind) + f", {text_name} bigint, {host_name} bigint"
 
     def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,10 +218,10 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
                     with_word = [j for j, line in enumerate(texts) if line.strip(b" \t\n\v\f\r")]
                     gone = {j for j, b in zip(with_word, bad, strict=True) if b}
                     out.append(b"\n".join(line for j, line in enumerate(texts) if j not in gone).decode())
-                columns = [pa.array(out, pa.string()) if name == text_col else part.column(name) for name in docs.columns]
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                columns = [pa.array(out, pa.string()) if name == text_col else part.column(name) for name in names]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    stripped = joined.filter(F.size(cut) > 0).mapInArrow(strip, docs.schema)
+    stripped = joined.filter(F.size(cut) > 0).mapInArrow(strip, kind)
     if "n_chars" in docs.columns:
         stripped = stripped.withColumn("n_chars", F.length(column(stripped, text_col)).cast(docs.schema["n_chars"].dataType))
     return untouched.unionByName(stripped)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, token_counts
+from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_turns(turns.unionByName(own)))
 
 
+@_register("op3_suffix_array_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_documents(spark, sf_dir), length=100)
+
+
 @_register("op4_language_id")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)

@@ -60,10 +60,50 @@ def pretokens(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-class ByteBpe:
+class CachedEncoder:
+    """Ids of short stretches of text, encoded once each and found again by hash.
+
+    A direct-mapped table of ``slots`` hashes points into a pool of ids, which starts anew when it holds more than ``pool``.
+    """
+
+    def __init__(self, vocabulary: int, slots: int = 1 << 20, pool: int = 1 << 23):
+        self.slots, self.pool, self.kind = slots, pool, np.uint16 if vocabulary < 1 << 16 else np.int32
+        self._clear()
+
+    def _clear(self) -> None:
+        self.seen = np.zeros(self.slots, np.uint64)
+        self.at = np.zeros(self.slots, np.int64)
+        self.count = np.zeros(self.slots, np.int32)
+        self.ids = np.zeros(0, self.kind)
+
+    def lookup(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per pre-token: place of its ids in ``self.ids``, and how many."""
+        if len(self.ids) > self.pool:
+            self._clear()
+        hashes = ragged.token_hashes(raw, starts, lengths)
+        shift = np.uint64(64 - (self.slots.bit_length() - 1))
+        slot = (hashes >> shift).astype(np.int64)
+        at, count = self.at[slot], self.count[slot]
+        new = np.flatnonzero(self.seen[slot] != hashes)
+        if len(new):
+            _, first, again = np.unique(hashes[new], return_index=True, return_inverse=True)
+            pick = new[first]
+            ids, sizes = self._encode(raw, starts[pick], lengths[pick])
+            place = len(self.ids) + ragged.bounds(sizes)[:-1]
+            self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
+            at[new], count[new] = place[again], sizes[again]
+            self.seen[slot[pick]], self.at[slot[pick]], self.count[slot[pick]] = hashes[pick], place, sizes
+        return at, count
+
+    def _encode(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the given stretches, on end, and how many each has."""
+        raise NotImplementedError
+
+
+class ByteBpe(CachedEncoder):
     """Vocabulary and merge ranks of a byte-level BPE file, with a cache of the pre-tokens met."""
 
-    def __init__(self, path: str, slots: int = 1 << 20, pool: int = 1 << 23):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
@@ -77,14 +117,7 @@ class ByteBpe:
         order = np.argsort(key)
         self.keys, self.ranks, self.made = key[order], order.astype(np.int32), made[order]
         self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
-        self.slots, self.pool = slots, pool
-        self._clear()
-
-    def _clear(self) -> None:
-        self.seen = np.zeros(self.slots, np.uint64)
-        self.at = np.zeros(self.slots, np.int64)
-        self.count = np.zeros(self.slots, np.int32)
-        self.ids = np.zeros(0, np.uint16 if len(self.made) < 65000 else np.int32)
+        super().__init__(len(vocab) + len(self.special))
 
     def parts(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts of the stretches that are split by themselves, and the special strings among them (start, end).
@@ -120,25 +153,6 @@ class ByteBpe:
         lengths = np.diff(np.append(starts, len(raw)))
         return starts, lengths, np.searchsorted(starts, offsets)
 
-    def lookup(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per pre-token: place of its ids in ``self.ids``, and how many."""
-        if len(self.ids) > self.pool:
-            self._clear()
-        hashes = ragged.token_hashes(raw, starts, lengths)
-        shift = np.uint64(64 - (self.slots.bit_length() - 1))
-        slot = (hashes >> shift).astype(np.int64)
-        at, count = self.at[slot], self.count[slot]
-        new = np.flatnonzero(self.seen[slot] != hashes)
-        if len(new):
-            _, first, again = np.unique(hashes[new], return_index=True, return_inverse=True)
-            pick = new[first]
-            ids, sizes = self._encode(raw, starts[pick], lengths[pick])
-            place = len(self.ids) + ragged.bounds(sizes)[:-1]
-            self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
-            at[new], count[new] = place[again], sizes[again]
-            self.seen[slot[pick]], self.at[slot[pick]], self.count[slot[pick]] = hashes[pick], place, sizes
-        return at, count
-
     def _encode(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         symbols = self.byte_ids[raw[ragged.ragged_index(starts, lengths)]]
         ids, sizes = self.merge(symbols, lengths)

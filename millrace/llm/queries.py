@@ -9,12 +9,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, substrings, token_counts
+from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, sentpiece, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def _register(name: str, sql: str | None = None):
@@ -75,6 +76,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(_documents(spark, sf_dir))
 
 
+@_register("op6_sentencepiece")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path(PIECE_BPE)
+    both = sentpiece.decode(sentpiece.encode(_documents(spark, sf_dir), model), model)
+    return both.select("doc_id", "n_pieces", F.sha2("ids", 256).alias("ids_sha256"), (F.sha2("text", 256) == F.col("text_sha256")).alias("round_trip"))
+
+
 @_register("op7_secret_scans")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)

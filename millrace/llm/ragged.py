@@ -174,3 +174,32 @@ def spread_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
     place = at - np.repeat(starts, lengths)
     total = np.add.reduceat((raw[at] + np.uint64(1)) * _powers(int(lengths.max()))[place], bounds(lengths)[:-1])
     return mix(total ^ (lengths.astype(np.uint64) << np.uint64(40)))
+
+
+@lru_cache(maxsize=4)
+def _two_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        table = np.full(n, base, np.uint64)
+        table[0] = 1
+        out.append(np.multiply.accumulate(table))
+    return out[0], out[1]
+
+
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base, ``n`` at least, and their inverses modulo 2 ** 64."""
+    return _two_tables(1 << max(16, n.bit_length()))
+
+
+def prefix_hashes(values: np.ndarray) -> np.ndarray:
+    """Sums of value times power of the base, up to each position, modulo 2 ** 64."""
+    power, _ = power_tables(len(values) + 1)
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=out[1:])
+    return out
+
+
+def range_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the values of each range, wherever it stands."""
+    _, inverse = power_tables(len(prefix))
+    return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,49 +35,18 @@ BUCKET_BYTES = 4 << 20
 HOT_CONTEXTS = 2_000
 HOT_RUN = 8
 
-_BASE = np.uint64(0x5851F42D4C957F2D)
 _POSITION_BITS = 30
 
 
-@lru_cache(maxsize=4)
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base, and their inverses modulo 2 ** 64."""
-    inverse = pow(int(_BASE), -1, 1 << 64)
-    out = []
-    for base in (_BASE, np.uint64(inverse)):
-        table = np.full(n, base, np.uint64)
-        table[0] = 1
-        out.append(np.multiply.accumulate(table))
-    return out[0], out[1]
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _power_tables(1 << max(16, n.bit_length()))
-
-
-def prefix_hashes(raw: np.ndarray) -> np.ndarray:
-    """Sums of byte times power of the base, up to each position, modulo 2 ** 64."""
-    power, _ = _tables(len(raw) + 1)
-    out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw + np.uint64(1)) * power[: len(raw)], out=out[1:])
-    return out
-
-
-def range_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the bytes of each range, wherever it stands."""
-    _, inverse = _tables(len(prefix))
-    return ragged.mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-
-
 def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> dict[str, np.ndarray]:
     """The anchors of each text: hash, row, first window ``low``, last window ``high``, place ``at``, and hash of all bytes of the windows."""
     n, span = len(raw), length - piece + 1
     empty = np.zeros(0, np.int64)
     if n < length:
         return {"hash": np.zeros(0, np.uint64), "row": empty, "low": empty, "high": empty, "at": empty, "around": np.zeros(0, np.uint64)}
-    prefix = prefix_hashes(raw)
+    prefix = ragged.prefix_hashes(raw)
     place = np.arange(n - piece + 1)
-    grams = range_hashes(prefix, place, place + piece)
+    grams = ragged.range_hashes(prefix, place, place + piece)
     least = (grams >> np.uint64(_POSITION_BITS) << np.uint64(_POSITION_BITS)) | place.astype(np.uint64)
     width = 1
     while width * 2 <= span:
@@ -95,15 +63,15 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, piece: i
     first = np.flatnonzero(new)
     low, high = start[first], start[np.append(first[1:], len(start)) - 1] if len(first) else empty
     at, row = at[first], row[first]
-    return {"hash": grams[at], "row": row, "low": low, "high": high, "at": at, "around": range_hashes(prefix, low, high + length)}
+    return {"hash": grams[at], "row": row, "low": low, "high": high, "at": at, "around": ragged.range_hashes(prefix, low, high + length)}
 
 
 class SuffixSorter:
     """Mergesort of suffixes, compared by binary search for their common extension over prefix hashes."""
 
     def __init__(self, raw: np.ndarray):
-        self.raw, self.prefix = raw, prefix_hashes(raw)
-        self.power, _ = _tables(len(raw) + 1)
+        self.raw, self.prefix = raw, ragged.prefix_hashes(raw)
+        self.power, _ = ragged.power_tables(len(raw) + 1)
 
     def _same(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         return (self.prefix[a + length] - self.prefix[a]) * self.power[b] == (self.prefix[b + length] - self.prefix[b]) * self.power[a]

@@ -18,7 +18,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: With 36 bands of 6 coordinates two texts of similarity 0.8 share a band with probability 0.99998, of 0.5 with 0.43, of 0.3 with 0.03.
 BANDS, ROWS = 36, 6
-#: Centres that the texts left over in a bucket are compared with in each later round.
+#: The texts left over in a bucket are compared with so many centres in the next round, then with the square of it, and so on.
 MORE_CENTRES = 8
 
 
@@ -180,8 +180,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
 
     Equal texts count once. Texts that share a band key meet in a bucket, and are compared exactly with the bucket's centre: the
     text that shares most buckets with others, which in a group of altered copies is the original. Texts of a bucket that end in
-    another class than its centre meet again among themselves, with new centres, until each has been compared or
-    linked; no bucket is capped, and none makes all its pairs. A bucket may hold any share of the rows.
+    another class than its centre meet again among themselves where they share a second key (at 0.8 two texts have one key in
+    common with probability 0.99998, two with 0.9997), with 8, then 64, … centres a bucket, until each has been compared or
+    linked; no bucket is capped. A bucket may hold any share of the rows.
 
     NULL text: empty. Texts without a word: only equal ones are alike. Fewer than five words: one run of all words. Rows that share a
     doc_id are one node. NULL doc_id: text_id and class_id of an equal text, or NULL. Empty table: no rows.
@@ -206,18 +207,19 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     if met.isEmpty():
         return None
     popular = met.groupBy("id").agg(F.sum("n").alias("popular"))
-    left = stage(met.join(popular, "id"), "buckets")
+    left = stage(met.drop("n").join(popular, "id"), "buckets")
     wanted = popular.select(F.col("id").alias("doc_id"))
     sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "shingles")
 
-    edges = tested = None
-    labels, centres_each = None, 1
+    edges = tested = labels = None
+    round_no = 0
     while True:
-        slot = F.pmod(F.xxhash64("id"), F.lit(centres_each))
-        centre = left.groupBy("key", slot.alias("slot")).agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"))).alias("top"))
+        centres_each = 1 if round_no == 0 else MORE_CENTRES**round_no
+        centre = left.groupBy("key", F.pmod(F.xxhash64("id", F.lit(round_no)), F.lit(centres_each)).alias("slot")).agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"))).alias("top"))
         centre = centre.select("key", (-F.col("top.minus")).alias("centre"))
         sizes = left.groupBy("key").agg(F.count("*").alias("size"))
-        centres = centre.join(sizes, "key").groupBy("key").agg(F.max("size").alias("size"), F.collect_list("centre").alias("centres"))
+        heads = stage(centre.join(sizes, "key"), "centres")
+        centres = heads.groupBy("key").agg(F.max("size").alias("size"), F.collect_list("centre").alias("centres"))
         pairs = join_groups(left.select("key", "id"), centres, ["key"], "size", total, how="inner").select("id", F.explode("centres").alias("centre")).filter("id != centre")
         pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
         if tested is not None:
@@ -225,17 +227,29 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
         pairs = stage(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         linked = stage(_verified(pairs, sets, similarity), "links")
-        edges = linked if edges is None else edges.unionByName(linked)
-        labels = components(edges)
+        if edges is None or not linked.isEmpty():
+            edges = linked if edges is None else edges.unionByName(linked)
+            labels = components(edges)
 
+        # What stands in another class than the bucket's centres, where that is more than one class.
         named = left.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        heads = centre.join(labels, centre.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label"))
-        rest = named.join(heads.distinct(), ["key", "label"], "left_anti")
-        mixed = rest.groupBy("key").agg(F.count("*").alias("now"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-        left = stage(join_groups(rest.select("key", "id", "n", "popular"), mixed.select("key", "now"), ["key"], "now", total, how="inner").drop("now"), "buckets")
+        settled = heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label"))
+        rest = _mixed(named.join(settled.distinct(), ["key", "label"], "left_anti"), total)
+        if round_no == 0:
+            # These share one key and are not alike. From here on two texts meet only if they share another one too.
+            again = rest.select("id", "popular", "label", F.col("key").alias("one")).join(met.select("id", F.col("key").alias("two")), "id").filter("one != two")
+            again = again.select(F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("key"), "id", "popular", "label").distinct()
+            rest = _mixed(again, total)
+        left = stage(rest.drop("label"), "buckets")
         if left.isEmpty():
             return labels
-        centres_each = MORE_CENTRES
+        round_no += 1
+
+
+def _mixed(entries: DataFrame, total: int) -> DataFrame:
+    """The entries (key, id, popular, label) of buckets with more than one label."""
+    mixed = entries.groupBy("key").agg(F.count("*").alias("now"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    return join_groups(entries.select("key", "id", "popular", "label"), mixed.select("key", "now"), ["key"], "now", total, how="inner").drop("now")
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

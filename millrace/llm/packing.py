@@ -61,23 +61,57 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id
     return narrow.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 
 
+def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int]]:
+    """Best fit, largest lengths first: (lengths of a bin, how many such bins). Equal bins are filled together.
+
+    The fullest bin that has room for a length takes it; with the length in it that bin is fuller still, so it takes all that fit.
+    """
+    bins: dict[int, list[tuple[list[int], int]]] = {}
+    for length in sorted(counts, reverse=True):
+        count = counts[length]
+        for room in sorted(r for r in bins if r >= length):
+            each = room // length
+            waiting = bins.pop(room)
+            while waiting and count:
+                content, times = waiting.pop()
+                full, rest = divmod(count, each)
+                taken = min(times, full)
+                for n, k in ((taken, each), (1 if taken < times and rest else 0, rest)):
+                    if n:
+                        bins.setdefault(room - k * length, []).append(([*content, *[length] * k], n))
+                        count -= n * k
+                        times -= n
+                if times:
+                    waiting.append((content, times))
+            if waiting:
+                bins.setdefault(room, []).extend(waiting)
+            if not count:
+                break
+        each = capacity // length
+        for n, k in ((count // each, each), (1 if count % each else 0, count % each)):
+            if n:
+                bins.setdefault(capacity - k * length, []).append(([length] * k, n))
+    return [one for same in bins.values() for one in same]
+
+
 def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 5_000) -> list[tuple[list[int], int]]:
     """Fill as few bins as can be found: (lengths of a bin, largest first; how many such bins).
 
     Branch and bound. Each step takes the largest length left and tries the undominated ways to fill the rest of its
     bin, best fit first: a filling is dominated if exchanging some of its items for one left-over item that is larger and still
     fits gives another. Fillings of many equal bins are taken together. A branch ends when the space already
-    wasted exceeds what would make fewer bins than the best solution. The first descent takes the best fit at every
-    step and is the first incumbent. ``nodes`` bounds the search after it, not the result: every
-    piece always has a place.
+    wasted exceeds what would make fewer bins than the best solution. :func:`best_fit` gives the first one. ``nodes`` bounds the
+    search, not the result: every piece always has a place.
     """
     counts = {n: c for n, c in counts.items() if c > 0}
     if any(n > capacity or n < 1 for n in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
     total = sum(n * c for n, c in counts.items())
     least = -(-total // capacity)
-    best: list[tuple[list[int], int]] = []
-    best_bins = None
+    best = best_fit(counts, capacity)
+    best_bins = sum(times for _, times in best)
+    if best_bins == least:
+        return best
     budget = nodes
 
     def descend(left: dict[int, int], bins: list[tuple[list[int], int]], used: int, waste: int) -> None:
@@ -88,15 +122,15 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 5_000) ->
         while True:
             left, bins, used, waste = state
             if not left:
-                if best_bins is None or used < best_bins:
+                if used < best_bins:
                     best, best_bins = list(bins), used
                 options = iter(())
             elif options is None:
                 largest = max(left)
                 options = fillings(left, largest, capacity - largest)
             move = next(options, None)
-            while move is None or budget <= 0 and best_bins is not None:
-                if not trail or best_bins == least or budget <= 0 and best_bins is not None:
+            while move is None or budget <= 0:
+                if not trail or best_bins == least or budget <= 0:
                     return
                 left, bins, used, waste, options = trail.pop()
                 move = next(options, None)
@@ -106,7 +140,7 @@ def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 5_000) ->
                 need[n] = need.get(n, 0) + 1
             times = min(left[n] // k for n, k in need.items())
             lost = waste + times * (capacity - sum(move))
-            if best_bins is not None and lost > (best_bins - 1) * capacity - total:
+            if lost > (best_bins - 1) * capacity - total:
                 state = (left, bins, used, waste)
                 continue
             trail.append((left, bins, used, waste, options))

@@ -122,7 +122,7 @@ def feature_row(value: str, before: str, after: str, path: str, known: Lexicon)
         float(bool(PATH_WORDS.search(path))),
         float(any(w in CREDENTIAL_WORDS for w in near)),
         float(bool(re.search(r"[:=>]\s*[\"']?$", before))),
-        float(any(w in HARMLESS_WORDS for w in near + follows)),
+        float(any(w in HARMLESS_WORDS for w in near[-2:] + follows)),
         float(bool(re.search(r"(?i)x{4}|your|example|placeholder|dummy|sample|(.)\1{5}", value))),
     ]
 

@@ -34,7 +34,7 @@ def push_list(
     rows = number_rows(pushed, ["key"], [*names, "_mr_pos"], "seq", hot_rows).select("key", "seq", "value")
     if current is None:
         return rows
-    tops = current.groupBy("key").agg(F.max("seq").alias("_mr_top"))
-    return rows.join(tops, "key", "left").select(
+    tops = current.groupBy(F.col("key").alias("_mr_key")).agg(F.max("seq").alias("_mr_top"))
+    return rows.join(tops, F.col("key").eqNullSafe(F.col("_mr_key")), "left").select(
         "key", (F.col("seq") + F.coalesce("_mr_top", F.lit(0))).alias("seq"), "value"
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from fractions import Fraction
 from functools import reduce
 from operator import and_, or_
 
@@ -15,41 +16,49 @@ from millrace.messages import as_column
 
 
 def dedup_recent(df: DataFrame, id: str, ts: str, horizon: str = "30 days", now: Column | str | None = None, ordered: bool = True) -> DataFrame:
-    """Messages of the last ``horizon``, each id once (its earliest copy), newest first.
+    """Messages of the last ``horizon``, each id once (its earliest copy), newest first; those without an id all stay.
 
     ``now`` defaults to the current time.  On a stream the horizon becomes the watermark
     and the order is that of arrival.
     """
     if df.isStreaming:
-        return df.withWatermark(ts, horizon).dropDuplicatesWithinWatermark([id])
+        marked = df.withWatermark(ts, horizon)
+        return marked.filter(F.col(id).isNotNull()).dropDuplicatesWithinWatermark([id]).unionByName(marked.filter(F.col(id).isNull()))
     kind = df.schema[ts].dataType.simpleString()
     at = F.current_timestamp() if now is None else as_column(now)
     recent = df.filter(F.col(ts) >= (at.cast(kind) - F.expr(f"interval {horizon}")))
+    # Messages without an id have nothing in common: all of them stay.
+    nameless, recent = recent.filter(F.col(id).isNull()), recent.filter(F.col(id).isNotNull())
     rest = [c for c in df.columns if c != id]
     # Copies fold to the earliest one before the shuffle.  A hash settles ties; maps and variants cannot be hashed.
     hashable = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
     once = recent.groupBy(id).agg(F.min_by(F.struct(*rest), F.struct(ts, F.xxhash64(*hashable))).alias("m"))
     out = once.select(*[F.col(c) if c == id else F.col(f"m.{c}") for c in df.columns])
+    out = out.unionByName(nameless)
     return out.orderBy(F.col(ts).desc(), F.col(id).desc()) if ordered else out
 
 
 # The characters of a word.
 WORD = r"\p{L}\p{N}_#@"
-# Up to this many keywords are looked for by one pattern, more by a set of the text's words.
-MAX_PATTERN_WORDS = 100
 
 
-def words(text: str | Column) -> Column:
-    """Lower-case words of a text."""
-    return F.split(F.lower(text), f"[^{WORD}]+")
+def has_word(text: str | Column, any_of: Sequence[str]) -> Column:
+    """Does any of the words occur in the text, as a whole word and in any case?
 
+    One pattern for any number of words; words that begin alike share their beginning in it, so its
+    cost follows the text and not the length of the list.
+    """
+    return F.lower(text).rlike(f"(?<![{WORD}])(?:{_any_of([w.lower() for w in any_of])})(?![{WORD}])")
 
-def has_word(text: str | Column, any_of: Sequence[str]) -> Column:
-    """Does any of the words occur in the text, as a whole word and in any case?"""
-    if len(any_of) > MAX_PATTERN_WORDS:
-        return F.arrays_overlap(words(text), F.lit([w.lower() for w in any_of]))
-    choices = "|".join(re.escape(w.lower()) for w in any_of)
-    return F.lower(text).rlike(f"(?<![{WORD}])({choices})(?![{WORD}])")
+
+def _any_of(choices: Sequence[str]) -> str:
+    """A pattern for any of the texts, as a tree of their beginnings."""
+    by_first: dict[str, list[str]] = {}
+    for text in choices:
+        by_first.setdefault(text[:1], []).append(text[1:])
+    branches = [re.escape(c) + (_any_of(rest) if any(rest) else "") for c, rest in sorted(by_first.items()) if c]
+    pattern = "(?:" + "|".join(branches) + ")" if branches else ""
+    return pattern + "?" if "" in by_first else pattern
 
 
 def filter_any(
@@ -81,9 +90,15 @@ def filter_any(
 
 
 def stable_sample(df: DataFrame, id: str | Sequence[str], percent: float) -> DataFrame:
-    """A sample that depends on the id only, so every reader gets the same rows."""
-    ids = [id] if isinstance(id, str) else list(id)
-    return df.filter(F.pmod(F.xxhash64(*ids), F.lit(10_000)) < round(percent * 100))
+    """A sample that depends on the id only, so every reader gets the same rows.
+
+    The first 15 hex digits of the id's MD5 (several ids: their texts on end, each with its length before) as a number,
+    compared with that share of the numbers there are; any percentage is met, and other engines can draw the same.
+    """
+    ids = [F.coalesce(F.col(i).cast("string"), F.lit("")) for i in ([id] if isinstance(id, str) else id)]
+    text = ids[0] if len(ids) == 1 else F.concat(*[part for i in ids for part in (F.length(i).cast("string"), F.lit(":"), i)])
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("bigint")
+    return df.filter(number < int(Fraction(str(percent)) / 100 * 2**60))
 
 
 def search(

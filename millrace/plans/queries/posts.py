@@ -18,12 +18,14 @@ def dedup_recent_events(spark, sf_dir):
 SELECT doc_id FROM documents
 WHERE list_has_any(string_split_regex(lower(text), '[^\\p{L}\\p{N}_#@]+'), ['license', 'copyright'])
    OR list_has_all(string_split_regex(lower(text), '[^\\p{L}\\p{N}_#@]+'), ['que', 'los'])
-   OR source IN ('src3', 'src5')
+   OR source IN ('src3', 'src5', 'src7', 'src8')
 """)
 def documents_by_keyword_or_source(spark, sf_dir):
-    """Keywords, a phrase of two words, or certain authors"""
-    docs = table(spark, sf_dir, "documents")
-    return filter_any(docs, "text", ["license", "Copyright", "los que"], user="source", follow=["src3", "src5"]).select("doc_id")
+    """More than a hundred keywords, some with other characters than letters, a phrase of two words, or certain authors"""
+    tail = F.expr("CASE source WHEN 'src7' THEN ' c++, too' WHEN 'src8' THEN ' (New-York)' WHEN 'src9' THEN ' c++17 new-yorker' ELSE '' END")
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.concat("text", tail))
+    rare = [f"neverseen{i}" for i in range(120)]
+    return filter_any(docs, "text", [*rare, "c++", "new-york", "license", "Copyright", "los que"], user="source", follow=["src3", "src5"]).select("doc_id")
 
 
 @query("""
@@ -41,9 +43,9 @@ def _place():
     return {"lat": F.col("value") / 2 - 60, "lon": F.get_json_object("props", "$.k").cast("int") * F.lit(3.0) - 150}
 
 
-@query()
+@query("SELECT event_id, event_type FROM events WHERE ('0x' || substr(md5(event_id::VARCHAR), 1, 15))::BIGINT < 57646075230342348")
 def same_sample_for_everyone(spark, sf_dir):
-    """The hash is Spark's, so there is no SQL for another engine"""
+    """Five percent"""
     return stable_sample(table(spark, sf_dir, "events"), "event_id", 5).select("event_id", "event_type")
 
 

@@ -1,12 +1,15 @@
 """Tables, topics, generated messages, syslog and change events."""
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from millrace.messages import to_messages
 from millrace.plans.queries.registry import query, table, text_of
 from millrace.session import scratch_path
 from millrace.sources.changes import unwrap_changes
-from millrace.sources.generate import generate_messages, time_spine, zero_fill
+from millrace.operators.numbering import number_rows
+from millrace.sources.generate import fill_payload, generate_messages, time_spine, zero_fill
 from millrace.sources.syslog import parse_syslog
 from millrace.sources.tables import TablePoller, poll_chunks, read_table, row_lists
 from millrace.sources.topics import topic_messages
@@ -44,18 +47,21 @@ def polls_of_a_table(spark, sf_dir):
 
 
 @query("""
-SELECT ((rn - 1) // 400 + 1)::INT AS poll, o_orderkey
-FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) WHERE rn <= 1200
+SELECT ((rn - 1) // greatest(400, (n + 5) // 6) + 1)::INT AS poll, o_orderkey
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders)
 """)
 def committed_polls(spark, sf_dir):
-    """Three polls of at most 400 rows each, the position kept between them"""
+    """Polls of a sixth of the table (400 rows at least) until nothing is left, the position kept between them"""
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     state, out = scratch_path(spark, "position"), scratch_path(spark, "polled")
-    for poll in (1, 2, 3):
-        poller = TablePoller(spark, state, "o_orderkey", 400)
+    size = max(400, -(-orders.count() // 6))
+    for poll in itertools.count(1):
+        poller = TablePoller(spark, state, "o_orderkey", size)
         poller.poll(orders).withColumn("poll", F.lit(poll)).write.mode("append").parquet(out)
-        poller.commit(spark.read.parquet(out).filter(F.col("poll") == poll))
-    return spark.read.parquet(out)
+        polled = spark.read.parquet(out).filter(F.col("poll") == poll)
+        if polled.isEmpty():
+            return spark.read.parquet(out)
+        poller.commit(polled)
 
 
 @query("""
@@ -79,13 +85,18 @@ def topic_rows(spark, sf_dir):
     return m.select("msg_id", "key", F.decode("payload", "UTF-8").alias("payload"), text_of("headers").alias("headers"), "content_type")
 
 
-@query("SELECT 8 * count(*) AS messages, 8 * 100 * count(*) AS bytes, 8 AS producers FROM events")
+@query("""
+SELECT event_id, i AS producer, i * n + rn - 1 AS message, md5(rpad(((i * n + rn - 1)::VARCHAR || ':' || props), 100, '.')) AS content
+FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn, count(*) OVER () AS n FROM events), (VALUES (0::BIGINT), (1::BIGINT)) p(i)
+""")
 def generated_load(spark, sf_dir):
-    """Eight producers, each sending one message of 100 bytes per event"""
-    load = generate_messages(spark, producers=8, count=table(spark, sf_dir, "events").count(), size=100)
-    return load.agg(
-        F.count(F.lit(1)).alias("messages"), F.sum(F.octet_length("payload")).alias("bytes"), F.countDistinct("producer").cast("int").alias("producers")
-    )
+    """Two producers, each sending one message per event, of 100 bytes that begin with the message's number and the event's properties"""
+    numbered = number_rows(table(spark, sf_dir, "events").select("event_id", "props", F.lit(0).alias("all")), ["all"], ["event_id"], "rn")
+    load = generate_messages(spark, producers=2, count=numbered.count(), size=100)
+    message = F.col("producer") * F.lit(numbered.count()) + F.col("sequence_number")
+    sent = load.join(numbered, F.col("sequence_number") == F.col("rn") - 1)
+    filled = sent.withColumn("message", message).withColumn("payload", fill_payload(F.concat(F.col("message").cast("string"), F.lit(":"), "props"), 100))
+    return filled.select("event_id", F.col("producer").cast("bigint").alias("producer"), "message", F.md5("payload").alias("content"))
 
 
 @query("""
@@ -111,23 +122,28 @@ SELECT event_id, CASE event_type WHEN 'view' THEN NULL ELSE (event_id % 192 // 8
        CASE event_type WHEN 'view' THEN NULL ELSE event_id::VARCHAR END AS proc_id,
        CASE WHEN event_type IN ('error', 'click') THEN 1 END AS version,
        CASE WHEN event_type IN ('error', 'click') THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') WHEN event_type <> 'view' THEN strftime(ts, '%b %d %H:%M:%S') END AS timestamp_text,
-       CASE event_type WHEN 'view' THEN NULL ELSE props END AS message, CASE event_type WHEN 'view' THEN '<1 ' || props END AS undecoded
+       CASE WHEN event_type <> 'view' THEN CASE event_id % 7 WHEN 0 THEN props || chr(30) || 'x' ELSE props END END AS message,
+       CASE WHEN event_type IN ('error', 'click') THEN CASE event_id % 500 WHEN 0 THEN 100012 ELSE 11 END END AS sd_chars, CASE event_type WHEN 'view' THEN '<1 ' || props END AS undecoded
 FROM events
 """)
 def syslog_fields(spark, sf_dir):
     """Lines of both formats, and lines of none (views), made from events"""
     pri = F.concat(F.lit("<"), F.col("event_id") % 192, F.lit(">"))
+    # Some lines hold 100,000 characters of structured data, with escapes; some hold a control character.
+    long = F.when(F.col("event_id") % 500 == 0, F.concat(F.lit('"'), F.repeat(F.lit("x\\]y"), 25_000), F.lit('\\\\"'))).otherwise(F.lit('"c"'))
+    text = F.when(F.col("event_id") % 7 == 0, F.concat("props", F.lit("\x1ex"))).otherwise(F.col("props"))
     host, at = F.concat(F.lit("host-"), "user_id"), F.col("ts").cast("timestamp")
     line = (
         F.when(F.col("event_type") == "view", F.concat(F.lit("<1 "), "props"))
         .when(
             F.col("event_type").isin("error", "click"),
-            F.concat(pri, F.lit("1 "), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(" "), host, F.lit(" "), "event_type", F.lit(" "), "event_id", F.lit(" ID1 [a@1 b=\"c\"] "), "props"),
+            F.concat(pri, F.lit("1 "), F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(" "), host, F.lit(" "), "event_type", F.lit(" "), "event_id", F.lit(" ID1 [a@1 b="), long, F.lit("] "), text),
         )
-        .otherwise(F.concat(pri, F.date_format(at, "MMM dd HH:mm:ss"), F.lit(" "), host, F.lit(" "), "event_type", F.lit("["), "event_id", F.lit("]: "), "props"))
+        .otherwise(F.concat(pri, F.date_format(at, "MMM dd HH:mm:ss"), F.lit(" "), host, F.lit(" "), "event_type", F.lit("["), "event_id", F.lit("]: "), text))
     )
     lines = table(spark, sf_dir, "events").select("event_id", line.alias("payload"))
-    return parse_syslog(lines).select("event_id", "facility", "severity", "host", "app", "proc_id", "version", "timestamp_text", "message", "undecoded")
+    sd = F.length("structured_data").alias("sd_chars")
+    return parse_syslog(lines).select("event_id", "facility", "severity", "host", "app", "proc_id", "version", "timestamp_text", "message", sd, "undecoded")
 
 
 def _change_events(spark, sf_dir):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import pathlib
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _local_scratch: dict[str, str] = {}
 _written: list[str] = []
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "millrace", cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -28,6 +31,20 @@ def build_session(app: str = "millrace", cpus: int | str = "*", shuffle_partitio
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the workers, once per application; an installed package or PYTHONPATH does as well."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = pathlib.Path(__file__).parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="millrace-ship-")) / "millrace.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The generator's defaults.
@@ -35,6 +35,11 @@ def generate_messages(
     return rows.withColumn("ts", F.current_timestamp()) if ts else rows
 
 
+def fill_payload(start: str | Column, size: int, fill: str = ".") -> Column:
+    """A payload of ``size`` characters that begins with the row's own text."""
+    return F.rpad(start, size, fill).cast("binary")
+
+
 def generate_stream(spark: SparkSession, rows_per_batch: int, size: int = MESSAGE_SIZE, producers: int = PRODUCERS) -> DataFrame:
     """S8 as a stream: a fixed number of messages per micro-batch."""
     source = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", rows_per_batch).option("numPartitions", producers)

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.expressions import compute_once
 
-# The two line formats.
-RFC3164 = r"^<(\d{1,3})>([A-Za-z]{3} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) ([^\s:\[]+)(?:\[([^\]]*)\])?: ?([\s\S]*)$"
-RFC5424 = r"^<(\d{1,3})>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^\]\\]|\\.)*\])+)(?: ([\s\S]*))?$"
+# The two line formats; a priority is at most 191.  Repetitions that may be long are possessive, which Java
+# runs in a loop: a greedy one calls itself for each step and exhausts the stack.
+RFC3164 = r"^<(\d{1,2}|1[0-8]\d|19[01])>([A-Za-z]{3} [ \d]\d \d{2}:\d{2}:\d{2}) (\S+) ([^\s:\[]+)(?:\[([^\]]*)\])?: ?([\s\S]*)$"
+RFC5424 = r"^<(\d{1,2}|1[0-8]\d|19[01])>(\d{1,2}) (\S++) (\S++) (\S++) (\S++) (\S++) (-|(?:\[[^\]\\]*+(?:\\[\s\S][^\]\\]*+)*+\])++)(?: ([\s\S]*+))?$"
 
 # The number of groups in each.
 OLD, NEW = 6, 9
@@ -51,5 +52,8 @@ def parse_syslog(df: DataFrame, column: str = "payload") -> DataFrame:
 
 
 def _groups(line: Column, pattern: str, count: int) -> Column:
+    """The groups of a match.  A separator in the line itself is escaped on the way."""
     joined = "\x1e".join(f"${i}" for i in range(1, count + 1))
-    return F.split(F.regexp_replace(line, pattern, joined), "\x1e", count)
+    safe = F.replace(F.replace(line, F.lit("\x1d"), F.lit("\x1d0")), F.lit("\x1e"), F.lit("\x1d1"))
+    parts = F.split(F.regexp_replace(safe, pattern, joined), "\x1e", count)
+    return F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\x1d1"), F.lit("\x1e")), F.lit("\x1d0"), F.lit("\x1d")))

@@ -142,3 +142,25 @@ def test_search_trending_closest(spark):
     around = trending(df, "text", "ts", "1 day", 5, "lat", "lon", near=(52.0, 10.0, 120.0)).collect()
     assert sorted((r.topic, r.n) for r in around) == [("Spark stream", 2), ("spark batch", 1)]
     assert [r.id for r in closest(df, "lat", "lon", (53.1, 10.0), 2, "id").collect()] == [3, 4]
+
+
+@pytest.mark.parametrize("others", [0, 99, 100, 499])
+def test_keywords_keep_their_meaning_in_any_company(spark, others):
+    texts = ["I like C++ a lot", "c++17", "a new-york minute", "new-yorker", "plain words", None, "abc", "ab"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    track = [f"neverseen{k}" for k in range(others)] + ["c++", "new-york", "ab"]
+    assert {r.i for r in filter_any(df, "text", track).collect()} == {0, 2, 7}
+
+
+def test_samples_of_any_percentage(spark):
+    df = spark.range(400_000)
+    for percent in (0.004, 0.5, 33.3, 100):
+        n = stable_sample(df, "id", percent).count()
+        assert abs(n - 4000 * percent) <= 5 * (4000 * percent) ** 0.5
+    assert stable_sample(df, "id", 0).count() == 0
+
+
+def test_messages_without_an_id_all_stay(spark):
+    df = spark.createDataFrame([(None, "2024-01-01 00:00:00", "a"), (None, "2024-01-01 00:00:00", "a"), (1, "2024-01-01 00:00:00", "b"), (1, "2024-01-01 00:00:01", "c")], "id int, ts string, text string").withColumn("ts", F.col("ts").cast("timestamp"))
+    got = dedup_recent(df, "id", "ts", "9 days", now="timestamp'2024-01-02 00:00:00'").collect()
+    assert sorted((r.id or 0, r.text) for r in got) == [(0, "a"), (0, "a"), (1, "b")]

@@ -208,3 +208,12 @@ def test_generated_streams(spark, tmp_path):
     query.stop()
     assert tuple(rows[0]) == (40, 7)
     assert tick_stream(spark).isStreaming and tick_stream(spark).columns == ["tick", "payload"]
+
+
+def test_long_syslog_lines_and_separators(spark):
+    sd = "[a@1 b=\"" + "x\\]y" * 250_000 + "\"]"
+    lines = [f"<13>1 2024-01-01T00:00:00Z host app 1 ID {sd} text", "<13>1 - ho\x1est app - - - a\x1eb\x1d0c", "<999>1 - h a - - - x", "<192>1 - h a - - - x", "<191>1 - h a - - - x"]
+    rows = parse_syslog(spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, payload string")).orderBy("i").collect()
+    assert rows[0].structured_data == sd and rows[0].message == "text"
+    assert (rows[1].host, rows[1].app, rows[1].message) == ("ho\x1est", "app", "a\x1eb\x1d0c")
+    assert [r.undecoded is None for r in rows] == [True, True, False, False, True] and rows[4].facility == 23

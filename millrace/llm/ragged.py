@@ -109,8 +109,8 @@ def token_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     place = np.arange(len(raw)) - np.repeat(starts, lengths)
-    powers = _powers(int(lengths.max()))
-    total = np.add.reduceat((raw + np.uint64(1)) * powers[place], starts)
+    power = powers(int(lengths.max()))
+    total = np.add.reduceat((raw + np.uint64(1)) * power[place], starts)
     return mix(total ^ (lengths.astype(np.uint64) << np.uint64(40)))
 
 
@@ -121,18 +121,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _powers(n: int) -> np.ndarray:
-    n = max(64, 1 << (n - 1).bit_length())
-    return _power_table(n)
-
-
-@lru_cache(maxsize=24)
-def _power_table(n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    out[1:] = np.uint64(_BASE)
-    return np.multiply.accumulate(out)
-
-
 def ragged_index(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The positions of all ranges ``starts[i] … starts[i] + lengths[i]``, on end."""
     total = int(lengths.sum())
@@ -172,28 +160,31 @@ def spread_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
         return np.zeros(0, np.uint64)
     at = ragged_index(starts, lengths)
     place = at - np.repeat(starts, lengths)
-    total = np.add.reduceat((raw[at] + np.uint64(1)) * _powers(int(lengths.max()))[place], bounds(lengths)[:-1])
+    total = np.add.reduceat((raw[at] + np.uint64(1)) * powers(int(lengths.max()))[place], bounds(lengths)[:-1])
     return mix(total ^ (lengths.astype(np.uint64) << np.uint64(40)))
 
 
-@lru_cache(maxsize=4)
-def _two_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        table = np.full(n, base, np.uint64)
+_grown: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    """At least ``n`` powers of ``base`` modulo 2 ** 64; each worker keeps one table per base, as long as it ever needed."""
+    table = _grown.get(base)
+    if table is None or len(table) < n:
+        table = np.full(max(1, -(-n // (1 << 20))) << 20, base, np.uint64)
         table[0] = 1
-        out.append(np.multiply.accumulate(table))
-    return out[0], out[1]
+        _grown[base] = table = np.multiply.accumulate(table)
+    return table
 
 
-def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base, ``n`` at least, and their inverses modulo 2 ** 64."""
-    return _two_tables(1 << max(16, n.bit_length()))
+def powers(n: int) -> np.ndarray:
+    """Powers of a fixed base, ``n`` at least."""
+    return _powers_of(_BASE, n)
 
 
 def prefix_hashes(values: np.ndarray) -> np.ndarray:
     """Sums of value times power of the base, up to each position, modulo 2 ** 64."""
-    power, _ = power_tables(len(values) + 1)
+    power = powers(len(values) + 1)
     out = np.zeros(len(values) + 1, np.uint64)
     np.cumsum((values.astype(np.uint64) + np.uint64(1)) * power[: len(values)], out=out[1:])
     return out
@@ -201,5 +192,5 @@ def prefix_hashes(values: np.ndarray) -> np.ndarray:
 
 def range_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the values of each range, wherever it stands."""
-    _, inverse = power_tables(len(prefix))
+    inverse = _powers_of(pow(_BASE, -1, 1 << 64), len(prefix))
     return mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

@@ -29,13 +29,14 @@ from millrace.llm.common import column
 LENGTH = 100
 PIECE = 32
 #: Text of a block, and text of which a bucket gets the repeated parts, about.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 #: An anchor with more surroundings than this is split into runs of HOT_RUN windows, keyed by what all windows of a run have in common.
 HOT_CONTEXTS = 2_000
 HOT_RUN = 8
 
 _POSITION_BITS = 30
+_WINDOWS_AT_ONCE = 200_000
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, piece: int = PIECE) -> dict[str, np.ndarray]:
@@ -71,7 +72,7 @@ class SuffixSorter:
 
     def __init__(self, raw: np.ndarray):
         self.raw, self.prefix = raw, ragged.prefix_hashes(raw)
-        self.power, _ = ragged.power_tables(len(raw) + 1)
+        self.power = ragged.powers(len(raw) + 1)
 
     def _same(self, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
         return (self.prefix[a + length] - self.prefix[a]) * self.power[b] == (self.prefix[b + length] - self.prefix[b]) * self.power[a]
@@ -188,7 +189,7 @@ def repeated_ranges(raw: np.ndarray, key: np.ndarray, start: np.ndarray, size: n
     by_key, sizes = _groups(key[left])
     left = left[by_key][np.repeat(sizes, sizes) > 1]
     windows = size[left] - length + 1
-    cuts = np.searchsorted(np.cumsum(windows), np.arange(1, int(windows.sum()) // 400_000 + 1) * 400_000)
+    cuts = np.searchsorted(np.cumsum(windows), np.arange(1, int(windows.sum()) // _WINDOWS_AT_ONCE + 1) * _WINDOWS_AT_ONCE)
     keys = key[left]
     cuts = [0, *sorted({int(np.searchsorted(keys, keys[c], side="right")) for c in cuts if c < len(left)}), len(left)]
     for begin, end in zip(cuts, cuts[1:], strict=False):

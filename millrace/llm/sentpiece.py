@@ -432,7 +432,7 @@ def _encode_long(docs: DataFrame, path: str) -> DataFrame:
                 points, _ = model.normalised(raw, offsets)
                 sha, number = hashlib.sha256(raw.tobytes()).hexdigest(), number + 1
                 for n, (inside, first, final, begin, end, window) in enumerate(split_chunks(model, points)):
-                    row = {"doc_id": batch.column("doc_id").slice(k, 1), "sha": [sha], "row": [number], "k": [n], "inside": [inside], "first": [first], "final": [final], "begin": [begin], "end": [end], "points": [window.astype("<i4").tobytes()]}
+                    row = {"doc_id": batch.column("doc_id").slice(k, 1), "sha": [sha], "row": [number], "k": [n], "inside": [inside], "first": [first], "final": [final], "begin": [begin], "end": [end], "points": [window.astype("<u4").tobytes().decode("utf-32-le").encode()]}
                     yield pa.RecordBatch.from_pydict(row)
 
     schema = f"doc_id {kind}, sha string, row bigint, k bigint, inside boolean, first boolean, final boolean, begin bigint, end bigint, points binary"
@@ -441,7 +441,7 @@ def _encode_long(docs: DataFrame, path: str) -> DataFrame:
 
     def unpacked(batch: pa.RecordBatch) -> Iterator[dict]:
         for one in batch.to_pylist():
-            yield one | {"points": np.frombuffer(one["points"], "<i4").astype(np.int64)}
+            yield one | {"points": np.frombuffer(one["points"].decode().encode("utf-32-le"), "<u4").astype(np.int64)}
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)

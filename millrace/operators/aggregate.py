@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.messages import as_column
 from millrace.operators.numbering import mark_rows, number_rows
@@ -26,7 +27,8 @@ def aggregate(
     """Lists of payloads per key, in the given arrival order.
 
     ``release_size`` closes a group with its n-th message; ``release_expr`` closes it
-    with the first message for which the expression holds, that message included.
+    with the first message for which the expression holds, that message included; with both,
+    whichever comes first does.
     A group is forgotten once released, the next message starts a new one.
     ``send_partial`` also emits the open group at the end of each key.
 
@@ -35,11 +37,15 @@ def aggregate(
     continues in the next ``part``, so that every list is bounded.
 
     On a stream this is :func:`millrace.streaming.aggregate.aggregate_stream` without
-    idle time: open groups stay in state, and the payloads are text.
+    idle time: open groups stay in state, so there ``send_partial`` is an error.
     """
-    if (release_size is None) == (release_expr is None):
-        raise ValueError("give either release_size or release_expr")
+    if release_size is None and release_expr is None:
+        raise ValueError("give release_size, release_expr or both")
+    if release_size is not None and release_size < 1:
+        raise ValueError("release_size must be positive")
     if df.isStreaming:
+        if send_partial:
+            raise ValueError("a stream has no end: use aggregate_stream with timeout_ms, or open_groups after it stopped")
         from millrace.streaming.aggregate import aggregate_stream
 
         return aggregate_stream(df, key, order, release_size, release_expr, payload, part_rows=part_rows)
@@ -50,9 +56,7 @@ def aggregate(
     if all(isinstance(o, str) for o in order):
         # Hot keys are stored on the way, so nothing else should go along.
         narrow = narrow.select(*dict.fromkeys([*keys, *order, "_mr_item", "_mr_closes"]))
-    if release_size is not None:
-        if release_size < 1:
-            raise ValueError("release_size must be positive")
+    if release_size is not None and release_expr is None:
         rows = number_rows(narrow, keys, order, "rn", hot_rows)
         rows = rows.withColumn("group_no", F.expr(f"(rn - 1) div {release_size}"))
         rows = rows.withColumn("_mr_seq", (F.col("rn") - 1) % release_size + 1)
@@ -64,6 +68,11 @@ def aggregate(
             grouped = _join_null_safe(grouped.drop("closed"), sizes, [*keys, "group_no"])
     else:
         rows = mark_rows(narrow, keys, order, F.col("_mr_closes"), hot_rows)
+        if release_size is not None:
+            # Within a stretch that ends by content, every n-th message closes a group too.
+            full = (F.col("rn") - F.col("last_mark")) % release_size == 0
+            again = rows.withColumn("_mr_closes", F.coalesce("_mr_closes", F.lit(False)) | full).select(*narrow.columns)
+            rows = mark_rows(again, keys, order, F.col("_mr_closes"), hot_rows)
         rows = rows.withColumn("group_no", F.col("marks_before")).withColumn("_mr_seq", F.col("rn") - F.col("last_mark"))
         if not send_partial:
             rows = rows.filter("marks_before < marks")
@@ -80,13 +89,20 @@ def _collect(rows: DataFrame, keys: list[str], part_rows: int, closed: Column) -
     )
     return (
         rows.groupBy(*keys, "group_no", "part")
-        .agg(F.sort_array(F.collect_list("_mr_pair")).alias("_mr_pairs"), F.max("closed").alias("closed"))
+        .agg(_in_order(F.collect_list("_mr_pair"), rows.schema["_mr_pair"].dataType["_mr_item"].dataType).alias("_mr_pairs"), F.max("closed").alias("closed"))
         .withColumn("size", F.size("_mr_pairs"))
         .withColumn("payloads", F.transform("_mr_pairs", lambda p: p["_mr_item"]))
         .drop("_mr_pairs")
     )
 
 
+def _in_order(pairs: Column, kind: T.DataType) -> Column:
+    """Pairs by their number.  Maps and variants cannot be compared, so there only the numbers are."""
+    if "map<" in kind.simpleString() or "variant" in kind.simpleString():
+        return F.array_sort(pairs, lambda a, b: F.when(a["_mr_seq"] < b["_mr_seq"], -1).when(a["_mr_seq"] > b["_mr_seq"], 1).otherwise(0))
+    return F.sort_array(pairs)
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     gid = F.struct(*on).alias("_mr_gid")
     return left.withColumn("_mr_gid", gid).join(right.select(gid, *[c for c in right.columns if c not in on]), "_mr_gid").drop("_mr_gid")

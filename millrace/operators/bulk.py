@@ -18,10 +18,6 @@ TEXT_ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"
 ERROR_COLUMNS = ("table_name", "error_message", "payload")
 VARCHAR_LENGTH = 2000
 
-# Private-use characters that stand in for a token while a line is being parsed.
-_NULL, _EMPTY, _SLASH, _ESCAPED = "\ue000", "\ue001", "\ue002", "\ue003"
-
-
 def parse_lines(
     df: DataFrame,
     columns: Sequence[str],
@@ -30,8 +26,12 @@ def parse_lines(
     null_string: str | None = None,
     quote: str | None = None,
     escape: str | None = None,
+    types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows ``(columns…, error_message, payload)``, all text; a bad line has an error and NULL columns.
+    """Rows ``(columns…, error_message, payload)``; a bad line has an error and NULL columns.
+
+    All columns are text unless ``types`` names theirs (``int``, ``varchar(5)``, ``date not null``); a field that its
+    type refuses makes the line a bad one. So do a quoted field without an end and escaped bytes that are no UTF-8.
 
     ``fmt`` is ``text`` (tab, backslash escapes, ``\\N``) or ``csv`` (quotes; an unquoted
     empty field is NULL unless a null string is given).
@@ -49,66 +49,93 @@ def parse_lines(
         payload = F.decode(payload, "UTF-8")
     lines = df.select(payload.alias("payload"))
     if fmt == "text":
-        return _parse_text(lines, columns, delimiter or TEXT_DELIMITER, TEXT_NULL if null_string is None else null_string)
-    return _parse_csv(lines, columns, delimiter or CSV_DELIMITER, null_string, quote or CSV_QUOTE, escape)
-
-
-def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str) -> DataFrame:
-    # Escaped backslashes and delimiters are hidden first, so a plain split finds the fields.
-    hidden = F.replace("payload", F.lit("\\\\"), F.lit(_SLASH))
-    hidden = F.replace(hidden, F.lit("\\" + delimiter), F.lit(_ESCAPED))
-    # A null string written with a backslash is compared before the escapes are undone.
-    raw_null = null_string.replace("\\\\", _SLASH)
-
-    def field(token: Column) -> Column:
-        text = token
-        for letter, char in TEXT_ESCAPES.items():
-            text = F.replace(text, F.lit("\\" + letter), F.lit(char))
-        text = F.regexp_replace(text, r"\\(.)", "$1")
-        text = F.replace(F.replace(text, F.lit(_ESCAPED), F.lit(delimiter)), F.lit(_SLASH), F.lit("\\"))
-        return F.when(token != raw_null, text)
-
-    rows = compute_once(lines, "_mr_f", F.split(hidden, re.escape(delimiter), -1))
-    return _checked(rows, columns, F.coalesce(F.size("_mr_f"), F.lit(0)), lambda i: field(F.get("_mr_f", F.lit(i))))
-
-
-def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | None, quote: str, escape: str | None) -> DataFrame:
-    edge, after = f"(?<=^|{re.escape(delimiter)})", f"(?=$|{re.escape(delimiter)})"
-    text = F.col("payload")
-    # Spark reads an unquoted empty field as NULL, which is the default null string.  For another one,
-    # unquoted null and empty tokens are marked before the quotes are gone; marks that
-    # landed inside a quoted field are turned back after parsing.
-    if null_string:
-        text = F.regexp_replace(text, edge + re.escape(null_string) + after, _NULL)
-        text = F.regexp_replace(text, edge + after, _EMPTY)
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))] + [T.StructField("bad", T.StringType())])
-    options = {
-        "sep": delimiter, "quote": quote, "escape": escape or quote, "nullValue": "\ue004", "emptyValue": "",
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad", "multiLine": "true",
-        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1",
-    }
-    rows = compute_once(lines, "_mr_f", F.from_csv(text, schema.simpleString()[7:-1].replace(":", " "), options))
-    fields = F.col("_mr_f")
-    # Only bad lines need a field count, and only for the wording of the error.
-    ok = fields.isNotNull() & fields["bad"].isNull()
-    short = F.exists(F.array(*[fields[f"c{i}"].isNull() for i in range(len(columns))]), lambda x: x)
-    count = F.when(ok, len(columns)).when(short, 0).otherwise(len(columns) + 1)
+        return _parse_text(lines, columns, delimiter or TEXT_DELIMITER, TEXT_NULL if null_string is None else null_string, types)
+    return _parse_csv(lines, columns, delimiter or CSV_DELIMITER, null_string, quote or CSV_QUOTE, escape, types)
+
+
+def _class(chars: str) -> str:
+    """Characters for use inside a pattern's brackets."""
+    return "".join("\\" + c if not c.isalnum() and c.isascii() and c.isprintable() else c for c in chars)
+
+
+def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str, types) -> DataFrame:
+    # A field is a run of other characters and of backslashes with what follows them.  Every one is found behind a delimiter.
+    cut = _class(delimiter)
+    pattern = rf"(?s){cut}((?:[^\\{cut}]++|\\.|\\\z)*+)"
+    rows = compute_once(lines, "_mr_f", F.regexp_extract_all(F.concat(F.lit(delimiter), "payload"), F.lit(pattern), 1))
 
     def field(i: int) -> Column:
-        value = fields[f"c{i}"]
-        if not null_string:
-            return value
-        text = F.replace(F.replace(value, F.lit(_EMPTY), F.lit("")), F.lit(_NULL), F.lit(null_string))
-        return F.when(value != _NULL, text)
+        token = F.get("_mr_f", F.lit(i))
+        return F.when(token != null_string, F.when(F.contains(token, F.lit("\\")), _unescaped(token)).otherwise(token))
+
+    broken = F.exists("_mr_f", lambda t: F.contains(t, F.lit("\\")) & ~F.is_valid_utf8(_unescaped_bytes(t)))
+    return _checked(rows, columns, F.size("_mr_f"), field, F.when(broken, "invalid byte sequence"), types)
 
-    return _checked(rows, columns, count, field)
 
+def _unescaped_bytes(token: Column) -> Column:
+    """The bytes of a field of the text format: letters, octal and hex numbers after a backslash, else the character itself."""
+    pieces = F.regexp_extract_all(token, F.lit(r"(?s)(\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}|\\.|\\|[^\\]++)"), 1)
 
-def _checked(rows: DataFrame, columns, count: Column, field) -> DataFrame:
-    error = F.when(count < len(columns), "missing data for a column").when(count > len(columns), "extra data after last expected column")
-    rows = rows.withColumn("error_message", error)
+    def piece(p: Column) -> Column:
+        rest = F.substr(p, F.lit(2))
+        number = F.when(p.rlike(r"^\\x[0-9A-Fa-f]"), F.conv(F.substr(p, F.lit(3)), 16, 10)).when(p.rlike(r"^\\[0-7]"), F.conv(rest, 8, 10))
+        letters = F.create_map(*[F.lit(x) for pair in TEXT_ESCAPES.items() for x in pair])
+        plain = F.coalesce(F.element_at(letters, rest), F.when(rest == "", "\\").otherwise(rest))
+        text = F.when(p.startswith("\\"), plain).otherwise(p)
+        return F.when(number.isNotNull(), F.lpad(F.hex(number.cast("int") % 256), 2, "0")).otherwise(F.hex(F.encode(text, "UTF-8")))
+
+    return F.unhex(F.array_join(F.transform(pieces, piece), ""))
+
+
+def _unescaped(token: Column) -> Column:
+    return _unescaped_bytes(token).cast("string")
+
+
+def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | None, quote: str, escape: str | None, types) -> DataFrame:
+    # A field is made of plain characters and quoted stretches, in any order; quotes go, and inside them the escape character
+    # stands for the quote or escape after it.  All repetitions are possessive, so lines of any length are fine.
+    escape = escape or quote
+    q, e, cut = _class(quote), _class(escape), _class(delimiter)
+    inner = rf"(?:[^{q}]++|{q}{q})*+" if escape == quote else rf"(?:[^{q}{e}]++|{e}[{q}{e}]|{e})*+"
+    one = rf"(?:[^{q}{cut}]++|{q}{inner}{q})*+"
+    marked = F.concat(F.lit(delimiter), F.col("payload"))
+    rows = compute_once(lines, "_mr_f", F.regexp_extract_all(marked, F.lit(rf"(?s){cut}({one})"), 1))
+    whole = marked.rlike(rf"(?s)\A(?:{cut}{one})++\z")
+
+    def field(i: int) -> Column:
+        token = F.get("_mr_f", F.lit(i))
+        bare = F.regexp_replace(token, rf"(?s){q}({inner}){q}", "$1")
+        value = F.replace(bare, F.lit(quote * 2), F.lit(quote)) if escape == quote else F.regexp_replace(bare, rf"{e}([{q}{e}])", "$1")
+        quoted = F.contains(token, F.lit(quote))
+        return F.when(quoted, value).when(token != (null_string or ""), token)
+
+    return _checked(rows, columns, F.size("_mr_f"), field, F.when(~whole, "unterminated quoted field"), types)
+
+
+def _checked(rows: DataFrame, columns, count: Column, field, broken: Column, types) -> DataFrame:
+    """The fields, with an error for a broken line, a wrong number of fields, or a field that its type refuses."""
+    count = F.coalesce(F.when(F.col("payload").isNotNull(), count), F.lit(0))
+    error = F.when(F.col("payload").isNotNull(), broken)
+    error = F.coalesce(error, F.when(count < len(columns), "missing data for a column").when(count > len(columns), "extra data after last expected column"))
+    rows = rows.withColumns({"error_message": error, **{c: F.when(error.isNull(), field(i)) for i, c in enumerate(columns)}})
+    if types is None:
+        return rows.select(*columns, "error_message", "payload")
+    values = {c: _typed(F.col(c), kind) for c, kind in zip(columns, types, strict=True)}
+    errors = [F.when(F.col("error_message").isNull(), e) for _, e in values.values()]
+    rows = rows.withColumn("error_message", F.coalesce("error_message", *errors))
     good = F.col("error_message").isNull()
-    return rows.select(*[F.when(good, field(i)).alias(c) for i, c in enumerate(columns)], "error_message", "payload")
+    return rows.select(*[F.when(good, v).alias(c) for c, (v, _) in values.items()], "error_message", "payload")
+
+
+def _typed(text: Column, kind: str) -> tuple[Column, Column]:
+    """A field as a value of a type such as ``int``, ``varchar(5)`` or ``date not null``, and what is wrong with it."""
+    name, _, rest = kind.lower().partition(" not null")
+    found = re.fullmatch(r"(?:var)?char\((\d+)\)", name.strip())
+    value = text if found else text.try_cast(name)
+    wrong = F.when(F.length(text) > int(found[1]), f"value too long for type {name}") if found else F.when(text.isNotNull() & value.isNull(), f"invalid input syntax for type {name}")
+    if kind.lower().endswith("not null"):
+        wrong = F.coalesce(wrong, F.when(text.isNull(), "null value in a column that allows none"))
+    return value, wrong
 
 
 def bulk_load(

@@ -28,6 +28,14 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) A
 GROUP BY 1, 2
 """
 
+EITHER_SQL = """
+WITH s AS (SELECT *, coalesce(sum((event_type = 'purchase')::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM events),
+     p AS (SELECT *, event_type = 'purchase' OR row_number() OVER (PARTITION BY user_id, seg ORDER BY ts, event_id) % 3 = 0 AS closes FROM s),
+     g AS (SELECT *, coalesce(sum(closes::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS group_no,
+                  sum(closes::INT) OVER (PARTITION BY user_id) AS closers FROM p)
+SELECT user_id, group_no, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS payloads FROM g WHERE group_no < closers GROUP BY 1, 2
+"""
+
 
 @query("""
 SELECT doc_id, i AS sequence_number, len(parts)::INT AS sequence_size, parts[i] AS payload
@@ -89,6 +97,13 @@ def aggregate_by_content(spark, sf_dir):
     return out.select("user_id", "group_no", _listed(out))
 
 
+@query(EITHER_SQL)
+def aggregate_by_count_or_content(spark, sf_dir):
+    """A1 with A2: three messages or a purchase, whichever comes first"""
+    out = aggregate(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], 3, "event_type = 'purchase'", "event_id")
+    return out.select("user_id", "group_no", _listed(out))
+
+
 @query(PARTIAL_SQL)
 def aggregate_with_partial_groups(spark, sf_dir):
     """A4: the incomplete group at the end of each key as well"""

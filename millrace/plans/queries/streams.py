@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.operators.meters import counter, throughput
 from millrace.operators.posts import dedup_recent
 from millrace.operators.split import split_messages
-from millrace.plans.queries.groups import CONTENT_SQL, COUNT_SQL, PARTIAL_SQL
+from millrace.plans.queries.groups import CONTENT_SQL, COUNT_SQL, EITHER_SQL, PARTIAL_SQL
 from millrace.plans.queries.registry import query, table
 from millrace.session import scratch_path
 from millrace.streaming.aggregate import aggregate_stream, open_groups, reassemble_stream
@@ -23,12 +23,23 @@ def _result(spark, stream):
     return spark.read.schema(stream.schema).parquet(out)
 
 
+def _with_open(spark, groups):
+    """What a stream of groups emits, and the groups it still holds at its end."""
+    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
+    run_available(groups, out, checkpoint)
+    return spark.read.schema(groups.schema).parquet(out).unionByName(open_groups(spark, checkpoint, payload_type="bigint"))
+
+
+def _listed():
+    return F.array_join(F.col("payloads").cast("array<string>"), ",").alias("payloads")
+
+
 @query(COUNT_SQL)
 def stream_aggregate_by_count(spark, sf_dir):
     """A1"""
     use_rocksdb(spark)
     out = _result(spark, aggregate_stream(_stream(spark, sf_dir, "events"), "event_type", ["ts", "event_id"], release_size=3, payload="event_id"))
-    return out.select("event_type", "group_no", F.array_join("payloads", ",").alias("payloads"))
+    return out.select("event_type", "group_no", _listed())
 
 
 @query(CONTENT_SQL)
@@ -36,7 +47,29 @@ def stream_aggregate_by_content(spark, sf_dir):
     """A2"""
     use_rocksdb(spark)
     groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="event_type")
-    return _result(spark, groups).select("user_id", "group_no", F.array_join("payloads", ",").alias("payloads"))
+    return _result(spark, groups).select("user_id", "group_no", _listed())
+
+
+@query(EITHER_SQL)
+def stream_aggregate_by_count_or_content(spark, sf_dir):
+    """A1 with A2: three messages or a purchase, whichever comes first"""
+    use_rocksdb(spark)
+    groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], 3, "event_type = 'purchase'", "event_id")
+    return _result(spark, groups).select("user_id", "group_no", _listed())
+
+
+@query("""
+WITH m AS (SELECT *, lag(event_type) OVER w = 'purchase' OR ts - lag(ts) OVER w > INTERVAL 2 HOUR AS starts FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+     g AS (SELECT *, coalesce(sum(starts::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id), 0)::BIGINT AS group_no FROM m)
+SELECT user_id, group_no, count(*)::INT AS size, bool_or(event_type = 'purchase') AS closed, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS payloads
+FROM g GROUP BY 1, 2
+""")
+def stream_idle_groups(spark, sf_dir):
+    """A4: a purchase closes a group, two idle hours end it as a partial one; with the groups open when the stream stopped"""
+    use_rocksdb(spark)
+    stream = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 minute")
+    groups = aggregate_stream(stream, "user_id", ["ts", "event_id"], None, "event_type = 'purchase'", "event_id", 2 * 3_600_000, True, True)
+    return _with_open(spark, groups).select("user_id", "group_no", "size", "closed", _listed())
 
 
 @query(PARTIAL_SQL)
@@ -44,10 +77,7 @@ def stream_partial_groups(spark, sf_dir):
     """A4: released groups, and those still open when the stream stopped"""
     use_rocksdb(spark)
     groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_size=7, payload="event_id")
-    out, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "checkpoint")
-    run_available(groups, out, checkpoint)
-    every = spark.read.schema(groups.schema).parquet(out).unionByName(open_groups(spark, checkpoint))
-    return every.select("user_id", "group_no", "size", "closed", F.array_join("payloads", ",").alias("payloads"))
+    return _with_open(spark, groups).select("user_id", "group_no", "size", "closed", _listed())
 
 
 @query("SELECT doc_id, text FROM documents")
@@ -75,13 +105,18 @@ def stream_counters(spark, sf_dir):
 @query("""
 SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS start, messages, bytes
 FROM (SELECT time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '2024-01-01') AS h, count(*) AS messages, sum(length(props))::BIGINT AS bytes FROM events GROUP BY 1)
-WHERE h + INTERVAL 6 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
 """)
 def stream_throughput(spark, sf_dir):
-    """A7 in append mode: the intervals that the watermark, one hour behind, has passed"""
+    """A7 in update mode: the last figures of every interval, those that end after the stream's last message too"""
     stream = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
-    out = _result(spark, throughput(stream, "ts", "6 hours", "props", running=False))
-    return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "messages", "bytes")
+    out = scratch_path(spark, "intervals")
+
+    def write(batch, batch_id):
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    run_batches(throughput(stream, "ts", "6 hours", "props", running=False), write, scratch_path(spark, "checkpoint"), "update")
+    latest = spark.read.parquet(out).groupBy("start").agg(F.max_by(F.struct("messages", "bytes"), "batch").alias("f"))
+    return latest.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "f.messages", "f.bytes")
 
 
 @query("SELECT event_id, props FROM events")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
+import sys
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,7 +90,7 @@ class GroupProcessor(StatefulProcessor):
         for _, item, closes in arrived:
             count += 1
             fresh.append((count, item))
-            if count == self.size if self.size else closes:
+            if closes or count == self.size:
                 yield from self._rows(released, self._items(count, fresh), True)
                 if count > len(fresh):
                     self.open.clear()
@@ -121,10 +123,56 @@ class GroupProcessor(StatefulProcessor):
 
 
 class EventTimeGroupProcessor(GroupProcessor):
-    """The same with idle times measured on the watermark."""
+    """The same with idle times measured in event time.
 
-    def _now(self, timerValues) -> int:
-        return max(timerValues.getCurrentWatermarkInMs(), 0)
+    A group is idle once more than the idle time lies between its latest message and the next one of the key, or the watermark.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.latest = handle.getValueState("latest", "at bigint")
+
+    def _arrived(self, rows) -> list:
+        arrived = [r for pdf in rows for r in pdf[["ord", "item", "closes", "at"]].itertuples(index=False, name=None)]
+        return sorted(arrived, key=lambda r: r[0])
+
+    def _take(self, arrived: list) -> Iterator[tuple]:
+        latest = (self.latest.get() or (None,))[0]
+        count = self._state()[0]
+        run: list = []
+        for ord_, item, closes, at in arrived:
+            if count and at - latest > self.timeout_ms:
+                yield from super()._take(run)
+                yield from self._close_idle()
+                run, count = [], 0
+            run.append((ord_, item, closes))
+            # Only the messages of the open group count for its idle time.
+            latest = max(latest, at) if count else at
+            count = 0 if closes or count + 1 == self.size else count + 1
+        yield from super()._take(run)
+        if count:
+            self.latest.update((int(latest),))
+        else:
+            self.latest.clear()
+
+    def _close_idle(self) -> Iterator[tuple]:
+        count, released = self._state()
+        if count:
+            if self.send_partial:
+                yield from self._rows(released, self._items(count, []), False)
+                released += 1
+            self.open.clear()
+            self.counts.update((0, released))
+
+    def _restart_timer(self, timerValues) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if self._state()[0]:
+            self.handle.registerTimer(self.latest.get()[0] + self.timeout_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._frames(key, self._close_idle())
+        self.latest.clear()
 
 
 class SequenceProcessor(GroupProcessor):
@@ -170,6 +218,8 @@ def _group_stream(df, keys, columns, processor, time_mode) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != STATE_PROVIDER:
         raise ValueError(f"set spark.sql.streaming.stateStore.providerClass to {STATE_PROVIDER}")
+    # The process that sets the processor up does not see files sent to the workers, so the classes travel with the plan.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(OUTPUT).fields)
     return (
         df.select(*columns).groupBy(*keys)
@@ -186,13 +236,19 @@ def _sortable(order) -> Column:
 
 
 def order_text(df: DataFrame, column: str) -> Column:
-    """A column as text of equal length whose text order is the column's own order."""
+    """A column as text whose order is the column's own, NULL first."""
+    text = _order_text(df, column)
+    return F.when(F.col(column).isNull(), "0").otherwise(F.concat(F.lit("1"), text))
+
+
+def _order_text(df: DataFrame, column: str) -> Column:
     kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, T.TimestampNTZType):
         return F.date_format(column, "yyyyMMddHHmmssSSSSSS")
-    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        # Shifted by 2^63, so that negative numbers come first.
-        return F.lpad((F.col(column).cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
+    if isinstance(kind, (T.TimestampType, T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        # Shifted by 2^63, so that negative numbers come first.  Instants count in UTC, where no hour comes twice.
+        number = F.unix_micros(column) if isinstance(kind, T.TimestampType) else F.col(column)
+        return F.lpad((number.cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 20, "0")
     if isinstance(kind, T.StringType):
         return F.col(column)
     raise ValueError(f"cannot order a stream by {column} of type {kind.simpleString()}")
@@ -215,32 +271,34 @@ def aggregate_stream(
 
     Messages of a key are taken in ``order`` within a micro-batch and micro-batches in
     turn.  An open group stays in state; after ``timeout_ms`` without a message it is
-    forgotten, and emitted first with ``send_partial``.  Idle time is processing time, or the
-    watermark with ``event_time``.
+    forgotten, and emitted first with ``send_partial``.  Idle time is processing time, or with
+    ``event_time`` the time between the group's latest message and the key's next one or the watermark.
 
     All messages of a key are handled by one task.  Where order across the whole key does
     not matter, ``salts`` spreads each key over so many groups of its own, told apart
     by the column ``salt``.
     """
-    if (release_size is None) == (release_expr is None):
-        raise ValueError("give either release_size or release_expr")
+    if release_size is None and release_expr is None:
+        raise ValueError("give release_size, release_expr or both")
     keys = [key] if isinstance(key, str) else list(key)
     names = [order] if isinstance(order, str) else list(order or [])
+    ordered = _sortable([order_text(df, n) for n in names])
     if salts > 1 and names:
         df = df.withColumn("salt", F.pmod(F.xxhash64(*names), F.lit(salts)))
         keys = [*keys, "salt"]
     columns = [
         *keys,
-        as_column(payload).cast("string").alias("item"),
+        _as_text(df, as_column(payload)).alias("item"),
         F.coalesce(as_column(release_expr) if release_expr is not None else F.lit(False), F.lit(False)).alias("closes"),
-        _sortable([order_text(df, n) for n in names]).alias("ord"),
+        ordered.alias("ord"),
     ]
     kind = EventTimeGroupProcessor if event_time else GroupProcessor
     processor = kind(keys, release_size, timeout_ms, send_partial, part_rows)
     mode = "none" if timeout_ms is None else ("eventTime" if event_time else "processingTime")
     if event_time:
-        columns.append(_watermark_column(df))
-    return _group_stream(df, keys, columns, processor, mode)
+        columns += [_watermark_column(df), F.unix_millis(F.col(_watermark_column(df)).cast("timestamp")).alias("at")]
+    item = df.select(as_column(payload).alias("p")).schema["p"].dataType
+    return _group_stream(df, keys, columns, processor, mode).withColumn("payloads", F.transform("payloads", lambda t: _from_text(t, item)))
 
 
 def reassemble_stream(
@@ -254,20 +312,48 @@ def reassemble_stream(
     part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """A3 on a stream: a group is emitted when all its sequence numbers have arrived."""
+    item = df.schema[payload].dataType
     columns = [
-        correlation, F.col(seq).cast("long").alias("seq"), F.col(payload).cast("string").alias("item"),
+        correlation, F.col(seq).cast("long").alias("seq"), _as_text(df, F.col(payload)).alias("item"),
         F.col(size).cast("long").alias("expected"),
     ]
     processor = SequenceProcessor([correlation], None, timeout_ms, send_partial, part_rows)
     numbered = df.filter(F.col(seq).between(F.lit(1), F.col(size)))
-    return _group_stream(numbered, [correlation], columns, processor, "none" if timeout_ms is None else "processingTime")
+    groups = _group_stream(numbered, [correlation], columns, processor, "none" if timeout_ms is None else "processingTime")
+    return groups.withColumn("payloads", F.transform("payloads", lambda t: _from_text(t, item)))
 
 
-def open_groups(spark: SparkSession, checkpoint: str, part_rows: int = PART_ROWS) -> DataFrame:
+def _as_text(df: DataFrame, payload: Column) -> Column:
+    """A payload as the text that state holds; :func:`_from_text` gives it back with its type."""
+    kind = df.select(payload.alias("p")).schema["p"].dataType
+    if isinstance(kind, T.BinaryType):
+        return F.base64(payload)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return payload.cast("timestamp_ntz").cast("string") if isinstance(kind, T.TimestampNTZType) else F.unix_micros(payload).cast("string")
+    if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)) or kind.typeName() == "variant":
+        return F.to_json(payload, {"ignoreNullFields": "false"})
+    return payload.cast("string")
+
+
+def _from_text(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.BinaryType):
+        return F.unbase64(text)
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint"))
+    if kind.typeName() == "variant":
+        return F.parse_json(text)
+    if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)):
+        return F.from_json(text, kind)
+    return text.cast(kind)
+
+
+def open_groups(spark: SparkSession, checkpoint: str, part_rows: int = PART_ROWS, payload_type: str = "string") -> DataFrame:
     """A4 at shutdown: the groups that a stopped stream still holds open, read from its checkpoint.
 
-    The same columns as the stream's own output, ``closed`` being false.
+    The same columns as the stream's own output, ``closed`` being false; ``payload_type`` is the type of its payloads.
     """
+    kind = T.StructType.fromDDL(f"p {payload_type}")["p"].dataType
+
     def state(name):
         return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)
 
@@ -283,7 +369,7 @@ def open_groups(spark: SparkSession, checkpoint: str, part_rows: int = PART_ROWS
     numbers = state("counts").select("key", F.col("value.released").alias("group_no"))
     return parts.join(numbers, "key").select(
         "key.*", "group_no", "part", F.size("items").alias("size"), F.lit(False).alias("closed"),
-        F.transform("items", lambda x: x["item"]).alias("payloads"),
+        F.transform("items", lambda x: _from_text(x["item"], kind)).alias("payloads"),
     )
 
 

@@ -77,10 +77,24 @@ def test_push_list(spark):
 
 def test_arguments(spark):
     df = spark.createDataFrame([("c", 1, "2")], "k string, at int, payload string")
-    for bad in ({}, {"release_size": 2, "release_expr": "true"}):
+    for bad in ({}, {"release_size": 0}):
         with pytest.raises(ValueError):
             aggregate(df, "k", "at", **bad)
     with pytest.raises(ValueError):
         aggregate(df, "k", None, release_size=2)
     with pytest.raises(ValueError):
         push_list(df, "k", [])
+
+
+def test_size_or_content_whichever_comes_first(spark):
+    rows = [("k", i, p) for i, p in enumerate("aabaaaabbaaaa")]
+    df = spark.createDataFrame(rows, "k string, at int, payload string")
+    got = aggregate(df, "k", "at", release_size=3, release_expr="payload = 'b'", send_partial=True).orderBy("group_no").collect()
+    assert ["".join(r.payloads) for r in got] == ["aab", "aaa", "ab", "b", "aaa", "a"] and [r.closed for r in got] == [True] * 5 + [False]
+
+
+def test_groups_of_maps_and_variants(spark):
+    df = spark.sql("select 'k' as k, id, map('n', id) as m, parse_json('{\"n\": ' || id || '}') as v from range(6)")
+    assert [[x["n"] for x in r.payloads] for r in aggregate(df, "k", "id", release_size=4, payload="m", send_partial=True).orderBy("group_no").collect()] == [[0, 1, 2, 3], [4, 5]]
+    got = aggregate(df, "k", "id", release_size=2, release_expr="m['n'] = 0", payload="v").selectExpr("transform(payloads, x -> to_json(x)) as p").collect()
+    assert sorted(tuple(r.p) for r in got) == [('{"n":0}',), ('{"n":1}', '{"n":2}'), ('{"n":3}', '{"n":4}')]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.messages import to_messages
-from millrace.operators.bulk import bulk_load, check_error_table, empty_target
+from millrace.operators.bulk import parse_lines, bulk_load, check_error_table, empty_target
 from millrace.operators.entities import json_entities
 from millrace.sinks.broker import to_broker
 from millrace.sinks.files import write_text
@@ -132,3 +132,29 @@ def test_write_text(spark, tmp_path):
     write_text(df, str(tmp_path / "named"), "headers['file_name']", "txt", compact=True)
     files = list((tmp_path / "named" / "file_key=test.txt").glob("part-*"))
     assert [f.read_text() for f in files] == ["hello\n"]
+
+
+def test_quotes_are_read_as_copy_does(spark):
+    lines = ['1,"abc', '2,a"b', '3,"abc"d', '4,"a""b"', '5,""', '6,', '7,"x,y"', '8,a"b"c"d"', '9,x\ue002y', '10,"' + "z" * 200_000 + '"']
+    df = spark.createDataFrame([(t,) for t in lines], "payload string")
+    rows = {r.payload.split(",")[0]: r for r in parse_lines(df, ["id", "v"], "csv").collect()}
+    assert {k: r.v for k, r in rows.items() if k != "10"} == {"1": None, "2": None, "3": "abcd", "4": 'a"b', "5": "", "6": None, "7": "x,y", "8": "abcd", "9": "x\ue002y"}
+    assert {k for k, r in rows.items() if r.error_message} == {"1", "2"} and len(rows["10"].v) == 200_000
+
+
+def test_escapes_of_the_text_format(spark):
+    lines = ["\\101\t\\x41", "\\303\\251\ta\\\tb", "a\\\\\t\\N", "\\N\tx\\n\ue003", "a\\qb\t\\", "\\377\tx"]
+    rows = parse_lines(spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, payload string"), ["a", "b"], "text").collect()
+    got = {r.payload: (r.a, r.b) for r in rows}
+    assert [got[t] for t in lines] == [("A", "A"), ("é", "a\tb"), ("a\\", None), (None, "x\n\ue003"), ("aqb", "\\"), (None, None)]
+    assert {r.error_message for r in rows if r.payload == lines[5]} == {"invalid byte sequence"}
+
+
+def test_typed_targets(spark):
+    lines = ["1,ok,2024-02-29", "x,ok,2024-02-28", "2,too long,2024-02-28", "3,ok,2024-02-30", ",ok,2024-02-28", "4,,"]
+    rows = parse_lines(spark.createDataFrame([(t,) for t in lines], "payload string"), ["i", "t", "d"], "csv", types=["int not null", "varchar(5)", "date"]).collect()
+    assert {r.payload: r.error_message for r in rows} == {
+        lines[0]: None, lines[1]: "invalid input syntax for type int", lines[2]: "value too long for type varchar(5)", lines[3]: "invalid input syntax for type date",
+        lines[4]: "null value in a column that allows none", lines[5]: None,
+    }
+    assert {type(r.i) for r in rows if not r.error_message} == {int}

@@ -49,7 +49,7 @@ def test_aggregate_by_count_over_a_restart(spark, sf, halves, tmp_path):
         _feed(halves, src, i)
         run_available(aggregate(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id"), out, check)
     run_available(aggregate_stream(_follow(spark, src), "event_type", "event_id", release_size=3, payload="event_id"), out, check)
-    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "event_type", "event_id", release_size=3, payload="cast(event_id as string)")
+    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "event_type", "event_id", release_size=3, payload="event_id")
     assert _groups(spark.read.parquet(out)) == _groups(batch)
 
 
@@ -59,7 +59,7 @@ def test_aggregate_by_content(spark, sf, halves, tmp_path):
         _feed(halves, src, i)
     stream = aggregate_stream(_follow(spark, src), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="event_id")
     run_available(stream, out, str(tmp_path / "check"))
-    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="cast(event_id as string)")
+    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="event_id")
     as_set = lambda df: sorted((r.user_id, r.group_no, tuple(r.payloads)) for r in df.collect())
     assert as_set(spark.read.parquet(out)) == as_set(batch)
 
@@ -75,18 +75,37 @@ def test_salted_keys(spark, sf, halves, tmp_path):
     assert all([int(p) for p in r.payloads] == sorted(int(p) for p in r.payloads) for r in rows)
 
 
-def test_idle_groups_are_flushed(spark, halves, tmp_path):
-    src, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
-    for i in range(2):
-        _feed(halves, src, i)
-        stream = _follow(spark, src).withWatermark("ts", "1 minute")
-        groups = aggregate_stream(stream, "event_type", "event_id", release_size=250, payload="event_id", timeout_ms=60_000, send_partial=True, event_time=True)
+def test_idle_groups_follow_event_time(spark, tmp_path):
+    src, out, check = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check")
+    minute = "timestamp'2024-03-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id)"
+    runs = [[0, 1, 2], [10, 200, 201], [400]]  # minutes; the key b only moves the watermark
+    for ids in runs:
+        df = spark.createDataFrame([(i,) for i in ids], "id int").selectExpr("'a' as k", f"{minute} as ts", "id")
+        df.unionByName(spark.sql(f"select 'b' as k, {minute.replace('id', str(max(ids)))} as ts, {1000 + max(ids)} as id")).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(df.schema).parquet(src).withWatermark("ts", "1 minute")
+        groups = aggregate_stream(stream, "k", ["ts", "id"], release_size=5, payload="id", timeout_ms=3_600_000, send_partial=True, event_time=True)
         run_available(groups, out, check)
-    rows = spark.read.parquet(out).collect()
-    # the first half leaves 5 open groups of about 120; the time that passes before the second one flushes them
-    assert any(not r.closed for r in rows)
-    seen = [p for r in rows for p in r.payloads]
-    assert len(seen) == len(set(seen))
+    rows = spark.read.parquet(out).filter("k = 'a'").orderBy("group_no").collect()
+    assert [(r.group_no, r.payloads, r.closed) for r in rows] == [(0, [0, 1, 2, 10], False), (1, [200, 201], False)]
+
+
+@pytest.mark.parametrize("payload", ["unhex('ff00')", "id", "map('n', id)", "named_struct('n', id, 's', cast(null as string))", "timestamp_seconds(id)", "cast(id as double) / 3"])
+def test_payloads_keep_their_type(spark, tmp_path, payload):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.range(4).selectExpr("'k' as k", "id", f"{payload} as p")
+    df.coalesce(1).write.parquet(src)
+    run_available(aggregate_stream(spark.readStream.schema(df.schema).parquet(src), "k", "id", release_size=4, payload="p"), out, str(tmp_path / "check"))
+    assert spark.read.parquet(out).first().payloads == [r.p for r in df.orderBy("id").collect()]
+
+
+def test_null_comes_first_in_streams_too(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    df = spark.createDataFrame([("k", 5, "five"), ("k", None, "null")], "k string, at int, p string")
+    df.coalesce(1).write.parquet(src)
+    run_available(aggregate_stream(spark.readStream.schema(df.schema).parquet(src), "k", "at", release_size=2, payload="p"), out, str(tmp_path / "check"))
+    assert spark.read.parquet(out).first().payloads == ["null", "five"] == aggregate(df, "k", "at", release_size=2, payload="p").first().payloads
+    with pytest.raises(ValueError):
+        aggregate(spark.readStream.schema(df.schema).parquet(src), "k", "at", release_size=2, payload="p", send_partial=True)
 
 
 def test_reassemble(spark, sf, tmp_path):
@@ -157,6 +176,10 @@ def test_order_text(spark):
     df = spark.createDataFrame([(-5,), (3,), (-1,), (2**62,), (0,)], "n long")
     rows = df.select("n", order_text(df, "n").alias("t")).collect()
     assert [r.n for r in sorted(rows, key=lambda r: r.t)] == [-5, -1, 0, 3, 2**62]
+    hours = spark.sql("select timestamp'2024-10-27 00:30:00 UTC' + make_interval(0, 0, 0, 0, 0, 40 * id) as t, id from range(4)")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    assert [r.id for r in hours.orderBy(order_text(hours, "t")).collect()] == [0, 1, 2, 3]
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     with pytest.raises(ValueError):
         order_text(spark.createDataFrame([(1.0,)], "d double"), "d")
     with pytest.raises(ValueError):
@@ -168,11 +191,11 @@ def test_open_groups_at_shutdown(spark, sf, halves, tmp_path):
     for i in range(2):
         _feed(halves, src, i)
         run_available(aggregate_stream(_follow(spark, src), "event_type", "event_id", release_size=70, payload="event_id"), out, check)
-    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "event_type", "event_id", release_size=70, payload="cast(event_id as string)", send_partial=True)
+    batch = aggregate(spark.read.parquet(f"{sf}/events.parquet"), "event_type", "event_id", release_size=70, payload="event_id", send_partial=True)
     assert _groups(spark.read.parquet(out)) == _groups(batch.filter("closed"))
-    assert _groups(open_groups(spark, check)) == _groups(batch.filter("not closed"))
+    assert _groups(open_groups(spark, check, payload_type="bigint")) == _groups(batch.filter("not closed"))
     small = open_groups(spark, check, part_rows=10)
-    assert max(r.size for r in small.collect()) == 10 and small.agg(F.sum("size")).first()[0] == open_groups(spark, check).agg(F.sum("size")).first()[0]
+    assert max(r.size for r in small.collect()) == 10 and small.agg(F.sum("size")).first()[0] == open_groups(spark, check, payload_type="bigint").agg(F.sum("size")).first()[0]
 
 
 def test_operators_inside_foreach_batch(spark, sf, halves, tmp_path):

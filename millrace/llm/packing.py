@@ -19,8 +19,8 @@ from millrace.llm import bpe, ragged
 from millrace.llm.common import id_and_text
 from millrace.session import stage
 
-#: Pieces that one task numbers, about.
-RANK_ROWS = 50_000
+#: Pieces of a bucket, about; a length that many pieces share is numbered bucket by bucket.
+RANK_ROWS = 5_000
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -180,9 +180,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
 
     Equal texts count once. Texts that share a band key meet in a bucket, and are compared exactly with the bucket's centre: the
     text that shares most buckets with others, which in a group of altered copies is the original. Texts of a bucket that end in
-    another class than its centre meet again among themselves where they share a second key (at 0.8 two texts have one key in
-    common with probability 0.99998, two with 0.9997), with 8, then 64, … centres a bucket, until each has been compared or
-    linked; no bucket is capped. A bucket may hold any share of the rows.
+    another class than its centre meet again among themselves, with 8, then 64, … centres a bucket, until each has been compared or
+    linked; where more than 8 are left over, only those that share a second key (at 0.8 two texts have one key in
+    common with probability 0.99998, two with 0.9997). No bucket is capped. A bucket may hold any share of the rows.
 
     NULL text: empty. Texts without a word: only equal ones are alike. Fewer than five words: one run of all words. Rows that share a
     doc_id are one node. NULL doc_id: text_id and class_id of an equal text, or NULL. Empty table: no rows.
@@ -236,20 +236,32 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
         settled = heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label"))
         rest = _mixed(named.join(settled.distinct(), ["key", "label"], "left_anti"), total)
         if round_no == 0:
-            # These share one key and are not alike. From here on two texts meet only if they share another one too.
-            again = rest.select("id", "popular", "label", F.col("key").alias("one")).join(met.select("id", F.col("key").alias("two")), "id").filter("one != two")
-            again = again.select(F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("key"), "id", "popular", "label").distinct()
-            rest = _mixed(again, total)
-        left = stage(rest.drop("label"), "buckets")
+            rest = stage(rest, "rest")
+            few, many = rest.filter(F.col("now") <= MORE_CENTRES), rest.filter(F.col("now") > MORE_CENTRES)
+            rest = few.unionByName(_second_keys(many, met, total))
+        left = stage(rest.drop("label", "now"), "buckets")
         if left.isEmpty():
             return labels
         round_no += 1
 
 
+def _second_keys(rest: DataFrame, met: DataFrame, total: int) -> DataFrame:
+    """Smaller buckets for what large ones leave over: those who share a key meet again only if they share another one too.
+
+    Each text joins its own keys, at most ``BANDS``; of two left-over keys once.
+    """
+    own = rest.select("key", "id", F.lit(True).alias("left_over"))
+    other = met.select("key", "id").join(rest.select("id").distinct(), "id").join(own, ["key", "id"], "left")
+    other = other.select("id", F.col("key").alias("two"), "left_over")
+    pairs = rest.select("id", "popular", "label", F.col("key").alias("one")).join(other, "id").filter("one != two and (left_over is null or one < two)")
+    keys = F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("key")
+    return _mixed(pairs.select(keys, "id", "popular", "label").distinct(), total)
+
+
 def _mixed(entries: DataFrame, total: int) -> DataFrame:
-    """The entries (key, id, popular, label) of buckets with more than one label."""
+    """The entries (key, id, popular, label) of buckets with more than one label, and ``now``, the entries of the bucket."""
     mixed = entries.groupBy("key").agg(F.count("*").alias("now"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    return join_groups(entries.select("key", "id", "popular", "label"), mixed.select("key", "now"), ["key"], "now", total, how="inner").drop("now")
+    return join_groups(entries.select("key", "id", "popular", "label"), mixed.select("key", "now"), ["key"], "now", total, how="inner")
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

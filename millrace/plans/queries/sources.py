@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.messages import to_messages
 from millrace.plans.queries.registry import query, table, text_of
 from millrace.session import scratch_path
-from millrace.sources.changes import unwrap_changes
+from millrace.sources.changes import unparsed_changes, unwrap_changes
 from millrace.operators.numbering import number_rows
 from millrace.sources.generate import fill_payload, generate_messages, time_spine, zero_fill
 from millrace.sources.syslog import parse_syslog
@@ -196,3 +196,16 @@ UNION ALL SELECT {_KEY}, {_NO_ROW}, 'tombstone' AS op, NULL AS deleted FROM orde
 def changes_with_delete_marks(spark, sf_dir):
     """Deletes rewritten to the old row with a mark, tombstones kept"""
     return _flat(spark, sf_dir, "rewrite", False, [F.col("__deleted").alias("deleted")])
+
+
+@query("""
+SELECT '{"o_orderkey":' || o_orderkey || '}' AS key, CASE o_orderkey % 20 WHEN 0 THEN '{"before":' WHEN 10 THEN '{"other":1}' END AS payload,
+       CASE o_orderkey % 20 WHEN 0 THEN 'payload is not JSON' ELSE 'neither a row change nor a schema change' END AS error_message
+FROM orders WHERE o_orderkey % 10 = 0
+""")
+def changes_that_do_not_parse(spark, sf_dir):
+    """Every tenth event broken off, or of another kind; the others and the tombstones are no errors"""
+    events = _change_events(spark, sf_dir).withColumn("k", F.get_json_object(F.col("headers")["row_key"], "$.o_orderkey").cast("bigint"))
+    broken = F.when(F.col("k") % 20 == 0, '{"before":').when(F.col("k") % 20 == 10, '{"other":1}')
+    mixed = events.withColumn("payload", F.when(F.col("payload") == "null", F.col("payload")).otherwise(F.coalesce(broken, "payload")))
+    return unparsed_changes(mixed).select(F.col("headers")["row_key"].alias("key"), "payload", "error_message")

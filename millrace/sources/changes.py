@@ -47,6 +47,20 @@ def read_changes(df: DataFrame, row_schema: str | T.StructType) -> DataFrame:
     )
 
 
+def unparsed_changes(df: DataFrame) -> DataFrame:
+    """The events that :func:`unwrap_changes` cannot read, as they came, with an ``error_message``.
+
+    Row changes, schema changes and tombstones are none of them.
+    """
+    payload = F.col("payload")
+    if isinstance(df.schema["payload"].dataType, T.BinaryType):
+        payload = F.decode(payload, "UTF-8")
+    parsed = compute_once(df, "_mr_event", F.try_parse_json(payload))
+    op, ddl = (F.try_variant_get("_mr_event", f"$.{name}", "string") for name in ("op", "ddl"))
+    error = F.when(F.col("_mr_event").isNull(), "payload is not JSON").when(op.isNull() & ddl.isNull(), "neither a row change nor a schema change")
+    return parsed.withColumn("error_message", F.when(~F.coalesce(_is_tombstone(payload), F.lit(True)), error)).filter("error_message is not null").drop("_mr_event")
+
+
 def _added(field: str) -> Column:
     """A metadata field: ``op`` and the event times from the envelope, others from its source."""
     if field.startswith("source."):
@@ -67,7 +81,7 @@ def unwrap_changes(
     a row of NULLs (``none``), nothing (``drop``), or the old row with ``__deleted`` = "true"
     (``rewrite``, where every other row says "false").  A tombstone gives a row of NULLs
     unless dropped.  Headers, with the key of the row, stay.  Events that are not row
-    changes are left out; :func:`read_changes` shows them.
+    changes are left out; :func:`unparsed_changes` has those that cannot be read.
     """
     if delete_mode not in ("none", "drop", "rewrite"):
         raise ValueError(f"unknown delete mode {delete_mode!r}")
@@ -92,7 +106,10 @@ def unwrap_changes(
 
 
 def row_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The unwrapped row as JSON text in ``payload``; NULL for deletes in mode none and tombstones."""
+    """The unwrapped row as JSON text in ``payload``; NULL for deletes in mode none and tombstones, which ``op`` tells."""
     body = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     empty = F.forall(F.array(*[F.col(c).isNull() for c in columns]), lambda x: x)
+    if "op" in df.columns:
+        # An inserted row of NULLs is a row all the same.
+        empty = empty & F.coalesce(F.col("op").isin("d", TOMBSTONE), F.lit(False))
     return df.withColumn("payload", F.when(~empty, body))

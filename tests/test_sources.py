@@ -217,3 +217,8 @@ def test_long_syslog_lines_and_separators(spark):
     assert rows[0].structured_data == sd and rows[0].message == "text"
     assert (rows[1].host, rows[1].app, rows[1].message) == ("ho\x1est", "app", "a\x1eb\x1d0c")
     assert [r.undecoded is None for r in rows] == [True, True, False, False, True] and rows[4].facility == 23
+
+
+def test_an_inserted_row_of_nulls_is_a_row(spark):
+    df = spark.createDataFrame([(None, "c"), (None, "d"), (1, "u")], "a int, op string")
+    assert [r.payload for r in row_json(df, ["a"]).collect()] == ['{"a":null}', None, '{"a":1}']

@@ -94,17 +94,16 @@ def measure(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _text_keys(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(offsets) - 1, np.uint64)
-    full = np.flatnonzero(np.diff(offsets))
-    out[full] = ragged.token_hashes(raw, offsets[full], np.diff(offsets)[full])
-    return out
+def _key_columns(docs: DataFrame, text_col: str, host_col: str | None) -> tuple[Column, Column]:
+    """Hashes of a row's text and host."""
+    host = column(docs, host_col).cast("string") if host_col else F.lit("")
+    return F.xxhash64(F.coalesce(column(docs, text_col).cast("string"), F.lit(""))), F.xxhash64(F.lit("host"), F.coalesce(host, F.lit("")))
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, host_col: str | None) -> DataFrame:
     """One row per document: a row number, its figures, and keys and word counts of its lines (``keys``, ``line_words``)."""
-    host = column(docs, host_col).cast("string") if host_col else F.lit("")
-    narrow = docs.select(column(docs, id_col).alias("doc_id"), F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("text"), F.coalesce(host, F.lit("")).alias("host"))
+    text_key, host_key = _key_columns(docs, text_col, host_col)
+    narrow = docs.select(column(docs, id_col).alias("doc_id"), F.coalesce(column(docs, text_col).cast("string"), F.lit("")).alias("text"), text_key.alias("text_key"), host_key.alias("host_key"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +112,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, host_col: str | None)
             for part in ragged.slices(batch, "text"):
                 raw, offsets = ragged.flat(part.column("text"))
                 found = measure(raw, offsets)
-                hosts = ragged.mix(_text_keys(*ragged.flat(part.column("host"))) + np.uint64(17))
+                hosts = part.column("host_key").to_numpy(zero_copy_only=False).view(np.uint64)
                 keys = ragged.mix(found["line_hash"] ^ hosts[found["line_text"]]).view(np.int64)
                 ends = pa.array(ragged.bounds(_per_text(found["line_text"], part.num_rows)).astype(np.int32))
                 figures = [pa.array(found[c]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -121,8 +120,8 @@ def features(docs: DataFrame, id_col: str, text_col: str, host_col: str | None)
                     [
                         part.column("doc_id"),
                         pa.array(np.arange(number, number + part.num_rows)),
-                        pa.array(_text_keys(raw, offsets).view(np.int64)),
-                        pa.array(hosts.view(np.int64)),
+                        part.column("text_key"),
+                        part.column("host_key"),
                         *figures,
                         pa.ListArray.from_arrays(ends, pa.array(keys)),
                         pa.ListArray.from_arrays(ends, pa.array(found["line_words"].astype(np.int32))),
@@ -191,15 +190,8 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     stays = stays.dropDuplicates(["_id", "_text", "_host"])
     id_name, text_name, host_name, cut = (fresh(docs, c) for c in ("_doc_id", "_text_key", "_host_key", "_cut_keys"))
     kind, names = docs.schema, list(docs.columns)
-    keyed_schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kind) + f", {text_name} bigint, {host_name} bigint"
-
-    def add_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _text_keys(*ragged.flat(batch.column(text_col)))
-            hosts = _text_keys(*ragged.flat(batch.column(host_col).cast(pa.large_string()))) if host_col else np.zeros(batch.num_rows, np.uint64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts.view(np.int64)), pa.array(ragged.mix(hosts + np.uint64(17)).view(np.int64))], names=[*batch.schema.names, text_name, host_name])
-
-    keyed = docs.mapInArrow(add_keys, keyed_schema)
+    text_key, host_key = _key_columns(docs, text_col, host_col)
+    keyed = docs.withColumns({text_name: text_key, host_name: host_key})
     joined = keyed.join(stays, column(keyed, id_col).eqNullSafe(F.col("_id")) & (F.col(text_name) == F.col("_text")) & (F.col(host_name) == F.col("_host")))
     joined = joined.select(*(column(joined, c) for c in docs.columns), F.col(host_name), F.col("_cut").alias(cut))
     untouched = joined.filter(F.size(cut) == 0).drop(host_name, cut)

@@ -207,7 +207,7 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     if met.isEmpty():
         return None
     popular = met.groupBy("id").agg(F.sum("n").alias("popular"))
-    left = stage(met.drop("n").join(popular, "id"), "buckets")
+    left = stage(met.drop("n").join(popular, "id").withColumn("label", F.col("id")), "buckets")
     wanted = popular.select(F.col("id").alias("doc_id"))
     sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "shingles")
 
@@ -215,13 +215,14 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     round_no = 0
     while True:
         centres_each = 1 if round_no == 0 else MORE_CENTRES**round_no
-        centre = left.groupBy("key", F.pmod(F.xxhash64("id", F.lit(round_no)), F.lit(centres_each)).alias("slot")).agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"))).alias("top"))
-        centre = centre.select("key", (-F.col("top.minus")).alias("centre"))
+        centre = left.groupBy("key", F.pmod(F.xxhash64("id", F.lit(round_no)), F.lit(centres_each)).alias("slot")).agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label")).alias("top"))
+        centre = centre.select("key", (-F.col("top.minus")).alias("centre"), F.col("top.label").alias("of"))
         sizes = left.groupBy("key").agg(F.count("*").alias("size"))
         heads = stage(centre.join(sizes, "key"), "centres")
-        centres = heads.groupBy("key").agg(F.max("size").alias("size"), F.collect_list("centre").alias("centres"))
-        pairs = join_groups(left.select("key", "id"), centres, ["key"], "size", total, how="inner").select("id", F.explode("centres").alias("centre")).filter("id != centre")
-        pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
+        centres = heads.groupBy("key").agg(F.max("size").alias("size"), F.collect_list(F.struct("centre", "of")).alias("centres"))
+        # Texts of one class are linked already; only others are compared.
+        pairs = join_groups(left.select("key", "id", "label"), centres, ["key"], "size", total, how="inner").select("id", F.explode(F.expr("filter(centres, c -> c.of != label)")).alias("c"))
+        pairs = pairs.select(F.greatest("id", "c.centre").alias("a"), F.least("id", "c.centre").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
@@ -232,14 +233,14 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
             labels = components(edges)
 
         # What stands in another class than the bucket's centres, where that is more than one class.
-        named = left.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        named = left.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         settled = heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label"))
         rest = _mixed(named.join(settled.distinct(), ["key", "label"], "left_anti"), total)
         if round_no == 0:
             rest = stage(rest, "rest")
             few, many = rest.filter(F.col("now") <= MORE_CENTRES), rest.filter(F.col("now") > MORE_CENTRES)
             rest = few.unionByName(_second_keys(many, met, total))
-        left = stage(rest.drop("label", "now"), "buckets")
+        left = stage(rest.drop("now"), "buckets")
         if left.isEmpty():
             return labels
         round_no += 1

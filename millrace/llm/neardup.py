@@ -18,8 +18,10 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 #: With 36 bands of 6 coordinates two texts of similarity 0.8 share a band with probability 0.99998, of 0.5 with 0.43, of 0.3 with 0.03.
 BANDS, ROWS = 36, 6
-#: The texts left over in a bucket are compared with so many centres in the next round, then with the square of it, and so on.
-MORE_CENTRES = 8
+#: Counters that order shingles from rare to frequent, and texts of a side in a block of pairs.
+SLOTS = 1 << 20
+BLOCK = 1_000
+_SLACK = 1e-9
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,10 +181,9 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
     similarity of at least ``similarity`` over their sets of five-word runs (words as in :func:`millrace.llm.ragged.words`).
 
     Equal texts count once. Texts that share a band key meet in a bucket, and are compared exactly with the bucket's centre: the
-    text that shares most buckets with others, which in a group of altered copies is the original. Texts of a bucket that end in
-    another class than its centre meet again among themselves, with 8, then 64, … centres a bucket, until each has been compared or
-    linked; where more than 8 are left over, only those that share a second key (at 0.8 two texts have one key in
-    common with probability 0.99998, two with 0.9997). No bucket is capped. A bucket may hold any share of the rows.
+    text that shares most buckets with others, which in a group of altered copies is the original. The texts of a bucket that end in
+    another class than its centre are then compared with each other, in buckets of any size, wherever :func:`_possible` cannot
+    rule a link out. So two texts with a common key (at 0.8 with probability 0.99998) that are alike are always linked. No bucket is capped. A bucket may hold any share of the rows.
 
     NULL text: empty. Texts without a word: only equal ones are alike. Fewer than five words: one run of all words. Rows that share a
     doc_id are one node. NULL doc_id: text_id and class_id of an equal text, or NULL. Empty table: no rows.
@@ -207,62 +208,87 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     if met.isEmpty():
         return None
     popular = met.groupBy("id").agg(F.sum("n").alias("popular"))
-    left = stage(met.drop("n").join(popular, "id").withColumn("label", F.col("id")), "buckets")
+    left = stage(met.join(popular, "id"), "buckets")
     wanted = popular.select(F.col("id").alias("doc_id"))
     sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "shingles")
 
-    edges = tested = labels = None
-    round_no = 0
-    while True:
-        centres_each = 1 if round_no == 0 else MORE_CENTRES**round_no
-        centre = left.groupBy("key", F.pmod(F.xxhash64("id", F.lit(round_no)), F.lit(centres_each)).alias("slot")).agg(F.max(F.struct("popular", (-F.col("id")).alias("minus"), "label")).alias("top"))
-        centre = centre.select("key", (-F.col("top.minus")).alias("centre"), F.col("top.label").alias("of"))
-        sizes = left.groupBy("key").agg(F.count("*").alias("size"))
-        heads = stage(centre.join(sizes, "key"), "centres")
-        centres = heads.groupBy("key").agg(F.max("size").alias("size"), F.collect_list(F.struct("centre", "of")).alias("centres"))
-        # Texts of one class are linked already; only others are compared.
-        pairs = join_groups(left.select("key", "id", "label"), centres, ["key"], "size", total, how="inner").select("id", F.explode(F.expr("filter(centres, c -> c.of != label)")).alias("c"))
-        pairs = pairs.select(F.greatest("id", "c.centre").alias("a"), F.least("id", "c.centre").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = stage(_verified(pairs, sets, similarity), "links")
-        if edges is None or not linked.isEmpty():
-            edges = linked if edges is None else edges.unionByName(linked)
-            labels = components(edges)
-
-        # What stands in another class than the bucket's centres, where that is more than one class.
-        named = left.drop("label").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        settled = heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label"))
-        rest = _mixed(named.join(settled.distinct(), ["key", "label"], "left_anti"), total)
-        if round_no == 0:
-            rest = stage(rest, "rest")
-            few, many = rest.filter(F.col("now") <= MORE_CENTRES), rest.filter(F.col("now") > MORE_CENTRES)
-            rest = few.unionByName(_second_keys(many, met, total))
-        left = stage(rest.drop("now"), "buckets")
-        if left.isEmpty():
-            return labels
-        round_no += 1
+    centre = left.groupBy("key").agg(F.max("n").alias("size"), F.max(F.struct("popular", (-F.col("id")).alias("minus"))).alias("top"))
+    heads = stage(centre.select("key", "size", (-F.col("top.minus")).alias("centre")), "centres")
+    pairs = join_groups(left.select("key", "id"), heads, ["key"], "size", total, how="inner").filter("id != centre")
+    tested = stage(pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct(), "pairs")
+    edges = stage(_verified(tested, sets, similarity), "links")
+    labels = components(edges)
+
+    # Texts whose bucket holds another class are compared with all that a link is possible with.
+    named = left.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    named = named.join(heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label")), ["key", "label"], "left_anti")
+    apart = stage(_mixed(named, total), "apart")
+    if apart.isEmpty():
+        return labels
+    pairs = stage(_possible(sets.join(apart, "id"), similarity).join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = stage(_verified(pairs, sets, similarity), "links")
+    return labels if more.isEmpty() else components(edges.unionByName(more))
+
+
+def _mixed(entries: DataFrame, total: int) -> DataFrame:
+    """The texts (id, label) in buckets of ``entries`` (key, id, label) with more than one label."""
+    mixed = entries.groupBy("key").agg(F.count("*").alias("now"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
+    return join_groups(entries, mixed.select("key", "now"), ["key"], "now", total, how="inner").select("id", "label").distinct()
 
 
-def _second_keys(rest: DataFrame, met: DataFrame, total: int) -> DataFrame:
-    """Smaller buckets for what large ones leave over: those who share a key meet again only if they share another one too.
+def _possible(open_sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (a, b) of ``open_sets`` (id, shingles, label) with different labels that may be ``similarity`` alike, and few others.
 
-    Each text joins its own keys, at most ``BANDS``; of two left-over keys once.
+    In any one order of all shingles, the first one that two such sets have in common stands among the first n - ceil(similarity * n) + 1 of
+    either, n its size. The order here goes from rare to frequent, so a passage that many texts share comes last. Sizes, and what is left
+    after the two places, bound the overlap. Texts of the most frequent label of a shingle are not paired with each other; pairs
+    of a frequent shingle are dealt over blocks of ``BLOCK`` times ``BLOCK`` texts.
     """
-    own = rest.select("key", "id", F.lit(True).alias("left_over"))
-    other = met.select("key", "id").join(rest.select("id").distinct(), "id").join(own, ["key", "id"], "left")
-    other = other.select("id", F.col("key").alias("two"), "left_over")
-    pairs = rest.select("id", "popular", "label", F.col("key").alias("one")).join(other, "id").filter("one != two and (left_over is null or one < two)")
-    keys = F.xxhash64(F.least("one", "two"), F.greatest("one", "two")).alias("key")
-    return _mixed(pairs.select(keys, "id", "popular", "label").distinct(), total)
+    entries = stage(_rare_shingles(open_sets, similarity), "rare")
+    per_label = entries.groupBy("shingle", "label").agg(F.count("*").alias("c"))
+    mixed = per_label.groupBy("shingle").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("labels")).filter("labels > 1")
+    met = join_groups(entries, mixed.select("shingle", "n", F.col("top.label").alias("main")), ["shingle"], "n", entries.count(), how="inner")
+    met = stage(met.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int")), "met")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    one = met.filter("label != main").select("shingle", F.col("id").alias("x"), F.col("label").alias("lx"), F.col("size").alias("nx"), F.col("place").alias("px"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("i"), every.alias("j"))
+    two = met.select("shingle", F.col("id").alias("y"), F.col("label").alias("ly"), F.col("size").alias("ny"), F.col("place").alias("py"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("j"), every.alias("i"))
+    alike = (F.col("lx") != F.col("ly")) & (F.least("nx", "ny") >= similarity * F.greatest("nx", "ny") - _SLACK)
+    enough = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py")) >= similarity / (1 + similarity) * (F.col("nx") + F.col("ny")) - _SLACK
+    return one.join(two, ["shingle", "i", "j"]).filter(alike & enough).select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+
+
+def _rare_shingles(open_sets: DataFrame, similarity: float) -> DataFrame:
+    """(id, label, size, place, shingle): the first shingles of each set, as :func:`_possible` needs them, and their place from 0.
+
+    Shingles are ordered by the count of their slot, then by hash. A slot counts all shingles of a hash class, so it
+    is bounded whatever the corpus, and any shingle is at most as frequent; one whose slot counts 1 is in no other set.
+    """
+    slots = open_sets.select(F.explode("shingles").alias("s")).groupBy(F.pmod("s", F.lit(SLOTS)).alias("slot")).agg(F.count("*").alias("n")).toArrow()
+    often = np.zeros(SLOTS, np.int64)
+    often[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
+    kind = open_sets.schema["id"].dataType.simpleString()
+    counts = open_sets.sparkSession.sparkContext.broadcast(often)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = part.column("shingles")
+                value = sets.flatten().to_numpy(zero_copy_only=False)
+                size = np.diff(sets.offsets.to_numpy()).astype(np.int64)
+                owner = np.repeat(np.arange(part.num_rows), size)
+                seen = counts.value[value % SLOTS]
+                order = np.lexsort((value, seen, owner))
+                place = ragged.ragged_index(np.zeros(part.num_rows, np.int64), size)
+                first = size - np.ceil(similarity * size - _SLACK).astype(np.int64) + 1
+                keep = (place < first[owner]) & (seen[order] > 1)
+                mine = owner[keep]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(mine)), part.column("label").take(pa.array(mine)), pa.array(size[mine]), pa.array(place[keep]), pa.array(value[order][keep])],
+                    names=["id", "label", "size", "place", "shingle"],
+                )
 
-def _mixed(entries: DataFrame, total: int) -> DataFrame:
-    """The entries (key, id, popular, label) of buckets with more than one label, and ``now``, the entries of the bucket."""
-    mixed = entries.groupBy("key").agg(F.count("*").alias("now"), F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high")
-    return join_groups(entries.select("key", "id", "popular", "label"), mixed.select("key", "now"), ["key"], "now", total, how="inner")
+    return open_sets.select("id", "label", "shingles").mapInArrow(run, f"id {kind}, label {kind}, size bigint, place bigint, shingle bigint")
 
 
 def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

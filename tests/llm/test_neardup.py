@@ -105,6 +105,16 @@ def test_one_large_group(documents):
     assert all(got[i] == 0 for i in range(2000)) and all(got[5000 + i] == 5000 + i for i in range(300))
 
 
+def test_one_common_key_in_a_large_bucket(spark):
+    """Twenty texts meet in one bucket and nowhere else; two of them are alike, and neither is the centre."""
+    texts = [(k, " ".join(f"t{k}-{j}" for j in range(60))) for k in range(20)]
+    texts[11] = (11, texts[10][1] + " and more")
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    met = spark.createDataFrame([(k, [7]) for k, _ in texts], "id bigint, bands array<bigint>")
+    got = {r["id"]: r["label"] for r in neardup._labels(docs, met, 0.8).collect()}
+    assert got.get(11) == 10 and all(got.get(k, k) == k for k in range(20) if k != 11)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 101), (200, 150)]
     got = {r["id"]: r["label"] for r in neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}

@@ -181,8 +181,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
     similarity of at least ``similarity`` over their sets of five-word runs (words as in :func:`millrace.llm.ragged.words`).
 
     Equal texts count once. Texts that share a band key meet in a bucket, and are compared exactly with the bucket's centre: the
-    text that shares most buckets with others, which in a group of altered copies is the original. The texts of a bucket that end in
-    another class than its centre are then compared with each other, in buckets of any size, wherever :func:`_possible` cannot
+    text that shares most buckets with others, which in a group of altered copies is the original. Where a bucket then holds several
+    classes, texts of different classes are compared with each other, in buckets of any size, wherever :func:`_possible` cannot
     rule a link out. So two texts with a common key (at 0.8 with probability 0.99998) that are alike are always linked. No bucket is capped. A bucket may hold any share of the rows.
 
     NULL text: empty. Texts without a word: only equal ones are alike. Fewer than five words: one run of all words. Rows that share a
@@ -219,9 +219,8 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     edges = stage(_verified(tested, sets, similarity), "links")
     labels = components(edges)
 
-    # Texts whose bucket holds another class are compared with all that a link is possible with.
+    # All texts of a bucket that holds several classes, linked with its centre or not, are compared with all that a link is possible with.
     named = left.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    named = named.join(heads.join(labels, heads.centre == labels.id, "left").select("key", F.coalesce("label", "centre").alias("label")), ["key", "label"], "left_anti")
     apart = stage(_mixed(named, total), "apart")
     if apart.isEmpty():
         return labels

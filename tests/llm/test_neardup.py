@@ -105,6 +105,27 @@ def test_one_large_group(documents):
     assert all(got[i] == 0 for i in range(2000)) and all(got[5000 + i] == 5000 + i for i in range(300))
 
 
+def bridge(number, words=204):
+    """A is like B but not like the centre, B is like the centre; light copies of the centre make it one."""
+    base = [f"g{number}-{k}" for k in range(words)]
+    copies = [base, *([*base[:-1], f"last{k}"] for k in range(6))]
+    return [" ".join(t) for t in [*copies, base[:-4], base[:162]]]
+
+
+def test_a_left_over_text_meets_settled_ones(spark):
+    texts = [(k, t) for k, t in enumerate(bridge(0))]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    met = spark.createDataFrame([(k, [7]) for k, _ in texts], "id bigint, bands array<bigint>")
+    got = {r["id"]: r["label"] for r in neardup._labels(docs, met, 0.8).collect()}
+    assert set(brute(texts).values()) == {0} and got == brute(texts)
+
+
+def test_bridges(documents):
+    rows = [(100 * g + k, t) for g in range(15) for k, t in enumerate(bridge(g))]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(documents(rows)).collect()}
+    assert got == brute(rows)
+
+
 def test_one_common_key_in_a_large_bucket(spark):
     """Twenty texts meet in one bucket and nowhere else; two of them are alike, and neither is the centre."""
     texts = [(k, " ".join(f"t{k}-{j}" for j in range(60))) for k in range(20)]

@@ -68,12 +68,13 @@ class Spans:
 
     The template is called with growing prefixes; what a prefix adds to the one before is the turn's span. Rendering the same prefix with a
     probe as the last text shows where in the span the text stands. So that long conversations take linear time,
-    only the last turns are rendered: the window is cut when it is long, and only if the turn at
-    hand comes out alike with and without the turns cut off. A template for which it does not keeps its whole prefix.
+    only the last turns of a ``turn_local`` template are rendered: the window is cut when it is long, and only if the turn at
+    hand comes out alike with and without the turns cut off. A template for which it does not, or that once rewrote
+    earlier turns, keeps its whole prefix from then on; one that is not ``turn_local`` always does.
     """
 
-    def __init__(self, template: Template):
-        self.template, self.turns, self.before, self.length, self.frozen = template, [], None, 0, False
+    def __init__(self, template: Template, turn_local: bool = True):
+        self.template, self.turns, self.before, self.length, self.frozen = template, [], None, 0, not turn_local
 
     def add(self, role: str, text: str) -> tuple[str, int, int, int, bool]:
         """The span's text, its start, where the turn's text begins and ends in it, and whether the template changed earlier turns."""
@@ -90,7 +91,8 @@ class Spans:
         begin, tail = (at, len(probe) - at - len(_PROBE)) if at >= 0 else (0, len(span))
         self.turns.append((role, text))
         self.length = start + len(span)
-        if len(self.turns) > WINDOW_TURNS and not rewrites and not self.frozen:
+        self.frozen = self.frozen or rewrites
+        if len(self.turns) > WINDOW_TURNS and not self.frozen:
             short = self.turns[-CONTEXT_TURNS:]
             base, full = self.template(short[:-1]), self.template(short)
             if full.startswith(base) and full[len(base) :] == span:
@@ -110,14 +112,18 @@ def _common(a: str, b: str) -> int:
     return low
 
 
-def format_turns(turns: DataFrame, template: Template = turn_template) -> DataFrame:
+def format_turns(turns: DataFrame, template: Template = turn_template, turn_local: bool | None = None) -> DataFrame:
     """One row per turn: conv_id, number (from 0), role, span, start, text_begin, text_end, loss, rewrites.
 
     The spans of a conversation on end are the formatted text; ``start`` is the span's place in it, ``text_begin`` and ``text_end`` the place of the escaped text
     in the span, in code points. ``loss``: an assistant's text, which a model learns. ``rewrites``: the template changed what it had
     written for earlier turns; ``start`` then lies where the change begins.
 
-    The rows are dealt by conversation and sorted; tasks walk through them with one window of turns in hand, so a
+    ``turn_local``: the caller declares that what the template makes of a turn depends on no turn more than ``CONTEXT_TURNS - 1`` before it and that no
+    later turn changes it. Undeclared, only :func:`turn_template` counts as such. Any other template gets the whole prefix of every turn,
+    which takes quadratic time and holds one conversation in memory.
+
+    The rows are dealt by conversation and sorted; for a turn-local template tasks walk through them with one window of turns in hand, so a
     conversation of any length needs bounded memory and goes to disk where sorting needs it. Order within a conversation: turn (NULL first), role, text. NULL role and
     NULL text: empty. NULL conv_id: a conversation of its own. Repeated rows: turns of their own. Empty table: no rows. Other columns are not read.
     """
@@ -128,6 +134,7 @@ def format_turns(turns: DataFrame, template: Template = turn_template) -> DataFr
         F.coalesce(column(turns, "text").cast("string"), F.lit("")).alias("text"),
     )
     kind = narrow.schema["conv_id"].dataType.simpleString()
+    local = template is turn_template if turn_local is None else turn_local
     dealt = narrow.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     dealt = dealt.withColumn("conv_null", F.col("conv_id").isNull()).withColumn("conv_text", F.col("conv_id").cast("string"))
 
@@ -138,7 +145,7 @@ def format_turns(turns: DataFrame, template: Template = turn_template) -> DataFr
             for role, text, null, name in zip(batch["role"], batch["text"], batch["conv_null"], batch["conv_text"], strict=True):
                 key = None if null else name
                 if spans is None or key != current:
-                    current, spans, number = key, Spans(template), 0
+                    current, spans, number = key, Spans(template, local), 0
                 span, start, begin, end, rewrites = spans.add(role, text)
                 out.append((number, role, span, start, begin, end, role == "assistant", rewrites))
                 number += 1

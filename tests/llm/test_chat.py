@@ -75,6 +75,23 @@ def test_a_template_that_counts_keeps_its_prefix():
     assert text == numbered([("user", f"t{k}") for k in range(60)]) and spans.frozen
 
 
+def test_a_template_that_moves_the_system_text(spark):
+    def system_moved(turns):
+        """Puts the system text in front of the last user turn only."""
+        system = "".join(t for r, t in turns if r == "system")
+        last = max((k for k, (r, _) in enumerate(turns) if r == "user"), default=-1)
+        return "".join(f"<{r}>{system if k == last else ''}{t}" for k, (r, t) in enumerate(turns) if r != "system")
+
+    said = [("system", "be brief"), *(("assistant" if k % 2 else "user", f"turn {k}") for k in range(40))]
+    df = spark.createDataFrame([(1, k, r, t) for k, (r, t) in enumerate(said)], "conv_id bigint, turn bigint, role string, text string")
+    rows = sorted(chat.format_turns(df, system_moved).collect(), key=lambda r: r["number"])
+    made = ""
+    for k, r in enumerate(rows):
+        made = made[: r["start"]] + r["span"]
+        assert made == system_moved(said[: k + 1])
+        assert r["rewrites"] == (not made.startswith(system_moved(said[:k])))
+
+
 def test_the_window_stays_short():
     longest = 0
 

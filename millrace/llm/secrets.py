@@ -42,7 +42,13 @@ _DIGIT = np.zeros(256, bool)
 _DIGIT[list(b"0123456789")] = True
 _NAMED = re.compile(rb"(?i)(?:token|secret|passwo?r?d|pwd|api[_-]?key|access[_-]?key|auth|credentials?)[\"']?[ \t]{0,3}$")
 _VALUE = re.compile(rb"=?>?[ \t]{0,3}[\"']?([\x21\x23-\x26\x28-\x7e]{8,})")
-_BLOCK = re.compile(rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----.*?(?:-----END [A-Z ]{0,30}PRIVATE KEY-----|$)", re.DOTALL)
+_KEY_RUN = re.compile(rb"[A-Za-z0-9+/=]{16,}+")
+_BETWEEN = rb"(?:[\s\"',;>|#*]|\\+[nrt]|\+(?=\s)){0,40}+"
+#: Header, PEM headers, lines of key characters, and the END line where it follows them.
+_BLOCK = re.compile(
+    rb"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:" + _BETWEEN + rb"[A-Za-z][A-Za-z-]{2,30}:[ \t][^\r\n\\]{0,200})*+"
+    rb"(?P<body>(?:" + _BETWEEN + _KEY_RUN.pattern + rb")++)(?:" + _BETWEEN + rb"[A-Za-z0-9+/=]{0,15}" + _BETWEEN + rb"-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
+)
 _WORD = re.compile(r"[^\W\d_]+(?:_key)?|\d+")
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "distinct", "transitions", "longest_run", "surprise", "dictionary", "path_like", "path_words", "credential_near", "assigned", "harmless_near", "placeholder"]
 
@@ -301,17 +307,26 @@ def _judged(part: pa.RecordBatch, text_name: str, paths: list, forest: Forest, k
         if not found:
             continue
         data = raw[begin:end].tobytes()
-        rows = [feature_row(data[a:b].decode(), data[max(0, a - 120) : a].decode(errors="ignore")[-60:], data[b : b + 120].decode(errors="ignore")[:60], paths[k] or "", known) if kind != "block" else [0.0] * len(FEATURES) for a, b, kind in found]
-        chance = forest.predict(np.array(rows))
-        yield k, [(a, b, kind, 1.0 if kind == "block" else float(p)) for (a, b, kind), p in zip(found, chance, strict=True)]
+        # Of a block, each line of key characters is judged, and the likeliest counts.
+        values, owner = [], []
+        for n, (a, b, kind) in enumerate(found):
+            body = _BLOCK.match(data, a).span("body") if kind == "block" else None
+            inner = [run.span() for run in _KEY_RUN.finditer(data, *body)] if body else [(a, b)]
+            lead, tail = (body[0], body[1]) if body else (a, b)
+            before, after = data[max(0, lead - 120) : lead].decode(errors="ignore")[-60:], data[tail : tail + 120].decode(errors="ignore")[:60]
+            values += [feature_row(data[c:d].decode(), before, after, paths[k] or "", known) for c, d in inner]
+            owner += [n] * len(inner)
+        chance = np.zeros(len(found))
+        np.maximum.at(chance, owner, forest.predict(np.array(values)))
+        yield k, [(a, b, kind, float(p)) for (a, b, kind), p in zip(found, chance, strict=True)]
 
 
 def scan(docs: DataFrame, forest: Forest, known: Lexicon, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
     """One row per candidate: doc_id, start and length in code points, kind, value_sha256, probability, is_secret.
 
     Every whole text is read, in the tasks, without a shuffle; the forest and the word list are bounded and travel with the tasks.
-    Kinds: ``run`` (16 or more key characters with a digit), ``named`` (8 or more after a credential's name), ``block`` (a private key; always a
-    secret). NULL and empty text: no candidates. NULL path: none. NULL doc_id: kept. Repeated rows: findings each. Empty table: no rows.
+    Kinds: ``run`` (16 or more key characters with a digit), ``named`` (8 or more after a credential's name), ``block`` (a private key: its header,
+    the lines of key characters that follow, and an END line right after them; a header without such lines is none). NULL and empty text: no candidates. NULL path: none. NULL doc_id: kept. Repeated rows: findings each. Empty table: no rows.
     """
     path = column(docs, path_col).cast("string") if path_col else F.lit("")
     narrow = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text"), path.alias("path"))

@@ -47,6 +47,27 @@ def test_redact(documents, trained):
     assert texts[2]["text"] == TEXTS[1][1] and KEY not in texts[4]["text"] and texts[4]["text"] == "[SECRET] tail"
 
 
+def test_a_mentioned_key_header_leaves_the_text(documents, trained):
+    import base64
+    import random
+
+    line = lambda k: base64.b64encode(random.Random(k).randbytes(48)).decode()
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    lines = [line(k) for k in range(12)]
+    texts = [
+        f"a file that starts with {begin} holds a key, and all of this is plain prose",
+        f"between {begin} and the last line there is\nplain prose\n{end} tail",
+        f"cut off\n{begin}\n" + "\n".join(lines) + "\nThe rest is plain prose.",
+        f"see {begin} above\n{begin}\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(lines) + f"\nab3=\n{end}\nmore",
+        f'"key": "{begin}\\n' + "\\n".join(lines) + f'\\n{end}\\n", next',
+    ]
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(documents(list(enumerate(texts))), *trained).collect()}
+    assert got[0] == texts[0] and got[1] == texts[1]
+    assert got[2] == "cut off\n[SECRET]\nThe rest is plain prose."
+    assert got[3] == f"see {begin} above\n[SECRET]\nmore"
+    assert got[4] == '"key": "[SECRET]\\n", next'
+
+
 def test_odd_rows(documents, odd_rows, trained):
     docs = documents(odd_rows)
     assert all(r["doc_id"] not in (1, 2, 3) for r in secrets.scan(docs, *trained).collect())

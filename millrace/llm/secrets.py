@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm import ragged
 from millrace.llm.common import column
+from millrace.session import stage
 
 #: Shortest run of key characters that is a candidate by itself; runs need a digit too.
 RUN_CHARS = 16
-#: Documents that the word list and the letter pairs are learned from, about, and words kept.
-SAMPLE_DOCS = 2_000
+#: Words kept in the word list.
 DICTIONARY_WORDS = 20_000
 #: Labelled findings that the forest is fitted to, at most.
 LABELLED_ROWS = 4_000
@@ -65,19 +65,26 @@ def _letter(c: str) -> int:
     return ord(c) - 97 if "a" <= c <= "z" else 26
 
 
-def learn_lexicon(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text") -> Lexicon:
-    """Words of 3 to 12 letters in at least two of about ``sample_docs`` documents, the ``DICTIONARY_WORDS`` most frequent ones.
+def learn_lexicon(docs: DataFrame, text_col: str = "text", group_col: str = "lang") -> Lexicon:
+    """Words of 3 to 12 letters in at least two documents, and how often letters of such words follow each other, over all documents.
 
-    Part of fitting the classifier, so it reads a bounded sample, chosen by a hash of the id.
+    Only the word list is bounded: the ``DICTIONARY_WORDS`` words with the largest share of the documents of some group (a
+    language; without that column, of all), so that a small one has its words in it too. Counts have a map side.
     """
-    total = max(1, docs.count())
-    draw = F.pmod(F.xxhash64(F.lit("lexicon"), column(docs, id_col)), F.lit(1 << 30)) / float(1 << 30)
-    words = docs.filter(draw < sample_docs / total).select(F.explode(F.array_distinct(F.split(F.lower(column(docs, text_col).cast("string")), r"[^\p{L}]+"))).alias("w"))
-    top = words.filter(F.length("w").between(3, 12)).groupBy("w").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()
+    group = F.coalesce(column(docs, group_col).cast("string"), F.lit("")) if group_col in docs.columns else F.lit("")
+    parts = F.array_distinct(F.split(F.lower(column(docs, text_col).cast("string")), r"[^\p{L}]+"))
+    words = docs.select(group.alias("g"), F.explode(F.filter(parts, lambda w: F.length(w).between(3, 12))).alias("w"))
+    sizes = docs.groupBy(group.alias("g")).agg(F.count("*").alias("docs"))
+    counts = words.groupBy("g", "w").agg(F.count("*").alias("n")).join(sizes, "g")
+    counts = counts.groupBy("w").agg(F.sum("n").alias("n"), F.max(F.when(F.col("n") > 1, F.col("n") / F.col("docs"))).alias("share")).filter("n > 1")
+    counts = stage(counts, "lexicon")
+    top = counts.orderBy(F.desc_nulls_last("share"), F.desc("n"), "w").limit(DICTIONARY_WORDS).collect()
+    plain = counts.select(F.regexp_replace("w", "[^a-z]", "{").alias("w"), F.log1p("n").alias("weight"))
+    two = plain.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - 1), lambda k: F.col("w").substr(k, F.lit(2)))).alias("two"), "weight")
     pairs = np.ones((27, 27))
-    for row in top:
-        for a, b in zip(row["w"], row["w"][1:], strict=False):
-            pairs[_letter(a), _letter(b)] += math.log1p(row["n"])
+    for row in two.groupBy("two").agg(F.sum("weight").alias("weight")).collect():
+        a, b = row["two"]
+        pairs[_letter(a), _letter(b)] += row["weight"]
     return Lexicon(frozenset(r["w"] for r in top), -np.log2(pairs / pairs.sum(axis=1, keepdims=True)))
 
 

@@ -75,6 +75,13 @@ def test_odd_rows(documents, odd_rows, trained):
     assert secrets.scan(documents([]), *trained).count() == 0 and secrets.redact(documents([]), *trained).count() == 0
 
 
+def test_words_of_a_small_language_are_learned(documents):
+    """Ten of 6,000 documents are in another language."""
+    rows = [(k, f"common words of every text {'abcdefghij'[k % 10] * 5}", "en") for k in range(5990)] + [(6000 + k, "pieni kieli metsä", "fi") for k in range(10)]
+    known = secrets.learn_lexicon(documents(rows))
+    assert {"pieni", "kieli", "metsä", "common", "aaaaa"} <= known.words
+
+
 def test_training_without_words(documents):
     forest, known = secrets.trained(documents([]))
     assert len(forest.roots) == secrets.TREES and known.words == frozenset()

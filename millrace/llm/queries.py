@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, exact, langid, neardup, packing, quality, secrets, sentpiece, substrings, token_counts
+from millrace.llm import chat, exact, langid, manifest, neardup, packing, quality, secrets, sentpiece, spelling, substrings, token_counts, warc
+from millrace.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -137,6 +138,109 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(_documents(spark, sf_dir))
 
 
+#: DuckDB has no CRC-32: the table of a byte's remainders, and the sum over a list of bytes.
+_CRC_TABLE = """SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS remainders
+    FROM range(256) AS bytes(i)"""
+
+
+def _crc(byte_list: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {byte_list}), lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _merkle_levels(name: str, first: str, group: str, levels: int) -> str:
+    """``{name}{i}``: nodes of a level with their place in the run, the digests before and after it there, and how many nodes the group has."""
+    out = [f"{name}0 AS (SELECT *, count(*) OVER (PARTITION BY {group}) AS m FROM ({first}))"]
+    for i in range(levels):
+        out.append(f"""{name}s{i} AS (SELECT *, CASE WHEN m = 1 THEN '' ELSE coalesce(string_agg(d, '') OVER (run ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l,
+            CASE WHEN m = 1 THEN '' ELSE coalesce(string_agg(d, '') OVER (run ORDER BY p ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r
+            FROM {name}{i} WINDOW run AS (PARTITION BY {group}, p // 16))""")
+        out.append(f"""{name}{i + 1} AS (SELECT {group}, q AS p, d, count(*) OVER (PARTITION BY {group}) AS m FROM
+            (SELECT {group}, p // 16 AS q, CASE WHEN any_value(m) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY p)) END AS d FROM {name}{i} GROUP BY {group}, p // 16))""")
+    return ",\n".join(out)
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """The manifest for up to 16^levels rows a source, and as many sources: the levels are written out, those above a group's root change nothing."""
+    def field(c: str, value: str | None = None) -> str:
+        value = value or f"{c}::VARCHAR"
+        return f"coalesce(octet_length(encode({value}))::VARCHAR || ':' || {value}, '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    joins = "".join(f"\n    JOIN ts{i} AS t{i}_ ON t{i}_.g = x.g AND t{i}_.p = x.p // {16 ** i}" for i in range(levels))
+    joins += "".join(f"\n    JOIN us{i} AS u{i}_ ON u{i}_.p = s.p // {16 ** i}" for i in range(levels))
+    # Each step of the fold is a column of its own, so that no digest is computed twice.
+    steps, last = [], "start"
+    for name in ("t", "u"):
+        for i in range(levels):
+            side, new = f"{name}{i}_", f"f{name}{i}"
+            steps.append(f"CASE WHEN {side}_m = 1 THEN {last} ELSE sha256({side}_l || {last} || {side}_r) END AS {new}")
+            last = new
+    sides = ", ".join(f"{n}{i}_.{c} AS {n}{i}__{c}" for n in ("t", "u") for i in range(levels) for c in ("m", "l", "r"))
+    nested = "SELECT * FROM wide"
+    for step in steps:
+        nested = f"SELECT *, {step} FROM ({nested})"
+    return f"""
+    WITH crc AS ({_CRC_TABLE}),
+    lf AS (SELECT doc_id, coalesce('=' || source, '') AS g, source, sha256({head} || {field('text', 'text')}) AS d,
+           CASE WHEN {_crc("list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)")} % 5 = 0 THEN sha256({head} || {field('text', low)}) END AS forged
+           FROM documents, crc),
+    {_merkle_levels("t", "SELECT doc_id, g, d, coalesce(forged, d) AS start, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS p FROM lf", "g", levels)},
+    sub AS (SELECT g, d AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS p FROM t{levels}),
+    {_merkle_levels("u", "SELECT 1 AS one, subroot AS d, p FROM sub", "one", levels)},
+    top AS (SELECT d AS root FROM u{levels}),
+    wide AS (SELECT x.doc_id, x.d AS leaf, s.subroot, root, x.start, {sides} FROM t0 AS x JOIN sub AS s ON s.g = x.g{joins}, top)
+    SELECT doc_id, leaf, subroot, root, sha256({' || '.join(f'{n}{i}__l || {n}{i}__r' for n in ('t', 'u') for i in range(levels))}) AS proof_sha256,
+           {last} AS folded_root, {last} = root AS verified FROM ({nested})
+    """
+
+
+@_register("op11_merkle_manifest", _merkle_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_documents(spark, sf_dir)).drop("source", "position")
+
+
+@_register(
+    "op12_spelling_variants",
+    f"""
+    WITH RECURSIVE crc AS ({_CRC_TABLE}),
+    runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+    each AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS k, run, count(*) AS c FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+    hashed AS (SELECT run, c, {_crc("flatten(list_transform(string_split(k, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))")} AS h FROM each, crc),
+    words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(c)::BIGINT AS n
+              FROM hashed GROUP BY 1 HAVING sum(c) >= 3 AND length(word) >= 5),
+    less AS (SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words),
+    parts AS (SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substr(word, 1, (i - 1)::INT) || substr(word, (i + 1)::INT) END AS part FROM less),
+    near AS (SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM parts AS a JOIN parts AS b ON a.part = b.part AND a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+    best AS (SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, encode(other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+    forms AS (SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+              FROM words LEFT JOIN best USING (word)),
+    up AS (SELECT word, word AS at FROM forms UNION ALL SELECT up.word, forms.form FROM up JOIN forms ON forms.word = up.at WHERE forms.form IS NOT NULL),
+    ends AS (SELECT up.word, up.at AS root FROM up JOIN forms ON forms.word = up.at AND forms.form IS NULL)
+    SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_documents(spark, sf_dir))
+
+
+@_register(
+    "op13_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    f AS (SELECT *, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+    SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+           array_to_string(flatten(list_transform(range(8), lambda k: list_transform([32768, 1024, 32, 1],
+             lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(('0x' || h[(5 * k + 1):(5 * k + 5)])::BIGINT // s) % 32 + 1]))), '') AS payload_digest,
+           CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+    FROM f
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.round_trip(pages, scratch_path(spark, "warc")).drop("intact")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

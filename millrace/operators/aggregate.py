@@ -82,6 +82,56 @@ def aggregate(
     return grouped.select(*keys, "group_no", "part", "size", "closed", "payloads")
 
 
+def group_rows(
+    df: DataFrame,
+    key: str | Sequence[str],
+    order,
+    release_size: int | None = None,
+    release_expr: str | Column | None = None,
+    payload: str | Column = "payload",
+    begun: DataFrame | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """A1, A2 as rows: (key…, ``group_no``, ``seq`` from 1, ``closed``, ``payload``), a row per message, so a group may be of any size.
+
+    :func:`aggregate` makes lists of them. ``begun`` says what there was before these messages: a row per key with ``open``, how many messages its
+    open group has, and ``released``, how many groups it has let go; keys without a row start anew.
+    """
+    if release_size is None and release_expr is None:
+        raise ValueError("give release_size, release_expr or both")
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [order] if isinstance(order, (str, Column)) else list(order or [])
+    narrow = df.withColumns({"_mr_item": as_column(payload), "_mr_closes": F.coalesce(as_column(release_expr) if release_expr is not None else F.lit(False), F.lit(False))})
+    if all(isinstance(o, str) for o in order):
+        narrow = narrow.select(*dict.fromkeys([*keys, *order, "_mr_item", "_mr_closes"]))
+    if begun is None:
+        narrow = narrow.withColumns({"_mr_open": F.lit(0).cast("long"), "_mr_released": F.lit(0).cast("long")})
+    else:
+        gid = F.struct(*keys)
+        known = begun.select(gid.alias("_mr_gid"), F.col("open").alias("_mr_open"), F.col("released").alias("_mr_released"))
+        narrow = narrow.withColumn("_mr_gid", gid).join(known, "_mr_gid", "left").drop("_mr_gid").fillna(0, ["_mr_open", "_mr_released"])
+    if release_expr is None:
+        rows = number_rows(narrow, keys, order, "rn", hot_rows, total="_mr_in_key")
+        place = F.col("_mr_open") + F.col("rn")
+        group, seq = F.expr(f"(_mr_open + rn - 1) div {release_size}"), (place - 1) % release_size + 1
+        closed = group < F.expr(f"(_mr_open + _mr_in_key) div {release_size}")
+    else:
+        begins = F.when(F.col("marks_before") == 0, F.col("_mr_open")).otherwise(0) + F.col("rn") - F.col("last_mark")
+        rows = mark_rows(narrow, keys, order, F.col("_mr_closes"), hot_rows)
+        if release_size is not None:
+            # Within a stretch that ends by content, every n-th message closes a group too.
+            again = rows.withColumn("_mr_closes", F.col("_mr_closes") | (begins % release_size == 0)).select(*narrow.columns)
+            rows = mark_rows(again, keys, order, F.col("_mr_closes"), hot_rows)
+        group, seq, closed = F.col("marks_before"), begins, F.col("marks_before") < F.col("marks")
+    return rows.select(*keys, (F.col("_mr_released") + group).alias("group_no"), seq.alias("seq"), closed.alias("closed"), F.col("_mr_item").alias("payload"))
+
+
+def collect_groups(rows: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS) -> DataFrame:
+    """Lists of what :func:`group_rows` gives: the key, ``group_no``, ``part``, ``size``, ``closed``, ``payloads``, as :func:`aggregate` has them."""
+    named = rows.withColumnsRenamed({"seq": "_mr_seq", "payload": "_mr_item"})
+    return _collect(named, list(keys), part_rows, F.col("closed")).select(*keys, "group_no", "part", "size", "closed", "payloads")
+
+
 def _collect(rows: DataFrame, keys: list[str], part_rows: int, closed: Column) -> DataFrame:
     rows = rows.select(
         *keys, "group_no", F.expr(f"(_mr_seq - 1) div {part_rows}").alias("part"), closed.alias("closed"),

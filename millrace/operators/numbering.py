@@ -37,27 +37,29 @@ def order_columns(order) -> list[Column]:
 
 
 def number_rows(
-    df: DataFrame, keys: Sequence[str], order, out: str = "rn", hot_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order, out: str = "rn", hot_rows: int | None = None, total: str | None = None
 ) -> DataFrame:
     """Add ``out`` = 1, 2, … per key in the given order; no keys numbers the whole frame.
 
-    ``hot_rows`` overrides how many rows make a key hot.
+    ``hot_rows`` overrides how many rows make a key hot. ``total`` names a column for the number of rows of the key.
     """
     order = order_columns(order)
     keys = list(keys)
     if not keys:
-        total = df.count()
-        return number_spread(df, keys, order, _slices(total, hot_rows or _fair_share(df, total)), out)
+        rows = df.count()
+        return number_spread(df, keys, order, _slices(rows, hot_rows or _fair_share(df, rows)), out, total)
     cold, hot, slices = _by_heat(df, keys, hot_rows)
-    numbered = number_in_task(cold, keys, order, out)
+    numbered = number_in_task(cold, keys, order, out, total)
     if hot is None:
         return numbered
-    return numbered.unionByName(number_spread(hot, keys, order, slices, out))
+    return numbered.unionByName(number_spread(hot, keys, order, slices, out, total))
 
 
-def number_in_task(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
+def number_in_task(df: DataFrame, keys: list[str], order: list[Column], out: str, total: str | None = None) -> DataFrame:
     """Positions by one window; only for keys known to be small enough for a task."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
+    by_key = Window.partitionBy(*keys)
+    numbered = df.withColumn(out, F.row_number().over(by_key.orderBy(*order)).cast("long"))
+    return numbered if total is None else numbered.withColumn(total, F.count(F.lit(1)).over(by_key))
 
 
 def mark_rows(
@@ -133,21 +135,21 @@ def _lay_out(df: DataFrame, keys: list[str], order: list[Column], slices: int) -
     )
 
 
-def number_spread(df: DataFrame, keys: list[str], order: list[Column], slices: int, out: str) -> DataFrame:
+def number_spread(df: DataFrame, keys: list[str], order: list[Column], slices: int, out: str, total: str | None = None) -> DataFrame:
     """Positions over ``slices`` range partitions, whatever the sizes of the keys."""
     rows = _lay_out(df, keys, order, slices)
-    earlier = Window.partitionBy(_GID).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    by_key = Window.partitionBy(_GID)
+    earlier = by_key.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     # Ranges are contiguous, so there are at most slices + hot keys rows here.
     parts = (
         rows.groupBy(_GID, _PART)
         .agg(F.count(F.lit(1)).alias("_mr_n"), F.min(_ROW).alias(_LOW))
-        .select(_GID, _PART, _LOW, F.coalesce(F.sum("_mr_n").over(earlier), F.lit(0)).alias(_OFFSET))
-    )
-    return (
-        rows.join(F.broadcast(parts), [_GID, _PART])
-        .withColumn(out, F.col(_OFFSET) + F.col(_ROW) - F.col(_LOW) + 1)
-        .drop(_GID, _PART, _LOW, _OFFSET, _ROW)
+        .select(_GID, _PART, _LOW, F.coalesce(F.sum("_mr_n").over(earlier), F.lit(0)).alias(_OFFSET), F.sum("_mr_n").over(by_key).alias(_TOTAL))
     )
+    numbered = rows.join(F.broadcast(parts), [_GID, _PART]).withColumn(out, F.col(_OFFSET) + F.col(_ROW) - F.col(_LOW) + 1)
+    if total is not None:
+        numbered = numbered.withColumn(total, F.col(_TOTAL))
+    return numbered.drop(_GID, _PART, _LOW, _OFFSET, _ROW, _TOTAL)
 
 
 def _spread_marks(df: DataFrame, keys, order, slices: int) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from millrace.messages import as_column
 
 PART_ROWS = 100_000
+#: Numbers in one word of a bitmap, as a power of two.
+WORD_BITS = 6
 
 
 def split_messages(
@@ -56,13 +58,16 @@ def reassemble(
 ) -> DataFrame:
     """A3: the payloads of each complete group, by sequence number.
 
-    A group is complete when every number 1..size has arrived; a number that arrived
-    more than once counts once (smallest payload).  Groups of more than ``part_rows``
-    members come out as several rows (``part`` 0, 1, …), so no task holds a whole giant group.
+    A group is complete when every number 1..size has arrived, a number that arrived more than once counts once (smallest payload). Groups of more
+    than ``part_rows`` members come out as several rows (``part`` 0, 1, …), so no task holds a whole giant group. Messages without a
+    correlation or with a number outside 1..size are left out. If messages of one group name different sizes, the largest counts,
+    of those up to ``part_rows`` and of the larger ones by themselves.
 
-    ``unique`` promises that no number arrives twice, as straight after
-    :func:`split_messages`; it saves the pass that guards against repeats.  On a stream
-    this is :func:`millrace.streaming.aggregate.reassemble_stream`.
+    Payloads are shuffled once, by group and part. Groups of one part are counted where they then are; for larger ones bitmaps of the numbers,
+    64 in a row, tell beforehand which are complete, so payloads of the others are not gathered at all.
+
+    ``unique`` promises that no number arrives twice, as straight after :func:`split_messages`; it saves the folding of repeats. On a stream
+    this is :func:`millrace.streaming.aggregate.reassemble_stream`, or :func:`millrace.streaming.batches.reassemble_batches` where groups may be large.
     """
     if df.isStreaming:
         from millrace.streaming.aggregate import reassemble_stream
@@ -72,24 +77,42 @@ def reassemble(
         F.col(correlation).alias("correlation"), F.col(seq).cast("long").alias("seq"),
         F.col(size).cast("long").alias("size"), F.col(payload).alias("payload"),
     ).filter("seq between 1 and size and correlation is not null")
-    rows = rows.withColumn("part", F.expr(f"(seq - 1) div {part_rows}"))
-    if not unique:
-        fullest = rows.groupBy("correlation", "part").count().agg(F.max("count").alias("n")).first().n
-        if (fullest or 0) > part_rows:
-            # Only repeats can overfill a part; fold them before anything is collected.
-            rows = rows.groupBy("correlation", "part", "seq").agg(F.max("size").alias("size"), F.min("payload").alias("payload"))
-    parts = rows.groupBy("correlation", "part").agg(
-        F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("seq", "payload"))).alias("items")
-    )
-    items = F.col("items")
+    whole = whole_groups(bit_words(rows.filter(F.col("size") > part_rows)))
+    # A row per part, so that the join finds the payloads where their shuffle has put them.
+    parts = whole.select("correlation", F.explode(F.expr(f"sequence(0, (size - 1) div {part_rows})")).alias("part"), F.lit(True).alias("_mr_whole"))
+    dealt = rows.withColumn("part", F.expr(f"(seq - 1) div {part_rows}")).repartition("correlation", "part")
+    rows = dealt.join(parts, ["correlation", "part"], "left").filter((F.col("size") <= part_rows) | F.col("_mr_whole"))
     if not unique:
-        items = F.filter(items, lambda x, i: (i == 0) | (x["seq"] != F.get(F.col("items"), i - 1)["seq"]))
-    parts = parts.select(
-        "correlation", "part", "size", F.size(items).cast("long").alias("n"), F.transform(items, lambda x: x["payload"]).alias("payloads")
-    )
-    single = parts.filter((F.col("size") <= part_rows) & (F.col("n") == F.col("size")))
-    # Both branches read the same shuffle, which Spark runs once.
-    large = parts.filter(F.col("size") > part_rows)
-    whole = large.groupBy("correlation").agg(F.sum("n").alias("n"), F.max("size").alias("size")).filter("n = size")
-    several = large.drop("size", "n").join(whole.select("correlation", "size"), "correlation")
-    return single.drop("n").unionByName(several).select("correlation", "part", "size", "payloads")
+        rows = rows.groupBy("correlation", "part", "seq").agg(F.max("size").alias("size"), _smallest(rows, "payload").alias("payload"))
+    items = F.collect_list(F.struct("seq", "payload"))
+    gathered = rows.groupBy("correlation", "part").agg(F.max("size").alias("size"), (F.sort_array(items) if _ordered(rows, "payload") else F.array_sort(items, _by_seq)).alias("items"))
+    complete = F.size("items") == F.least(F.col("size") - F.col("part") * part_rows, F.lit(part_rows))
+    return gathered.filter(complete).select("correlation", "part", "size", F.transform("items", lambda x: x["payload"]).alias("payloads"))
+
+
+def _ordered(rows: DataFrame, name: str) -> bool:
+    kind = rows.schema[name].dataType.simpleString()
+    return "map<" not in kind and "variant" not in kind
+
+
+def _by_seq(a: Column, b: Column) -> Column:
+    return (a["seq"] - b["seq"]).cast("int")
+
+
+def _smallest(rows: DataFrame, name: str) -> Column:
+    """The smallest value, or any where values have no order."""
+    return F.min(name) if _ordered(rows, name) else F.any_value(name)
+
+
+def bit_words(rows: DataFrame) -> DataFrame:
+    """(correlation, word, bits, size): which numbers of each group there are, 64 to a row; merged with a map side."""
+    word = F.shiftright(F.col("seq") - 1, WORD_BITS)
+    bit = F.expr(f"shiftleft(1L, cast((seq - 1) & {(1 << WORD_BITS) - 1} as int))")
+    return rows.groupBy("correlation", word.alias("word")).agg(F.bit_or(bit).alias("bits"), F.max("size").alias("size"))
+
+
+def whole_groups(words: DataFrame) -> DataFrame:
+    """(correlation, size) of the groups whose bitmaps, of one or several :func:`bit_words`, have all numbers."""
+    merged = words.groupBy("correlation", "word").agg(F.bit_or("bits").alias("bits"), F.max("size").alias("size"))
+    groups = merged.groupBy("correlation").agg(F.sum(F.bit_count("bits")).alias("_mr_n"), F.max("size").alias("size"))
+    return groups.filter("_mr_n = size").drop("_mr_n")

@@ -8,7 +8,9 @@ from millrace.operators.split import split_messages
 from millrace.plans.queries.groups import CONTENT_SQL, COUNT_SQL, EITHER_SQL, PARTIAL_SQL
 from millrace.plans.queries.registry import query, table
 from millrace.session import scratch_path
-from millrace.streaming.aggregate import aggregate_stream, open_groups, reassemble_stream
+from millrace.operators.aggregate import collect_groups
+from millrace.streaming.aggregate import aggregate_stream, open_groups
+from millrace.streaming.batches import aggregate_batches, open_rows, reassemble_batches
 from millrace.streaming.runs import run_available, run_batches, use_rocksdb
 
 
@@ -30,6 +32,13 @@ def _with_open(spark, groups):
     return spark.read.schema(groups.schema).parquet(out).unionByName(open_groups(spark, checkpoint, payload_type="bigint"))
 
 
+def _released(spark, stream, *how, **options):
+    """What :func:`aggregate_batches` writes over the stream, and its store."""
+    out, store = scratch_path(spark, "groups"), scratch_path(spark, "open")
+    run_batches(stream, aggregate_batches(out, store, *how, **options), scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(out).drop("batch"), store
+
+
 def _listed():
     return F.array_join(F.col("payloads").cast("array<string>"), ",").alias("payloads")
 
@@ -37,25 +46,22 @@ def _listed():
 @query(COUNT_SQL)
 def stream_aggregate_by_count(spark, sf_dir):
     """A1"""
-    use_rocksdb(spark)
-    out = _result(spark, aggregate_stream(_stream(spark, sf_dir, "events"), "event_type", ["ts", "event_id"], release_size=3, payload="event_id"))
-    return out.select("event_type", "group_no", _listed())
+    groups, _ = _released(spark, _stream(spark, sf_dir, "events"), "event_type", ["ts", "event_id"], release_size=3, payload="event_id")
+    return groups.select("event_type", "group_no", _listed())
 
 
 @query(CONTENT_SQL)
 def stream_aggregate_by_content(spark, sf_dir):
     """A2"""
-    use_rocksdb(spark)
-    groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="event_type")
-    return _result(spark, groups).select("user_id", "group_no", _listed())
+    groups, _ = _released(spark, _stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_expr="event_type = 'purchase'", payload="event_type")
+    return groups.select("user_id", "group_no", _listed())
 
 
 @query(EITHER_SQL)
 def stream_aggregate_by_count_or_content(spark, sf_dir):
     """A1 with A2: three messages or a purchase, whichever comes first"""
-    use_rocksdb(spark)
-    groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], 3, "event_type = 'purchase'", "event_id")
-    return _result(spark, groups).select("user_id", "group_no", _listed())
+    groups, _ = _released(spark, _stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], 3, "event_type = 'purchase'", "event_id")
+    return groups.select("user_id", "group_no", _listed())
 
 
 @query("""
@@ -75,18 +81,19 @@ def stream_idle_groups(spark, sf_dir):
 @query(PARTIAL_SQL)
 def stream_partial_groups(spark, sf_dir):
     """A4: released groups, and those still open when the stream stopped"""
-    use_rocksdb(spark)
-    groups = aggregate_stream(_stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_size=7, payload="event_id")
-    return _with_open(spark, groups).select("user_id", "group_no", "size", "closed", _listed())
+    groups, store = _released(spark, _stream(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], release_size=7, payload="event_id")
+    both = groups.unionByName(collect_groups(open_rows(spark, store, ["user_id"]), ["user_id"]))
+    return both.select("user_id", "group_no", "size", "closed", _listed())
 
 
 @query("SELECT doc_id, text FROM documents")
 def stream_reassemble_documents(spark, sf_dir):
     """A3 after P6"""
-    use_rocksdb(spark)
     docs = _stream(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("payload"))
-    whole = _result(spark, reassemble_stream(split_messages(docs, delimiter="\n", correlation="doc_id")))
-    return whole.select(F.col("correlation_id").alias("doc_id"), F.array_join("payloads", "\n").alias("text"))
+    out = scratch_path(spark, "whole")
+    pieces = split_messages(docs, delimiter="\n", correlation="doc_id")
+    run_batches(pieces, reassemble_batches(out, scratch_path(spark, "open")), scratch_path(spark, "checkpoint"))
+    return spark.read.parquet(out).select(F.col("correlation").alias("doc_id"), F.array_join("payloads", "\n").alias("text"))
 
 
 @query("SELECT 'events' AS name, event_type AS type, count(*) AS value FROM events GROUP BY event_type")

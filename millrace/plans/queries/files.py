@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.plans.queries.registry import query, table
 from millrace.session import scratch_path
 from millrace.sinks.files import write_text
-from millrace.sources.files import number_lines, read_files, stream_files
+from millrace.sources.files import line_messages, read_files, stream_files
 from millrace.streaming.runs import run_batches
 
 
@@ -59,6 +59,26 @@ def file_references(spark, sf_dir):
     return read_files(spark, _folder(spark, sf_dir) + "/*", "ref").groupBy(_source()).agg(F.sum("size").alias("bytes"))
 
 
+@query("""
+SELECT source, (count(*) + 1)::BIGINT AS contents, (count(*) + 1)::BIGINT AS refs, 2 * (count(*) + 1)::BIGINT AS markers, sum(lines)::BIGINT AS lines
+FROM (SELECT coalesce(source, '') AS source, coalesce(lang, '') AS lang, sum(len(string_split(text, chr(10)))) AS lines FROM documents GROUP BY ALL) GROUP BY source
+""")
+def empty_files(spark, sf_dir):
+    """S1a, S1c, S1d: a file per source and language, and an empty one beside them; how many files each mode sees"""
+    path = scratch_path(spark, "hollow")
+    docs = table(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("")).alias("s"), F.coalesce("lang", F.lit("")).alias("l"), F.col("text").alias("payload"))
+    write_text(docs.withColumn("name", F.concat_ws("-", "s", "l")), path, "name", replace=True, compact=True)
+    listed = read_files(spark, path + "/*", "ref").select("path").collect()
+    jvm = spark.sparkContext._jvm
+    for folder in {r.path.rsplit("/", 1)[0].rsplit("-", 1)[0] for r in listed}:
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder + "-none/empty.txt"))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target).close()
+    source = F.regexp_extract("path", "file_key=(.*)-[^-/]*/", 1).alias("source")
+    contents, refs = (read_files(spark, path + "/*", mode).groupBy(source).agg(F.countDistinct("path").alias(name)) for mode, name in (("contents", "contents"), ("ref", "refs")))
+    rows = read_files(spark, path + "/*", "lines", with_markers=True).groupBy(source).agg(F.count("marker").alias("markers"), F.sum(F.col("marker").isNull().cast("long")).alias("lines"))
+    return contents.join(refs, "source").join(rows, "source")
+
+
 @query("SELECT text AS payload, count(*) AS n FROM documents GROUP BY text")
 def records_between_nul(spark, sf_dir):
     """S1e: records that may hold line feeds, ended by NUL"""
@@ -82,7 +102,7 @@ def followed_files(spark, sf_dir):
     src, out, checkpoint = (scratch_path(spark, n) for n in ("followed", "seen", "checkpoint"))
 
     def write(batch, batch_id):
-        number_lines(batch).select("path", "line", "payload").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        line_messages(batch).select("path", "line", "payload").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     write_text(docs.filter("lang = 'en'"), src, "source")
     run_batches(stream_files(spark, src + "/*", "lines"), write, checkpoint)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from millrace.messages import to_messages
 from millrace.sources.changes import read_changes, row_json, unwrap_changes
-from millrace.sources.files import number_lines, read_files, stream_files
+from millrace.sources import files
+from millrace.sources.files import line_messages, number_lines, read_files, stream_files
 from millrace.sources.generate import generate_messages, generate_stream, tick_stream, time_spine, zero_fill
 from millrace.sources.syslog import parse_syslog
 from millrace.sources.tables import TablePoller, poll_chunks, read_table, row_lists, unconsumed
@@ -30,15 +31,20 @@ def test_contents_and_references(spark, folder):
     assert bytes(rows["one.txt"].payload) == b"Bart Simpson\n" and rows["one.txt"].content_type == "application/octet-stream"
     refs = read_files(spark, str(folder), "ref", pattern="one*")
     (ref,) = refs.collect()
+    assert rows["empty.txt"].payload == b""
+    (hollow,) = read_files(spark, str(folder), "ref", pattern="empty*").collect()
+    assert hollow.size == 0 and hollow.payload.endswith("/empty.txt") and hollow.modified is not None
     assert ref.size == 13 and ref.payload.endswith("/one.txt")
-    assert "content" not in refs._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+    schemas = [line.split("ReadSchema")[1] for line in refs._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line]
+    assert schemas and not any("content" in schema for schema in schemas)
 
 
-@pytest.mark.parametrize("big_file", [1 << 30, 20_000])
-def test_lines_are_numbered_over_many_splits(spark, folder, big_file):
+@pytest.mark.parametrize("max_splits", [500_000, 0])
+def test_lines_are_numbered_over_many_splits(spark, folder, monkeypatch, max_splits):
+    monkeypatch.setattr(files, "MAX_SPLITS", max_splits)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "40000")
     try:
-        df = read_files(spark, str(folder), "lines", with_markers=True, big_file=big_file)
+        df = read_files(spark, str(folder), "lines", with_markers=True)
         rows = df.orderBy("path", "line").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -48,7 +54,7 @@ def test_lines_are_numbered_over_many_splits(spark, folder, big_file):
     assert (many[0].marker, many[-1].marker) == ("START", "END")
     assert json.loads(many[-1].payload)["lineCount"] == 3000
     assert len({r.headers["correlationId"] for r in many[1:-1]}) == 1
-    assert not [r for r in rows if r.path.endswith("/empty.txt")]
+    assert [(r.line, r.marker, json.loads(r.payload).get("lineCount")) for r in rows if r.path.endswith("/empty.txt")] == [(0, "START", None), (1, "END", 0)]
     assert [r.payload for r in rows if r.path.endswith("/one.txt")][1] == "Bart Simpson"
 
 
@@ -60,6 +66,39 @@ def test_record_separators(spark, tmp_path, name, data):
     assert [r.payload for r in read_files(spark, str(tmp_path), "lines", record_separator=name).orderBy("line").collect()] == ["a", "b"]
 
 
+def test_lines_do_not_move(spark, folder):
+    text = read_files(spark, str(folder), "lines")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(value" not in text and "Exchange rangepartitioning" not in text
+    # the only shuffle is that of the splits' counts
+    assert all("value" not in line for line in text.splitlines() if "Exchange" in line) and "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_markers_as_text_and_odd_names(spark, tmp_path):
+    (tmp_path / "a b+c%.txt").write_text("x\n")
+    (tmp_path / "d e+f%.txt").write_text("")
+    rows = read_files(spark, str(tmp_path), "lines", with_markers=True, marker_format="text").orderBy("path", "line").collect()
+    assert [(r.headers["file_name"], r.line, r.payload.split(" ")[0]) for r in rows] == [
+        ("a b+c%.txt", 0, "START"), ("a b+c%.txt", 1, "x"), ("a b+c%.txt", 2, "END"), ("d e+f%.txt", 0, "START"), ("d e+f%.txt", 1, "END")]
+    with pytest.raises(ValueError):
+        read_files(spark, str(tmp_path), "lines", with_markers=True, marker_format="xml")
+
+
+def test_followed_lines_have_headers_and_markers(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.txt").write_text("1\n2\n")
+    (src / "b.txt").write_text("3\n")
+
+    def write(batch, batch_id):
+        line_messages(batch, with_markers=True).write.mode("append").parquet(out)
+
+    run_batches(stream_files(spark, str(src), "lines"), write, str(tmp_path / "check"))
+    rows = spark.read.parquet(out).orderBy("path", "line").collect()
+    assert [(r.headers["file_name"], r.line, r.marker) for r in rows] == [
+        ("a.txt", 0, "START"), ("a.txt", 1, None), ("a.txt", 2, None), ("a.txt", 3, "END"), ("b.txt", 0, "START"), ("b.txt", 1, None), ("b.txt", 2, "END")]
+    assert [r.headers["sequenceNumber"] for r in rows if r.marker is None] == ["1", "2", "1"]
+
+
 def test_a_followed_folder_gives_each_file_once(spark, tmp_path):
     src, out, check = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "check")
     src.mkdir()

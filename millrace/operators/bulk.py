@@ -62,14 +62,22 @@ def _parse_text(lines: DataFrame, columns, delimiter: str, null_string: str, typ
     # A field is a run of other characters and of backslashes with what follows them.  Every one is found behind a delimiter.
     cut = _class(delimiter)
     pattern = rf"(?s){cut}((?:[^\\{cut}]++|\\.|\\\z)*+)"
-    rows = compute_once(lines, "_mr_f", F.regexp_extract_all(F.concat(F.lit(delimiter), "payload"), F.lit(pattern), 1))
+    escaped = F.transform(
+        F.regexp_extract_all(F.concat(F.lit(delimiter), "payload"), F.lit(pattern), 1),
+        lambda t: F.when(t != null_string, F.when(F.contains(t, F.lit("\\")), _unescaped_bytes(t)).otherwise(t.cast("binary"))),
+    )
+    plain = F.transform(F.split("payload", re.escape(delimiter)), lambda t: F.when(t != null_string, t.cast("binary")))
+    rows = compute_once(lines, "_mr_f", F.when(F.contains("payload", F.lit("\\")), escaped).otherwise(plain))
+    broken = F.exists("_mr_f", lambda t: _broken_text(t.cast("string")))
+    return _checked(rows, columns, F.size("_mr_f"), lambda i: F.get("_mr_f", F.lit(i)).cast("string"), F.when(broken, INVALID), types)
 
-    def field(i: int) -> Column:
-        token = F.get("_mr_f", F.lit(i))
-        return F.when(token != null_string, F.when(F.contains(token, F.lit("\\")), _unescaped(token)).otherwise(token))
 
-    broken = F.exists("_mr_f", lambda t: F.contains(t, F.lit("\\")) & ~F.is_valid_utf8(_unescaped_bytes(t)))
-    return _checked(rows, columns, F.size("_mr_f"), field, F.when(broken, "invalid byte sequence"), types)
+INVALID = "invalid byte sequence"
+
+
+def _broken_text(text: Column) -> Column:
+    """Bytes that are no UTF-8, and NUL, which no text column takes."""
+    return ~F.is_valid_utf8(text) | F.contains(text, F.lit("\0"))
 
 
 def _unescaped_bytes(token: Column) -> Column:
@@ -87,10 +95,6 @@ def _unescaped_bytes(token: Column) -> Column:
     return F.unhex(F.array_join(F.transform(pieces, piece), ""))
 
 
-def _unescaped(token: Column) -> Column:
-    return _unescaped_bytes(token).cast("string")
-
-
 def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | None, quote: str, escape: str | None, types) -> DataFrame:
     # A field is made of plain characters and quoted stretches, in any order; quotes go, and inside them the escape character
     # stands for the quote or escape after it.  All repetitions are possessive, so lines of any length are fine.
@@ -99,17 +103,24 @@ def _parse_csv(lines: DataFrame, columns, delimiter: str, null_string: str | Non
     inner = rf"(?:[^{q}]++|{q}{q})*+" if escape == quote else rf"(?:[^{q}{e}]++|{e}[{q}{e}]|{e})*+"
     one = rf"(?:[^{q}{cut}]++|{q}{inner}{q})*+"
     marked = F.concat(F.lit(delimiter), F.col("payload"))
-    rows = compute_once(lines, "_mr_f", F.regexp_extract_all(marked, F.lit(rf"(?s){cut}({one})"), 1))
-    whole = marked.rlike(rf"(?s)\A(?:{cut}{one})++\z")
+    fields = F.when(F.contains("payload", F.lit(quote)), F.regexp_extract_all(marked, F.lit(rf"(?s){cut}({one})"), 1)).otherwise(F.split("payload", re.escape(delimiter)))
+    rows = compute_once(lines, "_mr_f", fields)
+    # What a quote without an end keeps from being a field is missing in the fields.
+    whole = F.length(F.array_join("_mr_f", delimiter)) == F.length("payload")
 
     def field(i: int) -> Column:
         token = F.get("_mr_f", F.lit(i))
         bare = F.regexp_replace(token, rf"(?s){q}({inner}){q}", "$1")
         value = F.replace(bare, F.lit(quote * 2), F.lit(quote)) if escape == quote else F.regexp_replace(bare, rf"{e}([{q}{e}])", "$1")
+        # Most quoted fields are one stretch with nothing special inside.
+        middle = F.substr(token, F.lit(2), F.length(token) - 2)
+        special = F.contains(middle, F.lit(quote)) if escape == quote else F.contains(middle, F.lit(quote)) | F.contains(middle, F.lit(escape))
+        simple = token.startswith(quote) & token.endswith(quote) & (F.length(token) > 1) & ~special
         quoted = F.contains(token, F.lit(quote))
-        return F.when(quoted, value).when(token != (null_string or ""), token)
+        return F.when(quoted, F.when(simple, middle).otherwise(value)).when(token != (null_string or ""), token)
 
-    return _checked(rows, columns, F.size("_mr_f"), field, F.when(~whole, "unterminated quoted field"), types)
+    broken = F.when(_broken_text(F.col("payload")), INVALID).when(~whole, "unterminated quoted field")
+    return _checked(rows, columns, F.size("_mr_f"), field, broken, types)
 
 
 def _checked(rows: DataFrame, columns, count: Column, field, broken: Column, types) -> DataFrame:

@@ -1,5 +1,7 @@
 """Bulk loads, entities, table columns, upserts, broker rows, text files."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.messages import decode_text, to_messages
@@ -9,7 +11,7 @@ from millrace.plans.queries.registry import event_messages, query, table
 from millrace.session import scratch_path
 from millrace.sinks.broker import to_broker
 from millrace.sinks.files import write_text
-from millrace.sinks.tables import table_rows
+from millrace.sinks.tables import column_types, load_lines, table_rows, write_table
 from millrace.sinks.upsert import upsert
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
@@ -80,11 +82,41 @@ SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::VARCHAR AS o_custkey,
 FROM orders
 """)
 def bulk_load_into_new_table(spark, sf_dir):
-    """K6: a target made anew with text columns, loaded and read back"""
-    path = scratch_path(spark, "loaded")
-    good, _ = bulk_load(_csv_lines(spark, sf_dir), "orders", ORDER_COLUMNS, "csv")
-    good.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """K6: a catalog table made anew with text columns, twice, loaded and read back; a broken line goes to the error table"""
+    name = f"loaded_{uuid.uuid4().hex}"
+    where = {"path": scratch_path(spark, "loaded")}
+    lines = _csv_lines(spark, sf_dir).select("payload")
+    load_lines(lines.limit(3), name, ORDER_COLUMNS, "csv", initialize=True, options=where)
+    # one broken line per order that is urgent, beside the good ones
+    broken = _csv_lines(spark, sf_dir).filter("o_orderpriority = '1-URGENT'").select(F.concat(F.lit("GARBAGE "), "o_orderkey").alias("payload"))
+    load_lines(lines.unionByName(broken), name, ORDER_COLUMNS, "csv", error_table=f"{name}_errors", initialize=True, options=where)
+    return spark.table(name)
+
+
+@query("SELECT 'orders' AS table_name, 'missing data for a column' AS error_message, 'GARBAGE ' || o_orderkey AS payload FROM orders WHERE o_orderpriority = '1-URGENT'")
+def bulk_load_error_table(spark, sf_dir):
+    """K5: the error table of a load that wrote good and bad rows"""
+    name = f"errors_{uuid.uuid4().hex}"
+    orders = _csv_lines(spark, sf_dir)
+    broken = F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("GARBAGE "), "o_orderkey")).otherwise(F.col("payload"))
+    load_lines(orders.select(broken.alias("payload")), name, ORDER_COLUMNS, "csv", error_table=f"{name}_errors", initialize=True, options={"path": scratch_path(spark, "loaded")})
+    return spark.table(f"{name}_errors").withColumn("table_name", F.replace("table_name", F.lit(name), F.lit("orders")))
+
+
+@query("""
+SELECT o_orderkey AS id, o_orderstatus AS status, o_custkey AS second, NULL::VARCHAR AS missing, o_orderkey || '/' || o_orderstatus AS label, 'json' AS kind FROM orders
+""")
+def columns_of_unknown_json(spark, sf_dir):
+    """K3: paths, a list position and a missing path in JSON without a schema, written to a catalog table whose types count, and read back"""
+    orders = table(spark, sf_dir, "orders")
+    doc = F.to_json(F.struct("o_orderkey", F.struct(F.array(F.lit(0), "o_custkey").alias("keys"), F.col("o_orderstatus").alias("state")).alias("who")))
+    m = to_messages(orders.select(doc.alias("d")), "d", {"kind": "'json'"}, "application/json")
+    name = f"columns_{uuid.uuid4().hex}"
+    kinds = "id bigint, status string, second bigint, missing string, label string, kind string"
+    write_table(spark.createDataFrame([], kinds), name, options={"path": scratch_path(spark, "columns")})
+    mapping = "id:o_orderkey,status:who.state,second:payload.who.keys[1],missing:who.none.at_all,label:concat(payload.o_orderkey, '/', payload.who.state),kind:headers['kind']"
+    write_table(table_rows(m, mapping, types=column_types(spark, name)), name)
+    return spark.table(name)
 
 
 @query("""

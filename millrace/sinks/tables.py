@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.bulk import VARCHAR_LENGTH, check_error_table, error_rows, good_rows, parse_lines
+from millrace.session import scratch_path
 
 
 def parse_columns(mapping: str | Sequence[str]) -> list[tuple[str, str]]:
@@ -32,11 +34,57 @@ def _top_level_split(text: str) -> list[str]:
     return parts + [text[start:]]
 
 
-def table_rows(df: DataFrame, columns: str | Sequence[str] | None = None, schema: str | T.StructType | None = None) -> DataFrame:
+# A path into the payload: names, list positions and quoted names.
+_STEP = r"(?:\.[A-Za-z_]\w*|\[\d+\]|\['[^']*'\])"
+_PATH = re.compile(rf"(?:payload(?={_STEP})|(?!(?:payload|headers)\b)[A-Za-z_]\w*){_STEP}*")
+_INNER_PATH = re.compile(rf"('(?:[^'\\]|\\.)*')|\bpayload({_STEP}+)")
+
+
+def _json_path(path: str) -> str:
+    steps = path.removeprefix("payload") if path.startswith(("payload.", "payload[")) else "." + path
+    return "$" + steps
+
+
+def json_expression(expression: str, kind: str = "string") -> str:
+    """``COL:expression`` over JSON of no known schema, as SQL over the variant ``payload``.
+
+    A plain path gives a value of type ``kind``. In any other expression, paths that start with ``payload.`` give text, and ``headers`` and functions
+    are as usual. A path that is not there gives NULL, a value that its type refuses is an error.
+    """
+    if _PATH.fullmatch(expression):
+        return f"variant_get(payload, {_quoted(_json_path(expression))}, '{kind}')"
+
+    def replaced(found: re.Match) -> str:
+        return found[1] if found[1] is not None else f"variant_get(payload, {_quoted('$' + found[2])}, 'string')"
+
+    return _INNER_PATH.sub(replaced, expression)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _json_rows(df: DataFrame, columns: str | Sequence[str], types: dict[str, str]) -> DataFrame:
+    text = F.decode("payload", "UTF-8") if isinstance(df.schema["payload"].dataType, T.BinaryType) else F.col("payload")
+    payload = text if df.schema["payload"].dataType.typeName() == "variant" else F.parse_json(text)
+    opened = df.select(payload.alias("payload"), *[c for c in ("headers",) if c in df.columns])
+    return opened.select(*[F.expr(json_expression(expression, types.get(name, "string"))).alias(name) for name, expression in parse_columns(columns)])
+
+
+def column_types(spark: SparkSession, table: str, url: str | None = None, options: dict | None = None) -> dict[str, str]:
+    """The types of a target's columns, for :func:`table_rows`; none of a table that is not there yet."""
+    known = _stored_schema(spark, table, url, options)
+    return {} if known is None else {f.name: f.dataType.simpleString() for f in known}
+
+
+def table_rows(
+    df: DataFrame, columns: str | Sequence[str] | None = None, schema: str | T.StructType | None = None, types: dict[str, str] | None = None
+) -> DataFrame:
     """K3: the columns of the target table, each from an expression over the payload.
 
-    Paths such as ``address.city`` start at the payload.  A JSON text payload needs its
-    ``schema``.  Without columns the table gets one column ``payload`` with the payload's text.
+    Paths such as ``address.city`` start at the payload.  A JSON text payload is read by its
+    ``schema``; without one, paths reach into it as it is (:func:`json_expression`), and ``types`` says what the values become, such as those
+    that :func:`column_types` reads from the target.  Without columns the table gets one column ``payload`` with the payload's text.
     """
     kind = df.schema["payload"].dataType
     if columns is None:
@@ -48,6 +96,8 @@ def table_rows(df: DataFrame, columns: str | Sequence[str] | None = None, schema
     if schema is not None:
         text = F.decode("payload", "UTF-8") if isinstance(kind, T.BinaryType) else F.col("payload")
         df = df.withColumn("payload", F.from_json(text, schema))
+    elif isinstance(kind, (T.StringType, T.BinaryType)) or kind.typeName() == "variant":
+        return _json_rows(df, columns, types or {})
     opened = df.select("payload", *[c for c in ("headers",) if c in df.columns], "payload.*")
     return opened.select(*[F.expr(expression).alias(name) for name, expression in parse_columns(columns)])
 
@@ -64,12 +114,13 @@ def write_table(
     """K3, K6: append rows to a JDBC table, or to a table of Spark's catalog without ``url``.
 
     ``initialize`` drops the table and makes it anew with text columns only.
-    ``connections`` limits the parallel connections to the database.
+    ``connections`` limits the parallel connections to the database. ``options`` are the writer's own, such as ``path``
+    for a catalog table at a place of its own.
     """
     if initialize:
         df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     if url is None:
-        df.write.mode("overwrite" if initialize else "append").saveAsTable(table)
+        df.write.options(**(options or {})).mode("overwrite" if initialize else "append").saveAsTable(table)
         return
     writer = df.write.format("jdbc").options(url=url, dbtable=table, batchsize=batch_size, **(options or {}))
     if connections:
@@ -118,8 +169,8 @@ def load_lines(
 ) -> tuple[int, int]:
     """K4 to K6 in one call: load the lines, keep the bad ones, return how many there were of each.
 
-    Bad lines are counted while the good ones are written, so the input is read a second time
-    only when there is something to write to the error table.
+    The input is read and parsed once. With an error table, good and bad rows are first stored side by side in the shared folder, and
+    then published from there, the bad ones last; without one, good rows go straight to the table.
     """
     if not table:
         raise ValueError("a table name is required")
@@ -130,13 +181,28 @@ def load_lines(
     names = [f"_mr_c{i}" for i in range(len(columns))]
     seen = Observation()
     parsed = parse_lines(df, names, fmt, **dialect)
-    bad = F.col("error_message").isNotNull().cast("long")
-    watched = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(bad), F.lit(0)).alias("bad"))
+    bad = F.col("error_message").isNotNull()
+    watched = parsed.observe(seen, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(bad.cast("long")), F.lit(0)).alias("bad"))
     target = {"url": url, "batch_size": batch_size, "connections": connections, "options": options}
-    write_table(good_rows(watched, names, columns), table, initialize=initialize, **target)
+    if error_table is None:
+        write_table(good_rows(watched, names, columns), table, initialize=initialize, **target)
+        return _counted(seen)
+    path = scratch_path(df.sparkSession, "parsed")
+    watched.withColumn("_mr_bad", bad).write.partitionBy("_mr_bad").parquet(path)
+    counts = _counted(seen)
+    stored = df.sparkSession.read.schema(parsed.schema)
+    if counts[0]:
+        write_table(good_rows(stored.parquet(f"{path}/_mr_bad=false"), names, columns), table, initialize=initialize, **target)
+    elif initialize:
+        write_table(good_rows(parsed.limit(0), names, columns), table, initialize=True, **target)
+    if counts[1]:
+        where = {**(options or {}), "path": f"{options['path'].rstrip('/')}_errors"} if url is None and "path" in (options or {}) else options
+        write_table(error_rows(stored.parquet(f"{path}/_mr_bad=true"), table), error_table, **target | {"options": where})
+    return counts
+
+
+def _counted(seen: Observation) -> tuple[int, int]:
     counts = seen.get
-    if error_table is not None and counts["bad"]:
-        write_table(error_rows(parsed, table), error_table, **target)
     return counts["lines"] - counts["bad"], counts["bad"]
 
 

@@ -150,6 +150,39 @@ def test_escapes_of_the_text_format(spark):
     assert {r.error_message for r in rows if r.payload == lines[5]} == {"invalid byte sequence"}
 
 
+@pytest.mark.parametrize("fmt, lines", [("text", ["a\\x00b\tc", "a\\0\tc", "a\0b\tc"]), ("csv", ["a\0b,c", '"a\0b",c'])])
+def test_no_text_holds_nul(spark, fmt, lines):
+    rows = parse_lines(spark.createDataFrame([(t,) for t in lines], "payload string"), ["a", "b"], fmt).collect()
+    assert [(r.a, r.error_message) for r in rows] == [(None, "invalid byte sequence")] * len(lines)
+
+
+def test_a_load_parses_its_input_once(spark, tmp_path):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for batch in rows:
+            reads.add(batch.num_rows)
+            yield batch
+
+    lines = spark.createDataFrame([(f"{i},a" if i % 3 else "bad",) for i in range(60)], "payload string").mapInArrow(seen, "payload string")
+    spark.sql(f"create database if not exists once location '{tmp_path}/db'")
+    assert load_lines(lines, "once.t", ("id", "name"), "csv", "once.e", initialize=True) == (40, 20)
+    assert reads.value == 60 and (spark.table("once.t").count(), spark.table("once.e").count()) == (40, 20)
+    assert load_lines(lines.filter("payload = 'bad'"), "once.n", ("id", "name"), "csv", "once.e", initialize=True) == (0, 20)
+    assert (spark.table("once.n").count(), spark.table("once.e").count()) == (0, 40)
+    spark.sql("drop database once cascade")
+
+
+def test_json_of_no_known_schema(spark):
+    doc = '{"name":"N","n":7,"list":[{"x":1.5},{"x":2}],"odd key":{"a.b":true},"payload":"own"}'
+    df = spark.createDataFrame([(doc, {"h": "v"})], "payload string, headers map<string,string>")
+    types = {"n": "int", "x": "double", "flag": "boolean"}
+    row = table_rows(df, "name,n,x:list[1].x,flag:payload['odd key']['a.b'],gone:list[9].x,both:concat(payload.name, ' payload.n ', payload.n),h:headers['h']", types=types).first()
+    assert tuple(row) == ("N", 7, 2.0, True, None, "N payload.n 7", "v")
+    assert table_rows(df.select(F.parse_json("payload").alias("payload")), "n", types=types).first().n == 7
+    assert table_rows(df.select(F.encode("payload", "UTF-8").alias("payload")), ["name"]).first().name == "N"
+
+
 def test_typed_targets(spark):
     lines = ["1,ok,2024-02-29", "x,ok,2024-02-28", "2,too long,2024-02-28", "3,ok,2024-02-30", ",ok,2024-02-28", "4,,"]
     rows = parse_lines(spark.createDataFrame([(t,) for t in lines], "payload string"), ["i", "t", "d"], "csv", types=["int not null", "varchar(5)", "date"]).collect()

@@ -94,99 +94,133 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[list[int], int
     return [one for same in bins.values() for one in same]
 
 
+def bins_needed(counts: dict[int, int], capacity: int) -> int:
+    """A lower bound: bins that large items need for themselves, and what does not fit into the space beside them.
+
+    For each limit up to half the capacity: items larger than ``capacity - limit`` share a bin with nothing of at least ``limit``; those above half the
+    capacity are alone of their kind in a bin; the rest down to ``limit`` must fill the space that is left there, or more bins.
+    """
+    many = np.zeros(capacity + 1, np.int64)
+    many[list(counts)] = list(counts.values())
+    number, volume = np.cumsum(many), np.cumsum(many * np.arange(capacity + 1))
+    half = capacity // 2
+    limit = np.arange(half + 1)
+    alone = number[-1] - number[capacity - limit]
+    large, large_volume = number[capacity - limit] - number[half], volume[capacity - limit] - volume[half]
+    small = volume[half] - np.where(limit > 0, volume[np.maximum(limit - 1, 0)], 0)
+    over = small - (large * capacity - large_volume)
+    return int((alone + large + np.maximum(0, -(-over // capacity))).max())
+
+
+def fillings(left: dict[int, int], largest: int, capacity: int) -> Iterator[list[tuple[int, int]]]:
+    """The undominated contents of a bin with ``largest`` in it, one by one and fullest first: (length, how many), largest first.
+
+    Which sums can be made of the items from a size downwards is a bit set, so no step of the enumeration is in vain. A filling is dominated if
+    one of its items, or nothing, can be exchanged for a left-over item that is larger and still fits: those are passed over, as None.
+    """
+    room = capacity - largest
+    sizes = sorted((n for n in left if n <= room), reverse=True)
+    spare = [min(left[n] - (n == largest), room // n) for n in sizes]
+    mask = (1 << room + 1) - 1
+    sums = [1] * (len(sizes) + 1)
+    for k in range(len(sizes) - 1, -1, -1):
+        reach, rest, step = sums[k + 1], spare[k], 1
+        while rest > 0:
+            take = min(step, rest)
+            reach |= reach << take * sizes[k] & mask
+            rest, step = rest - take, step * 2
+        sums[k] = reach
+
+    def choices(k: int, need: int) -> Iterator[tuple[int, int, int]]:
+        for at in range(k, len(sizes)):
+            for n in range(min(spare[at], need // sizes[at]), 0, -1):
+                if sums[at + 1] >> need - n * sizes[at] & 1:
+                    yield at, n, need - n * sizes[at]
+            if not sums[at + 1] >> need & 1:
+                return
+
+    for total in range(room, -1, -1):
+        if not sums[0] >> total & 1:
+            continue
+        # One open choice per size in the filling; sizes differ, so there are few.
+        chosen, open_choices = [(largest, 1)], [choices(0, total)] if total else []
+        if not total:
+            yield None if _dominated(chosen, room, left) else list(chosen)
+        while open_choices:
+            step = next(open_choices[-1], None)
+            if step is None:
+                open_choices.pop()
+                chosen.pop()
+                continue
+            at, n, rest = step
+            chosen.append((sizes[at], n))
+            if rest:
+                open_choices.append(choices(at + 1, rest))
+            else:
+                yield None if _dominated(chosen, room - total, left) else list(chosen)
+                chosen.pop()
+
+
+def _dominated(filling: list[tuple[int, int]], space: int, left: dict[int, int]) -> bool:
+    """Whether an item beside the first, or nothing, can be exchanged for a larger left-over item that fits into the space as well."""
+    used = {}
+    for n, k in filling:
+        used[n] = used.get(n, 0) + k
+    return space > 0 and any(left.get(more, 0) > used.get(more, 0) for n in (0, *(n for n, _ in filling[1:])) for more in range(n + 1, n + space + 1))
+
+
 def complete_bins(counts: dict[int, int], capacity: int, nodes: int = 5_000) -> list[tuple[list[int], int]]:
     """Fill as few bins as can be found: (lengths of a bin, largest first; how many such bins).
 
-    Branch and bound. Each step takes the largest length left and tries the undominated ways to fill the rest of its
-    bin, best fit first: a filling is dominated if exchanging some of its items for one left-over item that is larger and still
-    fits gives another. Fillings of many equal bins are taken together. A branch ends when the space already
-    wasted exceeds what would make fewer bins than the best solution. :func:`best_fit` gives the first one. ``nodes`` bounds the
-    search, not the result: every piece always has a place.
+    Branch and bound. Each step takes the largest length left and tries the undominated :func:`fillings` of its bin, fullest first, each for as many
+    equal bins as there can be, then half as many, down to one. A branch ends when :func:`bins_needed` says that the rest takes no
+    fewer bins than the best solution; :func:`best_fit` gives the first one. ``nodes``, the fillings looked at, bounds the search, not the
+    result: every piece always has a place.
     """
-    counts = {n: c for n, c in counts.items() if c > 0}
+    counts = {int(n): int(c) for n, c in counts.items() if c > 0}
     if any(n > capacity or n < 1 for n in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
-    total = sum(n * c for n, c in counts.items())
-    least = -(-total // capacity)
-    best = best_fit(counts, capacity)
+    if not counts:
+        return []
+    least, best = bins_needed(counts, capacity), best_fit(counts, capacity)
     best_bins = sum(times for _, times in best)
-    if best_bins == least:
-        return best
-    budget = nodes
-
-    def descend(left: dict[int, int], bins: list[tuple[list[int], int]], used: int, waste: int) -> None:
-        nonlocal best, best_bins, budget
-        trail: list[tuple[dict[int, int], list, int, int, Iterator[list[int]]]] = []
-        state = (left, bins, used, waste)
-        options = None
-        while True:
-            left, bins, used, waste = state
-            if not left:
-                if used < best_bins:
-                    best, best_bins = list(bins), used
-                options = iter(())
-            elif options is None:
-                largest = max(left)
-                options = fillings(left, largest, capacity - largest)
-            move = next(options, None)
-            while move is None or budget <= 0:
-                if not trail or best_bins == least or budget <= 0:
-                    return
-                left, bins, used, waste, options = trail.pop()
-                move = next(options, None)
-            budget -= 1
+
+    def moves(left: dict[int, int]) -> Iterator[tuple[dict[int, int], int] | None]:
+        for filling in fillings(left, max(left), capacity):
+            if filling is None:
+                yield None
+                continue
             need: dict[int, int] = {}
-            for n in move:
-                need[n] = need.get(n, 0) + 1
+            for n, k in filling:
+                need[n] = need.get(n, 0) + k
             times = min(left[n] // k for n, k in need.items())
-            lost = waste + times * (capacity - sum(move))
-            if lost > (best_bins - 1) * capacity - total:
-                state = (left, bins, used, waste)
-                continue
-            trail.append((left, bins, used, waste, options))
-            after = {n: c - times * need.get(n, 0) for n, c in left.items()}
-            state = ({n: c for n, c in after.items() if c}, [*bins, (sorted(move, reverse=True), times)], used + times, lost)
-            options = None
-
-    def fillings(left: dict[int, int], largest: int, room: int) -> Iterator[list[int]]:
-        """Undominated bins with ``largest`` in them, the fullest of the first found ones first."""
-        sizes = sorted((n for n in left if n <= room), reverse=True)
-        found: list[list[int]] = []
-        steps = 0
-
-        def extend(at: int, chosen: list[int], space: int) -> bool:
-            nonlocal steps
-            steps += 1
-            fits = [k for k in range(at, len(sizes)) if sizes[k] <= space and left[sizes[k]] > chosen.count(sizes[k]) + (sizes[k] == largest)]
-            if not fits:
-                found.append(chosen)
-                return space == 0 or len(found) >= 24 or steps > 600
-            return any(extend(k, [*chosen, sizes[k]], space - sizes[k]) for k in _near(fits, sizes, space))
-
-        extend(0, [], room)
-        kept = [f for f in found if not _dominated(f, room - sum(f), left, largest)] or found
-        kept.sort(key=lambda f: (room - sum(f), len(f), [-n for n in f]))
-        yield from ([largest, *f] for f in kept[:8])
-
-    descend(counts, [], 0, 0)
+            while times:
+                yield need, times
+                times //= 2
+
+    trail: list[tuple[dict[int, int], list[tuple[dict[int, int], int]], int, Iterator]] = [(counts, [], 0, moves(counts))]
+    while trail and best_bins > least and nodes > 0:
+        left, bins, used, options = trail[-1]
+        move = next(options, ())
+        if move == ():
+            trail.pop()
+            continue
+        nodes -= 1
+        if move is None:
+            continue
+        need, times = move
+        after = {n: c - times * need.get(n, 0) for n, c in left.items()}
+        after = {n: c for n, c in after.items() if c}
+        filled = [*bins, move]
+        if not after:
+            if used + times < best_bins:
+                best_bins = used + times
+                best = [([n for n in sorted(of, reverse=True) for _ in range(of[n])], many) for of, many in filled]
+        elif used + times + bins_needed(after, capacity) < best_bins:
+            trail.append((after, filled, used + times, moves(after)))
     return best
 
 
-def _near(fits: list[int], sizes: list[int], space: int) -> list[int]:
-    """The sizes to try next: an exact one, then the largest few, then some spread over the smaller ones."""
-    exact = [k for k in fits if sizes[k] == space]
-    return list(dict.fromkeys(exact + fits[:3] + fits[3 :: max(1, len(fits) // 4)]))
-
-
-def _dominated(chosen: list[int], space: int, left: dict[int, int], largest: int) -> bool:
-    """Whether one item of the filling can be exchanged for a larger one that is left over and fits."""
-    for n in set(chosen):
-        for more in range(n + 1, n + space + 1):
-            if left.get(more, 0) > chosen.count(more) + (more == largest):
-                return True
-    return False
-
-
 def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     """Add sequence_id and offset to a table of pieces (doc_id, piece, start, length, …), each at most ``capacity`` long.
 

@@ -61,11 +61,14 @@ def pretokens(raw: np.ndarray, begins: np.ndarray) -> np.ndarray:
 
 
 class CachedEncoder:
-    """Ids of short stretches of text, encoded once each and found again by hash.
+    """Ids of short stretches of text, encoded once each and found again by hash and bytes.
 
-    A direct-mapped table of ``slots`` hashes points into a pool of ids, which starts anew when it holds more than ``pool``.
+    A direct-mapped table of ``slots`` hashes points into a pool of ids and of the stretches' bytes, which starts anew when it holds more than
+    ``pool`` ids or bytes. Stretches of more than ``LONGEST_KEPT`` bytes are encoded each time.
     """
 
+    LONGEST_KEPT = 1 << 10
+
     def __init__(self, vocabulary: int, slots: int = 1 << 20, pool: int = 1 << 23):
         self.slots, self.pool, self.kind = slots, pool, np.uint16 if vocabulary < 1 << 16 else np.int32
         self._clear()
@@ -75,24 +78,39 @@ class CachedEncoder:
         self.at = np.zeros(self.slots, np.int64)
         self.count = np.zeros(self.slots, np.int32)
         self.ids = np.zeros(0, self.kind)
+        self.text_at = np.zeros(self.slots, np.int64)
+        self.text_size = np.full(self.slots, -1, np.int64)
+        self.text = np.zeros(0, np.uint8)
 
     def lookup(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Per pre-token: place of its ids in ``self.ids``, and how many."""
-        if len(self.ids) > self.pool:
+        if len(self.ids) > self.pool or len(self.text) > self.pool:
             self._clear()
         hashes = ragged.token_hashes(raw, starts, lengths)
         shift = np.uint64(64 - (self.slots.bit_length() - 1))
         slot = (hashes >> shift).astype(np.int64)
         at, count = self.at[slot], self.count[slot]
-        new = np.flatnonzero(self.seen[slot] != hashes)
+        known = (self.seen[slot] == hashes) & (self.text_size[slot] == lengths)
+        hit = np.flatnonzero(known)
+        known[hit] = ragged.equal_ranges(raw, starts[hit], self.text, self.text_at[slot[hit]], lengths[hit])
+        new = np.flatnonzero(~known)
         if len(new):
             _, first, again = np.unique(hashes[new], return_index=True, return_inverse=True)
-            pick = new[first]
+            # Those that only share the hash of the first are encoded by themselves, and not kept.
+            like = (lengths[new] == lengths[new[first[again]]])
+            same = np.flatnonzero(like)
+            like[same] = ragged.equal_ranges(raw, starts[new[same]], raw, starts[new[first[again[same]]]], lengths[new[same]])
+            pick = np.concatenate([new[first], new[~like]])
+            again[~like] = len(first) + np.arange(int((~like).sum()))
             ids, sizes = self._encode(raw, starts[pick], lengths[pick])
             place = len(self.ids) + ragged.bounds(sizes)[:-1]
             self.ids = np.concatenate([self.ids, ids.astype(self.ids.dtype)])
             at[new], count[new] = place[again], sizes[again]
-            self.seen[slot[pick]], self.at[slot[pick]], self.count[slot[pick]] = hashes[pick], place, sizes
+            kept = np.flatnonzero(lengths[new[first]] <= self.LONGEST_KEPT)
+            keep = new[first[kept]]
+            self.seen[slot[keep]], self.at[slot[keep]], self.count[slot[keep]] = hashes[keep], place[kept], sizes[kept]
+            self.text_at[slot[keep]], self.text_size[slot[keep]] = len(self.text) + ragged.bounds(lengths[keep])[:-1], lengths[keep]
+            self.text = np.concatenate([self.text, raw[ragged.ragged_index(starts[keep], lengths[keep])]])
         return at, count
 
     def _encode(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -104,16 +104,35 @@ def classes(raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def _spread(values: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A random-looking number for each value at its place. A sum of them has no algebra that texts could be built against, unlike powers of a base."""
+    return mix(values.astype(np.uint64) + place.astype(np.uint64) * np.uint64(0x1000003D1) + np.uint64(1))
+
+
 def token_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each token; tokens lie on end and none is empty."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    place = np.arange(len(raw)) - np.repeat(starts, lengths)
-    power = powers(int(lengths.max()))
-    total = np.add.reduceat((raw + np.uint64(1)) * power[place], starts)
+    total = np.add.reduceat(_spread(raw, np.arange(len(raw)) - np.repeat(starts, lengths)), starts)
     return mix(total ^ (lengths.astype(np.uint64) << np.uint64(40)))
 
 
+def equal_ranges(a: np.ndarray, a_starts: np.ndarray, b: np.ndarray, b_starts: np.ndarray, lengths: np.ndarray, at_once: int = 1 << 22) -> np.ndarray:
+    """Whether the bytes ``a[a_starts[i] …]`` and ``b[b_starts[i] …]`` are the same over ``lengths[i]``; about ``at_once`` bytes, or one range, at a time."""
+    out = np.ones(len(lengths), bool)
+    some = np.flatnonzero(lengths)
+    ends = np.cumsum(lengths[some])
+    begin = 0
+    while begin < len(some):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + at_once, side="right")))
+        part = some[begin:end]
+        size = lengths[part]
+        differ = a[ragged_index(a_starts[part], size)] != b[ragged_index(b_starts[part], size)]
+        out[part] = ~np.logical_or.reduceat(differ, bounds(size)[:-1])
+        begin = end
+    return out
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(32))) * _MULTIPLIER
@@ -160,7 +179,7 @@ def spread_hashes(raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> n
         return np.zeros(0, np.uint64)
     at = ragged_index(starts, lengths)
     place = at - np.repeat(starts, lengths)
-    total = np.add.reduceat((raw[at] + np.uint64(1)) * powers(int(lengths.max()))[place], bounds(lengths)[:-1])
+    total = np.add.reduceat(_spread(raw[at], place), bounds(lengths)[:-1])
     return mix(total ^ (lengths.astype(np.uint64) << np.uint64(40)))
 
 

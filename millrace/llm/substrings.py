@@ -241,8 +241,17 @@ def _block_anchors(table: pa.Table, length: int) -> tuple[pa.Table, dict[str, np
     out = {name: np.concatenate([p[name] for p in found]) if found else np.zeros(0, kind) for name, kind in zip(names, kinds, strict=True)}
     same = ragged.mix(out["hash"] + ragged.mix(out["around"] + (out["at"] - out["low"]).astype(np.uint64)))
     order, sizes = _groups(same)
-    out["again"] = np.ones(len(same), bool)
-    out["again"][order[ragged.bounds(sizes)[:-1]]] = False
+    out["again"] = np.zeros(len(same), bool)
+    first = np.repeat(order[ragged.bounds(sizes)[:-1]], sizes)
+    like = first != order
+    later, earlier = order[like], first[like]
+    like = (out["high"] - out["low"])[later] == (out["high"] - out["low"])[earlier]
+    later, earlier = later[like], earlier[like]
+    if len(later):
+        # Equal hashes are only a reason to compare the bytes.
+        raw, offsets = ragged.flat(table.column("text"))
+        place = offsets[out["row"]] + out["low"]
+        out["again"][later] = ragged.equal_ranges(raw, place[later], raw, place[earlier], (out["high"] - out["low"])[later])
     return table, out
 
 

@@ -140,12 +140,12 @@ def base_failed() -> Column:
 def boilerplate(found: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
     """Lines that too many different documents of their host have: key, n (lines that have it, for splitting hot ones).
 
-    Copies of a text are one document. A plain count with a map side leaves the few lines that can be over the
+    Copies of a text are one document, on both sides of the share. A plain count with a map side leaves the few lines that can be over the
     limit; only of those the different texts are counted.
     """
     lines = found.select("host_key", "text_key", F.explode(F.array_distinct("keys")).alias("key"))
     often = lines.groupBy("key").agg(F.count("*").alias("n"), F.first("host_key").alias("host_key")).filter(F.col("n") > line_docs)
-    hosts = found.groupBy("host_key").agg(F.count("*").alias("host_docs"))
+    hosts = found.groupBy("host_key").agg(F.count_distinct("text_key").alias("host_docs"))
     often = often.join(hosts, "host_key").filter(F.col("n") > F.col("host_docs") * line_share)
     often = stage(often.select("key", "n", "host_docs"), "lines")
     total = found.count()

@@ -103,7 +103,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     three AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM win),
     place AS (SELECT DISTINCT doc_id, i + unnest([0, 1, 2]) AS i FROM three WHERE n > 1),
     rep AS (SELECT doc_id, count(*) AS n FROM place GROUP BY doc_id),
-    hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+    hosts AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
     often AS (SELECT host, array_to_string(ws, ' ') AS normal FROM lines JOIN hosts USING (host)
               GROUP BY host, normal, docs HAVING count(DISTINCT t) > 10 AND count(DISTINCT t) > docs * 0.01),
     cut AS (SELECT doc_id, sum(len(ws)) AS n FROM lines JOIN often ON lines.host = often.host AND array_to_string(ws, ' ') = normal GROUP BY doc_id),

@@ -139,7 +139,7 @@ def choose_symbols(words: DataFrame) -> dict[int, int]:
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for length, _, codes in _by_length(batch.column(0).to_pylist()):
-                for count in SYMBOLS[:-1]:
+                for count in SYMBOLS[:-1] or SYMBOLS:
                     key = keys(_symbols(codes, count), length)
                     space, choice = (np.full(len(key), v, np.int32) for v in (min(length, LONGEST), count))
                     yield pa.RecordBatch.from_arrays([pa.array(space), pa.array(choice), _signed(key)], ["space", "symbols", "key"])

@@ -9,7 +9,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def brute(rows):
     words = lambda t: WORD.findall(t or "")
-    hosts, seen = Counter(r[3] or "" for r in rows), {}
+    hosts, seen = Counter(host for host, _ in {(r[3] or "", r[1] or "") for r in rows}), {}
     for _, t, _, host in rows:
         for line in (t or "").split("\n"):
             if words(line):
@@ -85,3 +85,23 @@ def test_copies_of_a_text_do_not_deplete_it(documents):
     text = "\n".join(" ".join(f"v{draw.randrange(900)}" for _ in range(9)) for _ in range(9))
     got = quality.judge(documents([(i, text, None, "h") for i in range(60)])).collect()
     assert all(r["kept"] and r["cut_words"] == 0 for r in got)
+
+
+def test_words_with_equal_polynomials(documents):
+    x = "".join("in"[bin(k).count("1") % 2] for k in range(2048))
+    y = x.translate({ord("i"): "n", ord("n"): "i"})
+    rows = [(0, f"{x}\n{y}"), (1, f"a b {x} c {y} a b {y} c {x}"), (2, f"{x} {y} z {y} {x} z")]
+    rows = [(*r, None, None) for r in rows]
+    assert judged(documents(rows)) == brute(rows)
+
+
+def test_limit_of_a_large_host(documents):
+    # 3,000 rows of 1,500 different texts: one in a hundred of the texts, not of the rows, is the limit
+    draw = random.Random(2)
+    rows = []
+    for i in range(1500):
+        text = "\n".join([" ".join(draw.choice("abcdefgh") * draw.randint(1, 9) for _ in range(60)), *(["in some texts"] if i < 18 else []), *(["in few texts"] if i < 12 else []), f"own {i}"])
+        rows += [(2 * i, text, None, "hot"), (2 * i + 1, text, None, "hot")]
+    docs = documents(rows)
+    assert judged(docs) == brute(rows)
+    assert quality.judge(docs).filter("cut_words > 0").count() == 36

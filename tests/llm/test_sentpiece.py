@@ -62,3 +62,11 @@ def test_tables(documents, odd_rows, library, monkeypatch):
     for r in got:
         assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode(r["text"]) and r["n_pieces"] == len(r["ids"]) // 4
     assert sentpiece.encode(documents([]), PATH).count() == 0
+
+
+def test_texts_with_equal_polynomials(documents):
+    word = "".join("in"[bin(k).count("1") % 2] for k in range(2048))
+    rows = [(0, word), (1, word.translate({ord("i"): "n", ord("n"): "i"})), (2, "again " + word)]
+    both = sentpiece.decode(sentpiece.encode(documents(rows), PATH), PATH).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert {r.doc_id: (r.n_pieces, r.text) for r in both} == {i: (len(library.encode(t)), t) for i, t in rows}

@@ -51,6 +51,29 @@ def test_long_texts_are_cut_where_nothing_changes(library, monkeypatch):
     assert sizes[2] == 0
 
 
+def thue_morse(size):
+    """Two texts whose sums of byte times power of any base are equal modulo 2 ** 64."""
+    word = "".join("in"[bin(k).count("1") % 2] for k in range(size))
+    return word, word.translate({ord("i"): "n", ord("n"): "i"})
+
+
+@pytest.mark.parametrize("size", [256, 2048])
+def test_texts_with_equal_polynomials(documents, library, size):
+    rows = [(k, text) for k, text in enumerate(thue_morse(size) * 2)]
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(documents(rows), PATH).collect()}
+    assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in rows}
+
+
+def test_equal_hashes_are_told_apart(library, monkeypatch):
+    monkeypatch.setattr(ragged, "token_hashes", lambda raw, starts, lengths: (lengths % 3).astype(np.uint64) << np.uint64(60))
+    texts = ["some words", "same weird", "other words here", "some words"]
+    model = bpe.ByteBpe(PATH)
+    for _ in range(2):
+        ids, sizes = model.encode(*ragged.flat(pa.array(texts)))
+        edges = ragged.bounds(sizes)
+        assert [ids[a:b].tolist() for a, b in zip(edges, edges[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_counts(documents, odd_rows, library):
     got = sorted((tuple(r) for r in token_counts.count_tokens(documents(odd_rows), PATH).collect()), key=str)
     want = [(i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 512) for i, t in odd_rows]
@@ -117,3 +140,63 @@ def test_packing(documents, odd_rows, library, monkeypatch):
     whole = packing.assemble(got).collect()
     assert sum(len(r["ids"]) for r in whole) == 4 * total
     assert packing.pack_documents(documents([]), PATH).count() == 0
+
+
+def fewest(counts, capacity):
+    """The fewest bins, by trying every place for every item."""
+    items = sorted((n for n, c in counts.items() for _ in range(c)), reverse=True)
+    best = len(items)
+
+    def place(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(items):
+            best = len(rooms)
+            return
+        for j, room in enumerate(rooms):
+            if room >= items[k] and room not in rooms[:j]:
+                place(k + 1, [*rooms[:j], room - items[k], *rooms[j + 1 :]])
+        place(k + 1, [*rooms, capacity - items[k]])
+
+    place(0, [])
+    return best
+
+
+def packed_bins(counts, capacity, **limits):
+    found = packing.complete_bins(counts, capacity, **limits)
+    items = {}
+    for lengths, times in found:
+        assert sum(lengths) <= capacity and times > 0
+        for n in lengths:
+            items[n] = items.get(n, 0) + times
+    assert items == {n: c for n, c in counts.items() if c}
+    return sum(times for _, times in found)
+
+
+def test_bins_are_the_fewest():
+    draw = random.Random(4)
+    for _ in range(300):
+        capacity = draw.choice([10, 20, 37, 100])
+        counts = {draw.randint(1, capacity): draw.randint(1, 3) for _ in range(draw.randint(1, 6))}
+        best = fewest(counts, capacity)
+        assert packing.bins_needed(counts, capacity) <= best == packed_bins(counts, capacity)
+
+
+def test_better_than_best_fit():
+    # 6+4, 5+5 and 3+7 fill ten each; best fit puts other things beside each other in the second case
+    for counts, capacity in [({6: 4, 4: 4, 5: 2, 7: 1, 3: 1}, 10), ({44: 2, 24: 4, 22: 2, 21: 2, 17: 4, 8: 2, 6: 4}, 100)]:
+        assert packed_bins(counts, capacity) == fewest(counts, capacity)
+
+
+@pytest.mark.parametrize("counts", [{520: 50, 1: 20000}, {513: 400, 1: 3000}, {513: 400, 1: 3000, 700: 3}, {1: 10**9, 1024: 10**7, 2: 10**8}, {n: 1 + n % 7 for n in range(1, 1025)}, {}])
+def test_many_short_pieces(counts):
+    assert packed_bins(counts, 1024) >= (packing.bins_needed(counts, 1024) if counts else 0)
+    assert packed_bins(counts, 1024, nodes=0) >= packed_bins(counts, 1024)
+
+
+def test_many_empty_texts(documents, library):
+    word = " the"
+    rows = [(i, word * 512) for i in range(40)] + [(100 + i, None) for i in range(300)]
+    got = packing.pack_documents(documents(rows), PATH).collect()
+    assert len(got) == len(rows) and len({r.sequence_id for r in got}) == 40

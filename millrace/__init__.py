@@ -7,7 +7,7 @@ from millrace.operators.basic import bridge, filter_messages, to_request_json, t
 from millrace.operators.bulk import bulk_load, parse_lines
 from millrace.operators.entities import json_entities
 from millrace.operators.headers import enrich_headers, filter_headers
-from millrace.operators.lists import push_list
+from millrace.operators.lists import push_batches, push_list
 from millrace.operators.lookup import enrich_lookup, with_request
 from millrace.operators.meters import counter, gauge, metric_lines, throughput, watched
 from millrace.operators.numbering import number_rows
@@ -20,7 +20,7 @@ from millrace.session import release
 from millrace.sinks.broker import publish, to_broker
 from millrace.sinks.files import write_routed, write_text
 from millrace.sinks.tables import load_lines, once_per_batch, table_rows, write_bulk, write_table
-from millrace.sinks.upsert import upsert
+from millrace.sinks.upsert import read_documents, upsert
 from millrace.sources.changes import read_changes, row_json, unwrap_changes
 from millrace.sources.files import line_messages, number_lines, read_files, stream_files
 from millrace.sources.generate import generate_messages, generate_stream, tick_stream, time_spine, zero_fill

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.messages import as_column
 from millrace.operators.numbering import number_rows, order_columns
+from millrace.session import stage
+from millrace.sinks.versions import COMPACT_EVERY, OpenTable, write_batch
 
 
 def push_list(
@@ -34,7 +39,32 @@ def push_list(
     rows = number_rows(pushed, ["key"], [*names, "_mr_pos"], "seq", hot_rows).select("key", "seq", "value")
     if current is None:
         return rows
-    tops = current.groupBy(F.col("key").alias("_mr_key")).agg(F.max("seq").alias("_mr_top"))
-    return rows.join(tops, F.col("key").eqNullSafe(F.col("_mr_key")), "left").select(
-        "key", (F.col("seq") + F.coalesce("_mr_top", F.lit(0))).alias("seq"), "value"
-    )
+    return _after(rows, current.groupBy("key").agg(F.max("seq").alias("top")))
+
+
+def _after(rows: DataFrame, tops: DataFrame) -> DataFrame:
+    tops = tops.select(F.col("key").alias("_mr_key"), F.col("top").alias("_mr_top"))
+    moved = rows.join(tops, F.col("key").eqNullSafe(F.col("_mr_key")), "left")
+    return moved.withColumn("seq", F.col("seq") + F.coalesce("_mr_top", F.lit(0))).drop("_mr_key", "_mr_top")
+
+
+def push_batches(
+    out: str, store: str, key: str | Column, order, payload: str | Column = "payload", hot_rows: int | None = None, compact_every: int = COMPACT_EVERY
+) -> Callable[[DataFrame, int], None]:
+    """K9: a ``foreachBatch`` function that appends to the lists below ``out`` (``key, seq, value``, and the ``batch`` that pushed it).
+
+    How long each list is stands below ``store``, with the batch that made it so: stored lists are never read, and a batch that is
+    pushed again replaces what it pushed before. Batches come in turn, numbered from 0.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = stage(push_list(batch, key, order, payload, hot_rows=hot_rows), "pushed")
+        table = OpenTable(batch.sparkSession, store, T.StructType([rows.schema["key"]]), "top bigint")
+        known = stage(table.counters(batch_id).select("key", "top"), "tops")
+        write_batch(_after(rows, known), out, batch_id)
+        pushed = _after(rows.groupBy("key").agg(F.max("seq").alias("seq")), known)
+        table.write(batch_id, counters=pushed.select("key", F.col("seq").alias("top"), F.lit(batch_id).cast("long").alias("since")))
+        if (batch_id + 1) % compact_every == 0:
+            table.compact(batch_id)
+
+    return run

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from millrace.messages import to_messages
 from millrace.operators.aggregate import aggregate
-from millrace.operators.lists import push_list
+from millrace.operators.lists import push_batches
 from millrace.operators.split import reassemble, split_messages
 from millrace.plans.queries.registry import query, table
+from millrace.session import scratch_path
 
 COUNT_SQL = """
 SELECT event_type, ((rn - 1) // 3)::BIGINT AS group_no, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
@@ -117,8 +118,12 @@ FROM (SELECT role AS key, conv_id, turn, parts, unnest(range(1, len(parts) + 1))
       FROM (SELECT *, string_split(text, '. ') AS parts FROM conversations))
 """)
 def push_to_lists(spark, sf_dir):
-    """K9: the sentences of each role, in order; the later conversations are pushed onto the earlier ones"""
+    """K9: the sentences of each role, in order; the later conversations are pushed onto the earlier ones, and those twice"""
     turns = table(spark, sf_dir, "conversations").withColumn("payload", F.split("text", r"\. "))
     half = turns.agg((F.max("conv_id") / 2).alias("m")).first().m
-    old = push_list(turns.filter(F.col("conv_id") <= half), "role", ["conv_id", "turn"])
-    return old.unionByName(push_list(turns.filter(F.col("conv_id") > half), "role", ["conv_id", "turn"], current=old))
+    out = scratch_path(spark, "lists")
+    push = push_batches(out, scratch_path(spark, "tops"), "role", ["conv_id", "turn"])
+    early, late = turns.filter(F.col("conv_id") <= half), turns.filter(F.col("conv_id") > half)
+    for batch_id, part in ((0, early), (0, early), (1, late)):
+        push(part, batch_id)
+    return spark.read.parquet(out).select("key", "seq", "value")

@@ -12,7 +12,7 @@ from millrace.session import scratch_path
 from millrace.sinks.broker import to_broker
 from millrace.sinks.files import write_text
 from millrace.sinks.tables import column_types, load_lines, table_rows, write_table
-from millrace.sinks.upsert import upsert
+from millrace.sinks.upsert import read_documents, upsert
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
 
@@ -169,7 +169,7 @@ def upsert_documents(spark, sf_dir):
     path = scratch_path(spark, "documents")
     for part in (m.filter(F.col("event_id") > half), m.filter(F.col("event_id") <= half)):
         upsert(spark, part, path, "user_id", "event_id", index="events")
-    return spark.read.parquet(path).select("index", "id", "document")
+    return read_documents(spark, path).select("index", "id", "document")
 
 
 @query("""

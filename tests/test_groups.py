@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.messages import to_messages
 from millrace.operators.aggregate import aggregate
-from millrace.operators.lists import push_list
+from millrace.operators.lists import push_batches, push_list
 from millrace.operators.split import reassemble, split_messages
 
 
@@ -98,3 +98,15 @@ def test_groups_of_maps_and_variants(spark):
     assert [[x["n"] for x in r.payloads] for r in aggregate(df, "k", "id", release_size=4, payload="m", send_partial=True).orderBy("group_no").collect()] == [[0, 1, 2, 3], [4, 5]]
     got = aggregate(df, "k", "id", release_size=2, release_expr="m['n'] = 0", payload="v").selectExpr("transform(payloads, x -> to_json(x)) as p").collect()
     assert sorted(tuple(r.p) for r in got) == [('{"n":0}',), ('{"n":1}', '{"n":2}'), ('{"n":3}', '{"n":4}')]
+
+
+def test_pushing_a_batch_twice_changes_nothing(spark, tmp_path):
+    out = str(tmp_path / "lists")
+    push = push_batches(out, str(tmp_path / "tops"), "k", "at", hot_rows=3, compact_every=2)
+    batches = [[("a", 1, ["x", "y"]), (None, 2, ["n"])], [("a", 3, ["z"]), ("b", 4, ["q"])], [(None, 5, ["m"]), ("a", 6, ["w"])]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "k string, at int, payload array<string>")
+        push(df, i)
+        push(df, i)
+    got = sorted(((r.key, r.seq, r.value) for r in spark.read.parquet(out).collect()), key=str)
+    assert got == sorted([("a", 1, "x"), ("a", 2, "y"), ("a", 3, "z"), ("a", 4, "w"), ("b", 1, "q"), (None, 1, "n"), (None, 2, "m")], key=str)

@@ -1,5 +1,7 @@
 """Bulk loading, entities, table columns, upserts, broker rows and text files."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +12,7 @@ from millrace.operators.entities import json_entities
 from millrace.sinks.broker import to_broker
 from millrace.sinks.files import write_text
 from millrace.sinks.tables import load_lines, parse_columns, table_rows, write_bulk
-from millrace.sinks.upsert import upsert
+from millrace.sinks.upsert import DocumentTable, read_documents, upsert
 
 NAMES = ("id", "name", "age")
 
@@ -102,12 +104,51 @@ def test_upsert(spark, tmp_path):
     upsert(spark, messages, target, "id", "at", index="foo")
     upsert(spark, messages.filter("id = '2'").withColumn("at", F.lit(5)).withColumn("payload", F.lit("y")), target, "id", "at", index="foo")
     upsert(spark, messages.filter("id = '2'").withColumn("at", F.lit(3)).withColumn("payload", F.lit("late")), target, "id", "at", index="foo")
-    got = {(r["index"], r.id): r.document for r in spark.read.parquet(target).collect()}
+    got = {(r["index"], r.id): r.document for r in read_documents(spark, target).collect()}
     assert got == {("foo", "1"): doc, ("bar", "1"): "newer", ("foo", "2"): "y"}
     # without an index, the documents still replace each other
     for at in (1, 2):
         upsert(spark, messages.filter("id = '2'").withColumn("at", F.lit(at)).withColumn("id", F.concat(F.lit("n"), F.lit(at))), target, "id", "at")
-    assert spark.read.parquet(target).filter("index is null").count() == 2
+    assert read_documents(spark, target).filter("index is null").count() == 2
+
+
+def test_one_changed_document_rewrites_one_bucket(spark, tmp_path):
+    target = tmp_path / "docs"
+    df = spark.range(2000).selectExpr("id", "1 as at", "cast(id as string) as payload")
+    upsert(spark, df, str(target), "id", "at", index="x", buckets=16)
+    first = json.loads((target / "manifest" / "0").read_text())
+    assert len(first["places"]) == 16 == first["buckets"]
+    upsert(spark, df.filter("id = 7").selectExpr("id", "2 as at", "'new' as payload"), str(target), "id", "at", index="x")
+    second = json.loads((target / "manifest" / "1").read_text())
+    changed = [b for b, v in second["places"].items() if first["places"][b] != v]
+    assert len(changed) == 1 and second["buckets"] == 16
+    (version,) = {second["places"][b] for b in changed}
+    assert [p.name for p in (target / "data" / version).iterdir() if p.is_dir()] == [f"bucket={changed[0]}"]
+    got = {r.id: r.document for r in read_documents(spark, str(target)).collect()}
+    assert got == {str(i): "new" if i == 7 else str(i) for i in range(2000)}
+    upsert(spark, df.limit(0), str(target), "id", "at", index="x")
+    assert not (target / "manifest" / "2").exists()
+
+
+def test_a_crash_before_the_switch_leaves_the_old_documents(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "docs")
+    df = spark.range(100).selectExpr("id", "1 as at", "'old' as payload")
+    upsert(spark, df, target, "id", "at")
+    with monkeypatch.context() as patch:
+        patch.setattr(DocumentTable, "_switch", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            upsert(spark, df.selectExpr("id", "2 as at", "'new' as payload"), target, "id", "at")
+    assert read_documents(spark, target).filter("document = 'old'").count() == 100
+    for at in (2, 3, 4):
+        upsert(spark, df.selectExpr("id", f"{at} as at", f"'new {at}' as payload"), target, "id", "at")
+    assert {r.document for r in read_documents(spark, target).collect()} == {"new 4"}
+    assert sorted(p.name for p in (tmp_path / "docs" / "manifest").iterdir() if p.name.isdigit()) == ["2", "3"]
+    # two writers: the one that comes last is told
+    table = DocumentTable(spark, target)
+    with pytest.raises(RuntimeError):
+        table._switch(3, {})
+    with pytest.raises(ValueError):
+        read_documents(spark, str(tmp_path / "none"))
 
 
 def test_broker_rows(spark):

@@ -9,7 +9,7 @@ from millrace.operators.lists import push_list
 from millrace.operators.posts import dedup_recent, trending
 from millrace.operators.split import reassemble, split_messages
 from millrace.sinks.tables import once_per_batch, table_rows
-from millrace.sinks.upsert import upsert
+from millrace.sinks.upsert import read_documents, upsert
 from millrace.streaming.aggregate import aggregate_stream, open_groups, order_text
 from millrace.streaming.runs import run_available, run_batches, use_rocksdb
 
@@ -169,7 +169,7 @@ def test_upsert_and_write_once(spark, sf, halves, tmp_path):
         _feed(halves, src, i)
         run_batches(_follow(spark, src), merge, str(tmp_path / "check"))
     want = spark.read.parquet(f"{sf}/events.parquet").groupBy("user_id").agg(F.max_by("props", "event_id").alias("p"))
-    assert {r.id: r.document for r in spark.read.parquet(target).collect()} == {str(r.user_id): r.p for r in want.collect()}
+    assert {r.id: r.document for r in read_documents(spark, target).collect()} == {str(r.user_id): r.p for r in want.collect()}
 
 
 def test_order_text(spark):

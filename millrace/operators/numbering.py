@@ -1,7 +1,7 @@
 """Positions of rows within a key, exact also when one key holds most of the rows.
 
 A plain ``row_number()`` window puts a whole key into one task.  Keys that are too large
-for that are therefore taken out, range-partitioned by (key, order), so that
+for that are therefore found by a sketch and taken out, range-partitioned by (key, order), so that
 one key spans many partitions, and numbered per partition; a small table of
 per-partition totals then turns local positions into global ones.
 """
@@ -13,13 +13,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.session import stage
 
 # A key is hot when it exceeds a core's fair share of the rows, within these bounds.
 MIN_HOT_ROWS, HOT_ROWS = 250_000, 2_000_000
-# The threshold is raised to total / MAX_HOT_KEYS, so no more keys than this can be hot.
-MAX_HOT_KEYS = 200_000
+# The threshold is raised to total / MAX_HOT_KEYS, so no more keys than this can be hot; a sketch of SKETCH_ITEMS counters, whose error is below
+# half of that, cannot miss one.
+MAX_HOT_KEYS = 4_000
+SKETCH_ITEMS = 1 << 15
 # Beyond this many range partitions the shuffle's own bookkeeping costs more than larger partitions do.
 MAX_SLICES = 20_000
 
@@ -99,24 +102,26 @@ def _fair_share(df: DataFrame, total: int) -> int:
 
 
 def _by_heat(df: DataFrame, keys: list[str], hot_rows: int | None):
-    """Split into (rows of ordinary keys, rows of hot keys or None, slices for the hot rows)."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_mr_n"))
-    sizes = counts.agg(F.max("_mr_n").alias("top"), F.sum("_mr_n").alias("total")).first()
-    hot_rows = hot_rows or _fair_share(df, sizes.total or 0)
-    if sizes.top is None or sizes.top <= hot_rows:
-        return df, None, 0
-    limit = max(hot_rows, math.ceil(sizes.total / MAX_HOT_KEYS))
-    # At most total / limit <= MAX_HOT_KEYS keys can exceed the limit: safe to broadcast.
-    # Stored, because both halves ask for it.
-    hot_keys = stage(counts.filter(F.col("_mr_n") > limit).select(F.struct(*keys).alias(_GID), "_mr_n"), "hot-keys")
-    hot_rows_in_all = hot_keys.agg(F.sum("_mr_n").alias("n")).first().n
-    if not hot_rows_in_all:
+    """Split into (rows of ordinary keys, rows of hot keys or None, slices for the hot rows).
+
+    One pass over the keys alone, with a map side of bounded size, finds keys that may be hot; a key too many does no harm. Both halves
+    are filters by a list of at most ``MAX_HOT_KEYS`` numbers, so no row is shuffled or joined for it.
+    """
+    hashed = df.select(_key_hash(df, keys).alias("_mr_h"))
+    top = F.expr(f"approx_top_k(_mr_h, {MAX_HOT_KEYS}, {SKETCH_ITEMS})")
+    found = hashed.agg(F.count(F.lit(1)).alias("total"), top.alias("top")).first()
+    limit = max(hot_rows or _fair_share(df, found.total), math.ceil(found.total / MAX_HOT_KEYS))
+    hot_keys = {r["item"]: r["count"] for r in found.top or () if r["count"] > limit}
+    if not hot_keys:
         return df, None, 0
-    hot_keys = hot_keys.select(_GID)
-    tagged = df.withColumn(_GID, F.struct(*keys))
-    cold = tagged.join(F.broadcast(hot_keys), _GID, "left_anti").drop(_GID)
-    hot = tagged.join(F.broadcast(hot_keys), _GID, "left_semi").drop(_GID)
-    return cold, hot, _slices(hot_rows_in_all, limit)
+    is_hot = _key_hash(df, keys).isin(list(hot_keys))
+    return df.filter(~is_hot), df.filter(is_hot), _slices(min(found.total, sum(hot_keys.values())), limit)
+
+
+def _key_hash(df: DataFrame, keys: list[str]) -> Column:
+    """Equal for equal keys: zeros of either sign are one number to a grouping."""
+    plain = [F.col(k) + F.lit(0.0).cast(df.schema[k].dataType) if isinstance(df.schema[k].dataType, (T.DoubleType, T.FloatType)) else F.col(k) for k in keys]
+    return F.xxhash64(*plain)
 
 
 def _lay_out(df: DataFrame, keys: list[str], order: list[Column], slices: int) -> DataFrame:

@@ -60,3 +60,23 @@ def test_stored_rows_can_be_released(spark, sf):
 def test_order_is_mandatory(spark, sf):
     with pytest.raises(ValueError):
         number_rows(_events(spark, sf), ["k"], None)
+
+
+def test_hot_keys_come_from_one_pass_over_the_keys(spark, sf, tmp_path):
+    _events(spark, sf).withColumn("wide", F.lit("x")).write.parquet(str(tmp_path / "e"))
+    df = spark.read.parquet(str(tmp_path / "e"))
+    text = number_rows(df, ["k"], ["ts", "event_id"], hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    # the cold half reads the input once more, the hot half what was stored of it; no join looks for hot keys
+    reads = [line for line in text.splitlines() if "FileScan" in line]
+    assert sum("/e]" in line for line in reads) == 1 and any("numbered" in line for line in reads)
+    assert "LeftAnti" not in text and "LeftSemi" not in text
+    none = number_rows(df, ["k"], ["ts", "event_id"])._jdf.queryExecution().executedPlan().toString()
+    assert none.count("FileScan") == 1 and none.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 3])
+def test_zeros_of_both_signs_are_one_key(spark, hot_rows):
+    df = spark.range(40).selectExpr("case when id % 2 = 0 then 0.0D else -0.0D end as k", "id", "if(id % 3 = 0, null, 'é') as t")
+    assert sorted(r.rn for r in number_rows(df, ["k"], "id", hot_rows=hot_rows).collect()) == list(range(1, 41))
+    by_text = number_rows(df, ["k", "t"], "id", hot_rows=hot_rows, total="n").collect()
+    assert sorted((r.n, r.rn) for r in by_text) == [(n, i) for n in (14, 26) for i in range(1, n + 1)]

@@ -140,6 +140,28 @@ def test_table_polls(spark, tmp_path):
     assert unconsumed(df, df.filter("id < 3"), "id").count() == 1
 
 
+def test_polls_are_ranges_of_a_stored_plan(spark, tmp_path):
+    state = str(tmp_path / "plan")
+    rows = [(i // 3, chr(97 + i % 2), i) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, n int").repartition(5)
+    seen = []
+    for _ in range(60):
+        poll = TablePoller(spark, state, ["a", "b"], 7, hot_rows=4).poll(df)
+        text = poll._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrdered" not in text and "Sort" not in text and "GlobalLimit" not in text
+        got = poll.collect()
+        assert sorted(TablePoller(spark, state, ["a", "b"], 7).poll(df).collect()) == sorted(got)
+        if not got:
+            break
+        seen.append(got)
+        TablePoller(spark, state, ["a", "b"], 7).commit(poll)
+    assert sorted(r.n for poll in seen for r in poll) == list(range(60)) and all(len(poll) <= 9 for poll in seen)
+    keys = [sorted({(r.a, r.b) for r in poll}) for poll in seen]
+    assert all(x[-1] < y[0] for x, y in zip(keys, keys[1:]))
+    late = df.union(spark.createDataFrame([(100, "z", 60), (None, "z", 61)], df.schema))
+    assert [r.n for r in TablePoller(spark, state, ["a", "b"], 7).poll(late).collect()] == [60]
+
+
 def test_topics(spark):
     assert topic_options("b:1", ["x", "y"], "g", "earliest") == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "x,y", "startingOffsets": "earliest", "includeHeaders": "true", "kafka.group.id": "g"}

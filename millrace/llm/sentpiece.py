@@ -28,6 +28,8 @@ from millrace.llm.common import id_and_text
 from millrace.session import stage
 
 BLANK = 0x2581
+#: Matrices that one task folds into one; more are folded level by level.
+FOLD = 64
 #: Characters of a chunk that a document is split into over tasks, and of those that one stretch without a break is split into within a task.
 CHUNK = 1 << 15
 STRIDE = 256
@@ -323,7 +325,7 @@ class PieceModel(CachedEncoder):
         starts = self.stretches(points, edges)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(edges) - 1, np.int64)
-        at, count = self.lookup(points.astype(np.uint64), starts, np.diff(np.append(starts, len(points))))
+        at, count = self.lookup(points.astype(np.uint32), starts, np.diff(np.append(starts, len(points))))
         total, first = ragged.bounds(count), np.searchsorted(starts, edges)
         ids = self.ids[ragged.ragged_index(at, count.astype(np.int64))].astype(np.uint32)
         return ids, total[first[1:]] - total[first[:-1]]
@@ -345,17 +347,21 @@ def product(matrices: list[np.ndarray]) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def best_states(matrices: list[np.ndarray]) -> list[int]:
-    """The state at every cut on the path of weight 0 from the first state with one to the last cut."""
-    ahead = [np.zeros(matrices[-1].shape[1])]
+def best_states(matrices: list[np.ndarray], enter: int = 0, leave: int | None = None) -> list[int]:
+    """The state at every cut on the path of weight 0 from state ``enter`` to ``leave``, or to whichever last state has one."""
+    last = np.zeros(matrices[-1].shape[1])
+    if leave is not None:
+        last[:] = -np.inf
+        last[leave] = 0.0
+    ahead = [last]
     for m in reversed(matrices):
         ahead.append((m + ahead[-1][None, :]).max(axis=1))
     ahead.reverse()
-    path = [int(ahead[0].argmax())]
+    if not np.isfinite(ahead[0][enter]):
+        raise ValueError("the stretch has no path")
+    path = [enter]
     for m, after in zip(matrices, ahead[1:], strict=True):
         path.append(int((m[path[-1]] + after).argmax()))
-    if not np.isfinite(ahead[0].max()):
-        raise ValueError("the stretch has no path")
     return path
 
 
@@ -366,33 +372,35 @@ def load(path: str) -> PieceModel:
 
 
 def split_chunks(model: PieceModel, points: np.ndarray) -> Iterator[tuple[bool, bool, bool, int, int, np.ndarray]]:
-    """Chunks of about ``CHUNK`` characters of one normalised text: (within a stretch, its first, its last, begin, end, window).
+    """Cut one normalised text every ``CHUNK`` characters, whatever stands there: (within a stretch, at its begin, at its end, begin, end, window).
 
-    A chunk is a run of whole stretches, or lies within one stretch that is longer than a chunk; then its window has margins, and
-    ``begin`` and ``end`` are its place in the window.
+    A chunk is up to three parts, each with a matrix of its own: the rest of the stretch that the cut before it fell into, whole
+    stretches, and the first part of the stretch that the next cut falls into. A part of a stretch has a window with margins, in which ``begin`` and ``end`` are its place.
+    ``CHUNK`` must be longer than two of the longest pieces.
     """
-    starts = model.stretches(points, np.array([0, len(points)]))
-    edges = np.append(starts, len(points))
-    at = 0
-    while at < len(starts):
-        begin = int(edges[at])
-        if edges[at + 1] - begin <= CHUNK:
-            after = max(at + 1, int(np.searchsorted(edges, begin + CHUNK, side="right")) - 1)
-            wide = np.flatnonzero(np.diff(edges[at : after + 1]) > CHUNK)
-            after = at + int(wide[0]) if len(wide) else after
-            yield False, True, True, 0, int(edges[after]) - begin, points[begin : edges[after]]
-            at = after
-        else:
-            end = int(edges[at + 1])
-            cuts = [*range(begin, end - CHUNK // 2, CHUNK), end]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                low, high = max(begin, a - model.longest), min(end, b + model.longest)
-                yield True, a == begin, b == end, a - low, b - low, points[low:high]
-            at += 1
+    edges = np.append(model.stretches(points, np.array([0, len(points)])), len(points))
+    for cut in range(0, len(points), CHUNK):
+        stop = min(cut + CHUNK, len(points))
+        over = int(np.searchsorted(edges, cut, side="right")) - 1
+        last = int(np.searchsorted(edges, stop, side="right")) - 1
+        at = cut
+        if edges[over] < cut:
+            at = int(min(edges[over + 1], stop))
+            yield _part(model, points, int(edges[over]), int(edges[over + 1]), cut, at)
+        if edges[last] > at:
+            yield False, True, True, 0, int(edges[last]) - at, points[at : edges[last]]
+            at = int(edges[last])
+        if at < stop:
+            yield _part(model, points, at, int(edges[last + 1]), at, stop)
+
+
+def _part(model: PieceModel, points: np.ndarray, stretch: int, end: int, a: int, b: int) -> tuple[bool, bool, bool, int, int, np.ndarray]:
+    low, high = max(stretch, a - model.longest), min(end, b + model.longest)
+    return True, a == stretch, b == end, a - low, b - low, points[low:high]
 
 
 def chunk_states(model: PieceModel, points: np.ndarray, begin: int, end: int, first: bool, final: bool) -> tuple[list[State], list[State]]:
-    """States at both ends of a chunk within a stretch; a stretch begins with START alone."""
+    """States at both ends of a part of a stretch; a stretch begins with START alone."""
     ending = model.pieces_ending(points)
     before = [(0, 0, START)] if first else model.states(ending, begin)
     after = [s for s in model.states(ending, len(points)) if s[1] == len(points)] if final else model.states(ending, end)
@@ -400,28 +408,74 @@ def chunk_states(model: PieceModel, points: np.ndarray, begin: int, end: int, fi
 
 
 def chunk_matrix(model: PieceModel, inside: bool, first: bool, final: bool, begin: int, end: int, points: np.ndarray) -> np.ndarray:
-    """The chunk's transfer matrix. A stretch ends in one state, whatever its last piece."""
+    """The transfer matrix from the states at the part's begin to those at its end. A stretch ends in one state, whatever its last piece."""
     if not inside:
         return np.zeros((1, 1))
     before, after = chunk_states(model, points, begin, end, first, final)
     found = model.long_stretch(points, before, after, matrix_only=True)
-    return found.max(axis=1, keepdims=True) if final else found
+    if not final:
+        return found
+    # A piece over the cut may be the stretch's last one.
+    done = np.array([0.0 if s[1] == len(points) and s[2] != START else -np.inf for s in before])
+    return np.maximum(found.max(axis=1), done)[:, None]
 
 
 def chunk_ids(model: PieceModel, inside: bool, first: bool, final: bool, begin: int, end: int, points: np.ndarray, enter: int, leave: int) -> np.ndarray:
-    """Ids of a chunk once the states at its ends are known: those after the entering piece, the leaving piece with them."""
+    """Ids of a part once the states at its ends are known: those after the entering piece, the leaving piece with them."""
     if not inside:
         return model.encode_points(points, np.array([0, len(points)]))[0]
     before, after = chunk_states(model, points, begin, end, first, final)
+    if final and not first and before[enter][1] == len(points):
+        return np.zeros(0, np.uint32)
     pieces = model.long_stretch(points, [before[enter]], after if final else [after[leave]])
     return model.to_ids(pieces, np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64))[0].astype(np.uint32)
 
 
+def _steps(table: pa.Table) -> tuple[pa.Table, list[np.ndarray]]:
+    """Rows with a matrix in order, and the matrices."""
+    table = table.sort_by("k")
+    return table, [np.where(np.frombuffer(m, bool).reshape(h, -1), 0.0, -np.inf) for h, m in zip(table.column("height").to_pylist(), table.column("matrix").to_pylist(), strict=True)]
+
+
+def _packed(row: int, k: int, found: np.ndarray) -> dict[str, list]:
+    return {"row": [row], "k": [k], "height": [found.shape[0]], "matrix": [np.isfinite(found).tobytes()]}
+
+
+def states_at_cuts(matrices: DataFrame) -> DataFrame:
+    """(row, k, enter, leave): the states at both ends of each part, from (row, k, height, matrix); k counts the parts of a text from 0.
+
+    A tree over tasks: ``FOLD`` matrices in a row become their product, level by level, until a text has no more than so many; from there the states go
+    down again, each block getting those at its ends. So no task sees more than ``FOLD`` matrices of a text.
+    """
+    kinds, states = "row bigint, k bigint, height bigint, matrix binary", "row bigint, k bigint, enter bigint, leave bigint"
+    block = F.expr(f"k div {FOLD}")
+
+    def fold(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.table(_packed(key[0].as_py(), key[1].as_py(), product(_steps(table)[1])))
+
+    def trace(table: pa.Table) -> pa.Table:
+        table, steps = _steps(table)
+        ends = (table.column("from")[0].as_py(), table.column("to")[0].as_py()) if "from" in table.column_names else (0, None)
+        path = best_states(steps, *ends)
+        return pa.table({"row": table.column("row"), "k": table.column("k"), "enter": pa.array(path[:-1], pa.int64()), "leave": pa.array(path[1:], pa.int64())})
+
+    levels = [stage(matrices, "matrices")]
+    most = levels[0].agg(F.max("k")).first()[0]
+    while most is not None and most >= FOLD:
+        levels.append(stage(levels[-1].withColumn("block", block).groupBy("row", "block").applyInArrow(fold, kinds), "matrices"))
+        most //= FOLD
+    found = levels[-1].groupBy("row").applyInArrow(trace, states)
+    for level in reversed(levels[:-1]):
+        ends = found.select("row", F.col("k").alias("block"), F.col("enter").alias("from"), F.col("leave").alias("to"))
+        found = level.withColumn("block", block).join(ends, ["row", "block"]).groupBy("row", "block").applyInArrow(trace, states)
+    return found
+
+
 _CHUNK_COLUMNS = ["row", "k", "inside", "first", "final", "begin", "end", "points"]
 
 
 def _encode_long(docs: DataFrame, path: str) -> DataFrame:
-    """Like :func:`encode`, for texts of more than a chunk: chunks go to any task, only their small matrices meet by text."""
+    """Like :func:`encode`, for texts of more than a chunk: chunks go to any task, only their small matrices meet by text, and those in a tree."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,8 +490,7 @@ def _encode_long(docs: DataFrame, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_pydict(row)
 
     schema = f"doc_id {kind}, sha string, row bigint, k bigint, inside boolean, first boolean, final boolean, begin bigint, end bigint, points binary"
-    chunks = stage(docs.mapInArrow(split, schema), "chunks")
-    dealt = chunks.repartition("row", "k")
+    chunks = stage(docs.mapInArrow(split, schema).repartition("row", "k"), "chunks")
 
     def unpacked(batch: pa.RecordBatch) -> Iterator[dict]:
         for one in batch.to_pylist():
@@ -448,15 +501,9 @@ def _encode_long(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for one in unpacked(batch):
                 found = chunk_matrix(model, *(one[c] for c in _CHUNK_COLUMNS[2:]))
-                yield pa.RecordBatch.from_pydict({"row": [one["row"]], "k": [one["k"]], "height": [found.shape[0]], "matrix": [np.isfinite(found).tobytes()]})
-
-    def scan(table: pa.Table) -> pa.Table:
-        table = table.sort_by("k")
-        steps = [np.where(np.frombuffer(m, bool).reshape(h, -1), 0.0, -np.inf) for h, m in zip(table.column("height").to_pylist(), table.column("matrix").to_pylist(), strict=True)]
-        path_ = best_states(steps)
-        return pa.table({"row": table.column("row"), "k": table.column("k"), "enter": pa.array(path_[:-1], pa.int64()), "leave": pa.array(path_[1:], pa.int64())})
+                yield pa.RecordBatch.from_pydict(_packed(one["row"], one["k"], found))
 
-    states = dealt.drop("doc_id", "sha").mapInArrow(matrices, "row bigint, k bigint, height bigint, matrix binary").groupBy("row").applyInArrow(scan, "row bigint, k bigint, enter bigint, leave bigint")
+    states = states_at_cuts(chunks.drop("doc_id", "sha").mapInArrow(matrices, "row bigint, k bigint, height bigint, matrix binary"))
 
     def backtrace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
@@ -465,7 +512,7 @@ def _encode_long(docs: DataFrame, path: str) -> DataFrame:
                 ids = chunk_ids(model, *(one[c] for c in _CHUNK_COLUMNS[2:]), one["enter"], one["leave"])
                 yield pa.RecordBatch.from_pydict({"row": [one["row"]], "k": [one["k"]], "part": [ids.astype("<u4").tobytes()]})
 
-    parts = dealt.join(states, ["row", "k"]).mapInArrow(backtrace, "row bigint, k bigint, part binary")
+    parts = chunks.join(states, ["row", "k"]).mapInArrow(backtrace, "row bigint, k bigint, part binary")
     whole = parts.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("k", "part"))).alias("p")).select("row", F.expr("aggregate(p.part, cast('' as binary), (a, b) -> concat(a, b))").alias("ids"))
     heads = chunks.filter("k = 0").select("row", "doc_id", F.col("sha").alias("text_sha256"))
     return heads.join(whole, "row").select("doc_id", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), "text_sha256")

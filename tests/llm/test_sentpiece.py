@@ -37,7 +37,7 @@ def test_any_chunks_give_the_same_ids(library, monkeypatch):
     monkeypatch.setattr(sentpiece, "CHUNK", 100)
     monkeypatch.setattr(sentpiece, "STRIDE", 40)
     model = sentpiece.PieceModel(PATH)
-    for text in texts()[-5:] + ["x" * 99 + " " + "y" * 350 + "漢字"]:
+    for text in texts()[-5:] + ["x" * 99 + " " + "y" * 350 + "漢字", "some ordinary words, with blanks between them; unbelievable characteristics\n" * 20]:
         points, _ = model.normalised(*ragged.flat(pa.array([text])))
         chunks = list(sentpiece.split_chunks(model, points))
         path = sentpiece.best_states([sentpiece.chunk_matrix(model, *c) for c in chunks])
@@ -46,6 +46,33 @@ def test_any_chunks_give_the_same_ids(library, monkeypatch):
         assert len(chunks) > 2
 
 
+def test_cuts_within_words_have_real_matrices(library, monkeypatch):
+    """Cuts at fixed places fall into words, where several pieces may cover the cut."""
+    model = sentpiece.PieceModel(PATH)
+    draw = random.Random(6)
+    words = ["unbelievable", "the", "ing", "function", "a", "characteristics", "é", "of", "漢", "  ", "\n"]
+    for size in (33, 40, 57):
+        monkeypatch.setattr(sentpiece, "CHUNK", size)
+        text = " ".join(draw.choice(words) for _ in range(400))
+        points, _ = model.normalised(*ragged.flat(pa.array([text])))
+        chunks = list(sentpiece.split_chunks(model, points))
+        matrices = [sentpiece.chunk_matrix(model, *c) for c in chunks]
+        assert sum(max(m.shape) > 1 for m in matrices) > len(points) // size // 2
+        assert sum(c[4] - c[3] for c in chunks) == len(points)
+        path = sentpiece.best_states(matrices)
+        got = [sentpiece.chunk_ids(model, *c, a, b) for c, a, b in zip(chunks, path, path[1:], strict=False)]
+        assert np.concatenate(got).tolist() == library.encode(text)
+
+
+def test_tree_of_matrices(spark, documents, library, monkeypatch):
+    monkeypatch.setattr(sentpiece, "CHUNK", 50)
+    monkeypatch.setattr(sentpiece, "FOLD", 3)
+    draw = random.Random(7)
+    rows = [(i, " ".join(draw.choice(["unbelievable", "the", "漢字", "characteristics"]) for _ in range(n))) for i, n in enumerate([3, 12, 60, 400])]
+    got = sentpiece.encode(documents(rows), PATH).collect()
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in got} == {i: library.encode(t) for i, t in rows}
+
+
 def test_products_are_associative():
     draw = np.random.default_rng(2)
     a, b, c = (np.where(draw.random((4, 4)) < 0.4, 0.0, -np.inf) for _ in range(3))

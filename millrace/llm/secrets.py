@@ -16,6 +16,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.llm import ragged
 from millrace.llm.common import column
@@ -32,16 +33,19 @@ THRESHOLD = 0.5
 MASK = "[SECRET]"
 
 # Words that announce a credential, and words that announce something harmless.
-CREDENTIAL_WORDS = ["token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "access_key", "auth", "authorization", "bearer", "credential", "credentials", "login"]
-HARMLESS_WORDS = ["example", "sample", "dummy", "placeholder", "test", "commit", "sha", "sha1", "sha256", "md5", "hash", "checksum", "digest", "uuid", "id", "order", "invoice", "card", "account", "phone", "serial", "file", "path", "version"]
+CREDENTIAL_WORDS = ["token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "access_key", "auth", "authorization", "bearer", "basic", "credential", "credentials", "login", "passwort", "kennwort", "contraseña", "contrasena", "passe", "senha"]
+HARMLESS_WORDS = ["example", "sample", "dummy", "placeholder", "test", "commit", "sha", "sha1", "sha256", "md5", "hash", "checksum", "digest", "uuid", "id", "etag", "image", "order", "invoice", "card", "account", "phone", "serial", "file", "path", "version"]
 PATH_WORDS = re.compile(r"test|example|sample|fixture|mock|docs?\b", re.IGNORECASE)
 
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/=-")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[list(b"0123456789")] = True
-_NAMED = re.compile(rb"(?i)(?:token|secret|passwo?r?d|pwd|api[_-]?key|access[_-]?key|auth|credentials?)[\"']?[ \t]{0,3}$")
+_NAMED = re.compile("(?i)(?:token|secret|passwo?r?d|passwort|kennwort|contrase(?:ñ|n)a|mot[ _]de[ _]passe|senha|pwd|api[_-]?key|access[_-]?key|auth|credentials?)[\"']?[ \t]{0,3}$".encode())
 _VALUE = re.compile(rb"=?>?[ \t]{0,3}[\"']?([\x21\x23-\x26\x28-\x7e]{8,})")
+#: What follows the scheme of an authorisation header, and the password in a URL.
+_BEARER = re.compile(rb"(?i)\b(?:bearer|basic)[ \t]{1,3}([A-Za-z0-9._~+/=-]{8,})")
+_IN_URL = re.compile(rb"\b[A-Za-z][A-Za-z0-9+.-]{1,20}://[^\s/:@\"']{1,100}:([^\s/@\"']{4,200})@")
 _KEY_RUN = re.compile(rb"[A-Za-z0-9+/=]{16,}+")
 _BETWEEN = rb"(?:[\s\"',;>|#*]|\\+[nrt]|\+(?=\s)){0,40}+"
 #: Header, PEM headers, lines of key characters, and the END line where it follows them.
@@ -50,6 +54,7 @@ _BLOCK = re.compile(
     rb"(?P<body>(?:" + _BETWEEN + _KEY_RUN.pattern + rb")++)(?:" + _BETWEEN + rb"[A-Za-z0-9+/=]{0,15}" + _BETWEEN + rb"-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
 )
 _WORD = re.compile(r"[^\W\d_]+(?:_key)?|\d+")
+_URL_LEAD = re.compile(r"://[^\s/:@]+:$")
 FEATURES = ["length", "digits", "upper", "lower", "symbols", "distinct", "transitions", "longest_run", "surprise", "dictionary", "path_like", "path_words", "credential_near", "assigned", "harmless_near", "placeholder"]
 
 
@@ -93,12 +98,12 @@ def _covered(value: str, words: frozenset[str]) -> float:
     letters = sum(c.isalpha() for c in value)
     if not letters:
         return 0.0
-    low, at, hit = value[:512].lower(), 0, 0
+    low, at, hit = value.lower(), 0, 0
     while at < len(low):
         size = next((n for n in range(min(12, len(low) - at), 2, -1) if low[at : at + n] in words), 0)
         hit += size
         at += size or 1
-    return min(1.0, hit / min(letters, 512))
+    return min(1.0, hit / letters)
 
 
 def _kind(c: str) -> int:
@@ -133,7 +138,7 @@ def feature_row(value: str, before: str, after: str, path: str, known: Lexicon)
         _covered(value, known.words),
         float(len(segments) > 2 or bool(re.match(r"\.[a-z]{2,4}\b", after))),
         float(bool(PATH_WORDS.search(path))),
-        float(any(w in CREDENTIAL_WORDS for w in near)),
+        float(any(w in CREDENTIAL_WORDS for w in near) or bool(_URL_LEAD.search(before) and after.startswith("@"))),
         float(bool(re.search(r"[:=>]\s*[\"']?$", before))),
         float(any(w in HARMLESS_WORDS for w in near[-2:] + follows)),
         float(bool(re.search(r"(?i)x{4}|your|example|placeholder|dummy|sample|(.)\1{5}", value))),
@@ -153,19 +158,25 @@ def candidates(raw: np.ndarray, begin: int, end: int) -> list[tuple[int, int, st
         if digits[b] > digits[a]:
             found.append((int(a), int(b), "run"))
     marks = np.flatnonzero((text == 0x3D) | (text == 0x3A))
-    if len(marks):
-        data = text.tobytes()
-        for at in marks.tolist():
-            if _NAMED.search(data[max(0, at - 24) : at]) and (value := _VALUE.match(data, at + 1)):
-                found.append((*value.span(1), "named"))
-        if b"PRIVATE KEY-----" in data:
-            found += [(*block.span(), "block") for block in _BLOCK.finditer(data)]
-    elif (data := text.tobytes()).find(b"PRIVATE KEY-----") >= 0:
+    data = text.tobytes()
+    for at in marks.tolist():
+        if _NAMED.search(data[max(0, at - 24) : at]) and (value := _VALUE.match(data, at + 1)):
+            found.append((*value.span(1), "named"))
+    if b"://" in data:
+        found += [(*url.span(1), "url") for url in _IN_URL.finditer(data)]
+    low = data.lower()
+    if b"bearer" in low or b"basic" in low:
+        found += [(*bearer.span(1), "bearer") for bearer in _BEARER.finditer(data)]
+    if b"PRIVATE KEY-----" in data:
         found += [(*block.span(), "block") for block in _BLOCK.finditer(data)]
-    found.sort(key=lambda s: (s[2] != "block", s[0] - s[1], s[0]))
+    # Keys first, then what a name or a place tells of, then by length; a range goes to the first that wants it.
+    order = {"block": 0, "url": 1, "bearer": 2}
+    found.sort(key=lambda s: (order.get(s[2], 3), s[0] - s[1], s[0]))
+    taken = np.zeros(len(text) + 1, bool)
     apart: list[tuple[int, int, str]] = []
     for one in found:
-        if all(one[1] <= other[0] or one[0] >= other[1] for other in apart):
+        if not taken[one[0] : one[1]].any():
+            taken[one[0] : one[1]] = True
             apart.append(one)
     return sorted(apart)
 
@@ -173,7 +184,7 @@ def candidates(raw: np.ndarray, begin: int, end: int) -> list[tuple[int, int, st
 def example_findings(known: Lexicon, rows: int = LABELLED_ROWS, seed: int = SEED) -> list[tuple[str, str, str, str, int]]:
     """Labelled findings (value, before, after, path, label) made up around words of the corpus, half of them secrets.
 
-    For corpora that come without labelled findings of their own.
+    For corpora that come without labelled findings of their own; their shapes are those of public key formats and of common harmless text.
     """
     draw = random.Random(seed)
     words = sorted(known.words)[:DICTIONARY_WORDS] or ["alpha", "beta", "gamma"]
@@ -197,7 +208,7 @@ def example_findings(known: Lexicon, rows: int = LABELLED_ROWS, seed: int = SEED
         return value.upper() if draw.random() < 0.15 else value
 
     def harmless() -> tuple[str, bool]:
-        kind = draw.randrange(9)
+        kind = draw.randrange(12)
         if kind == 0:
             return pick("0123456789", draw.choice([16, 16, 17, 18, 19, 20])), False
         if kind == 1:
@@ -214,28 +225,36 @@ def example_findings(known: Lexicon, rows: int = LABELLED_ROWS, seed: int = SEED
             return "".join(draw.choice(words) for _ in range(draw.randint(3, 6))) + str(draw.randint(0, 99)), False
         if kind == 7:
             return "".join(draw.choice(words) for _ in range(draw.randint(2, 4))).capitalize() + draw.choice(["!!", "2", ""]), True
-        return pick(hexes, 40), None
+        if kind == 8:
+            # Addresses, with words and numbers in them.
+            page = draw.choice(["_", "-", "/"]).join([draw.choice(words).capitalize() for _ in range(draw.randint(2, 5))] + [str(draw.randint(1, 2030))])
+            return f"//{draw.choice(words)}.{draw.choice(['org', 'com', 'example.net'])}/{draw.choice(['wiki', 'en', 'blog', 'docs'])}/{page}", False
+        return pick(hexes, draw.choice([32, 40, 40, 64, 64])), None
 
     out = []
     for k in range(rows):
         tail = " " + prose(2)
-        path = draw.choice(["src/app", "conf/prod", "src0", "src7", "wiki"])
+        path = draw.choice(["src/app", "conf/prod", "lib/core", "notes", "wiki", ""])
         if k % 2:
             if draw.random() < 0.85:
                 name = draw.choice(["token", "secret", "password", "api_key", "access_key", "auth"])
                 name = name.upper() if draw.random() < 0.2 else name
                 lead = f'{prose(2)} {name}{draw.choice([" = ", "=", ": ", ":"])}{draw.choice([chr(34), chr(39), ""])}'
+                if draw.random() < 0.15:
+                    lead = f"{prose(2)} Authorization: {draw.choice(['Bearer', 'Basic', 'bearer'])} "
+                elif draw.random() < 0.12:
+                    lead = f"{prose(1)} {draw.choice(['postgres', 'https', 'redis', 'amqp'])}://{draw.choice(words)}:"
             else:
                 lead = prose(3) + " "
-            out.append((secret(), lead, draw.choice(['"', "'", ""]) + tail, path, 1))
+            out.append((secret(), lead, ("@db.internal/x" if "://" in lead else draw.choice(['"', "'", ""])) + tail, path, 1))
         else:
             value, named = harmless()
             if named is None:
-                lead = f"{prose(2)} {draw.choice(['commit', 'sha1', 'checksum', 'hash', 'md5', 'digest'])}{draw.choice([' ', ': ', ' = '])}"
+                lead = f"{prose(2)} {draw.choice(['commit', 'sha1', 'sha256', 'checksum', 'hash', 'md5', 'digest', 'etag', 'image'])}{draw.choice([' ', ': ', ':', ' = ', '='])}"
             elif named:
                 lead = f'{prose(2)} {draw.choice(["token", "password", "secret"])} = "'
             else:
-                lead = prose(3) + draw.choice([" ", " ", " ", ": ", " id "])
+                lead = prose(3) + (" https:" if value.startswith("//") else draw.choice([" ", " ", " ", ": ", " id "]))
             out.append((value, lead, tail, draw.choice([path, "tests/data", "docs/example"]), 0))
     return out
 
@@ -332,10 +351,11 @@ def scan(docs: DataFrame, forest: Forest, known: Lexicon, threshold: float = THR
     """One row per candidate: doc_id, start and length in code points, kind, value_sha256, probability, is_secret.
 
     Every whole text is read, in the tasks, without a shuffle; the forest and the word list are bounded and travel with the tasks.
-    Kinds: ``run`` (16 or more key characters with a digit), ``named`` (8 or more after a credential's name), ``block`` (a private key: its header,
-    the lines of key characters that follow, and an END line right after them; a header without such lines is none). NULL and empty text: no candidates. NULL path: none. NULL doc_id: kept. Repeated rows: findings each. Empty table: no rows.
+    Kinds: ``run`` (16 or more key characters with a digit), ``named`` (8 or more after a credential's name), ``bearer`` (after the scheme of an authorisation
+    header), ``url`` (the password in a URL), ``block`` (a private key: its header,
+    the lines of key characters that follow, and an END line right after them; a header without such lines is none). NULL and empty text: no candidates. NULL path, or no such column: none. NULL doc_id: kept. Repeated rows: findings each. Empty table: no rows.
     """
-    path = column(docs, path_col).cast("string") if path_col else F.lit("")
+    path = column(docs, path_col).cast("string") if path_col in docs.columns else F.lit("")
     narrow = docs.select(column(docs, id_col).alias("doc_id"), column(docs, text_col).cast("string").alias("text"), path.alias("path"))
     kind_of_id = narrow.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "start", "length", "kind", "value_sha256", "probability", "is_secret"]
@@ -343,12 +363,16 @@ def scan(docs: DataFrame, forest: Forest, known: Lexicon, threshold: float = THR
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in ragged.slices(batch, "text"):
-                texts, which, out = part.column("text"), [], []
+                raw, offsets = ragged.flat(part.column("text"))
+                chars, which, out = None, [], []
                 for k, found in _judged(part, "text", part.column("path").to_pylist(), forest, known):
-                    data = texts[k].as_py().encode()
+                    if chars is None:
+                        chars = ragged.bounds((raw & 0xC0) != 0x80)
+                    begin = int(offsets[k])
                     for a, b, kind, p in found:
+                        at, end = chars[begin + a], chars[begin + b]
                         which.append(k)
-                        out.append((len(data[:a].decode()), len(data[a:b].decode()), kind, hashlib.sha256(data[a:b]).hexdigest(), p, p >= threshold))
+                        out.append((int(at - chars[begin]), int(end - at), kind, hashlib.sha256(raw[begin + a : begin + b].tobytes()).hexdigest(), p, p >= threshold))
                 if out:
                     yield pa.RecordBatch.from_arrays([part.column("doc_id").take(pa.array(which)), *(pa.array(x) for x in zip(*out, strict=True))], names=names)
 
@@ -356,11 +380,11 @@ def scan(docs: DataFrame, forest: Forest, known: Lexicon, threshold: float = THR
 
 
 def redact(docs: DataFrame, forest: Forest, known: Lexicon, threshold: float = THRESHOLD, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``docs`` with every secret in the text replaced by :data:`MASK`; all rows and columns stay, ``n_chars`` follows a changed text."""
+    """``docs`` with every secret in the text replaced by :data:`MASK`; all rows and columns stay, ``n_chars`` follows a changed text if it is a whole number."""
     columns = docs.columns
-    path_at = columns.index(path_col) if path_col else None
+    path_at = columns.index(path_col) if path_col in columns else None
     text_at = columns.index(text_col)
-    size_at = columns.index("n_chars") if "n_chars" in columns else None
+    size_at = columns.index("n_chars") if "n_chars" in columns and isinstance(docs.schema["n_chars"].dataType, T.IntegralType) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -133,14 +133,21 @@ def signatures(docs: DataFrame, weighted: bool = False, bands: int = BANDS, rows
     return docs.mapInArrow(run, f"doc_id {kind}, sha binary, bands array<bigint>")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(id, shingles) of a table (doc_id, text): the distinct shingles, as hashes."""
+def _sets(docs: DataFrame, weighted: bool = False) -> DataFrame:
+    """(id, shingles) of a table (doc_id, text): the distinct shingles, as hashes.
+
+    With weights each occurrence of a shingle has a hash of its own, by its number: the plain similarity of such sets is the weighted one of the texts.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in ragged.slices(batch, "text"):
-                owner, element, _ = shingles(*ragged.flat(part.column("text")))
+                owner, element, count = shingles(*ragged.flat(part.column("text")))
+                if weighted:
+                    again = ragged.ragged_index(np.zeros(len(count), np.int64), count).astype(np.uint64)
+                    owner, element = np.repeat(owner, count), np.repeat(element, count)
+                    element = np.where(again > 0, ragged.mix(element + again * np.uint64(0xC2B2AE3D27D4EB4F)), element)
                 ends = pa.array(ragged.bounds(np.bincount(owner, minlength=part.num_rows)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(element.view(np.int64)))], names=["id", "shingles"])
 
@@ -178,7 +185,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
     """One row per row of ``docs``: doc_id, text_id (smallest doc_id with the same text), class_id.
 
     ``class_id`` is the smallest doc_id that is linked with the row's text through texts of which each two neighbours have a Jaccard
-    similarity of at least ``similarity`` over their sets of five-word runs (words as in :func:`millrace.llm.ragged.words`).
+    similarity of at least ``similarity`` over their sets of five-word runs (words as in :func:`millrace.llm.ragged.words`); ``weighted`` counts each
+    occurrence of a run.
 
     Equal texts count once. Texts that share a band key meet in a bucket, and are compared exactly with the bucket's centre: the
     text that shares most buckets with others, which in a group of altered copies is the original. Where a bucket then holds several
@@ -192,7 +200,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
     prints = stage(signatures(narrow, weighted), "signatures")
     texts = prints.groupBy("sha").agg(F.min("doc_id").alias("text_id"), F.count("*").alias("copies"), F.first("bands").alias("bands"))
     texts = stage(texts, "texts")
-    labels = _labels(narrow, texts.filter("text_id is not null").select(F.col("text_id").alias("id"), "bands"), similarity)
+    labels = _labels(narrow, texts.filter("text_id is not null").select(F.col("text_id").alias("id"), "bands"), similarity, weighted)
     total = prints.count()
     rows = join_groups(prints.select("doc_id", "sha"), texts.select("sha", "text_id", "copies"), ["sha"], "copies", total).select("doc_id", "text_id")
     if labels is None:
@@ -200,7 +208,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = Fa
     return rows.join(labels.withColumnRenamed("id", "text_id"), "text_id", "left").select("doc_id", "text_id", F.coalesce("label", "text_id").alias("class_id"))
 
 
-def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
+def _labels(docs: DataFrame, texts: DataFrame, similarity: float, weighted: bool = False) -> DataFrame | None:
     entries = texts.select("id", F.explode("bands").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     total = texts.count()
@@ -210,7 +218,7 @@ def _labels(docs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame |
     popular = met.groupBy("id").agg(F.sum("n").alias("popular"))
     left = stage(met.join(popular, "id"), "buckets")
     wanted = popular.select(F.col("id").alias("doc_id"))
-    sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "shingles")
+    sets = stage(_sets(docs.join(wanted, "doc_id", "left_semi"), weighted).dropDuplicates(["id"]), "shingles")
 
     centre = left.groupBy("key").agg(F.max("n").alias("size"), F.max(F.struct("popular", (-F.col("id")).alias("minus"))).alias("top"))
     heads = stage(centre.select("key", "size", (-F.col("top.minus")).alias("centre")), "centres")

@@ -140,3 +140,48 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 101), (103, 101), (200, 150)]
     got = {r["id"]: r["label"] for r in neardup.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert all(got[k] == 0 for k in range(61)) and got[103] == 100 and got[200] == 150
+
+
+def test_weights_count_when_links_are_tested(documents):
+    """Texts with the same runs, some repeated: alike as sets, not as weighted sets."""
+    draw = random.Random(12)
+    words = [f"w{k}" for k in range(500)]
+    base = [draw.choice(words) for _ in range(60)]
+    passage = [draw.choice(words) for _ in range(30)]
+    once = base + passage
+    rows = [(1, " ".join(once)), (2, " ".join(base + passage * 4)), (3, " ".join(base + passage * 4 + ["end"]))]
+
+    def weighted(a, b):
+        ca, cb = ({k: sum(x == k for x in g) for k in set(g)} for g in (runs(a), runs(b)))
+        return sum(min(ca.get(k, 0), cb.get(k, 0)) for k in ca.keys() | cb.keys()) / sum(max(ca.get(k, 0), cb.get(k, 0)) for k in ca.keys() | cb.keys())
+
+    def runs(text):
+        w = text.split()
+        return [tuple(w[k:k + 5]) for k in range(len(w) - 4)]
+
+    texts = dict(rows)
+    assert weighted(texts[1], texts[2]) < 0.8 <= weighted(texts[2], texts[3])
+    plain = {r.doc_id: r.class_id for r in neardup.classes(documents(rows)).collect()}
+    counted = {r.doc_id: r.class_id for r in neardup.classes(documents(rows), weighted=True).collect()}
+    assert len(shingle_set(texts[1]) & shingle_set(texts[2])) >= 0.8 * len(shingle_set(texts[1]) | shingle_set(texts[2]))
+    assert plain == {1: 1, 2: 1, 3: 1} and counted == {1: 1, 2: 2, 3: 2}
+
+
+def test_recall_with_large_groups(documents):
+    """Links between different texts against brute force, with groups of hundreds of altered copies."""
+    draw = random.Random(21)
+    words = [f"w{k}" for k in range(800)]
+    rows = []
+    for size in (250, 120, 40, 5, 1, 1):
+        base = [draw.choice(words) for _ in range(90)]
+        for _ in range(size):
+            text = list(base)
+            for _ in range(draw.randint(0, 4)):
+                text[draw.randrange(len(text))] = draw.choice(words)
+            rows.append((len(rows), " ".join(text)))
+    got = {r.doc_id: r.class_id for r in neardup.classes(documents(rows)).collect()}
+    sets = [shingle_set(t) for _, t in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    recall = sum(got[a] == got[b] for a, b in links) / len(links)
+    print(f"recall {recall:.4f} of {len(links)} links")
+    assert recall >= 0.99 and got == brute(rows)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import os
 import re
 from collections.abc import Sequence
 from fractions import Fraction
@@ -51,14 +53,21 @@ def has_word(text: str | Column, any_of: Sequence[str]) -> Column:
     return F.lower(text).rlike(f"(?<![{WORD}])(?:{_any_of([w.lower() for w in any_of])})(?![{WORD}])")
 
 
-def _any_of(choices: Sequence[str]) -> str:
+#: Beginnings within beginnings, to which the tree of a pattern goes; deeper texts are listed.
+MAX_NESTED = 100
+
+
+def _any_of(choices: Sequence[str], nested: int = 0) -> str:
     """A pattern for any of the texts, as a tree of their beginnings."""
-    by_first: dict[str, list[str]] = {}
-    for text in choices:
-        by_first.setdefault(text[:1], []).append(text[1:])
-    branches = [re.escape(c) + (_any_of(rest) if any(rest) else "") for c, rest in sorted(by_first.items()) if c]
-    pattern = "(?:" + "|".join(branches) + ")" if branches else ""
-    return pattern + "?" if "" in by_first else pattern
+    choices = sorted(set(choices))
+    start = os.path.commonprefix(choices)
+    rest = [text[len(start):] for text in choices]
+    if rest == [""]:
+        return re.escape(start)
+    if nested > MAX_NESTED:
+        return re.escape(start) + "(?:" + "|".join(re.escape(r) for r in sorted(rest, key=len, reverse=True)) + ")"
+    branches = [_any_of(list(same), nested + 1) for first, same in itertools.groupby(rest, key=lambda r: r[:1]) if first]
+    return re.escape(start) + "(?:" + "|".join(branches) + ")" + ("?" if "" in rest else "")
 
 
 def filter_any(

@@ -1,5 +1,6 @@
 """Tables, topics, generated messages, syslog and change events."""
 
+import hashlib
 import itertools
 
 from pyspark.sql import functions as F
@@ -85,18 +86,19 @@ def topic_rows(spark, sf_dir):
     return m.select("msg_id", "key", F.decode("payload", "UTF-8").alias("payload"), text_of("headers").alias("headers"), "content_type")
 
 
-@query("""
-SELECT event_id, i AS producer, i * n + rn - 1 AS message, md5(rpad(((i * n + rn - 1)::VARCHAR || ':' || props), 100, '.')) AS content
+@query(f"""
+SELECT event_id, i AS producer, i * n + rn - 1 AS message, md5(rpad(((i * n + rn - 1)::VARCHAR || ':' || props), 100, '.')) AS content, '{hashlib.md5(bytes(100)).hexdigest()}' AS sent
 FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS rn, count(*) OVER () AS n FROM events), (VALUES (0::BIGINT), (1::BIGINT)) p(i)
 """)
 def generated_load(spark, sf_dir):
-    """Two producers, each sending one message per event, of 100 bytes that begin with the message's number and the event's properties"""
+    """Two producers, each sending one message of 100 zero bytes per event; and the same with the message's number and the event's properties in front"""
     numbered = number_rows(table(spark, sf_dir, "events").select("event_id", "props", F.lit(0).alias("all")), ["all"], ["event_id"], "rn")
-    load = generate_messages(spark, producers=2, count=numbered.count(), size=100)
-    message = F.col("producer") * F.lit(numbered.count()) + F.col("sequence_number")
+    per_producer = table(spark, sf_dir, "events").count()
+    load = generate_messages(spark, producers=2, count=per_producer, size=100).withColumn("sent", F.md5("payload"))
+    message = F.col("producer") * F.lit(per_producer) + F.col("sequence_number")
     sent = load.join(numbered, F.col("sequence_number") == F.col("rn") - 1)
     filled = sent.withColumn("message", message).withColumn("payload", fill_payload(F.concat(F.col("message").cast("string"), F.lit(":"), "props"), 100))
-    return filled.select("event_id", F.col("producer").cast("bigint").alias("producer"), "message", F.md5("payload").alias("content"))
+    return filled.select("event_id", F.col("producer").cast("bigint").alias("producer"), "message", F.md5("payload").alias("content"), "sent")
 
 
 @query("""

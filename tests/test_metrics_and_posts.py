@@ -164,3 +164,23 @@ def test_messages_without_an_id_all_stay(spark):
     df = spark.createDataFrame([(None, "2024-01-01 00:00:00", "a"), (None, "2024-01-01 00:00:00", "a"), (1, "2024-01-01 00:00:00", "b"), (1, "2024-01-01 00:00:01", "c")], "id int, ts string, text string").withColumn("ts", F.col("ts").cast("timestamp"))
     got = dedup_recent(df, "id", "ts", "9 days", now="timestamp'2024-01-02 00:00:00'").collect()
     assert sorted((r.id or 0, r.text) for r in got) == [(0, "a"), (0, "a"), (1, "b")]
+
+
+def test_long_and_nested_keywords(spark):
+    long, nested = "x" * 2000 + "y", ["a" * n for n in range(1, 400)]
+    texts = [f"has {long} in it", "has " + "x" * 2000 + " in it", "b" + "a" * 5, "a" * 399, "a" * 400, "cat.s", "cats", "c a t"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = lambda words: {r.i for r in filter_any(df, "t", words).collect()}
+    assert found([long]) == {0}
+    assert found(nested) == {3, 7}
+    assert found(["cat", "catalog", "car", "cats"]) == {5, 6} and found(["cats", "cat.s"]) == {5, 6}
+
+
+def test_a_lookup_table_with_a_repeated_key(spark):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    ref = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "x"), (None, "y")], "id int, v string")
+    with pytest.raises(Exception, match="several answers"):
+        enrich_lookup(df, ref, {"id": "k"}, "v", out="r").collect()
+    assert sorted((r.k, r.r or "") for r in enrich_lookup(df, ref, {"id": "k"}, "v", out="r", repeated="all").collect()) == [(1, "a"), (2, "b"), (2, "c"), (3, "")]
+    once = ref.filter("v <> 'c'")
+    assert sorted((r.k, r.r or "") for r in enrich_lookup(df, once, {"id": "k"}, "v", out="r").collect()) == [(1, "a"), (2, "b"), (3, "")]

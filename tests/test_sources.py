@@ -20,7 +20,7 @@ from millrace.streaming.runs import run_available, run_batches
 @pytest.fixture(scope="module")
 def folder(tmp_path_factory):
     d = tmp_path_factory.mktemp("files")
-    (d / "one.txt").write_text("Bart Simpson\n")
+    (d / "one.txt").write_text("Ida Quillson\n")
     (d / "many.txt").write_text("".join(f"line {i} {'x' * 90}\n" for i in range(1, 3001)))
     (d / "empty.txt").write_text("")
     return d
@@ -28,7 +28,7 @@ def folder(tmp_path_factory):
 
 def test_contents_and_references(spark, folder):
     rows = {r.headers["file_name"]: r for r in read_files(spark, str(folder)).collect()}
-    assert bytes(rows["one.txt"].payload) == b"Bart Simpson\n" and rows["one.txt"].content_type == "application/octet-stream"
+    assert bytes(rows["one.txt"].payload) == b"Ida Quillson\n" and rows["one.txt"].content_type == "application/octet-stream"
     refs = read_files(spark, str(folder), "ref", pattern="one*")
     (ref,) = refs.collect()
     assert rows["empty.txt"].payload == b""
@@ -55,7 +55,7 @@ def test_lines_are_numbered_over_many_splits(spark, folder, monkeypatch, max_spl
     assert json.loads(many[-1].payload)["lineCount"] == 3000
     assert len({r.headers["correlationId"] for r in many[1:-1]}) == 1
     assert [(r.line, r.marker, json.loads(r.payload).get("lineCount")) for r in rows if r.path.endswith("/empty.txt")] == [(0, "START", None), (1, "END", 0)]
-    assert [r.payload for r in rows if r.path.endswith("/one.txt")][1] == "Bart Simpson"
+    assert [r.payload for r in rows if r.path.endswith("/one.txt")][1] == "Ida Quillson"
 
 
 @pytest.mark.parametrize("name, data", [
@@ -188,6 +188,7 @@ def test_time_spine(spark):
 
 
 def test_syslog(spark):
+    # The first line is the golden case of the old format, the others follow the new one's description.
     lines = [
         "<157>JUL 26 22:08:35 WEBERN TESTING[70729]: TEST SYSLOG MESSAGE",
         '<165>1 2003-10-11T22:14:15.003Z host.example.com app - ID47 [x@1 a="b"] An event',

@@ -19,6 +19,11 @@ from millrace.operators.split import PART_ROWS
 STATE_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def _tuples(pdf: pd.DataFrame, *columns: str) -> Iterator[tuple]:
+    """The rows of a frame, which has few rows for most keys, without making another frame."""
+    return zip(*(pdf[c].tolist() for c in columns))
+
+
 class GroupProcessor(StatefulProcessor):
     """Collects the messages of one key and emits lists whenever a group closes.
 
@@ -40,7 +45,7 @@ class GroupProcessor(StatefulProcessor):
 
     def _arrived(self, rows) -> list:
         """The micro-batch's messages of the key as (order, item, closes, …), in order."""
-        arrived = [r for pdf in rows for r in pdf[["ord", "item", "closes"]].itertuples(index=False, name=None)]
+        arrived = [r for pdf in rows for r in _tuples(pdf, "ord", "item", "closes")]
         return sorted(arrived, key=lambda r: r[0])
 
     def _state(self) -> tuple[int, int]:
@@ -133,45 +138,54 @@ class EventTimeGroupProcessor(GroupProcessor):
         self.latest = handle.getValueState("latest", "at bigint")
 
     def _arrived(self, rows) -> list:
-        arrived = [r for pdf in rows for r in pdf[["ord", "item", "closes", "at"]].itertuples(index=False, name=None)]
+        arrived = [r for pdf in rows for r in _tuples(pdf, "ord", "item", "closes", "at")]
         return sorted(arrived, key=lambda r: r[0])
 
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        yield from self._frames(key, self._take(self._arrived(rows)))
+
     def _take(self, arrived: list) -> Iterator[tuple]:
-        latest = (self.latest.get() or (None,))[0]
-        count = self._state()[0]
-        run: list = []
-        for ord_, item, closes, at in arrived:
+        # State is read once and written once: nearly every message may end an idle group, and those that begin and end here need no state.
+        count, released = self._state()
+        latest = before = self.latest.get()[0] if count else None
+        stored, fresh = count > 0, []
+        for _, item, closes, at in arrived:
             if count and at - latest > self.timeout_ms:
-                yield from super()._take(run)
-                yield from self._close_idle()
-                run, count = [], 0
-            run.append((ord_, item, closes))
+                if self.send_partial:
+                    yield from self._rows(released, self._items(count, fresh), False)
+                    released += 1
+                stored, fresh, count = self._emptied(stored), [], 0
             # Only the messages of the open group count for its idle time.
             latest = max(latest, at) if count else at
-            count = 0 if closes or count + 1 == self.size else count + 1
-        yield from super()._take(run)
-        if count:
-            self.latest.update((int(latest),))
-        else:
-            self.latest.clear()
+            count += 1
+            fresh.append((count, item))
+            if closes or count == self.size:
+                yield from self._rows(released, self._items(count, fresh), True)
+                stored, fresh, count, released = self._emptied(stored), [], 0, released + 1
+        if fresh:
+            self.open.appendList(fresh)
+        self.counts.update((count, released))
+        self._move_timer(before, int(latest) if count else None)
 
-    def _close_idle(self) -> Iterator[tuple]:
-        count, released = self._state()
-        if count:
-            if self.send_partial:
-                yield from self._rows(released, self._items(count, []), False)
-                released += 1
+    def _emptied(self, stored: bool) -> bool:
+        if stored:
             self.open.clear()
-            self.counts.update((0, released))
+        return False
 
-    def _restart_timer(self, timerValues) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if self._state()[0]:
-            self.handle.registerTimer(self.latest.get()[0] + self.timeout_ms)
+    def _move_timer(self, before: int | None, latest: int | None) -> None:
+        """The latest message of the open group, and its timer; an open group has one timer, set by that message."""
+        if latest == before:
+            return
+        if before is not None:
+            self.handle.deleteTimer(before + self.timeout_ms)
+        if latest is None:
+            self.latest.clear()
+        else:
+            self.latest.update((latest,))
+            self.handle.registerTimer(latest + self.timeout_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._frames(key, self._close_idle())
+        yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
         self.latest.clear()
 
 
@@ -184,7 +198,7 @@ class SequenceProcessor(GroupProcessor):
         self.open = handle.getMapState("open", "seq bigint", "item string")
 
     def _arrived(self, rows) -> list:
-        return [r for pdf in rows for r in pdf[["seq", "item", "expected"]].itertuples(index=False, name=None)]
+        return [r for pdf in rows for r in _tuples(pdf, "seq", "item", "expected")]
 
     def _items(self, count, fresh) -> Iterator[str]:
         held = dict(fresh)

@@ -1,5 +1,9 @@
 """Streams give the batch answer, also when they are stopped and started again."""
 
+import random
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +14,7 @@ from millrace.operators.posts import dedup_recent, trending
 from millrace.operators.split import reassemble, split_messages
 from millrace.sinks.tables import once_per_batch, table_rows
 from millrace.sinks.upsert import read_documents, upsert
-from millrace.streaming.aggregate import aggregate_stream, open_groups, order_text
+from millrace.streaming.aggregate import EventTimeGroupProcessor, aggregate_stream, open_groups, order_text
 from millrace.streaming.runs import run_available, run_batches, use_rocksdb
 
 EVENTS = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
@@ -89,6 +93,103 @@ def test_idle_groups_follow_event_time(spark, tmp_path):
     assert [(r.group_no, r.payloads, r.closed) for r in rows] == [(0, [0, 1, 2, 10], False), (1, [200, 201], False)]
 
 
+class _State:
+    """State of one key in memory, which counts the calls made to it."""
+
+    def __init__(self):
+        self.calls, self.values, self.timers = 0, {}, []
+
+    def _variable(self, name, empty):
+        def call(change):
+            def run(*args):
+                self.calls += 1
+                return change(self.values.get(name, empty), *args)
+            return run
+
+        put = lambda value: self.values.__setitem__(name, value)
+        return SimpleNamespace(
+            get=call(lambda old: old), update=call(lambda old, new: put(new)), clear=call(lambda old: put(empty)),
+            appendList=call(lambda old, more: put([*old, *more])))
+
+    def getValueState(self, name, schema):
+        return self._variable(name, None)
+
+    def getListState(self, name, schema):
+        return self._variable(name, [])
+
+    def listTimers(self):
+        self.calls += 1
+        return iter(list(self.timers))
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+def _idle_rows(processor, state, batch):
+    """What the processor emits for (id, at, closes) of the key 'k'."""
+    pdf = pd.DataFrame([("k", f"{i:09d}", str(i), closes, at) for i, at, closes in batch], columns=["k", "ord", "item", "closes", "at"])
+    processor.init(state)
+    return [r for out in processor.handleInputRows(("k",), iter([pdf]), None) for r in out.itertuples(index=False, name=None)]
+
+
+def test_state_calls_do_not_grow_with_idle_groups():
+    hour = 3_600_000
+    made = []
+    for n in (2, 2000):
+        state, processor = _State(), EventTimeGroupProcessor(["k"], None, 2 * hour, True, 10)
+        rows = _idle_rows(processor, state, [(i, 3 * hour * i, False) for i in range(n)])
+        assert [(r[1], r[5]) for r in rows] == [(i, [str(i)]) for i in range(n - 1)]
+        assert state.values["open"] == [(1, str(n - 1))] and state.timers == [3 * hour * (n - 1) + 2 * hour]
+        made.append(state.calls)
+    assert made[0] == made[1]
+
+
+@pytest.mark.parametrize("size, send_partial", [(None, True), (4, True), (4, False)])
+def test_idle_groups_over_micro_batches(size, send_partial):
+    rng = random.Random(7)
+    for _ in range(150):
+        state, processor = _State(), EventTimeGroupProcessor(["k"], size, 10, send_partial, 3)
+        expected, got, group, latest, number, released = [], [], [], None, 0, 0
+        at = 0
+        for _ in range(rng.randint(1, 6)):
+            batch = []
+            for _ in range(rng.randint(1, 12)):
+                at += rng.choice([-3, 0, 1, 5, 10, 11, 30])
+                batch.append((number, at, rng.random() < 0.15))
+                if group and at - latest > 10:
+                    if send_partial:
+                        expected.append((released, False, group))
+                        released += 1
+                    group = []
+                latest = max(latest, at) if group else at
+                group = [*group, str(number)]
+                if batch[-1][2] or len(group) == size:
+                    expected.append((released, True, group))
+                    group, released = [], released + 1
+                number += 1
+            got += _idle_rows(processor, state, batch)
+            # An open group has one timer, and what is open is in state.
+            assert state.timers == ([latest + 10] if group else [])
+            assert [item for _, item in state.values.get("open", [])] == group and state.values["counts"] == (len(group), released)
+            if group and rng.random() < 0.3:
+                got += [r for out in processor.handleExpiredTimer(("k",), None, None) for r in out.itertuples(index=False, name=None)]
+                state.timers.clear()
+                if send_partial:
+                    expected.append((released, False, group))
+                    released += 1
+                group = []
+        joined = {}
+        for _, group_no, part, n, closed, payloads in got:
+            assert n == len(payloads) <= 3 and (part == 0) == ((group_no, closed) not in joined)
+            joined.setdefault((group_no, closed), []).extend(payloads)
+        assert [(*k, v) for k, v in joined.items()] == expected
+
+
 @pytest.mark.parametrize("payload", ["unhex('ff00')", "id", "map('n', id)", "named_struct('n', id, 's', cast(null as string))", "timestamp_seconds(id)", "cast(id as double) / 3"])
 def test_payloads_keep_their_type(spark, tmp_path, payload):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
